@@ -136,8 +136,13 @@ def hex_digits(fingerprint):
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its component's smallest; of rows with equal doc_id the one with the smallest text."""
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rank = F.row_number().over(Window.partitionBy("_kept").orderBy("text"))
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")))
-    return joined.withColumn("_rank", rank).where("_rank = 1").select(*[docs[c] for c in docs.columns])
+    """The rows of ``docs`` whose doc_id is its component's smallest; of rows with equal doc_id one stays. Rows without doc_id stay."""
+    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.where("doc_id is not null")
+    rank = F.row_number().over(Window.partitionBy("_kept").orderBy("_order"))
+    one = (
+        named.withColumn("_order", F.xxhash64("text"))
+        .join(kept, F.col("doc_id") == F.col("_kept"))
+        .withColumn("_rank", rank).where("_rank = 1").select(*docs.columns)
+    )
+    return one.unionByName(docs.where("doc_id is null"))
