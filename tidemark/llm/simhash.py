@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import ascii_words, materialize
+from .common import ascii_words, materialize, shuffle_partitions
 from .components import connected_components
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
@@ -111,7 +111,8 @@ def near_fingerprints(distinct: DataFrame) -> DataFrame:
 
     keys = F.array(*[F.col("fingerprint").bitwiseAND(F.lit(signed(mask(t) & (2**64 - 1)))) for t in LEFT_OUT])
     lists = (
-        distinct.select("fingerprint", F.posexplode(keys).alias("left_out", "shared"))
+        distinct.repartition(shuffle_partitions(distinct.sparkSession), "fingerprint")
+        .select("fingerprint", F.posexplode(keys).alias("left_out", "shared"))
         .groupBy("left_out", "shared")
         .agg(F.collect_list("fingerprint").alias("fingerprints"))  # at most 65,536: two free bytes
         .where(F.size("fingerprints") > 1)
@@ -121,7 +122,8 @@ def near_fingerprints(distinct: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint long, component_id) for each row of ``docs``."""
-    prints = materialize(docs.select("doc_id", fingerprint_udf(F.col("text")).alias("fingerprint")))
+    # rebalanced, so that this narrow table is a few files rather than one for each part of the input
+    prints = materialize(docs.select("doc_id", fingerprint_udf(F.col("text")).alias("fingerprint")).hint("rebalance"))
     distinct = materialize(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
     found = connected_components(near_fingerprints(distinct)).withColumnRenamed("node", "fingerprint")
     placed = distinct.join(found, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
