@@ -115,7 +115,7 @@ def _fit(counted: pd.DataFrame) -> pd.DataFrame:
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
     """(doc_id, source, text_hash, size, source_size, target, copies) for each row: how often the mix repeats it."""
     sized = materialize(
-        docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), size_udf(F.col("text")).alias("size"))
+        docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), size_udf(F.col("text")).alias("size")).hint("rebalance")
     )
     counted = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
     totals = {r["source"]: int(r["words"]) for r in counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")).collect()}
