@@ -69,7 +69,9 @@ def keep_bitmaps(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS, min_do
         .where(F.col("n") >= min_documents)
         .select("h1", "h2", "last")
     )
-    dropped = ranged.join(common, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("last")))
+    # joined by range, so that the occurrences of a very common line stay dealt over its salts
+    marked = per_range.select("h1", "h2", "salt").join(common, ["h1", "h2"])
+    dropped = ranged.join(marked, ["h1", "h2", "salt"]).where(~F.col("doc_id").eqNullSafe(F.col("last")))
     per_doc = dropped.groupBy("doc_id", "text_hash").agg(
         F.first("n_lines").alias("n_lines"), F.sort_array(F.collect_set("pos")).alias("at")
     )
