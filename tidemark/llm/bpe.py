@@ -30,7 +30,7 @@ PIECE = 1 << 16
 #: Tokens on each side of a join in the first window.
 WINDOW = 8
 #: Texts encoded and decoded at once, in bytes.
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
 #: A good place to halve: before the space of a following word.
 WORD_END = re.compile(r"[A-Za-z0-9](?= [A-Za-z])")
 
