@@ -57,6 +57,7 @@ class CoverTree:
         owner = np.zeros(n, dtype=np.int64)
         centres = np.zeros(1, dtype=np.int64)
         self.levels = [(centres, np.array([d[0].max()]), np.zeros(1, dtype=np.int64))]
+        self.owners = [owner]  # node of each point, by level
         radius = float(d[0].max()) / 2
         while len(centres) < n and radius * 2 > least:
             new_owner = np.empty(n, dtype=np.int64)
@@ -87,6 +88,7 @@ class CoverTree:
             reach = np.zeros(len(centres))
             np.maximum.at(reach, owner, d[centres[owner], np.arange(n)])
             self.levels.append((centres, reach, np.array(parents)))
+            self.owners.append(owner)
             radius /= 2
         order = np.argsort(owner, kind="stable")
         self.members = np.split(order, np.searchsorted(owner[order], np.arange(1, len(centres))))
@@ -130,8 +132,28 @@ def dual_links(a: np.ndarray, b: np.ndarray | None, b_weights: np.ndarray, a_wei
     for level in range(depth + 1):
         la, lb = min(level, len(ta.levels) - 1), min(level, len(tb.levels) - 1)
         (ca, ra, _), (cb, rb, _) = ta.levels[la], tb.levels[lb]
-        keep = d[ca[i], cb[j]] - ra[i] - rb[j] <= limit + EPS
-        i, j = i[keep], j[keep]
+        apart = d[ca[i], cb[j]]
+        keep = apart - ra[i] - rb[j] <= limit + EPS
+        i, j, apart = i[keep], j[keep], apart[keep]
+        # node pairs that are near as a whole: each member of one links with all of the other
+        whole = apart + ra[i] + rb[j] <= limit - EPS
+        x, y = i[whole], j[whole]
+        i, j = i[~whole], j[~whole]
+        if len(x):
+            oa, ob = ta.owners[la], tb.owners[lb]
+            links_a += np.bincount(x, np.bincount(ob, b_weights, len(cb))[y], len(ca)).astype(np.int64)[oa]
+            first_y, first_x = np.full(len(ca), -1), np.full(len(cb), -1)
+            first_y[x], first_x[y] = cb[y], ca[x]
+            mine = np.flatnonzero(first_y[oa] >= 0)
+            joined.append(np.stack([mine, first_y[oa[mine]] + shift], axis=1))
+            theirs = np.flatnonzero(first_x[ob] >= 0)
+            joined.append(np.stack([first_x[ob[theirs]], theirs + shift], axis=1))
+            joined.append(np.stack([ca[x], cb[y] + shift], axis=1))
+            if within:  # no point links with itself
+                own = np.isin(oa, x[x == y])
+                links_a[own] -= b_weights[own]
+            else:
+                links_b += np.bincount(y, np.bincount(oa, a_weights, len(ca))[x], len(cb)).astype(np.int64)[ob]
         if level == depth or not len(i):
             break
         both = []
@@ -144,17 +166,13 @@ def dual_links(a: np.ndarray, b: np.ndarray | None, b_weights: np.ndarray, a_wei
             near = d[xa[x], yb[y]] - xr[x] - yr[y] <= limit + EPS
             both.append((x[near], y[near]))
         i, j = (np.concatenate(z) for z in zip(*both, strict=True))
-    (ca, ra, _), (cb, rb, _) = ta.levels[-1], tb.levels[-1]
     for x, y in zip(i.tolist(), j.tolist(), strict=True):
         ma, mb = ta.members[x], tb.members[y]
-        if d[ca[x], cb[y]] + ra[x] + rb[y] <= limit - EPS:
-            hit = np.ones((len(ma), len(mb)), dtype=bool)
-        else:
-            own = d[np.ix_(ma, mb)]
-            hit = own <= limit - EPS
-            for p, q in zip(*np.nonzero((own <= limit + EPS) & ~hit), strict=True):
-                v, w = a[ma[p]], raw_b[mb[q]]
-                hit[p, q] = v @ w / (math.sqrt(v @ v) * math.sqrt(w @ w)) >= cosine
+        own = d[np.ix_(ma, mb)]
+        hit = own <= limit - EPS
+        for p, q in zip(*np.nonzero((own <= limit + EPS) & ~hit), strict=True):
+            v, w = a[ma[p]], raw_b[mb[q]]
+            hit[p, q] = v @ w / (math.sqrt(v @ v) * math.sqrt(w @ w)) >= cosine
         if within:
             hit &= ma[:, None] != mb[None, :]
         if hit.any():
