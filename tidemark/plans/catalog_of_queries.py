@@ -1,4 +1,6 @@
-"""Named queries over the test tables, with the SQL that they must agree with."""
+"""All named queries over the test tables, with the SQL that they must agree with."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import pit_queries, table_queries
+
+QUERIES: dict = pit_queries.QUERIES | table_queries.QUERIES
+ORACLE_SQL: dict = pit_queries.ORACLE_SQL | table_queries.ORACLE_SQL
