@@ -60,7 +60,7 @@ def prior_last_k(rows: DataFrame, key: str, at: str, event: str, value: Column,
         lower, (F.col(key) == F.col("_k2")) & (F.col("_from") == F.col("_i2")), "left"
     )
     total = F.when(F.col("_n").isNotNull(), F.coalesce("_s1", F.lit(0.0)) - F.coalesce("_s2", F.lit(0.0)))
-    return joined.select(*rows.columns, total.alias(f"{name}_sum"), F.least("_n", F.lit(float(k))).alias(f"{name}_n"))
+    return joined.select(*rows.columns, total.alias(f"{name}_sum"), F.when(F.col("_n").isNotNull(), F.least("_n", F.lit(float(k)))).alias(f"{name}_n"))
 
 
 def shrunk(count: Column, n: Column, prior_rate: Column, strength: float) -> Column:
