@@ -183,7 +183,7 @@ def encode_decode(docs: DataFrame, path: str | None = None, piece: int = PIECE)
         for frame in frames:
             for doc, text in zip(frame["doc_id"], frame["text"], strict=True):
                 parts = halves(text, piece)
-                yield pd.DataFrame({"row": f"{task}-{seen}", "doc_id": pd.array([doc] * len(parts), "Int64"), "place": range(len(parts)), "part": parts})
+                yield pd.DataFrame({"row": f"{task}-{seen}", "doc_id": [doc] * len(parts), "place": range(len(parts)), "part": parts})
                 seen += 1
 
     def encode(frames):
@@ -198,10 +198,12 @@ def encode_decode(docs: DataFrame, path: str | None = None, piece: int = PIECE)
     short = base.where(F.length("text") <= piece).mapInArrow(whole, SCHEMA)
     long_ = (
         base.where(F.length("text") > piece)
-        .mapInPandas(cut, "row string, doc_id long, place int, part string")
+        .withColumn("doc_id", F.col("doc_id").cast("string"))  # pandas has no integers with nulls
+        .mapInPandas(cut, "row string, doc_id string, place int, part string")
         .repartition("row", "place")
-        .mapInPandas(encode, "row string, doc_id long, place int, ids array<int>")
+        .mapInPandas(encode, "row string, doc_id string, place int, ids array<int>")
         .groupBy("row")
-        .applyInPandas(concatenate, SCHEMA)
+        .applyInPandas(concatenate, SCHEMA.replace("doc_id long", "doc_id string"))
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
     )
     return short.unionByName(long_)

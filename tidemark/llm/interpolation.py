@@ -38,7 +38,7 @@ BUCKETS = 64
 STEPS = 3
 ROUNDS = 60
 
-STATE = "chunk long, doc_ids array<long>, held binary, lengths binary, codes binary, hashes binary"
+STATE = "chunk long, doc_ids array<string>, held binary, lengths binary, codes binary, hashes binary"
 ASKED = "part int, chunk long, kind int, keys binary, counts binary"
 ANSWER = "kind int, chunk long, part int, totals binary, n_train long, v_train long"
 
@@ -47,18 +47,20 @@ def pack(values: np.ndarray) -> bytes:
     """Unsigned integers in the fewest bytes, plane by plane, compressed."""
     top = int(values.max()) if len(values) else 0
     kind = next(t for t in ("<u1", "<u2", "<u4", "<u8") if top <= np.iinfo(t).max)
-    planes = values.astype(kind).view(np.uint8).reshape(len(values), -1).T
+    planes = values.astype(kind).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize).T
     return kind[1:].encode() + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
     kind = "<" + data[:2].decode()
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[2:]), np.uint8)
+    if not len(planes):
+        return np.zeros(0, dtype=kind)
     return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-def held_out(doc_id) -> bool:
-    return zlib.crc32(b"" if doc_id is None or pd.isna(doc_id) else str(int(doc_id)).encode()) % FOLDS == 0
+def held_out(doc_id: str | None) -> bool:
+    return zlib.crc32((doc_id or "").encode()) % FOLDS == 0
 
 
 class _Chunk:
@@ -75,7 +77,7 @@ class _Chunk:
         self.codes.append(np.array(codes, dtype=np.uint32))
         self.lengths.append(len(codes))
         self.held.append(held_out(doc_id))
-        self.ids.append(None if pd.isna(doc_id) else int(doc_id))
+        self.ids.append(doc_id)
         self.size += len(codes)
 
     def frame(self, chunk: int) -> pd.DataFrame:
@@ -226,7 +228,7 @@ def _score(view: _View, doc_ids, words, pairs, n_train: int, v_train: int, mixtu
     starts = np.concatenate([[0], np.cumsum(view.lengths)[:-1]])
     add = np.add.reduceat
     return pd.DataFrame(
-        {"doc_id": pd.array(list(doc_ids), "Int64"), "held_out": view.held, "n_tokens": view.lengths, "n_known": add((words > 0)[view.codes].astype(np.int64), starts), "train_tokens": n_train, "base_score": add(base, starts), "score": add(per_token, starts)}
+        {"doc_id": list(doc_ids), "held_out": view.held, "n_tokens": view.lengths, "n_known": add((words > 0)[view.codes].astype(np.int64), starts), "train_tokens": n_train, "base_score": add(base, starts), "score": add(per_token, starts)}
     )
 
 
@@ -234,7 +236,7 @@ def score_documents(docs: DataFrame, chunk_tokens: int = CHUNK) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``."""
     spark = docs.sparkSession
     parts = max(64, 2 * shuffle_partitions(spark))
-    state = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(lambda f: _encode(f, chunk_tokens), STATE))
+    state = materialize(docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text").mapInPandas(lambda f: _encode(f, chunk_tokens), STATE))
     answers = materialize(state.mapInPandas(lambda f: _ask(f, parts), ASKED).groupBy("part").applyInPandas(_total, ANSWER))
     sums = answers.where("kind = 0").agg(F.sum("n_train").alias("n"), F.sum("v_train").alias("v")).first()
     n_train, v_train = int(sums["n"] or 0), int(sums["v"] or 0)
@@ -259,5 +261,6 @@ def score_documents(docs: DataFrame, chunk_tokens: int = CHUNK) -> DataFrame:
 
     return (
         state.groupBy("chunk").cogroup(by_chunk)
-        .applyInPandas(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        .applyInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
     )

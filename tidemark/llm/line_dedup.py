@@ -100,21 +100,21 @@ def keep_bitmaps(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS, min_do
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``docs`` with text replaced by its kept lines, plus n_lines and n_dropped (long). Other columns stay."""
     hit = bitmaps.select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("n_dropped").alias("_dropped"), F.col("runs").alias("_runs")
+        F.col("doc_id").alias("_tm_doc"), F.col("text_hash").alias("_tm_hash"), F.col("n_dropped").alias("_tm_dropped"), F.col("runs").alias("_tm_runs")
     )
-    joined = docs.join(hit, docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_hash")), "left")
+    joined = docs.join(hit, docs["doc_id"].eqNullSafe(F.col("_tm_doc")) & (F.xxhash64(docs["text"]) == F.col("_tm_hash")), "left")
     lines = _lines(F.col("text"))
-    flags = F.flatten(F.transform("_runs", lambda n, i: F.array_repeat(i % 2 == 0, n)))
+    flags = F.flatten(F.transform("_tm_runs", lambda n, i: F.array_repeat(i % 2 == 0, n)))
     kept = F.transform(
         F.filter(F.arrays_zip(lines.alias("l"), flags.alias("f")), lambda z: z["f"]), lambda z: z["l"]
     )
     return joined.select(
-        *[F.when(F.col("_runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else docs[c] for c in docs.columns],
-        F.size(lines).cast("long").alias("_n_lines"),
-        F.coalesce("_dropped", F.lit(0)).cast("long").alias("_n_dropped"),
+        *[F.when(F.col("_tm_runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else docs[c] for c in docs.columns],
+        F.size(lines).cast("long").alias("_tm_n_lines"),
+        F.coalesce("_tm_dropped", F.lit(0)).cast("long").alias("_tm_n_dropped"),
     )
 
 
 def drop_common_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the same columns, common lines left out of every document but the largest that holds them."""
-    return apply_bitmaps(docs, keep_bitmaps(docs)).drop("_n_lines", "_n_dropped")
+    return apply_bitmaps(docs, keep_bitmaps(docs)).drop("_tm_n_lines", "_tm_n_dropped")

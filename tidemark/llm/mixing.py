@@ -158,14 +158,14 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with the same columns, each row as often as the mix takes it."""
     taken = (
         mix(docs, **how)
-        .groupBy(F.col("doc_id").alias("_doc"))
-        .agg(F.sort_array(F.collect_list(F.struct("text_hash", "source", "copies"))).alias("_copies"))
+        .groupBy(F.col("doc_id").alias("_tm_doc"))
+        .agg(F.sort_array(F.collect_list(F.struct("text_hash", "source", "copies"))).alias("_tm_copies"))
     )
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("_doc")))
-    place = F.row_number().over(Window.partitionBy("_doc").orderBy(F.xxhash64("text"), "source"))
+    joined = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("_tm_doc")))
+    place = F.row_number().over(Window.partitionBy("_tm_doc").orderBy(F.xxhash64("text"), "source"))
     return (
-        joined.withColumn("_n", F.element_at("_copies", place)["copies"])
-        .where("_n > 0")
-        .withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+        joined.withColumn("_tm_n", F.element_at("_tm_copies", place)["copies"])
+        .where("_tm_n > 0")
+        .withColumn("_tm_again", F.explode(F.sequence(F.lit(1), F.col("_tm_n"))))
         .select(*[docs[c] for c in docs.columns])
     )

@@ -25,7 +25,7 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    graded = toxicity.grade(docs, toxicity.fit_model(docs, labels))
+    graded = toxicity.grade(docs.select("doc_id", "text"), toxicity.fit_model(docs, labels))
     return graded.select("doc_id", "expected_severity", "p_toxic", (F.col("p_toxic") > toxicity.DECISION).alias("toxic"))
 
 
@@ -91,7 +91,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
     return kept.select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+        "doc_id", F.col("_tm_n_lines").alias("n_lines"), F.col("_tm_n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
 
 

@@ -139,12 +139,12 @@ def hex_digits(fingerprint):
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is its component's smallest; of rows with equal doc_id one stays. Rows without doc_id stay."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_tm_kept")).distinct()
     named = docs.where("doc_id is not null")
-    rank = F.row_number().over(Window.partitionBy("_kept").orderBy("_order"))
+    rank = F.row_number().over(Window.partitionBy("_tm_kept").orderBy("_tm_order"))
     one = (
-        named.withColumn("_order", F.xxhash64("text"))
-        .join(kept, F.col("doc_id") == F.col("_kept"))
-        .withColumn("_rank", rank).where("_rank = 1").select(*docs.columns)
+        named.withColumn("_tm_order", F.xxhash64("text"))
+        .join(kept, F.col("doc_id") == F.col("_tm_kept"))
+        .withColumn("_tm_rank", rank).where("_tm_rank = 1").select(*docs.columns)
     )
     return one.unionByName(docs.where("doc_id is null"))

@@ -156,20 +156,25 @@ def fit_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model
     return fit(list(rows["text"]), rows["toxic"].to_numpy() == 1)
 
 
-def grade(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with expected_severity (0 to the highest grade) and p_toxic, the chance of grade 1 or more."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES words
+def _judged(docs: DataFrame, model: Model) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES words and stems
 
     @F.pandas_udf("struct<severity double, p_toxic double>")
     def judge(text: pd.Series) -> pd.DataFrame:
         p = shared.value.at_least(text)
         return pd.DataFrame({"severity": p.sum(axis=1), "p_toxic": p[:, 0]})
 
-    judged = docs.withColumn("_judged", judge(F.col("text")))
-    return judged.select(*docs.columns, F.col("_judged.severity").alias("expected_severity"), F.col("_judged.p_toxic").alias("p_toxic"))
+    return docs.withColumn("_tm_judged", judge(F.col("text")))
+
+
+def grade(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with expected_severity (0 to the highest grade) and p_toxic, the chance of grade 1 or more; they replace
+    columns of these names."""
+    others = [c for c in docs.columns if c not in ("expected_severity", "p_toxic")]
+    return _judged(docs, model).select(*others, F.col("_tm_judged.severity").alias("expected_severity"), F.col("_tm_judged.p_toxic").alias("p_toxic"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, decision: float = DECISION) -> DataFrame:
     """``docs``, same columns, without the rows whose chance of grade 1 or more exceeds ``decision``."""
-    graded = grade(docs, fit_model(docs, labels))
-    return graded.where(F.col("p_toxic") <= decision).select(*docs.columns)
+    judged = _judged(docs, fit_model(docs, labels))
+    return judged.where(F.col("_tm_judged.p_toxic") <= decision).select(*docs.columns)
