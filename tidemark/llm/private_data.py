@@ -95,8 +95,10 @@ SPELLED_RUN = re.compile(rf"(?i)(?<![^\W_])(?:plus[ -]+)?(?:{WORDS}|[0-9])(?:[ -
 SPELLED_HINT = re.compile(rf"(?i)(?:{WORDS})[ -]+(?:{WORDS}|[0-9])")
 OPEN, CLOSE = r"\s{0,3}[\[({<]\s{0,3}", r"\s{0,3}[\])}>]\s{0,3}"
 BRACKETED = re.compile(rf"(?i){OPEN}(at|dot|@|\.){CLOSE}")
-#: Bare words only as a whole address: name at host dot domain (dot domain ...).
-BARE = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}( at )[A-Za-z0-9-]{1,63}(?: dot [A-Za-z0-9-]{1,63}){1,6}")
+# Last parts of addresses that are written with bare words.
+ENDINGS = "com|org|net|edu|gov|io|info|biz|example|test|uk|de|fr|es|it|nl|eu|us|ca|au|in"
+#: Bare words only as a whole address: name at host dot domain (dot domain ...) with a known ending.
+BARE = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}( at )[A-Za-z0-9-]{{1,63}}(?: dot [A-Za-z0-9-]{{1,63}}){{0,5}} dot (?:{ENDINGS})(?![A-Za-z0-9-])")
 BARE_WORD = re.compile(r"(?i) (at|dot) ")
 
 
