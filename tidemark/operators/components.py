@@ -8,23 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def min_label_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """(u, v) pairs -> (node, component): the smallest node reachable. Each round also follows the labels' own labels,
-    and is cut from its lineage in the folder of spark.checkpoint.dir."""
-    sc = edges.sparkSession.sparkContext
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the folder of spark.checkpoint.dir; a local run without one gets a temporary folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        named = edges.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if named is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-components-"))
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
+    return df.checkpoint()
+
+
+def min_label_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+    """(u, v) pairs -> (node, component): the smallest node reachable. Each round also follows the labels' own labels."""
     one = edges.where("u is not null and v is not null").select("u", "v").distinct()
-    both = one.unionAll(one.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().checkpoint()
-    labels = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("l")).checkpoint()
+    both = cut_lineage(one.unionAll(one.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    labels = cut_lineage(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("l")))
     for _ in range(max_rounds):
         near = both.join(labels.select(F.col("u").alias("v"), "l"), "v").groupBy("u").agg(F.min("l").alias("n"))
         down = labels.join(near, "u").select("u", "l", F.least("l", "n").alias("n"))
         jump = labels.select(F.col("u").alias("n"), F.col("l").alias("j"))
-        new = down.join(jump, "n", "left").select("u", "l", F.least("n", F.coalesce("j", "n")).alias("m")).checkpoint()
+        new = cut_lineage(down.join(jump, "n", "left").select("u", "l", F.least("n", F.coalesce("j", "n")).alias("m")))
         if not new.where("m <> l").limit(1).count():
             return labels.select(F.col("u").alias("node"), F.col("l").alias("component"))
         labels = new.select("u", F.col("m").alias("l"))

@@ -1,0 +1,265 @@
+"""Further history, label, sampling and report queries, with their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import text
+from ..operators import history, metrics, pit, profile
+from ..sources.entities import DAY, FILES_SQL, PR_SQL, PREDICTION_SQL, TIMELINE_SQL, file_changes, predictions, pull_requests, table, timeline
+
+QUERIES, ORACLE_SQL = {}, {}
+
+
+def query(sql: str):
+    def add(f):
+        QUERIES[f.__name__] = f
+        ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+@query(f"""with {PR_SQL}, r as (select p.pr_number, q.t_close - q.t_open as d, row_number() over (partition by p.pr_number order by q.t_close desc, q.pr_number desc) as i
+  from pr p join pr q on p.repo = q.repo and q.t_close < p.t_open)
+select p.pr_number, median(r.d) as median_duration from pr p left join r on p.pr_number = r.pr_number and r.i <= 50 group by p.pr_number""")
+def e9_rolling_median(spark, sf_dir):
+    pr = pull_requests(spark, sf_dir)
+    got = history.last_values(pr, "repo", "t_open", "t_close", (F.col("t_close") - F.col("t_open")).cast("double"), F.col("pr_number"), 50, "d")
+    return got.select("pr_number", history.middle(F.col("d")).alias("median_duration"))
+
+
+@query(f"""with {PR_SQL}, r as (select p.pr_number, q.y, q.t_open, q.pr_number as q, row_number() over (partition by p.pr_number order by q.t_open desc, q.pr_number desc) as i
+  from pr p join pr q on p.author_key = q.author_key and q.t_open < p.t_open)
+select p.pr_number, case when p.author_key is not null then coalesce(string_agg(r.y, ',' order by r.t_open, r.q), '') end as last_5 from pr p left join r on p.pr_number = r.pr_number and r.i <= 5 group by p.pr_number, p.author_key""")
+def e15_author_sequence(spark, sf_dir):
+    got = history.last_values(pull_requests(spark, sf_dir), "author_key", "t_open", "t_open", F.col("y"), F.col("pr_number"), 5, "s")
+    return got.select("pr_number", F.array_join("s", ",").alias("last_5"))
+
+
+@query(f"""with {PR_SQL}, o as (select avg(case when y = 'clean' then 1.0 else 0 end) as m from pr)
+select p.pr_number, round((count(q.pr_number) filter (where q.y = 'clean') + 20 * any_value(o.m)) / (count(q.pr_number) + 20.0), 9) as clean_mix
+from pr p cross join o left join pr q on p.repo = q.repo and q.t_close < p.t_open group by p.pr_number""")
+def e13_shrunk_outcome_mix(spark, sf_dir):
+    pr = pull_requests(spark, sf_dir)
+    overall = pr.agg(F.avg((F.col("y") == "clean").cast("double")).alias("m"))
+    got = pit.prior(pr, ["repo"], "t_open", "t_close", {"n": (F.lit(1), None), "c": ((F.col("y") == "clean").cast("int"), None)})
+    return got.crossJoin(F.broadcast(overall)).select("pr_number", F.round(pit.shrunk(F.col("c"), F.col("n"), F.col("m"), 20.0), 9).alias("clean_mix"))  # one row
+
+
+@query(f"""with {TIMELINE_SQL}, g as (select pr, t, t - lag(t) over (partition by pr order by t) as gap from tl where kind = 'signup'),
+m as (select pr, median(gap) as m, count(*) as n from g group by pr having count(*) >= 3)
+select e.pr, e.t, round((e.t - max(s.t)) / any_value(m.m), 6) as position from tl e join m on e.pr = m.pr left join tl s on s.pr = e.pr and s.kind = 'signup' and s.t <= e.t
+where e.kind = 'error' group by e.pr, e.t""")
+def e21_cycle_position(spark, sf_dir):
+    tl = timeline(spark, sf_dir)
+    tags = tl.where("kind = 'signup'").withColumn("gap", F.col("t") - F.lag("t").over(Window.partitionBy("pr").orderBy("t")))
+    usual = tags.groupBy("pr").agg(F.median("gap").alias("m"), F.count("*").alias("n")).where("n >= 3")
+    got = pit.as_of(tl.where("kind = 'error'").select("pr", "t"), tags.withColumn("at", F.col("t")), ["pr"], "t", "at", "t", "tag")
+    return got.join(usual, "pr").select("pr", "t", F.round((F.col("t") - F.col("tag")) / F.col("m"), 6).alias("position"))
+
+
+@query(f"""with {FILES_SQL}, c as (select path_id, cast(sum(added + deleted) as bigint) as churn from fc group by 1)
+select path_id, churn, cast(row_number() over (order by churn desc, path_id) as integer) as rank from c order by churn desc, path_id limit 20""")
+def e22_hotspots(spark, sf_dir):
+    top = file_changes(spark, sf_dir).groupBy("path_id").agg(F.sum(F.col("added") + F.col("deleted")).alias("churn")).orderBy(F.desc("churn"), "path_id").limit(20)
+    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("churn"), "path_id")))  # of twenty rows
+
+
+@query(f"""with {TIMELINE_SQL}, b as (select pr, cast(t // 86400 * 86400 as bigint) as block, count(*) as n from tl group by 1, 2), s as (select pr, min(block) as a, max(block) as b from b group by 1),
+g as (select pr, unnest(generate_series(a, b, 86400)) as block from s) select g.pr, g.block, coalesce(b.n, 0) as n from g left join b on g.pr = b.pr and g.block = b.block""")
+def e37_activity_blocks(spark, sf_dir):
+    return history.activity(timeline(spark, sf_dir), "pr", "t", DAY)
+
+
+@query(f"""with {TIMELINE_SQL}, s as (select *, kind in ('signup', 'view') as o from tl where kind in ('signup', 'view', 'purchase')),
+t as (select *, lag(o) over (partition by pr order by t, kind) as was from s), u as (select * from t where o <> coalesce(was, false)),
+v as (select *, lead(t) over (partition by pr order by t, kind) as e from u) select pr, t as start, e as "end" from v where o""")
+def k1_open_segments(spark, sf_dir):
+    return history.open_segments(timeline(spark, sf_dir), "pr", "t", ["signup", "view"], ["purchase"])
+
+
+@query(f"""with {PR_SQL} select p.pr_number from pr p where p.t_close is null and p.t_open < 900000000 and not exists (select 1 from lineitem l where l.l_orderkey = p.pr_number and l.l_returnflag = 'R')""")
+def b25_stale_open(spark, sf_dir):
+    answered = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("pr_number"))
+    return pull_requests(spark, sf_dir).where("t_close is null and t_open < 900000000").join(answered, "pr_number", "left_anti").select("pr_number")
+
+
+@query(f"""with {PR_SQL} select pr_number, not is_bot or ('0x' || substr(sha256('scope:' || pr_number), 1, 8))::bigint / 4294967295.0 < 0.3 as is_training from pr""")
+def b18_training_scope(spark, sf_dir):
+    return pull_requests(spark, sf_dir).select("pr_number", (~F.col("is_bot") | (profile.hash_share("scope", F.col("pr_number")) < 0.3)).alias("is_training"))
+
+
+@query("""select conv_id, turn, case when regexp_matches(text, '(?i)\\b(error|fatal|exception|traceback)\\b') then 'error' when regexp_matches(text, '(?i)\\bwarn(ing)?\\b') then 'warn'
+  when regexp_matches(text, '(?i)\\binfo\\b') then 'info' when regexp_matches(text, '(?i)\\bdebug\\b') then 'debug' end as level from conversations""")
+def b19_log_levels(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.log_level(F.col("text")).alias("level"))
+
+
+@query(f"""with {PR_SQL}, u as (select 'author_key' as name, cast(author_key as varchar) as value from pr union all select 'label_bad', cast(label_bad as varchar) from pr union all select 'y', y from pr union all select 'const', 'x' from pr)
+select name, case when count(value) < 0.05 * count(*) then 'empty' when count(distinct value) <= 1 then 'constant' else 'kept' end as verdict from u group by name""")
+def b21_column_screening(spark, sf_dir):
+    pr = pull_requests(spark, sf_dir).withColumn("const", F.lit("x"))
+    got = profile.schema_profile(pr, ["author_key", "label_bad", "y", "const"])
+    return got.select("name", F.when(F.col("n") - F.col("n_null") < 0.05 * F.col("n"), "empty").when(F.col("n_distinct") <= 1, "constant").otherwise("kept").alias("verdict"))
+
+
+@query(f"""with {PR_SQL} select pr_number, case when priority in ('1-URGENT', '2-HIGH') then priority end as priority from pr""")
+def b22_enum_values(spark, sf_dir):
+    return pull_requests(spark, sf_dir).select("pr_number", F.when(F.col("priority").isin("1-URGENT", "2-HIGH"), F.col("priority")).alias("priority"))
+
+
+@query(f"""with {PR_SQL}, {FILES_SQL} select p.pr_number, min(q.t_open) - p.t_close as delay from pr p join fc f on f.pr_number = p.pr_number join fc g on g.path_id = f.path_id and g.pr_number <> f.pr_number
+join pr q on q.pr_number = g.pr_number and q.repo = p.repo and q.priority = '1-URGENT' and q.t_open > p.t_close and q.t_open <= p.t_close + 90 * 86400 group by p.pr_number, p.t_close""")
+def c16_hotfix_delay(spark, sf_dir):
+    pr, fc = pull_requests(spark, sf_dir), file_changes(spark, sf_dir).select("pr_number", "path_id")
+    left = pr.where("t_close is not null").join(fc, "pr_number").select("repo", "path_id", "pr_number", "t_close")
+    right = pr.where("priority = '1-URGENT'").join(fc, "pr_number").select("repo", "path_id", F.col("pr_number").alias("fix"), F.col("t_open").alias("fixed"))
+    met = left.join(right, ["repo", "path_id"]).where((F.col("fix") != F.col("pr_number")) & (F.col("fixed") > F.col("t_close")) & (F.col("fixed") <= F.col("t_close") + 90 * DAY))
+    return met.groupBy("pr_number").agg(F.min(F.col("fixed") - F.col("t_close")).alias("delay"))
+
+
+@query("""with recursive e as (select s_suppkey as u, s_suppkey // 2 as v from supplier), r as (select s_suppkey as node from supplier where s_suppkey % 7 = 0 union select e.v from r join e on r.node = e.u) select node from r""")
+def c21_reachable(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("u"))
+    return history.reachable(s.withColumn("v", F.floor(F.col("u") / 2)), s.where("u % 7 = 0").select(F.col("u").alias("node")))
+
+
+@query("""with b as (select p_partkey, p_size from part where p_partkey % 10 <> 0), h as (select p_partkey, case when p_partkey % 7 = 0 then p_size + 1 when p_partkey % 7 = 1 then p_size - 1 else p_size end as p_size from part where p_partkey % 9 <> 0)
+select coalesce(b.p_partkey, h.p_partkey) as p_partkey, case when b.p_partkey is null then 'added' when h.p_partkey is null then 'removed' when h.p_size > b.p_size then 'raised' else 'lowered' end as change
+from b full join h on b.p_partkey = h.p_partkey where b.p_size is distinct from h.p_size""")
+def c23_keyed_diff(spark, sf_dir):
+    part, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    head = part.where(k % 9 != 0).withColumn("p_size", F.col("p_size") + F.when(k % 7 == 0, 1).when(k % 7 == 1, -1).otherwise(0))
+    return history.keyed_diff(part.where(k % 10 != 0), head, ["p_partkey"], "p_size")
+
+
+@query(f"""with {PR_SQL} select repo, count(*) as n, round(avg(cast(cast(label_bad as integer) as double)), 9) as bad_rate, round(count(label_bad) / cast(count(*) as double), 9) as observed_share from pr group by repo""")
+def d10_label_check(spark, sf_dir):
+    return pull_requests(spark, sf_dir).groupBy("repo").agg(
+        F.count("*").alias("n"), F.round(F.avg(F.col("label_bad").cast("double")), 9).alias("bad_rate"), F.round(F.count("label_bad") / F.count("*"), 9).alias("observed_share")
+    )
+
+
+@query(f"""with {PR_SQL}, {FILES_SQL} select p.repo, round(count(distinct f.pr_number) / cast(count(distinct p.pr_number) as double), 9) as with_files from pr p left join fc f on p.pr_number = f.pr_number group by p.repo""")
+def d12_coverage(spark, sf_dir):
+    has = file_changes(spark, sf_dir).select("pr_number").distinct().withColumn("has", F.lit(1))
+    return pull_requests(spark, sf_dir).join(has, "pr_number", "left").groupBy("repo").agg(F.round(F.count("has") / F.count("*"), 9).alias("with_files"))
+
+
+@query(f"""with {PR_SQL}, s as (select repo, count(la) as n, avg(la) as m, median(la) as median_la, quantile_cont(la, 0.99) as p99, sum(pow(la - 0.0, 3)) as s3, sum(pow(la - 0.0, 2)) as s2, sum(la) as s1 from pr group by repo)
+select repo, n, median_la, round(p99, 6) as p99, round((sqrt(n * (n - 1.0)) / (n - 2)) * ((s3 - 3 * m * s2 + 3 * m * m * s1 - n * m * m * m) / n) / pow((s2 - n * m * m) / n, 1.5), 4) as skew from s""")
+def d15_feature_profile(spark, sf_dir):
+    n = F.count("la").cast("double")
+    return pull_requests(spark, sf_dir).groupBy("repo").agg(
+        F.count("la").alias("n"), F.median("la").alias("median_la"), F.round(F.percentile("la", F.lit(0.99)), 6).alias("p99"), F.round(F.sqrt(n * (n - 1)) / (n - 2) * F.skewness("la"), 4).alias("skew")
+    )
+
+
+@query(f"""with {PR_SQL} select cast(year(to_timestamp(t_open)) * 4 + quarter(to_timestamp(t_open)) - 1 as bigint) as quarter_no, y, count(*) as n from pr group by 1, 2""")
+def d17_quarter_mix(spark, sf_dir):
+    at = F.timestamp_seconds("t_open")
+    return pull_requests(spark, sf_dir).groupBy((F.year(at) * 4 + F.quarter(at) - 1).cast("long").alias("quarter_no"), "y").agg(F.count("*").alias("n"))
+
+
+@query(f"""with {PR_SQL}, n as (select repo, count(*) as n from pr group by repo), w as (select p.pr_number, 1 / sqrt(n.n) as w from pr p join n on p.repo = n.repo) select pr_number, round(w / avg(w) over (), 9) as weight from w""")
+def d20_inverse_sqrt_weights(spark, sf_dir):
+    pr = pull_requests(spark, sf_dir)
+    w = pr.groupBy("repo").agg(F.count("*").alias("n")).withColumn("w", 1 / F.sqrt("n"))
+    mean = w.agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("m"))
+    return pr.join(w, "repo").crossJoin(F.broadcast(mean)).select("pr_number", F.round(F.col("w") / F.col("m"), 9).alias("weight"))  # one row
+
+
+@query(f"""with {PR_SQL} select repo, pr_number as first_pr from (select *, row_number() over (partition by repo order by t_open, pr_number) as r from pr) where r = 1""")
+def d22_first_per_key(spark, sf_dir):
+    return pull_requests(spark, sf_dir).groupBy("repo").agg(F.min(F.struct("t_open", "pr_number"))["pr_number"].alias("first_pr"))
+
+
+@query("""select coalesce(l_returnflag, '(all)') as flag, coalesce(l_linestatus, '(all)') as status, count(*) as n from lineitem group by grouping sets ((l_returnflag), (l_linestatus), (l_returnflag, l_linestatus), ())""")
+def d23_grouping_sets(spark, sf_dir):
+    li, f, s = table(spark, sf_dir, "lineitem"), F.col("l_returnflag"), F.col("l_linestatus")
+    g = li.groupingSets([[f], [s], [f, s], []], f, s).agg(F.count("*").alias("n"))
+    return g.select(F.coalesce(f, F.lit("(all)")).alias("flag"), F.coalesce(s, F.lit("(all)")).alias("status"), "n")
+
+
+@query(f"""with {PREDICTION_SQL}, g as (select *, case when p0 >= p1 and p0 >= p2 then 0 when p1 >= p2 then 1 else 2 end as guess from pred), o as (select avg((y = guess)::int) as m from g)
+select repo, round(avg((y = guess)::int), 9) as accuracy, round(avg((guess = 2 and y <> 2)::int), 9) as false_flags, round(avg((y = guess)::int) - any_value(o.m), 9) as against_all from g, o group by repo""")
+def d35_bias_slices(spark, sf_dir):
+    guess = F.when((F.col("p0") >= F.col("p1")) & (F.col("p0") >= F.col("p2")), 0).when(F.col("p1") >= F.col("p2"), 1).otherwise(2)
+    g = predictions(spark, sf_dir).withColumn("guess", guess).withColumn("hit", (F.col("y") == F.col("guess")).cast("double"))
+    flag = ((F.col("guess") == 2) & (F.col("y") != 2)).cast("double")
+    by = g.groupBy("repo").agg(F.avg("hit").alias("a"), F.avg(flag).alias("f"))
+    return by.crossJoin(F.broadcast(g.agg(F.avg("hit").alias("m")))).select("repo", F.round("a", 9).alias("accuracy"), F.round("f", 9).alias("false_flags"), F.round(F.col("a") - F.col("m"), 9).alias("against_all"))  # one row
+
+
+@query(f"""with {PR_SQL} select y, pr_number from (select *, row_number() over (partition by y order by sha256(cast(pr_number as varchar))) as r from pr) where r <= 25""")
+def f9_stratified_sample(spark, sf_dir):
+    return history.stratified_sample(pull_requests(spark, sf_dir), "y", F.col("pr_number"), 25).select("y", "pr_number")
+
+
+@query("""select sha256(string_agg(n_name, ',' order by n_name)) as split_id from nation""")
+def f12_split_fingerprint(spark, sf_dir):
+    return table(spark, sf_dir, "nation").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("n_name")), ","), 256).alias("split_id"))
+
+
+@query(f"""with {PR_SQL} select pr_number, cast(floor((t_close - t_open) / 86400.0) as bigint) as days, round(ln(1 + la), 9) as log_la, case when la + ld > 0 then round(ld / cast(la + ld as double), 9) end as delete_share,
+  case when priority is not null then cast((priority = '1-URGENT')::int as double) end as is_urgent from pr""")
+def h6_h13_h15_columns(spark, sf_dir):
+    la, ld = F.col("la"), F.col("ld")
+    return pull_requests(spark, sf_dir).select(
+        "pr_number", F.floor((F.col("t_close") - F.col("t_open")) / 86400).alias("days"), F.round(F.log1p("la"), 9).alias("log_la"),
+        F.when(la + ld > 0, F.round(ld / (la + ld), 9)).alias("delete_share"), (F.col("priority") == "1-URGENT").cast("double").alias("is_urgent"),
+    )
+
+
+@query(r"""select conv_id, turn, md5(regexp_replace(text, '\bgh[pousr]_[A-Za-z0-9]{20,}\b', '[token]', 'g')) as redacted from conversations where not regexp_matches(text, '(?i)\b(password|passwd|secret|token)\s*[:=]|AKIA|PRIVATE KEY')""")
+def h19_redaction(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").where(~F.col("text").rlike(r"(?i)\b(password|passwd|secret|token)\s*[:=]|AKIA|PRIVATE KEY"))
+    return c.select("conv_id", "turn", F.md5(text.redact(F.col("text"))).alias("redacted"))
+
+
+@query(f"""with {PR_SQL}, d as (select y, t_close - t_open as d from pr where t_close is not null), a as (select unnest([1, 7, 14, 30, 60, 90]) as day)
+select y, cast(day * 86400 as bigint) as age, round(greatest(count(*) filter (where d > day * 86400), 0.5) / cast(count(*) as double), 9) as alive from d, a group by 1, 2""")
+def j10_survival(spark, sf_dir):
+    d = pull_requests(spark, sf_dir).where("t_close is not null").withColumn("d", F.col("t_close") - F.col("t_open"))
+    return history.survival(d, "y", "d", [k * DAY for k in (1, 7, 14, 30, 60, 90)]).withColumn("alive", F.round("alive", 9))
+
+
+@query(f"""with {PREDICTION_SQL}, u as (select 'la' as name, cast(la as double) as x, y = 0 as hit from pred union all select 'ld', ld, y = 0 from pred union all select 'p0', p0, y = 0 from pred),
+r as (select name, hit, rank() over (partition by name order by x) + (count(*) over (partition by name, x) - 1) / 2.0 as a from u)
+select name, round((sum(a) filter (where hit) - count(*) filter (where hit) * (count(*) filter (where hit) + 1) / 2.0) / (count(*) filter (where hit) * cast(count(*) filter (where not hit) as double)), 9) as auroc from r group by name""")
+def j14_leak_probe(spark, sf_dir):
+    u = profile.unpivot(predictions(spark, sf_dir).withColumn("hit", F.col("y") == 0), ["hit"], ["la", "ld", "p0"]).withColumn("x", F.col("value").cast("double"))
+    return metrics.auroc(u, "x", F.col("hit"), "name").withColumn("auroc", F.round("auroc", 9))
+
+
+@query(f"""with {PR_SQL}, r as (select repo, rank() over (order by la) + (count(*) over (partition by la) - 1) / 2.0 as r from pr), g as (select repo, count(*) as n, avg(r) as m from r group by 1), t as (select avg(r) as m, var_pop(r) as v, count(*) as n from r)
+select round(sum(g.n * pow(g.m - t.m, 2)) / any_value(t.n * t.v), 9) as between_share from g, t""")
+def j16_between_group_variance(spark, sf_dir):
+    # ranks of the whole table from counts by value: a window over the distinct values, not over the rows
+    pr = pull_requests(spark, sf_dir)
+    values = pr.groupBy("la").agg(F.count("*").alias("c"))
+    before = F.coalesce(F.sum("c").over(Window.orderBy("la").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    r = pr.join(values.withColumn("r", before + 1 + (F.col("c") - 1) / 2.0), "la")
+    total = r.agg(F.avg("r").alias("m"), F.var_pop("r").alias("v"), F.count("*").alias("n"))
+    g = r.groupBy("repo").agg(F.count("*").alias("gn"), F.avg("r").alias("gm")).crossJoin(F.broadcast(total))  # one row
+    return g.agg(F.round(F.sum(F.col("gn") * F.pow(F.col("gm") - F.col("m"), F.lit(2))) / F.first(F.col("n") * F.col("v")), 9).alias("between_share"))
+
+
+@query(f"""with {PREDICTION_SQL}, b as (select least(cast(floor(p0 * 10) as integer), 9) as bin, p0, (y = 0)::int as h, 1 + ld % 3 as w from pred) select bin, round(sum(w * p0) / sum(w), 9) as mean_p, round(sum(w * h) / cast(sum(w) as double), 9) as rate from b group by bin""")
+def j23_weighted_calibration(spark, sf_dir):
+    b = predictions(spark, sf_dir).select(F.least(F.floor(F.col("p0") * 10).cast("int"), F.lit(9)).alias("bin"), "p0", (F.col("y") == 0).cast("int").alias("h"), (1 + F.col("ld") % 3).alias("w"))
+    return b.groupBy("bin").agg(F.round(F.sum(F.col("w") * F.col("p0")) / F.sum("w"), 9).alias("mean_p"), F.round(F.sum(F.col("w") * F.col("h")) / F.sum("w"), 9).alias("rate"))
+
+
+@query(f"""with {TIMELINE_SQL} select pr, max(t) as last_t, 1706745600 - max(t) as idle, 1706745600 - max(t) > 1800 as is_silent from tl group by pr""")
+def k15_silence(spark, sf_dir):
+    idle = F.lit(1_706_745_600) - F.max("t")
+    return timeline(spark, sf_dir).groupBy("pr").agg(F.max("t").alias("last_t"), idle.alias("idle"), (idle > 1800).alias("is_silent"))
+
+
+@query("""select event_type, count(*) as n from (select distinct user_id, event_type, ts from (select * from events union all select * from events where user_id % 3 = 0)) group by 1""")
+def k16_redelivery(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    return e.unionAll(e.where("user_id % 3 = 0")).dropDuplicates(["user_id", "event_type", "ts"]).groupBy("event_type").agg(F.count("*").alias("n"))
