@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, UPPER, materialize, shuffle_partitions
+from .common import BLANKS, LOWER, UPPER, materialize
 
 #: Ranges that the occurrences of one line are dealt over.
 SALTS = 64
@@ -51,7 +51,7 @@ def keep_bitmaps(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS, min_do
         "doc_id", "text_hash", "n_lines", "pos",
     )
     ranged = materialize(
-        occurrences.repartitionByRange(shuffle_partitions(docs.sparkSession), "h1", "h2", "salt").sortWithinPartitions(
+        occurrences.repartitionByRange("h1", "h2", "salt").sortWithinPartitions(
             "h1", "h2", "salt", "doc_id", "text_hash", "pos"
         )
     )
