@@ -40,6 +40,7 @@ ROUNDS = 60
 
 STATE = "chunk long, doc_ids array<string>, held binary, lengths binary, codes binary, hashes binary"
 ASKED = "part int, chunk long, kind int, keys binary, counts binary"
+MERGED = f"{STATE}, words binary, pairs binary, n_train long, v_train long"
 ANSWER = "kind int, chunk long, part int, totals binary, n_train long, v_train long"
 
 
@@ -138,13 +139,12 @@ class _View:
         yield 1, self.hashes, self.word_counts
         yield 2, self.pair_keys, self.pair_counts
 
-    def answered(self, answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        """Corpus counts of the words and of the bigrams, from the answers put together in the order of the keys."""
+    def answered(self, row) -> tuple[np.ndarray, np.ndarray]:
+        """Corpus counts of the words and of the bigrams, from the answers in the order of the keys."""
         out = []
-        for kind, keys, _ in self.asked():
-            got = answers[answers["kind"] == kind].sort_values("part")["totals"]
+        for (_, keys, _), data in zip(self.asked(), (row.words, row.pairs), strict=True):
             totals = np.empty(len(keys), dtype=np.int64)
-            totals[np.argsort(keys, kind="stable")] = np.concatenate([unpack(x).astype(np.int64) for x in got])
+            totals[np.argsort(keys, kind="stable")] = unpack(data)
             out.append(totals)
         return out[0], out[1]
 
@@ -179,6 +179,18 @@ def _total(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["kind", "chunk", "part", "totals", "n_train", "v_train"])
 
 
+def _merge(state: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    """A chunk with its answers put together in the order of the keys; the parts' totals, which have no chunk, as a row of sums."""
+    if not len(state):
+        sums = {"chunk": [-1], "n_train": [answers["n_train"].sum()], "v_train": [answers["v_train"].sum()]}
+        return pd.DataFrame(sums).reindex(columns=[c.split()[0] for c in MERGED.split(", ")]).astype(object).where(lambda x: x.notna(), None)
+    put = {}
+    for name, kind in (("words", 1), ("pairs", 2)):
+        got = answers[answers["kind"] == kind].sort_values("part")["totals"]
+        put[name] = [pack(np.concatenate([unpack(x).astype(np.uint64) for x in got]))]
+    return state.assign(**put, n_train=0, v_train=0)
+
+
 def bucket(counts: np.ndarray) -> np.ndarray:
     """0 for a context never seen, else 1 + floor(log2 count)."""
     return np.where(counts > 0, np.frexp(counts.astype(np.float64))[1], 0)
@@ -237,30 +249,31 @@ def score_documents(docs: DataFrame, chunk_tokens: int = CHUNK) -> DataFrame:
     spark = docs.sparkSession
     parts = max(64, 2 * shuffle_partitions(spark))
     state = materialize(docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text").mapInPandas(lambda f: _encode(f, chunk_tokens), STATE))
-    answers = materialize(state.mapInPandas(lambda f: _ask(f, parts), ASKED).groupBy("part").applyInPandas(_total, ANSWER))
-    sums = answers.where("kind = 0").agg(F.sum("n_train").alias("n"), F.sum("v_train").alias("v")).first()
+    answers = state.mapInPandas(lambda f: _ask(f, parts), ASKED).groupBy("part").applyInPandas(_total, ANSWER)
+    # state and answers meet once; learning and scoring then read the merged chunks without another exchange
+    merged = materialize(state.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_merge, MERGED))
+    sums = merged.where("chunk < 0").agg(F.sum("n_train").alias("n"), F.sum("v_train").alias("v")).first()
     n_train, v_train = int(sums["n"] or 0), int(sums["v"] or 0)
-    by_chunk = answers.where("kind > 0").select("kind", "chunk", "part", "totals").groupBy("chunk")
+    chunks = merged.where("chunk >= 0")
 
-    def gather(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        view = _View(next(left.itertuples()))
-        return deleted_counts(view, *view.answered(right), n_train)
+    def gather(frames):
+        for frame in frames:
+            for row in frame.itertuples():
+                view = _View(row)
+                yield deleted_counts(view, *view.answered(row), n_train)
 
     cells = (
-        state.groupBy("chunk").cogroup(by_chunk)
-        .applyInPandas(gather, "bucket int, i int, j int, weight double, sum2 double, sum1 double")
+        chunks.mapInPandas(gather, "bucket int, i int, j int, weight double, sum2 double, sum1 double")
         .groupBy("bucket", "i", "j").agg(F.sum("weight").alias("weight"), F.sum("sum2").alias("sum2"), F.sum("sum1").alias("sum1"))
     )
     # at most BUCKETS x (steps of log2)^2 cells, whatever the input
     mixture = learn_mixture(cells.orderBy("bucket", "i", "j").toPandas(), v_train)
 
-    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        row = next(left.itertuples())
-        view = _View(row)
-        return _score(view, row.doc_ids, *view.answered(right), n_train, v_train, mixture)
+    def score(frames):
+        for frame in frames:
+            for row in frame.itertuples():
+                view = _View(row)
+                yield _score(view, row.doc_ids, *view.answered(row), n_train, v_train, mixture)
 
-    return (
-        state.groupBy("chunk").cogroup(by_chunk)
-        .applyInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-        .withColumn("doc_id", F.col("doc_id").cast("long"))
-    )
+    scored = chunks.mapInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return scored.withColumn("doc_id", F.col("doc_id").cast("long"))
