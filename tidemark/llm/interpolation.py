@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_words, materialize, shuffle_partitions
 
-CHUNK = 2_000_000
+CHUNK = 2_200_000
 FOLDS = 10
 ALPHA = 0.1
 #: The end of a text, and the context of its first word; no word hashes to it but by chance.
@@ -49,7 +49,7 @@ def pack(values: np.ndarray) -> bytes:
     top = int(values.max()) if len(values) else 0
     kind = next(t for t in ("<u1", "<u2", "<u4", "<u8") if top <= np.iinfo(t).max)
     planes = values.astype(kind).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize).T
-    return kind[1:].encode() + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return kind[1:].encode() + zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -83,12 +83,14 @@ class _Chunk:
 
     def frame(self, chunk: int) -> pd.DataFrame:
         codes = np.concatenate(self.codes)
-        order = np.argsort(-np.bincount(codes, minlength=len(self.code)), kind="stable")
+        hashes = np.array([END, *(xxhash.xxh64_intdigest(w) for w in list(self.code)[1:])], dtype=np.uint64)
+        # frequent words first, and by hash where they are equally frequent: both codes and hashes pack well so
+        order = np.lexsort((hashes, -np.bincount(codes, minlength=len(self.code))))
         rank = np.empty(len(order), dtype=np.uint32)
         rank[order] = np.arange(len(order))
-        hashes = np.array([END, *(xxhash.xxh64_intdigest(w) for w in list(self.code)[1:])], dtype=np.uint64)[order]
+        hashes = hashes[order]
         return pd.DataFrame(
-            {"chunk": [chunk], "doc_ids": [self.ids], "held": [np.array(self.held, np.uint8).tobytes()], "lengths": [pack(np.array(self.lengths, np.uint64))], "codes": [pack(rank[codes])], "hashes": [hashes.tobytes()]}
+            {"chunk": [chunk], "doc_ids": [self.ids], "held": [np.array(self.held, np.uint8).tobytes()], "lengths": [pack(np.array(self.lengths, np.uint64))], "codes": [pack(rank[codes])], "hashes": [pack(hashes)]}
         )
 
 
@@ -121,7 +123,7 @@ class _View:
         self.lengths = unpack(row.lengths).astype(np.int64)
         self.held = np.frombuffer(row.held, np.uint8).astype(bool)
         self.codes = unpack(row.codes).astype(np.int64)
-        self.hashes = np.frombuffer(row.hashes, np.uint64)
+        self.hashes = unpack(row.hashes).astype(np.uint64)
         n, words = len(self.codes), len(self.hashes)
         end = int(self.codes[-1])
         train = np.repeat(~self.held, self.lengths)
@@ -158,14 +160,14 @@ def _ask(frames, parts: int):
                 keys, counts = keys[order], counts[order]
                 part = (keys // width).astype(np.int64)
                 cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
-                rows = [(int(part[a]), row.chunk, kind, pack(keys[a:b]), pack(counts[a:b].astype(np.uint64))) for a, b in zip(cuts, cuts[1:])]
+                rows = [(int(part[a]), row.chunk, kind, pack(np.diff(keys[a:b], prepend=np.uint64(0))), pack(counts[a:b].astype(np.uint64))) for a, b in zip(cuts, cuts[1:])]
                 yield pd.DataFrame(rows, columns=["part", "chunk", "kind", "keys", "counts"])
 
 
 def _total(group: pd.DataFrame) -> pd.DataFrame:
     out, n_train, v_train = [], 0, 0
     for kind, asked in group.groupby("kind"):
-        keys = [unpack(k).astype(np.uint64) for k in asked["keys"]]
+        keys = [np.cumsum(unpack(k), dtype=np.uint64) for k in asked["keys"]]  # sent as differences
         counts = np.concatenate([unpack(c).astype(np.int64) for c in asked["counts"]])
         _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.zeros(int(inverse.max()) + 1, dtype=np.int64)
