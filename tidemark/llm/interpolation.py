@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_words, materialize, shuffle_partitions
 
-CHUNK = 2_200_000
+CHUNK = 4_500_000
 FOLDS = 10
 ALPHA = 0.1
 #: The end of a text, and the context of its first word; no word hashes to it but by chance.
