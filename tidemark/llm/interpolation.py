@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_words, materialize, shuffle_partitions
 
-CHUNK = 4_500_000
+CHUNK = 3_000_000
 FOLDS = 10
 ALPHA = 0.1
 #: The end of a text, and the context of its first word; no word hashes to it but by chance.
@@ -127,16 +127,25 @@ class _View:
         n, words = len(self.codes), len(self.hashes)
         end = int(self.codes[-1])
         train = np.repeat(~self.held, self.lengths)
-        before = np.concatenate([[end], self.codes[:-1]])
-        sorted_ = np.sort(((before * words + self.codes) << 1) | train)
+        self.end = end
+        sorted_ = (self.token_pairs() << 1) | train
+        sorted_.sort()
         starts = np.flatnonzero(np.concatenate([[True], (sorted_[1:] >> 1) != (sorted_[:-1] >> 1)]))
         self.pairs = sorted_[starts] >> 1
         self.pair_counts = np.add.reduceat(sorted_ & 1, starts) if n else np.zeros(0, np.int64)
         self.h, self.w = np.divmod(self.pairs, words)
         self.word_counts = np.bincount(self.codes[train], minlength=words)
-        self.token_pairs = before * words + self.codes
+        del sorted_, starts
         self.pair_keys = _mixed(self.hashes[self.h], self.hashes[self.w])
 
+    def token_pairs(self) -> np.ndarray:
+        """The bigram of each token, as context code times words plus word code."""
+        pairs = np.empty_like(self.codes)
+        pairs[0], pairs[1:] = self.end, self.codes[:-1]
+        pairs *= len(self.hashes)
+        pairs += self.codes
+        return pairs
+
     def asked(self):
         yield 1, self.hashes, self.word_counts
         yield 2, self.pair_keys, self.pair_counts
@@ -237,7 +246,7 @@ def _score(view: _View, doc_ids, words, pairs, n_train: int, v_train: int, mixtu
     h, w = words[view.h], words[view.w]
     l2, l1, l0 = mixture[bucket(h)].T
     p = l2 * _ratio(pairs.astype(float), h.astype(float)) + l1 * _ratio(w.astype(float), np.float64(n_train)) + l0 / (v_train + 1)
-    per_token = np.log10(p)[np.searchsorted(view.pairs, view.token_pairs)]
+    per_token = np.log10(p)[np.searchsorted(view.pairs, view.token_pairs())]
     base = np.log10((words + ALPHA) / (n_train + ALPHA * (v_train + 1)))[view.codes]
     starts = np.concatenate([[0], np.cumsum(view.lengths)[:-1]])
     add = np.add.reduceat
