@@ -72,6 +72,15 @@ def version_key(version: Column) -> Column:
     )
 
 
+def duration(seconds: Column) -> Column:
+    """Whole seconds in their two largest units: 42s, 3m 5s, 2h 10m, 4d 7h."""
+    parts = {86_400: ("d", 3600, "h"), 3600: ("h", 60, "m"), 60: ("m", 1, "s")}
+    out = F.concat(seconds, F.lit("s"))
+    for size, (unit, small, name) in reversed(parts.items()):
+        out = F.when(seconds >= size, F.concat(F.floor(seconds / size), F.lit(f"{unit} "), F.floor(seconds % size / small), F.lit(name))).otherwise(out)
+    return out
+
+
 def log_level(line: Column) -> Column:
     """Level of a log line by the first rule that matches; null if none does."""
     return (

@@ -1,6 +1,6 @@
 """All named queries over the test tables, with the SQL that they must agree with."""
 
-from . import history_queries, pit_queries, table_queries
+from . import history_queries, pit_queries, rank_queries, review_queries, table_queries
 
-QUERIES: dict = pit_queries.QUERIES | table_queries.QUERIES | history_queries.QUERIES
-ORACLE_SQL: dict = pit_queries.ORACLE_SQL | table_queries.ORACLE_SQL | history_queries.ORACLE_SQL
+QUERIES: dict = pit_queries.QUERIES | table_queries.QUERIES | history_queries.QUERIES | review_queries.QUERIES | rank_queries.QUERIES
+ORACLE_SQL: dict = pit_queries.ORACLE_SQL | table_queries.ORACLE_SQL | history_queries.ORACLE_SQL | review_queries.ORACLE_SQL | rank_queries.ORACLE_SQL
