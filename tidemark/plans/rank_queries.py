@@ -119,7 +119,7 @@ def g3_introduced_and_fixed(spark, sf_dir):
     return s.join(after, "pr_number").select("pr_number", *sizes)
 
 
-@query(f"""with {PR_SQL} select pr_number, round(ln(1 + la), 9) as log_la, la is null as la_missing, round(la / cast(greatest(ld, 1) as double), 6) as ratio, sign(la - 1000) as side, least(greatest(ld, 10), 300) as clipped,
+@query(f"""with {PR_SQL} select pr_number, round(ln(1 + la), 9) as log_la, la is null as la_missing, round(la / cast(greatest(ld, 1) as double), 6) as ratio, cast(sign(la - 1000) as integer) as side, least(greatest(ld, 10), 300) as clipped,
   substr(sha256(repo || ':' || pr_number), 1, 12) as row_hash, md5(repo) as repo_hash, cast(floor(sqrt(la)) as bigint) as root from pr""")
 def h7_h8_h14_engineered(spark, sf_dir):
     la, ld = F.col("la"), F.col("ld")
