@@ -164,6 +164,37 @@ def test_budget_fit_is_exact_where_it_can_be():
     assert (big * np.arange(1, 3000)).sum() == 100_000_000
 
 
+def best_sum(sizes, counts, budget):
+    sums = 1
+    for s, c in zip(sizes, counts, strict=True):
+        for _ in range(c):
+            sums |= sums << s
+    return (sums & ((1 << (budget + 1)) - 1)).bit_length() - 1
+
+
+def test_budget_fit_is_exact_with_long_documents():
+    for sizes, counts, budget, best in [([300_000, 100], [1, 1000], 390_000, 390_000), ([150_000, 140_000, 130_000, 120_000, 110_000], [1] * 5, 260_000, 260_000),
+                                        ([60_000, 100], [2, 1000], 190_000, 190_000), ([60_000, 45_000, 0], [1, 1, 9], 92_767, 60_000), ([7_000_000, 5], [9, 3], 60_000_000, 56_000_015)]:
+        take = mixing.fit_budget(np.array(sizes), np.array(counts), budget)
+        assert (take <= counts).all() and (take * sizes).sum() == best
+    r = random.Random(6)
+    for _ in range(60):
+        sizes = sorted(r.sample(range(50_000, 400_000), r.randrange(1, 6)) + r.sample(range(1, 900), r.randrange(0, 5)))
+        counts = [r.randrange(1, 4 if s > 900 else 40) for s in sizes]
+        budget = r.randrange(0, sum(s * c for s, c in zip(sizes, counts, strict=True)))
+        take = mixing.fit_budget(np.array(sizes), np.array(counts), budget)
+        assert (take <= counts).all() and (take >= 0).all() and (take * sizes).sum() == best_sum(sizes, counts, budget)
+
+
+def test_mixing_fits_every_source(spark, docs):
+    long = [(1000 + i, "w " * n, "en", "c", n) for i, n in enumerate([300_000] + [100] * 300 + [90_000, 70_001])]
+    got = mixing.mix(docs.select(*[c.split()[0] for c in DOCS.split(", ")]).unionByName(spark.createDataFrame(long, DOCS))).toPandas()
+    for _, own in got.groupby(got["source"].fillna("~")):
+        passes, rest = divmod(round(own["target"].iloc[0]), own["source_size"].iloc[0])
+        fit = best_sum(own["size"].tolist(), [1] * len(own), int(rest)) if rest else 0
+        assert (own["size"] * own["copies"]).sum() == passes * own["size"].sum() + fit
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     fit, held = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")

@@ -23,8 +23,8 @@ from pyspark.sql.types import LongType
 from .common import count_words, materialize
 
 WEIGHTS, SHARE, MOST, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, 7
-#: The dynamic program covers budgets up to this; larger ones are first brought down by whole shares of each size.
-DP_LIMIT = 1 << 16
+#: Words that the dynamic program covers at first, or four times the largest size if that is more; and where its first fit misses.
+DP_LIMIT, DP_MOST = 1 << 16, 1 << 24
 
 
 @F.pandas_udf(LongType())
@@ -54,48 +54,28 @@ def source_targets(sizes: dict, weights=WEIGHTS, share: float = SHARE, most: flo
     return out
 
 
-def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each size to take, at most ``counts``, so that their words come nearest ``budget`` from below.
-
-    Whole shares of each size, largest sizes first, bring the budget under DP_LIMIT; the rest is fitted exactly by
-    a bounded-knapsack dynamic program over the counts that are left, in powers of two of each size.
-    """
-    order = np.argsort(-sizes, kind="stable")
+def _fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """The exact fit: a bounded-knapsack dynamic program over all words up to ``budget``, in powers of two of each size."""
     take = np.zeros(len(sizes), dtype=np.int64)
-    total = int((sizes * counts).sum())
-    if budget <= 0 or total <= 0:
-        return take
-    if budget >= total:
-        return np.where(sizes > 0, counts, 0)
-    if budget > DP_LIMIT:
-        take = (counts.astype(object) * budget // total).astype(np.int64)
-        take[sizes <= 0] = 0
-    left = budget - int((sizes * take).sum())
-    for i in order:  # one size after the other, down to a budget that the program covers
-        if left <= DP_LIMIT:
-            break
-        if sizes[i] > 0:
-            more = min(int(counts[i] - take[i]), (left - DP_LIMIT // 2) // int(sizes[i]))
-            take[i] += max(0, more)
-            left -= max(0, more) * int(sizes[i])
-    left = min(left, DP_LIMIT)
-    reached, by = 1, np.full(left + 1, -1, dtype=np.int64)  # bit s of reached: s words can be taken; by: the first part that reached it
+    reached, by = 1, np.full(budget + 1, -1, dtype=np.int32)  # bit s of reached: s words can be taken; by: the first part that reached it
     parts: list[tuple[int, int]] = []
-    whole = (1 << (left + 1)) - 1
-    for i in order[::-1]:
-        if sizes[i] <= 0 or sizes[i] > left:
+    whole = (1 << (budget + 1)) - 1
+    for i in np.argsort(sizes, kind="stable"):
+        if sizes[i] <= 0 or sizes[i] > budget:
             continue
-        free, chunk = min(int(counts[i] - take[i]), left // int(sizes[i])), 1
+        free, chunk = min(int(counts[i]), budget // int(sizes[i])), 1
         while free > 0:
             n = min(chunk, free)
             new = ((reached << (n * int(sizes[i]))) & whole) & ~reached
             if new:
-                bits = np.frombuffer(new.to_bytes(left // 8 + 1, "little"), np.uint8)
-                by[np.flatnonzero(np.unpackbits(bits, bitorder="little")[: left + 1])] = len(parts)
+                raw = np.frombuffer(new.to_bytes(budget // 8 + 1, "little"), np.uint8)
+                at = np.flatnonzero(raw)
+                row, bit = np.nonzero(np.unpackbits(raw[at], bitorder="little").reshape(-1, 8))
+                by[at[row] * 8 + bit] = len(parts)
                 reached |= new
                 parts.append((int(i), n))
             free, chunk = free - n, chunk * 2
-        if reached >> left & 1:
+        if reached.bit_length() > budget:
             break
     s = reached.bit_length() - 1
     while s > 0:
@@ -105,6 +85,39 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     return take
 
 
+def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """How many documents of each size to take, at most ``counts``, so that their words come nearest ``budget`` from below.
+
+    A budget above the program's room is first brought down by an even share of the documents in the order of their
+    sizes, which leaves the room within one largest size; the program then fits all that is left from all documents
+    that are left, long ones too. Where it misses, it is run again with more room, up to DP_MOST: budgets up to that are
+    always fitted exactly, and larger ones miss only what no documents outside the share can fill.
+    """
+    total = int((sizes * counts).sum())
+    if budget <= 0 or total <= 0:
+        return np.zeros(len(sizes), dtype=np.int64)
+    if budget >= total:
+        return np.where(sizes > 0, counts, 0)
+    unit = int(np.gcd.reduce(sizes[sizes > 0]))
+    sizes, total, budget = sizes // unit, total // unit, budget // unit
+    counts = np.where(sizes > 0, counts, 0)
+    order = np.argsort(sizes, kind="stable")
+    room, best, missed = max(DP_LIMIT, 4 * int(sizes.max())), None, budget + 1
+    most = max(DP_MOST, room)
+    while True:
+        take = np.zeros(len(sizes), dtype=np.int64)
+        if budget > room:
+            share = np.cumsum(counts[order]).astype(object) * (budget - room) // total
+            take[order] = np.diff(share, prepend=0).astype(np.int64)
+        take += _fill(sizes, counts - take, budget - int((sizes * take).sum()))
+        left = budget - int((sizes * take).sum())
+        if left < missed:
+            best, missed = take, left
+        if missed == 0 or room >= min(budget, most):
+            return best
+        room = min(4 * room, most)
+
+
 def _fit(counted: pd.DataFrame) -> pd.DataFrame:
     sizes, counts = counted["size"].to_numpy(np.int64), counted["n"].to_numpy(np.int64)
     total, target = int(counted["source_size"].iloc[0]), float(counted["target"].iloc[0])
