@@ -331,6 +331,21 @@ def test_nearest_neighbours_recall_and_exact_scores(spark, embeddings):
     assert multiprobe.nearest(embeddings.where("false")).count() == 0
 
 
+def test_every_query_gets_its_rows(spark):
+    """Small tables give all candidates, and outliers far from a cluster get ``top`` rows, at the default target."""
+    r = np.random.default_rng(5)
+    for n in (2, 13, 21):
+        small = [(i, r.standard_normal(8).tolist()) for i in range(n)]
+        got = multiprobe.nearest(spark.createDataFrame(small, "vec_id long, embedding array<float>"), every=1).toPandas()
+        assert len(got) == n * (n - 1) == len(got[["query_id", "vec_id"]].drop_duplicates())
+    near = [(i, (np.eye(8)[0] + 0.01 * r.standard_normal(8)).tolist()) for i in range(1, 3000) if i % 20]
+    far = [(20 * i, (-2 * np.eye(8)[0] + 0.01 * r.standard_normal(8)).tolist()) for i in range(5)]
+    same = [(5, (-2 * np.eye(8)[0] + 0.01 * r.standard_normal(8)).tolist()) for _ in range(4)]  # one id, many vectors
+    got = multiprobe.nearest(spark.createDataFrame(near + far + same, "vec_id long, embedding array<float>")).toPandas()
+    assert got.groupby("query_id").size().to_dict() == {20 * i: 20 for i in range(5)}
+    assert (got["query_id"] != got["vec_id"]).all()
+
+
 def test_url_lists(spark):
     changes = spark.createDataFrame(
         [("Example.com.", True, 10), ("example.com", False, 20), ("example.com", True, 20), ("a.example.com", True, 5), ("a.example.com", False, 8), ("x.org/en", True, 0), (None, True, 1), ("y.org", None, 1), ("z.org", True, None)],

@@ -3,7 +3,8 @@
 Largest inner product becomes smallest distance when each vector, scaled by the largest norm, gets one more component
 that brings it to norm one, and a query a zero. ``TABLES`` tables hash vectors by ``k`` Gaussian projections cut into
 cells; a query visits the cells of each table in the order of their estimated success (the sum of squared distances
-from its projections to the cells), ``probes`` of them, and all candidates are reranked by exact inner products.
+from its projections to the cells), ``probes`` of them, and all candidates are reranked by exact inner products. A
+query whose cells hold fewer than 1 + top ids in each table goes on to four times as many, and again, up to all.
 
 k follows the number of vectors; probes is fitted to reach ``TARGET`` recall on a bounded sample (``SAMPLE`` vectors
 with the smallest hashes, ``SAMPLE_QUERIES`` of them as queries). A sample is sparser than the table, so its
@@ -14,7 +15,7 @@ units of about ``UNIT`` entries, larger cells into several, queries into blocks;
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, or have a null vec_id, take
 no part, as queries or candidates; only vectors of the most common length do; with fewer candidates than ``top`` a
-query gets what its probes find; ties go to the smaller vec_id; of rows with equal vec_id and vector one is returned;
+query gets all of them; ties go to the smaller vec_id; of rows with equal vec_id and vector one is returned;
 other columns are ignored; an empty table gives an empty result.
 """
 
@@ -36,6 +37,8 @@ CELLS = 4
 TARGET, SAMPLE, SAMPLE_QUERIES = 0.97, 4096, 256
 #: Entries of a cell that k aims at, entries of a unit, queries of a block.
 PER_CELL, UNIT, QUERIES = 1024, 8192, 4096
+#: Visits that are worked out at a time.
+VISITS = 1 << 20
 
 
 class Tables:
@@ -99,18 +102,20 @@ class Tables:
 
 
 def best_of_unit(queries: pd.DataFrame, entries: pd.DataFrame, top: int) -> pd.DataFrame:
-    """For each query the top + 1 best entries of the cells that it visits here, and what ties with the last of them."""
+    """For each query the entries with the top + 1 best ids of the cells that it visits here, and what ties with the last of them."""
     out = {"query_id": [], "score": [], "ids": []}
     if len(queries) and len(entries):
         x = stack(entries["embedding"])
         cells, of = np.unique(entries["cell"].to_numpy(), return_inverse=True)
         ids = entries["ids"].to_numpy()
+        every = np.concatenate(ids)
+        repeats = len(every) - len(np.unique(every))  # an id with several vectors is in several entries
         for at in range(0, len(queries), 128):
             some = queries.iloc[at : at + 128]
             q = stack(some["embedding"])
             allowed = np.stack([np.isin(cells, np.asarray(c)) for c in some["cells"]])[:, of]
             scores = np.where(allowed, q @ x.T, -np.inf)
-            n = min(top + 1, len(x))
+            n = min(top + 1 + repeats, len(x))
             last = np.partition(scores, -n, axis=1)[:, -n]
             for r, query_id in enumerate(some["query_id"]):
                 hit = np.flatnonzero(allowed[r] & (scores[r] >= last[r] - 1e-9 * max(1.0, abs(last[r]) if np.isfinite(last[r]) else 1.0)))
@@ -151,17 +156,45 @@ def nearest(vectors: DataFrame, every: int = EVERY, top: int = TOP, target: floa
             for t in range(TABLES if len(frame) else 0):
                 yield frame.assign(table=t, cell=shared.value.cells(x, t))
 
-    def visit(frames):
-        for frame in frames:
-            x = shared.value.queries(stack(frame["embedding"])) if len(frame) else None
-            for t in range(TABLES if len(frame) else 0):
-                yield pd.DataFrame({"query_id": frame["vec_id"], "table": t, "cell": list(shared.value.visits(x, t, probes))})
+    def visiting(p):
+        def visit(frames):
+            for frame in frames:
+                for at in range(0, len(frame), step := max(1, VISITS // p)):
+                    some = frame.iloc[at : at + step]
+                    x = shared.value.queries(stack(some["embedding"]))
+                    for t in range(TABLES):
+                        yield pd.DataFrame({"query_id": some["vec_id"], "hash": some["hash"], "table": t, "cell": list(shared.value.visits(x, t, p))})
+
+        return visit
 
     groups = max(1, -(-n // UNIT))
     unit = F.pmod(F.xxhash64("cell"), F.lit(groups))
     placed = materialize(index.mapInPandas(place, f"embedding {array}, ids array<long>, table int, cell long"))
-    directory = placed.groupBy("table", "cell").agg(F.ceil(F.count("*") / F.lit(UNIT)).cast("long").alias("pieces"))
+    # an id counts in one cell of a table, so that the cells of a table hold at least as many ids as their sum
+    held = (
+        placed.select("table", "cell", F.explode("ids").alias("vec_id")).groupBy("table", "vec_id").agg(F.min("cell").alias("cell"))
+        .groupBy("table", "cell").agg(F.count("*").alias("held"))
+    )
+    directory = materialize(
+        placed.groupBy("table", "cell").agg(F.ceil(F.count("*") / F.lit(UNIT)).cast("long").alias("pieces"))
+        .join(held, ["table", "cell"], "left").fillna(0, ["held"])
+    )
     queries = valid.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "embedding"])
+
+    def cells_of(some, p):
+        hashed = some.select("vec_id", "embedding", F.xxhash64("embedding").alias("hash"))
+        cells = hashed.mapInPandas(visiting(p), "query_id long, hash long, table int, cell array<long>")
+        return cells.withColumn("cell", F.explode("cell")).join(directory, ["table", "cell"])
+
+    def lacking(some, p):
+        sums = cells_of(some, p).groupBy("query_id", "hash", "table").agg(F.sum("held").alias("held"))
+        enough = sums.where(F.col("held") > top).select(F.col("query_id").alias("vec_id")).distinct()  # one may be its own
+        return materialize(some.join(enough, "vec_id", "left_anti"))
+
+    cells, todo, p = cells_of(queries, probes), queries, probes
+    while p < CELLS**k and not (todo := lacking(todo, p)).isEmpty():
+        p = min(4 * p, CELLS**k)
+        cells = cells.unionByName(cells_of(todo, p))
     blocks = max(1, -(-queries.count() // QUERIES))
     # a cell's entries are dealt over its pieces, and meet each block of queries
     entries = (
@@ -171,10 +204,7 @@ def nearest(vectors: DataFrame, every: int = EVERY, top: int = TOP, target: floa
         .select("table", unit.alias("unit"), "piece", "block", "cell", "ids", "embedding")
     )
     visited = (
-        queries.mapInPandas(visit, "query_id long, table int, cell array<long>")
-        .withColumn("cell", F.explode("cell"))
-        .join(directory, ["table", "cell"])
-        .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+        cells.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
         .groupBy("table", unit.alias("unit"), "piece", "query_id")
         .agg(F.collect_list("cell").alias("cells"))
         .join(queries.select(F.col("vec_id").alias("query_id"), "embedding"), "query_id")
