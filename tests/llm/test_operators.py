@@ -236,6 +236,16 @@ def test_private_data(spark, docs, empty):
     assert out.columns == ["doc_id", "base", "spans"] and out.count() == docs.count() and private_data.find_private_data(empty).count() == 0
 
 
+def test_partly_disguised_identifiers_are_found_whole():
+    for text, kind, part in [("jоhn@example.com", "email", "hn@example.com"), ("john@example.cоm", "email", "john@example.c"), ("１92.168.1.1", "ip", "92.168.1.1"), ("4111 1111 1111 1111 ０", "card", "4111 1111 1111 1111")]:
+        base, spans = private_data.all_spans(f"see {text} .")
+        found = [(k, f"see {text} ."[a:b]) for a, b, k in spans]
+        assert [(kind, part)] == [(k, f"see {text} ."[a:b]) for a, b, k in base] and set(base) <= set(spans)
+        assert ((kind, text) in found) == (kind != "card")  # with one more digit it is no card
+    base, spans = private_data.all_spans("a@b.com and c [at] d [dot] com, 10.0.0.1")
+    assert len(base) == 2 and len(spans) == 3
+
+
 def test_base_patterns_match_plain_regular_expressions():
     r = random.Random(2)
     plain = {

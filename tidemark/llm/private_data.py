@@ -3,7 +3,7 @@
 Transducers rewrite a text step by step (homoglyphs and invisible characters, spelled digits, at/dot disguises);
 each keeps, for every output character, the source characters it stands for. The base detectors run on the rewritten
 text and their spans are mapped back to code points of the source. Base spans always stay; a mapped span is added if
-it holds rewritten characters and meets no base span of its kind.
+it holds rewritten characters and covers source characters that no base span of its kind covers.
 
 Defined results: a null or empty text has no spans; each row is judged alone, so repeated rows repeat and ties can't
 occur; columns other than doc_id and text are ignored; an empty table gives an empty result. All scans take time in
@@ -149,10 +149,13 @@ def all_spans(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, in
     plain = deobfuscate(text)
     if plain is None:
         return base, base
+    covered = {k: bytearray(len(text)) for *_, k in base}
+    for s, e, k in base:
+        covered[k][s:e] = b"\1" * (e - s)
     added = []
     for a, b, kind in base_spans(plain.text):
         start, end = plain.starts[a], plain.ends[b - 1]
-        if text[start:end] != plain.text[a:b] and not any(k == kind and s < end and start < e for s, e, k in base):
+        if text[start:end] != plain.text[a:b] and (kind not in covered or covered[kind].find(0, start, end) >= 0):
             added.append((start, end, kind))
     order = KINDS.index
     return base, sorted([*base, *added], key=lambda x: (x[0], order(x[2]), x[1]))
