@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -75,7 +74,12 @@ def stack(vectors) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 1))
 
 
-def batches(frames: Iterator, column: str) -> Iterator:
-    for frame in frames:
-        if len(frame):
-            yield frame
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """``wanted``, with as many underscores in front as keep each apart from ``columns`` and from one another."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out

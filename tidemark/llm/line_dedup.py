@@ -1,14 +1,16 @@
 """Line dedup: range-partitioned line hashes, secondary sort by document and position, keep bitmaps.
 
 DataFrame operations only. A line's key is the line without blanks at its ends and with A-Z lower-cased;
-two independent 64-bit hashes stand for it. Occurrences are range-partitioned by (hashes, salt) and sorted by
-document and position inside, so that one very common line is dealt over ``SALTS`` ranges; a streaming window
-sees each document's first occurrence, counts documents per range, and a small aggregate adds the ranges up.
+two independent 64-bit hashes stand for it. Occurrences are dealt into ranges of the salted hash and sorted by
+hash, document and position inside, once: hashes are uniform, so the ranges' bounds are fixed and need no sample,
+and the salt deals one very common line over ``SALTS`` ranges. A window streams over the sorted ranges and marks each
+document's first occurrence; firsts are added up by line, with the salts that occur as bits of one number.
 Documents get run-length-coded keep bitmaps, not texts.
 
 Defined results: a null or empty text is one empty line; each row is a document, and rows with equal doc_id
-count as one document for a line; null doc_id sorts below every id; columns other than doc_id and text are
-ignored; an empty table gives an empty result.
+count as one document for a line; null doc_id sorts below every id; texts of any length are split whole, a row
+of them at a time; columns other than doc_id and text are ignored and kept, whatever their names; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, UPPER, materialize
+from .common import BLANKS, LOWER, UPPER, free_names, materialize, shuffle_partitions
 
-#: Ranges that the occurrences of one line are dealt over.
+#: Ranges that the occurrences of one line are dealt over, at most 64.
 SALTS = 64
 MIN_CODE_POINTS = 40
 MIN_DOCUMENTS = 5
@@ -34,44 +36,44 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def keep_bitmaps(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """(doc_id, text_hash, n_lines, n_dropped, runs) of the documents that lose lines.
-
-    ``runs`` is the keep bitmap as run lengths: kept, dropped, kept, ... lines in turn, starting with kept.
-    ``text_hash`` (xxhash64) tells rows with the same doc_id and different texts apart.
-    """
+def _streamed(docs: DataFrame, min_code_points: int) -> DataFrame:
+    """Occurrences of lines, with ``first`` = 1 for the first one of a document in its range."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), _lines(F.col("text")).alias("lines"))
-    found = lines.select("doc_id", "text_hash", F.size("lines").alias("n_lines"), F.posexplode("lines").alias("pos", "line"))
-    # a key has at least min_code_points code points only if the line has
-    keyed = found.where(F.length("line") >= min_code_points).withColumn("key", line_key(F.col("line")))
-    occurrences = keyed.where(F.length("key") >= min_code_points).select(
+    # outer, as a text has a line at least, and Spark would split it once more to make sure
+    found = lines.select("doc_id", "text_hash", F.size("lines").alias("n_lines"), F.posexplode_outer("lines").alias("pos", "line"))
+    # a key is as long as its line without blanks, which is no longer than the line
+    long_ = found.where(F.length("line") >= min_code_points).where(F.length(F.btrim("line", F.lit(BLANKS))) >= min_code_points)
+    occurrences = long_.withColumn("key", line_key(F.col("line"))).select(
         F.xxhash64("key").alias("h1"),
         F.xxhash64(F.lit("line"), "key").alias("h2"),
         F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
         "doc_id", "text_hash", "n_lines", "pos",
     )
-    ranged = materialize(
-        occurrences.repartitionByRange("h1", "h2", "salt").sortWithinPartitions(
-            "h1", "h2", "salt", "doc_id", "text_hash", "pos"
-        )
-    )
-    stream = Window.partitionBy("h1", "h2", "salt").orderBy("doc_id", "text_hash", "pos")
-    first = (F.row_number().over(stream) == 1) | ~F.lag("doc_id").over(stream).eqNullSafe(F.col("doc_id"))
-    per_range = (
-        ranged.withColumn("first", first)
-        .where("first")
-        .groupBy("h1", "h2", "salt")
-        .agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
-    )
+    ranges = shuffle_partitions(docs.sparkSession)
+    place = F.shiftrightunsigned(F.xxhash64("h1", "salt"), 33)  # 31 bits
+    ranged = occurrences.withColumn("range", F.shiftright(place * ranges, 31).cast("int")).repartitionById(ranges, "range")
+    order = ["doc_id", "text_hash", "pos"]
+    stream = Window.partitionBy("range", "h1", "h2", "salt").orderBy(*order)
+    again = (F.row_number().over(stream) > 1) & F.lag("doc_id").over(stream).eqNullSafe(F.col("doc_id"))
+    return ranged.sortWithinPartitions("range", "h1", "h2", "salt", *order).withColumn("first", (~again).cast("int")).drop("range")
+
+
+def keep_bitmaps(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """(doc_id, text_hash, n_lines, n_dropped, runs) of the documents that lose lines.
+
+    ``runs`` is the keep bitmap as run lengths: kept, dropped, kept, ... lines in turn, starting with kept.
+    ``text_hash`` (xxhash64) tells rows with the same doc_id and different texts apart.
+    """
+    streamed = materialize(_streamed(docs, min_code_points))
+    salts = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: F.getbit("salts", s) == 1)
     common = (
-        per_range.groupBy("h1", "h2")
-        .agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+        streamed.groupBy("h1", "h2")
+        .agg(F.sum("first").alias("n"), F.max("doc_id").alias("last"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts"))
         .where(F.col("n") >= min_documents)
-        .select("h1", "h2", "last")
+        # joined by salt too, so that the occurrences of a very common line stay dealt
+        .select("h1", "h2", "last", F.explode(salts).alias("salt"))
     )
-    # joined by range, so that the occurrences of a very common line stay dealt over its salts
-    marked = per_range.select("h1", "h2", "salt").join(common, ["h1", "h2"])
-    dropped = ranged.join(marked, ["h1", "h2", "salt"]).where(~F.col("doc_id").eqNullSafe(F.col("last")))
+    dropped = streamed.join(common, ["h1", "h2", "salt"]).where(~F.col("doc_id").eqNullSafe(F.col("last")))
     per_doc = dropped.groupBy("doc_id", "text_hash").agg(
         F.first("n_lines").alias("n_lines"), F.sort_array(F.collect_set("pos")).alias("at")
     )
@@ -97,24 +99,30 @@ def keep_bitmaps(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS, min_do
     return step.select("doc_id", "text_hash", "n_lines", F.size("at").cast("long").alias("n_dropped"), runs.alias("runs"))
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with text replaced by its kept lines, plus n_lines and n_dropped (long). Other columns stay."""
-    hit = bitmaps.select(
-        F.col("doc_id").alias("_tm_doc"), F.col("text_hash").alias("_tm_hash"), F.col("n_dropped").alias("_tm_dropped"), F.col("runs").alias("_tm_runs")
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
+    """``docs`` with text replaced by its kept lines, plus two columns (long) of the names given: lines before, and dropped.
+
+    They replace columns of these names; all others stay.
+    """
+    doc, text_hash, dropped, runs = free_names([*docs.columns, n_lines, n_dropped], "doc", "text_hash", "dropped", "runs")
+    hit = bitmaps.toDF(*[f"b_{c}" for c in bitmaps.columns]).select(
+        F.col("b_doc_id").alias(doc), F.col("b_text_hash").alias(text_hash), F.col("b_n_dropped").alias(dropped), F.col("b_runs").alias(runs)
     )
-    joined = docs.join(hit, docs["doc_id"].eqNullSafe(F.col("_tm_doc")) & (F.xxhash64(docs["text"]) == F.col("_tm_hash")), "left")
-    lines = _lines(F.col("text"))
-    flags = F.flatten(F.transform("_tm_runs", lambda n, i: F.array_repeat(i % 2 == 0, n)))
+    joined = docs.join(hit, docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(text_hash)), "left")
+    lines = _lines(docs["text"])
+    flags = F.flatten(F.transform(runs, lambda n, i: F.array_repeat(i % 2 == 0, n)))
     kept = F.transform(
         F.filter(F.arrays_zip(lines.alias("l"), flags.alias("f")), lambda z: z["f"]), lambda z: z["l"]
     )
+    text = F.when(F.col(runs).isNull(), docs["text"]).otherwise(F.array_join(kept, "\n")).alias("text")
     return joined.select(
-        *[F.when(F.col("_tm_runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else docs[c] for c in docs.columns],
-        F.size(lines).cast("long").alias("_tm_n_lines"),
-        F.coalesce("_tm_dropped", F.lit(0)).cast("long").alias("_tm_n_dropped"),
+        *[text if c == "text" else docs[c] for c in docs.columns if c not in (n_lines, n_dropped)],
+        F.size(lines).cast("long").alias(n_lines),
+        F.coalesce(dropped, F.lit(0)).cast("long").alias(n_dropped),
     )
 
 
 def drop_common_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the same columns, common lines left out of every document but the largest that holds them."""
-    return apply_bitmaps(docs, keep_bitmaps(docs)).drop("_tm_n_lines", "_tm_n_dropped")
+    two = free_names(docs.columns, "n_lines", "n_dropped")
+    return apply_bitmaps(docs, keep_bitmaps(docs), *two).drop(*two)

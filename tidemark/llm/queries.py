@@ -91,7 +91,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
     return kept.select(
-        "doc_id", F.col("_tm_n_lines").alias("n_lines"), F.col("_tm_n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
 
 
