@@ -3,28 +3,37 @@
 Documents are counted by (source, exact size). Each source's target gives whole passes over it and a remaining
 budget; a bounded-knapsack dynamic program over the size counts says how many documents of each size fill that
 budget, and documents of each size are then selected in the order of a seeded hash. Only size counts meet in one
-task (a source of w words has at most sqrt(2w) sizes); the source totals, one number a source, go to the driver.
+task (a source of w words has at most sqrt(2w) sizes). Source totals stay distributed: targets are found by raising
+one level, from one aggregate a round.
+
+A budget that can be met is met, at every size. An even share of the documents in the order of their sizes comes within two largest
+documents of the budget; the program then seeks documents to add and documents to take back. A best choice exists
+that differs from the share by at most three times the largest size in documents (otherwise, put in an order in which
+running sums stay within three largest sizes, some of the changes would cancel out), so bitsets of about twice its
+square in words show what comes nearest if the budget can't be met; far smaller ones do as soon as it is. Bitsets stop
+growing at ``ROOM_MOST`` words: a budget that they have not met by then is nearest only among those changes.
 
 Defined results: a null or empty text has size 0 and takes 0 words; a null source is a source of its own, last in
 order; a source of size 0 has target 0; each row is a document, rows with equal doc_id and size are told apart at
-random but reproducibly; columns other than doc_id, text and source are ignored; an empty table gives an empty result.
+random but reproducibly; texts of any length are counted whole, long ones in pieces; columns other than doc_id, text
+and source are ignored and kept, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import count_words, materialize
+from .common import count_words, free_names, materialize
 
 WEIGHTS, SHARE, MOST, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, 7
-#: Words that the dynamic program covers at first, or four times the largest size if that is more; and where its first fit misses.
-DP_LIMIT, DP_MOST = 1 << 16, 1 << 24
+#: Words that the program's bitsets cover at first, and at most (128 MB each).
+ROOM, ROOM_MOST = 1 << 16, 1 << 30
+#: Each byte with its bits reversed.
+REVERSED = bytes(int(f"{b:08b}"[::-1], 2) for b in range(256))
 
 
 @F.pandas_udf(LongType())
@@ -32,90 +41,115 @@ def size_udf(text: pd.Series) -> pd.Series:
     return pd.Series([count_words(t) for t in text], dtype="int64")
 
 
-def source_targets(sizes: dict, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> dict:
-    """Words to take from each source: ``share`` of all words split by weight, none above ``most`` times its size.
+def source_targets(totals: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """(source, source_size) -> (source, source_size, target): ``share`` of all words split by weight, none above ``most`` times its size.
 
     Sources are put in code point order, null last, and get the weights in turn. What a source can't take is
     shared again by weight among those below their limit, until none is above it.
     """
-    names = sorted((s for s in sizes if s is not None), key=str) + ([None] if None in sizes else [])
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    out, open_, left = {}, list(names), share * sum(sizes.values())
-    while open_:
-        total = sum(weight[s] for s in open_)
-        target = {s: left * weight[s] / total for s in open_}
-        above = [s for s in open_ if target[s] > most * sizes[s]]
-        if not above:
-            return out | target
-        for s in above:
-            out[s] = most * sizes[s]
-            left -= out[s]
-        open_ = [s for s in open_ if s not in set(above)]
+    spark, order = totals.sparkSession, F.col("source").asc_nulls_last()
+    ranged = materialize(totals.repartitionByRange(order).withColumn("part", F.spark_partition_id()))
+    counts = sorted((r["part"], r["n"]) for r in ranged.groupBy("part").agg(F.count("*").alias("n")).collect())  # one number a partition
+    before = [(p, sum(n for _, n in counts[:i])) for i, (p, _) in enumerate(counts)]
+    rank = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy(order)) - 1
+    weight = F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int"))
+    known = materialize(ranged.join(spark.createDataFrame(before, "part int, before long"), "part").select("source", "source_size", weight.alias("weight")))
+    first = known.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("open")).first()
+    words, left, total, n_above = share * (first["words"] or 0), share * (first["words"] or 0), first["open"] or 1.0, 0
+    limit = F.col("source_size") * most
+    while True:
+        target = F.lit(float(left)) * F.col("weight") / F.lit(float(total))
+        above = target > limit
+        sums = known.agg(F.count_if(above).alias("n"), F.sum(F.when(above, limit)).alias("taken"), F.sum(F.when(~above, F.col("weight"))).alias("open")).first()
+        if sums["n"] == n_above:
+            return known.select("source", "source_size", F.when(above, limit).otherwise(target).alias("target"))
+        left, total, n_above = words - sums["taken"], sums["open"] or 1.0, sums["n"]
+
+
+def _parts(sizes: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[int, int, int]]:
+    """(words, size's place, documents): up to ``counts`` documents of each size in powers of two, small sizes first."""
+    out = []
+    for i in np.argsort(sizes, kind="stable").tolist():
+        size = int(sizes[i])
+        free, chunk = (min(int(counts[i]), room // size), 1) if size > 0 else (0, 1)
+        while free > 0:
+            n = min(chunk, free)
+            out.append((n * size, i, n))
+            free, chunk = free - n, 2 * chunk
     return out
 
 
-def _fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """The exact fit: a bounded-knapsack dynamic program over all words up to ``budget``, in powers of two of each size."""
-    take = np.zeros(len(sizes), dtype=np.int64)
-    reached, by = 1, np.full(budget + 1, -1, dtype=np.int32)  # bit s of reached: s words can be taken; by: the first part that reached it
-    parts: list[tuple[int, int]] = []
-    whole = (1 << (budget + 1)) - 1
-    for i in np.argsort(sizes, kind="stable"):
-        if sizes[i] <= 0 or sizes[i] > budget:
-            continue
-        free, chunk = min(int(counts[i]), budget // int(sizes[i])), 1
-        while free > 0:
-            n = min(chunk, free)
-            new = ((reached << (n * int(sizes[i]))) & whole) & ~reached
-            if new:
-                raw = np.frombuffer(new.to_bytes(budget // 8 + 1, "little"), np.uint8)
-                at = np.flatnonzero(raw)
-                row, bit = np.nonzero(np.unpackbits(raw[at], bitorder="little").reshape(-1, 8))
-                by[at[row] * 8 + bit] = len(parts)
-                reached |= new
-                parts.append((int(i), n))
-            free, chunk = free - n, chunk * 2
-        if reached.bit_length() > budget:
-            break
-    s = reached.bit_length() - 1
-    while s > 0:
-        i, n = parts[by[s]]
-        take[i] += n
-        s -= n * int(sizes[i])
-    return take
+def _reach(words: list[int], room: int) -> tuple[int, int]:
+    """Bit s is set if parts can sum to s <= room; and how many parts were used, as none is needed once all bits are set."""
+    bits, whole = 1, (1 << (room + 1)) - 1
+    for k, w in enumerate(words):
+        bits |= (bits << w) & whole
+        if bits == whole:
+            return bits, k + 1
+    return bits, len(words)
 
 
-def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each size to take, at most ``counts``, so that their words come nearest ``budget`` from below.
+def _reversed(bits: int, n: int) -> int:
+    """Bit i of ``n`` bits goes to n - 1 - i."""
+    size = -(-n // 8)
+    return int.from_bytes(bits.to_bytes(size, "little").translate(REVERSED)[::-1], "little") >> (8 * size - n)
 
-    A budget above the program's room is first brought down by an even share of the documents in the order of their
-    sizes, which leaves the room within one largest size; the program then fits all that is left from all documents
-    that are left, long ones too. Where it misses, it is run again with more room, up to DP_MOST: budgets up to that are
-    always fitted exactly, and larger ones miss only what no documents outside the share can fill.
-    """
-    total = int((sizes * counts).sum())
+
+def _choose(words: list[int], total: int, at: int = 0) -> list[int]:
+    """Places of parts that sum to ``total``, which they can: halves are asked for sums that add up to it."""
+    if not total:
+        return []
+    if len(words) == 1:
+        return [at]
+    half = len(words) // 2
+    one, two = _reach(words[:half], total)[0], _reach(words[half:], total)[0]
+    both = one & _reversed(two, total + 1)
+    left = (both & -both).bit_length() - 1
+    return _choose(words[:half], left, at) + _choose(words[half:], total - left, at + half)
+
+
+def _places(bits: int) -> np.ndarray:
+    raw = np.frombuffer(bits.to_bytes(bits.bit_length() // 8 + 1, "little"), np.uint8)
+    at = np.flatnonzero(raw)
+    row, bit = np.nonzero(np.unpackbits(raw[at], bitorder="little").reshape(-1, 8))
+    return at[row] * 8 + bit
+
+
+def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, room: int = ROOM) -> np.ndarray:
+    """How many documents of each size to take, at most ``counts``, so that their words come nearest ``budget`` from below."""
+    counts = np.where(sizes > 0, counts, 0).astype(np.int64)
+    total = sum(s * c for s, c in zip(sizes.tolist(), counts.tolist(), strict=True))
     if budget <= 0 or total <= 0:
         return np.zeros(len(sizes), dtype=np.int64)
     if budget >= total:
-        return np.where(sizes > 0, counts, 0)
-    unit = int(np.gcd.reduce(sizes[sizes > 0]))
+        return counts
+    unit = int(np.gcd.reduce(sizes[counts > 0]))
     sizes, total, budget = sizes // unit, total // unit, budget // unit
-    counts = np.where(sizes > 0, counts, 0)
-    order = np.argsort(sizes, kind="stable")
-    room, best, missed = max(DP_LIMIT, 4 * int(sizes.max())), None, budget + 1
-    most = max(DP_MOST, room)
+    largest, order = int(sizes[counts > 0].max()), np.argsort(sizes, kind="stable")
+    take = np.zeros(len(sizes), dtype=np.int64)
+    take[order] = np.diff(np.cumsum(counts[order]).astype(object) * max(0, budget - largest) // total, prepend=0).astype(np.int64)
+    had = sum(s * t for s, t in zip(sizes.tolist(), take.tolist(), strict=True))
+    missing, enough = budget - had, min(max(had, total - had), 2 * largest * (largest + 1), ROOM_MOST)
+    room = max(room, missing)
     while True:
-        take = np.zeros(len(sizes), dtype=np.int64)
-        if budget > room:
-            share = np.cumsum(counts[order]).astype(object) * (budget - room) // total
-            take[order] = np.diff(share, prepend=0).astype(np.int64)
-        take += _fill(sizes, counts - take, budget - int((sizes * take).sum()))
-        left = budget - int((sizes * take).sum())
-        if left < missed:
-            best, missed = take, left
-        if missed == 0 or room >= min(budget, most):
-            return best
-        room = min(4 * room, most)
+        adds, backs = _parts(sizes, counts - take, room), _parts(sizes, take, room)
+        (plus, n_plus), (minus, n_minus) = (_reach([w for w, *_ in parts], room) for parts in (adds, backs))
+        met = plus & (minus << missing)
+        if met:
+            a = (met & -met).bit_length() - 1
+            b = a - missing
+            break
+        if room >= enough:
+            up, down = _places(plus), _places(minus)
+            best = up[np.searchsorted(up, down + missing, side="right") - 1]
+            k = int((best - down).argmax())
+            a, b = int(best[k]), int(down[k])
+            break
+        room = min(8 * room, max(enough, missing))
+    for parts, n, amount, sign in ((adds, n_plus, a, 1), (backs, n_minus, b, -1)):
+        for k in _choose([w for w, *_ in parts[:n]], amount):
+            take[parts[k][1]] += sign * parts[k][2]
+    return take
 
 
 def _fit(counted: pd.DataFrame) -> pd.DataFrame:
@@ -130,18 +164,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
     sized = materialize(
         docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), size_udf(F.col("text")).alias("size")).hint("rebalance")
     )
-    counted = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
-    totals = {r["source"]: int(r["words"]) for r in counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words")).collect()}
-    targets = source_targets(totals, weights, share, most)
-    known = docs.sparkSession.createDataFrame(
-        [(s, int(totals[s]), float(t)) for s, t in targets.items()], "name string, source_size long, target double"
-    )
-    joined = counted.join(known, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    counted = materialize(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
+    known = source_targets(counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, share, most)
+    known = known.withColumnRenamed("source", "name")
     plan = materialize(
-        joined.groupBy("source").applyInPandas(
-            _fit, "source string, size long, n long, source_size long, target double, passes int, extra long"
-        )
-    )
+        counted.join(known, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+        .groupBy("source").applyInPandas(_fit, "source string, size long, n long, source_size long, target double, passes int, extra long")
+    )
     p = plan.withColumnsRenamed({"source": "p_source", "size": "p_size"})
     order = F.xxhash64(F.lit(seed), "doc_id", "text_hash")
     # a size's documents are ranked in about sqrt(n) blocks of sqrt(n), never all in one task
@@ -168,17 +197,23 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MO
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with the same columns, each row as often as the mix takes it."""
-    taken = (
-        mix(docs, **how)
-        .groupBy(F.col("doc_id").alias("_tm_doc"))
-        .agg(F.sort_array(F.collect_list(F.struct("text_hash", "source", "copies"))).alias("_tm_copies"))
+    """``docs`` with the same columns, each row as often as the mix takes it.
+
+    Rows of one document (equal doc_id, text and source) have equal sizes, so the mix takes them equally often but
+    for one more of some: a document's least number and how many rows get one more go back to its rows.
+    """
+    key, key2, least, more, times = free_names(docs.columns, "document", "document_", "least", "more", "times")
+    taken = mix(docs, **how).groupBy(F.struct("doc_id", "text_hash", "source").alias(key2)).agg(
+        F.min("copies").alias(least), (F.sum("copies") - F.count("*") * F.min("copies")).alias(more)
     )
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("_tm_doc")))
-    place = F.row_number().over(Window.partitionBy("_tm_doc").orderBy(F.xxhash64("text"), "source"))
+    # a struct has no nulls of its own, so one exchange of the texts by it serves the join and the window
+    named = docs.withColumn(key, F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("source")))
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "source")]
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(F.lit(0), *others)))
     return (
-        joined.withColumn("_tm_n", F.element_at("_tm_copies", place)["copies"])
-        .where("_tm_n > 0")
-        .withColumn("_tm_again", F.explode(F.sequence(F.lit(1), F.col("_tm_n"))))
-        .select(*[docs[c] for c in docs.columns])
+        named.join(taken, F.col(key) == F.col(key2))
+        .withColumn(times, F.col(least) + (place <= F.col(more)).cast("int"))
+        .where(F.col(times) > 0)
+        .withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+        .select(*docs.columns)
     )
