@@ -138,7 +138,7 @@ with p as (
   union all select pattern, false, a + 20 + 5 * b from k where c < 12
   union all select pattern, true, a + 120 from k where c < 12 and b % 2 = 0
   union all select pattern, true, (strpos('0123456789abcdef', substr(md5(pattern), 2, 1)) - 1) * 16 from s where substr(md5(pattern), 1, 1) = '0'
-), clean as (select lower(pattern) as pattern, since, bool_or(active) as active from changes group by 1, 2),
+), clean as (select lower(split_part(pattern, '/', 1)) || case when contains(pattern, '/') then '/' || split_part(pattern, '/', 2) else '' end as pattern, since, bool_or(active) as active from changes group by 1, 2),
 spans as (select pattern, active, since as valid_from, lead(since) over (partition by pattern order by since) as valid_to from clean),
 labels as (select page_id, day, host, segment, string_split(host, '.') as ls from p where host <> ''),
 keys as (

@@ -4,11 +4,13 @@ A list is a log of dated changes: (pattern, active, at). Changes of a pattern be
 [from, to); a capture is looked up by its host, each parent domain of at least two labels and host/first-segment, and
 an as-of join keeps the interval that holds its fetch time. DataFrame operations only.
 
-Defined results: patterns and hosts are compared in lower case without a trailing dot; changes with null pattern, null
-active or null date are ignored; of changes of a pattern at the same time an active one wins, repeated ones count once;
-captures with null or malformed URL or null fetch time are not listed; a capture is blocked if any interval holds it,
-and carries the longest pattern (ties: the smaller); repeated rows get equal results; an empty list blocks nothing;
-extra columns of captures stay.
+Defined results: hosts, of patterns and of captures, are compared in lower case without a trailing dot, paths as they
+are; changes with null pattern, null active or null date are ignored; of changes of a pattern at the same time an active
+one wins, repeated ones count once; captures with null or malformed URL or null fetch time are not listed; a capture is
+blocked if any interval holds it, and carries the longest pattern (ties: the smaller); repeated rows get equal results;
+URLs of any length are looked up whole, by as many keys as the host has labels; an empty list blocks nothing, empty
+captures give an empty result; extra columns of captures stay, whatever their names, but for ``blocked`` and ``pattern``,
+which are replaced.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import free_names
+
 
 def host_of(url: Column) -> Column:
     """Host in lower case, without user, port and trailing dot; empty if there is none."""
@@ -27,11 +31,17 @@ def segment_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)", 1)
 
 
+def normal(pattern: Column) -> Column:
+    """A pattern with its host, up to the first slash, in lower case and without a trailing dot."""
+    host = F.regexp_replace(F.lower(F.substring_index(pattern, "/", 1)), r"\.$", "")
+    return F.concat(host, F.regexp_extract(pattern, r"(?s)^[^/]*(/.*)?$", 1))
+
+
 def intervals(changes: DataFrame) -> DataFrame:
     """(pattern, active, at) -> (pattern, valid_from, valid_to) of the active times; valid_to is null while it lasts."""
     clean = (
         changes.where("pattern is not null and active is not null and at is not null")
-        .groupBy(F.lower(F.regexp_replace("pattern", r"\.$", "")).alias("pattern"), "at")
+        .groupBy(normal(F.col("pattern")).alias("pattern"), "at")
         .agg(F.max("active").alias("active"))
     )
     after = F.lead("at").over(Window.partitionBy("pattern").orderBy("at"))
@@ -52,13 +62,16 @@ def patterns_of(url: Column) -> Column:
 
 def filter_captures(captures: DataFrame, changes: DataFrame, url: str = "url", at: str = "fetched") -> DataFrame:
     """``captures`` with blocked boolean and pattern string (the longest that was active, or null)."""
-    looked = captures.select(F.col(url).alias("_url"), F.col(at).alias("_at")).where("_url is not null and _at is not null").distinct()
+    names = free_names([*captures.columns, "pattern", "valid_from", "valid_to"], "looked", "moment", "listed")
+    looked_url, moment, listed = names
+    looked = captures.select(F.col(url).alias(looked_url), F.col(at).alias(moment)).where(f"{looked_url} is not null and {moment} is not null").distinct()
     hits = (
-        looked.withColumn("pattern", F.explode(patterns_of(F.col("_url"))))
+        looked.withColumn("pattern", F.explode(patterns_of(F.col(looked_url))))
         .join(intervals(changes), "pattern")
-        .where("valid_from <= _at and (valid_to is null or _at < valid_to)")
-        .groupBy("_url", "_at")
-        .agg(F.min(F.struct((-F.length("pattern")).alias("n"), "pattern"))["pattern"].alias("_pattern"))
+        .where(f"valid_from <= {moment} and (valid_to is null or {moment} < valid_to)")
+        .groupBy(looked_url, moment)
+        .agg(F.min(F.struct((-F.length("pattern")).alias("n"), "pattern"))["pattern"].alias(listed))
     )
-    joined = captures.join(hits, (captures[url] == hits["_url"]) & (captures[at] == hits["_at"]), "left")
-    return joined.select(*[captures[c] for c in captures.columns], F.col("_pattern").isNotNull().alias("blocked"), F.col("_pattern").alias("pattern"))
+    joined = captures.join(hits, (captures[url] == hits[looked_url]) & (captures[at] == hits[moment]), "left")
+    kept = [captures[c] for c in captures.columns if c.lower() not in ("blocked", "pattern")]
+    return joined.select(*kept, F.col(listed).isNotNull().alias("blocked"), F.col(listed).alias("pattern"))
