@@ -2,16 +2,20 @@
 
 p(w | h) = l2 c(h,w)/c(h) + l1 c(w)/N + l0/(V+1), with (l2, l1, l0) chosen by the bucket floor(log2 c(h)) of the
 context's frequency and learned by expectation-maximisation on held-out counts: each training token is scored by
-the counts without itself (deleted).
+the counts without itself (deleted). For the learning alone, tokens are gathered in cells of a context bucket and thirds
+of a log2 step of both probabilities, and a cell enters with its mean probabilities; scores use exact counts.
 
 Counting and look-up are one exchange of distinct keys, not of tokens. Texts are packed into chunks of about
 ``CHUNK`` tokens; a chunk asks once for each of its distinct words and bigrams, keys (64-bit hashes) are dealt by
-range over ``parts`` groups, a group adds up what the chunks hold and answers each chunk in its own order. A key
-comes at most once from a chunk, so no key is hot, and a part grows with the input over ``parts``.
+range over groups, a group adds up what the chunks hold and answers each chunk in its own order. A key comes at most
+once from a chunk, so no key is hot, and there is a group for every ``PART`` tokens at least, so a group's keys stay
+bounded at every size.
 
 Defined results: a null, empty or blank text is one end token; a null doc_id counts as the empty text for the
-held-out rule; each row is a document, so repeated rows count again; with no training rows the model is the uniform
-floor; columns other than doc_id and text are ignored; an empty table gives an empty result.
+held-out rule; doc_ids may be of any type with a text form; each row is a document, so repeated rows count again; a
+text longer than ``CHUNK`` tokens is scored whole, as a chunk of its own, in memory that grows with it; with no training
+rows the model is the uniform floor over the unknown word alone (probability 1, score 0); columns other than doc_id and
+text are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ from pyspark.sql import functions as F
 from .common import ascii_words, materialize, shuffle_partitions
 
 CHUNK = 3_000_000
+#: Tokens of the input for each range of keys, at most.
+PART = 1 << 21
 FOLDS = 10
 ALPHA = 0.1
 #: The end of a text, and the context of its first word; no word hashes to it but by chance.
@@ -38,7 +44,7 @@ BUCKETS = 64
 STEPS = 3
 ROUNDS = 60
 
-STATE = "chunk long, doc_ids array<string>, held binary, lengths binary, codes binary, hashes binary"
+STATE = "chunk long, tokens long, doc_ids array<string>, held binary, lengths binary, codes binary, hashes binary"
 ASKED = "part int, chunk long, kind int, keys binary, counts binary"
 MERGED = f"{STATE}, words binary, pairs binary, n_train long, v_train long"
 ANSWER = "kind int, chunk long, part int, totals binary, n_train long, v_train long"
@@ -90,7 +96,7 @@ class _Chunk:
         rank[order] = np.arange(len(order))
         hashes = hashes[order]
         return pd.DataFrame(
-            {"chunk": [chunk], "doc_ids": [self.ids], "held": [np.array(self.held, np.uint8).tobytes()], "lengths": [pack(np.array(self.lengths, np.uint64))], "codes": [pack(rank[codes])], "hashes": [pack(hashes)]}
+            {"chunk": [chunk], "tokens": [len(codes)], "doc_ids": [self.ids], "held": [np.array(self.held, np.uint8).tobytes()], "lengths": [pack(np.array(self.lengths, np.uint64))], "codes": [pack(rank[codes])], "hashes": [pack(hashes)]}
         )
 
 
@@ -226,7 +232,12 @@ def deleted_counts(view: _View, words: np.ndarray, pairs: np.ndarray, n_train: i
 
 
 def learn_mixture(cells: pd.DataFrame, v_train: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Expectation-maximisation of (l2, l1, l0) for each bucket. A bucket without tokens gets even shares; bucket 0 has no l2."""
+    """Expectation-maximisation of (l2, l1, l0) for each bucket. A bucket without tokens gets even shares; bucket 0 has no l2.
+
+    Without a training token there are no counts to mix, and all is left to the floor.
+    """
+    if not v_train:
+        return np.tile([0.0, 0.0, 1.0], (BUCKETS + 1, 1))
     out = np.full((BUCKETS + 1, 3), 1 / 3)
     p0 = 1.0 / (v_train + 1)
     for b, own in cells.groupby("bucket"):
@@ -258,8 +269,8 @@ def _score(view: _View, doc_ids, words, pairs, n_train: int, v_train: int, mixtu
 def score_documents(docs: DataFrame, chunk_tokens: int = CHUNK) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``."""
     spark = docs.sparkSession
-    parts = max(64, 2 * shuffle_partitions(spark))
-    state = materialize(docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text").mapInPandas(lambda f: _encode(f, chunk_tokens), STATE))
+    state = materialize(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(lambda f: _encode(f, chunk_tokens), STATE))
+    parts = max(64, 2 * shuffle_partitions(spark), -(-(state.agg(F.sum("tokens")).first()[0] or 0) // PART))
     answers = state.mapInPandas(lambda f: _ask(f, parts), ASKED).groupBy("part").applyInPandas(_total, ANSWER)
     # state and answers meet once; learning and scoring then read the merged chunks without another exchange
     merged = materialize(state.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_merge, MERGED))
@@ -287,4 +298,4 @@ def score_documents(docs: DataFrame, chunk_tokens: int = CHUNK) -> DataFrame:
                 yield _score(view, row.doc_ids, *view.answered(row), n_train, v_train, mixture)
 
     scored = chunks.mapInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return scored.withColumn("doc_id", F.col("doc_id").cast("long"))
+    return scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
