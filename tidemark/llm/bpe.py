@@ -9,8 +9,9 @@ text; a window that never agrees grows to both whole halves.
 The tokenizer file is a parameter and is read by each Python worker, so its path must exist on every node.
 
 Defined results: a null text is an empty one (no ids, decoded empty); special tokens in a text become their ids, as
-the library does by default; rows are independent, so repeated rows give repeated results; columns other than doc_id
-and text are ignored; an empty table gives an empty result.
+the library does by default; rows are independent, so repeated rows give repeated results (of long texts one is encoded
+for all rows with its doc_id); doc_ids may be of any type with a text form; columns other than doc_id and text are
+ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from functools import cache
 
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +38,7 @@ WORD_END = re.compile(r"[A-Za-z0-9](?= [A-Za-z])")
 # Fixed value: the split pattern that byte-level BPE files imply.
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-SCHEMA = "doc_id long, ids array<int>, decoded string"
+RESULT = "ids array<int>, decoded string"
 
 
 def default_path() -> str:
@@ -149,8 +149,7 @@ def join_all(parts: list[list[int]], path: str) -> list[int]:
 
 def _arrow(doc_ids: pa.Array, ids: list[list[int]], decoded: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [doc_ids.cast(pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
-        names=["doc_id", "ids", "decoded"],
+        [doc_ids, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"]
     )
 
 
@@ -169,7 +168,8 @@ def _groups(texts: list[str]):
 def encode_decode(docs: DataFrame, path: str | None = None, piece: int = PIECE) -> DataFrame:
     """(doc_id, ids array<int>, decoded string) for each row of ``docs``."""
     path = path or default_path()
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    kind = docs.schema["doc_id"].dataType
+    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def whole(frames):
         for batch in frames:
@@ -179,12 +179,10 @@ def encode_decode(docs: DataFrame, path: str | None = None, piece: int = PIECE)
                 yield _arrow(batch.column("doc_id").slice(a, b - a), ids, decode_ids(ids, path))
 
     def cut(frames):
-        seen, task = 0, TaskContext.get().partitionId()
         for frame in frames:
-            for doc, text in zip(frame["doc_id"], frame["text"], strict=True):
-                parts = halves(text, piece)
-                yield pd.DataFrame({"row": f"{task}-{seen}", "doc_id": [doc] * len(parts), "place": range(len(parts)), "part": parts})
-                seen += 1
+            for row in frame.itertuples():
+                parts = halves(row.text, piece)
+                yield pd.DataFrame({"doc_id": [row.doc_id] * len(parts), "digest": row.digest, "n": row.n, "place": range(len(parts)), "part": parts})
 
     def encode(frames):
         for frame in frames:
@@ -192,18 +190,20 @@ def encode_decode(docs: DataFrame, path: str | None = None, piece: int = PIECE)
 
     def concatenate(parts: pd.DataFrame) -> pd.DataFrame:
         parts = parts.sort_values("place")
-        ids = join_all([list(map(int, x)) for x in parts["ids"]], path)
-        return pd.DataFrame({"doc_id": parts["doc_id"].iloc[:1], "ids": [ids], "decoded": decode_ids([ids], path)})
+        ids, n = join_all([list(map(int, x)) for x in parts["ids"]], path), int(parts["n"].iloc[0])
+        return pd.DataFrame({"doc_id": [parts["doc_id"].iloc[0]] * n, "ids": [ids] * n, "decoded": decode_ids([ids], path) * n})
 
-    short = base.where(F.length("text") <= piece).mapInArrow(whole, SCHEMA)
+    short = base.where(F.length("text") <= piece).mapInArrow(whole, f"doc_id {kind.simpleString()}, {RESULT}")
+    # pieces are named by doc_id and the text's digest, so that a task that runs again names them alike
     long_ = (
         base.where(F.length("text") > piece)
-        .withColumn("doc_id", F.col("doc_id").cast("string"))  # pandas has no integers with nulls
-        .mapInPandas(cut, "row string, doc_id string, place int, part string")
-        .repartition("row", "place")
-        .mapInPandas(encode, "row string, doc_id string, place int, ids array<int>")
-        .groupBy("row")
-        .applyInPandas(concatenate, SCHEMA.replace("doc_id long", "doc_id string"))
-        .withColumn("doc_id", F.col("doc_id").cast("long"))
+        .groupBy(F.col("doc_id").cast("string").alias("doc_id"), F.sha2("text", 256).alias("digest"))
+        .agg(F.first("text").alias("text"), F.count("*").alias("n"))
+        .mapInPandas(cut, "doc_id string, digest string, n long, place int, part string")
+        .repartition("doc_id", "digest", "place")
+        .mapInPandas(encode, "doc_id string, digest string, n long, place int, ids array<int>")
+        .groupBy("doc_id", "digest")
+        .applyInPandas(concatenate, f"doc_id string, {RESULT}")
+        .withColumn("doc_id", F.col("doc_id").cast(kind))
     )
     return short.unionByName(long_)
