@@ -190,8 +190,8 @@ def encode_decode(docs: DataFrame, path: str | None = None, piece: int = PIECE)
 
     def concatenate(parts: pd.DataFrame) -> pd.DataFrame:
         parts = parts.sort_values("place")
-        ids, n = join_all([list(map(int, x)) for x in parts["ids"]], path), int(parts["n"].iloc[0])
-        return pd.DataFrame({"doc_id": [parts["doc_id"].iloc[0]] * n, "ids": [ids] * n, "decoded": decode_ids([ids], path) * n})
+        ids = join_all([list(map(int, x)) for x in parts["ids"]], path)
+        return pd.DataFrame({"doc_id": parts["doc_id"].iloc[:1], "n": parts["n"].iloc[:1], "ids": [ids], "decoded": decode_ids([ids], path)})
 
     short = base.where(F.length("text") <= piece).mapInArrow(whole, f"doc_id {kind.simpleString()}, {RESULT}")
     # pieces are named by doc_id and the text's digest, so that a task that runs again names them alike
@@ -203,7 +203,8 @@ def encode_decode(docs: DataFrame, path: str | None = None, piece: int = PIECE)
         .repartition("doc_id", "digest", "place")
         .mapInPandas(encode, "doc_id string, digest string, n long, place int, ids array<int>")
         .groupBy("doc_id", "digest")
-        .applyInPandas(concatenate, f"doc_id string, {RESULT}")
-        .withColumn("doc_id", F.col("doc_id").cast(kind))
+        .applyInPandas(concatenate, f"doc_id string, n long, {RESULT}")
+        .select(F.col("doc_id").cast(kind).alias("doc_id"), "ids", "decoded", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+        .drop("col")
     )
     return short.unionByName(long_)
