@@ -11,7 +11,9 @@ with the smallest hashes, ``SAMPLE_QUERIES`` of them as queries). A sample is sp
 neighbours are farther and the fit errs to more probes. All vectors are indexed.
 
 Equal vectors are one entry with their 1 + top smallest ids: no other copy can be in a result. Cells are dealt into
-units of about ``UNIT`` entries, larger cells into several, queries into blocks; a unit returns its best for each query.
+units of about ``UNIT`` entries, larger cells into several. Queries are put into blocks with those that start in
+neighbouring cells, so that a block's visits overlap; an entry goes to the blocks that visit its cell, and to no others.
+A unit returns its best for each query.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, or have a null vec_id, take
 no part, as queries or candidates; only vectors of the most common length do; with fewer candidates than ``top`` a
@@ -162,8 +164,9 @@ def nearest(vectors: DataFrame, every: int = EVERY, top: int = TOP, target: floa
                 for at in range(0, len(frame), step := max(1, VISITS // p)):
                     some = frame.iloc[at : at + step]
                     x = shared.value.queries(stack(some["embedding"]))
+                    home = shared.value.visits(x, 0, 1)[:, 0]
                     for t in range(TABLES):
-                        yield pd.DataFrame({"query_id": some["vec_id"], "hash": some["hash"], "table": t, "cell": list(shared.value.visits(x, t, p))})
+                        yield pd.DataFrame({"query_id": some["vec_id"], "hash": some["hash"], "home": home, "table": t, "cell": list(shared.value.visits(x, t, p))})
 
         return visit
 
@@ -183,7 +186,7 @@ def nearest(vectors: DataFrame, every: int = EVERY, top: int = TOP, target: floa
 
     def cells_of(some, p):
         hashed = some.select("vec_id", "embedding", F.xxhash64("embedding").alias("hash"))
-        cells = hashed.mapInPandas(visiting(p), "query_id long, hash long, table int, cell array<long>")
+        cells = hashed.mapInPandas(visiting(p), "query_id long, hash long, home long, table int, cell array<long>")
         return cells.withColumn("cell", F.explode("cell")).join(directory, ["table", "cell"])
 
     def lacking(some, p):
@@ -195,25 +198,28 @@ def nearest(vectors: DataFrame, every: int = EVERY, top: int = TOP, target: floa
     while p < CELLS**k and not (todo := lacking(todo, p)).isEmpty():
         p = min(4 * p, CELLS**k)
         cells = cells.unionByName(cells_of(todo, p))
-    blocks = max(1, -(-queries.count() // QUERIES))
-    # a cell's entries are dealt over its pieces, and meet each block of queries
-    entries = (
-        placed.join(directory, ["table", "cell"])
-        .withColumn("piece", F.pmod(F.xxhash64("ids"), "pieces"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .select("table", unit.alias("unit"), "piece", "block", "cell", "ids", "embedding")
-    )
+    # queries by the leading digits of their first cell, and more than QUERIES of those by hash
+    digits = min(k, math.ceil(math.log(max(1, queries.count() / QUERIES), CELLS)))
+    cells = cells.withColumn("area", F.floor(F.col("home") / CELLS ** (k - digits)))
+    areas = cells.select("query_id", "area").distinct().groupBy("area").agg(F.ceil(F.count("*") / F.lit(QUERIES)).cast("long").alias("parts"))
+    cells = materialize(cells.join(areas, "area").withColumn("part", F.pmod(F.xxhash64("query_id"), "parts")))
+    cells = cells.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
     visited = (
-        cells.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
-        .groupBy("table", unit.alias("unit"), "piece", "query_id")
+        cells.groupBy("table", unit.alias("unit"), "piece", "area", "part", "query_id")
         .agg(F.collect_list("cell").alias("cells"))
         .join(queries.select(F.col("vec_id").alias("query_id"), "embedding"), "query_id")
-        .withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
     )
-    keys = ["table", "unit", "piece", "block"]
+    # a cell's entries are dealt over its pieces, and meet the blocks that visit it
+    entries = (
+        placed.join(directory.select("table", "cell", "pieces"), ["table", "cell"])
+        .withColumn("piece", F.pmod(F.xxhash64("ids"), "pieces"))
+        .join(cells.select("table", "cell", "piece", "area", "part").distinct(), ["table", "cell", "piece"])
+        .select(F.col("table").alias("e_table"), unit.alias("e_unit"), F.col("piece").alias("e_piece"), F.col("area").alias("e_area"), F.col("part").alias("e_part"), "cell", "ids", "embedding")
+    )
+    keys = ["table", "unit", "piece", "area", "part"]
     found = (
         visited.select(*keys, "query_id", "cells", "embedding").groupBy(*keys)
-        .cogroup(entries.groupBy(*keys))
+        .cogroup(entries.groupBy(*[f"e_{c}" for c in keys]))
         .applyInPandas(lambda q, e: best_of_unit(q, e, top), "query_id long, score double, ids array<long>")
     )
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
