@@ -1,10 +1,12 @@
 """Embedding near-dedup by cover trees and dual traversal: exact pairs above a cosine, within a label.
 
-On unit vectors cosine >= t means distance <= sqrt(2 - 2t). The top of the trees is a bounded random set of pivots:
-each vector belongs to its label's nearest pivot, and leaves over ``BLOCK`` vectors are dealt into blocks of their
-own. Pairs of leaves, then vectors against leaves, are pruned by covering-radius bounds. Each pair of blocks that is
-left is one Spark group: both blocks get cover trees with nested levels of halving radii, and a dual traversal prunes
-node pairs that are too far apart, takes node pairs that are near as a whole, and verifies the rest in double precision.
+On unit vectors cosine >= t means distance <= sqrt(2 - 2t). The top is a cover tree of its own for each label, over
+random pivots whose number grows with the vectors: each vector descends it, from the root to the nearest child, to a leaf,
+and leaves over ``BLOCK`` vectors are dealt into blocks of their own. Pairs of leaves, then vectors against leaves, are
+pruned by covering-radius bounds. Each pair of blocks that is left is one Spark group: both blocks get cover trees with
+nested levels of halving radii, and a dual traversal prunes node pairs that are too far apart, takes node pairs that
+are near as a whole, and verifies the rest in double precision. Distances are worked out for the children of node
+pairs that the bounds leave, and for no others; ``dual_links`` counts them.
 
 A block pair returns link counts and a spanning star of its links, never the pairs. Equal vectors of a label count as
 one with a multiplicity.
@@ -30,8 +32,8 @@ from .components import connected_components
 COSINE = 0.93
 #: Vectors of one block at most, and expected of one leaf.
 BLOCK = 2048
-#: Expected number of pivots at most, whatever the input.
-PIVOTS = 4096
+#: Expected number of pivots at most; beyond, leaves are dealt into more blocks.
+PIVOTS = 16_384
 #: Distances are trusted to this; what lies nearer to a bound is verified.
 EPS = 1e-7
 
@@ -48,61 +50,76 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class CoverTree:
     """Levels of nodes; each level halves the radius and keeps the centres of the level above (nested).
 
-    ``levels[k]``: centre, covering radius and parent of each node; ``members`` are the points of the last level's nodes.
+    ``levels[k]``: centre, covering radius of all points below, and parent of each node; ``owners[k]``: node of each
+    point; ``members``: the points of the last level's nodes. A level of a node is built from its own points only,
+    farthest first, with distances to the centres that are picked; ``evaluated`` counts them.
     """
 
     def __init__(self, points: np.ndarray, least: float):
-        d = distances(points, points)
         n = len(points)
-        owner = np.zeros(n, dtype=np.int64)
-        centres = np.zeros(1, dtype=np.int64)
-        self.levels = [(centres, np.array([d[0].max()]), np.zeros(1, dtype=np.int64))]
-        self.owners = [owner]  # node of each point, by level
-        radius = float(d[0].max()) / 2
+        self.points = points
+        owner, centres = np.zeros(n, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        apart = distances(points[:1], points)[0]  # of each point from its node's centre
+        self.evaluated = n
+        self.levels = [(centres, np.array([apart.max()]), np.zeros(1, dtype=np.int64))]
+        self.owners = [owner]
+        radius = float(apart.max()) / 2
         while len(centres) < n and radius * 2 > least:
-            new_owner = np.empty(n, dtype=np.int64)
+            new_owner, new_apart = np.empty(n, dtype=np.int64), np.zeros(n)
             new_centres, parents = [], []
             order = np.argsort(owner, kind="stable")
             cuts = np.searchsorted(owner[order], np.arange(len(centres) + 1))
             for node, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                 own = order[a:b]
-                if b - a == 1:
-                    new_owner[own] = len(new_centres)
-                    new_centres.append(own[0])
-                    parents.append(node)
-                    continue
-                best = np.full(len(own), np.inf)
-                at = np.zeros(len(own), dtype=np.int64)
-                pick = int(np.flatnonzero(own == centres[node])[0])
-                while True:
-                    near = d[own[pick], own]
+                at, best = np.full(len(own), len(new_centres)), apart[own].copy()  # the node's centre is the first again
+                new_centres.append(centres[node])
+                parents.append(node)
+                while len(own) > 1 and best[pick := int(best.argmax())] > radius:
+                    near = distances(points[own[pick]][None], points[own])[0]
+                    near[pick] = 0.0
+                    self.evaluated += len(own)
                     closer = near < best
                     best[closer], at[closer] = near[closer], len(new_centres)
                     new_centres.append(own[pick])
                     parents.append(node)
-                    pick = int(best.argmax())
-                    if best[pick] <= radius:
-                        break
-                new_owner[own] = at
-            centres, owner = np.array(new_centres), new_owner
+                new_owner[own], new_apart[own] = at, best
+            centres, owner, apart = np.array(new_centres), new_owner, new_apart
             reach = np.zeros(len(centres))
-            np.maximum.at(reach, owner, d[centres[owner], np.arange(n)])
+            np.maximum.at(reach, owner, apart)
             self.levels.append((centres, reach, np.array(parents)))
             self.owners.append(owner)
             radius /= 2
         order = np.argsort(owner, kind="stable")
         self.members = np.split(order, np.searchsorted(owner[order], np.arange(1, len(centres))))
-        # a node covers what the nodes below it hold: raise the radii to be safe for all levels above
-        for k in range(len(self.levels) - 2, -1, -1):
-            centre, reach, _ = self.levels[k]
-            below, low, parent = self.levels[k + 1]
-            np.maximum.at(reach, parent, d[centre[parent], below] + low)
 
     def children(self, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """Start of each node's children at the next level (they are consecutive), and how many."""
+        """Start of each node's children at the next level (they are consecutive), and how many; at the last, the node itself."""
+        if level >= len(self.levels) - 1:
+            n = len(self.levels[-1][0])
+            return np.arange(n), np.ones(n, dtype=np.int64)
         count = np.bincount(self.levels[level + 1][2], minlength=len(self.levels[level][0]))
         return np.concatenate([[0], np.cumsum(count)[:-1]]), count
 
+    def descend(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A last-level node for each of ``points``, found by going to the nearest child level by level, and the distance from its centre."""
+        node, apart = np.zeros(len(points), dtype=np.int64), distances(points, self.points[self.levels[0][0]])[:, 0]
+        for level in range(len(self.levels) - 1):
+            start, count = self.children(level)
+            below = self.levels[level + 1][0]
+            next_node = np.empty(len(points), dtype=np.int64)
+            order = np.argsort(node, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(node[order])) + 1):
+                if not len(own):
+                    continue
+                a, n = start[node[own[0]]], count[node[own[0]]]
+                if n == 1:  # its only child has its centre
+                    next_node[own] = a
+                    continue
+                d = distances(points[own], self.points[below[a : a + n]])
+                next_node[own], apart[own] = a + d.argmin(axis=1), d.min(axis=1)
+            node = next_node
+        return node, apart
+
 
 def _spread(a_start, a_count, b_start, b_count):
     """All pairs of children of each pair of nodes."""
@@ -112,8 +129,27 @@ def _spread(a_start, a_count, b_start, b_count):
     return a_start[pair] + k // b_count[pair], b_start[pair] + k % b_count[pair]
 
 
+#: Pairs of nodes that are measured at a time.
+AT_ONCE = 1 << 19
+
+
+def _measured(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distance of each of the pairs (a[x], b[y]) and of no others, but where most of a block of them is wanted."""
+    out = np.empty(len(x))
+    for at in range(0, len(x), AT_ONCE):
+        i, j = x[at : at + AT_ONCE], y[at : at + AT_ONCE]
+        ui, ri = np.unique(i, return_inverse=True)
+        uj, rj = np.unique(j, return_inverse=True)
+        if len(ui) * len(uj) <= 2 * len(i):
+            out[at : at + AT_ONCE] = distances(a[ui], b[uj])[ri, rj]
+        else:
+            out[at : at + AT_ONCE] = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * np.einsum("ij,ij->i", a[i], b[j])))
+    return out
+
+
 def dual_links(a: np.ndarray, b: np.ndarray | None, b_weights: np.ndarray, a_weights: np.ndarray, cosine: float = COSINE):
-    """Links between the points of two blocks (b None: within one): weighted counts of both, and joined pairs of places.
+    """Links between the points of two blocks (b None: within one): weighted counts of both, joined pairs of places, and
+    how many distances were worked out.
 
     Places of ``b`` follow those of ``a``. The joined pairs connect exactly what the links connect.
     """
@@ -123,23 +159,25 @@ def dual_links(a: np.ndarray, b: np.ndarray | None, b_weights: np.ndarray, a_wei
     limit = math.sqrt(max(0.0, 2 - 2 * cosine))
     ta = CoverTree(ua, limit / 4)
     tb = ta if within else CoverTree(ub, limit / 4)
-    d = distances(ua, ub)
+    evaluated = ta.evaluated + (0 if within else tb.evaluated)
     shift = 0 if within else len(a)
     links_a, links_b = np.zeros(len(a), dtype=np.int64), np.zeros(len(ub), dtype=np.int64)
     joined: list[np.ndarray] = []
     depth = max(len(ta.levels), len(tb.levels)) - 1
     i, j = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+    apart = _measured(ua, ta.levels[0][0], ub, tb.levels[0][0])
     for level in range(depth + 1):
         la, lb = min(level, len(ta.levels) - 1), min(level, len(tb.levels) - 1)
         (ca, ra, _), (cb, rb, _) = ta.levels[la], tb.levels[lb]
-        apart = d[ca[i], cb[j]]
         keep = apart - ra[i] - rb[j] <= limit + EPS
         i, j, apart = i[keep], j[keep], apart[keep]
         # node pairs that are near as a whole: each member of one links with all of the other
         whole = apart + ra[i] + rb[j] <= limit - EPS
-        x, y = i[whole], j[whole]
+        x, y, mirrored = i[whole], j[whole], False
         i, j = i[~whole], j[~whole]
         if len(x):
+            if within:  # a pair of different nodes stands for both of its orders
+                x, y, mirrored = np.concatenate([x, y[x != y]]), np.concatenate([y, x[x != y]]), True
             oa, ob = ta.owners[la], tb.owners[lb]
             links_a += np.bincount(x, np.bincount(ob, b_weights, len(cb))[y], len(ca)).astype(np.int64)[oa]
             first_y, first_x = np.full(len(ca), -1), np.full(len(cb), -1)
@@ -149,7 +187,7 @@ def dual_links(a: np.ndarray, b: np.ndarray | None, b_weights: np.ndarray, a_wei
             theirs = np.flatnonzero(first_x[ob] >= 0)
             joined.append(np.stack([first_x[ob[theirs]], theirs + shift], axis=1))
             joined.append(np.stack([ca[x], cb[y] + shift], axis=1))
-            if within:  # no point links with itself
+            if mirrored:  # no point links with itself
                 own = np.isin(oa, x[x == y])
                 links_a[own] -= b_weights[own]
             else:
@@ -157,18 +195,21 @@ def dual_links(a: np.ndarray, b: np.ndarray | None, b_weights: np.ndarray, a_wei
         if level == depth or not len(i):
             break
         both = []
+        (sa, na), (sb, nb) = ta.children(la), tb.children(lb)
+        (xa, xr, _), (yb, yr, _) = ta.levels[min(la + 1, len(ta.levels) - 1)], tb.levels[min(lb + 1, len(tb.levels) - 1)]
         for at in range(0, len(i), 4096):  # bounded memory for the children's pairs
-            x, y = i[at : at + 4096], j[at : at + 4096]
-            sa, na = ta.children(la) if la < len(ta.levels) - 1 else (np.arange(len(ca)), np.ones(len(ca), dtype=np.int64))
-            sb, nb = tb.children(lb) if lb < len(tb.levels) - 1 else (np.arange(len(cb)), np.ones(len(cb), dtype=np.int64))
-            x, y = _spread(sa[x], na[x], sb[y], nb[y])
-            (xa, xr, _), (yb, yr, _) = ta.levels[min(la + 1, len(ta.levels) - 1)], tb.levels[min(lb + 1, len(tb.levels) - 1)]
-            near = d[xa[x], yb[y]] - xr[x] - yr[y] <= limit + EPS
-            both.append((x[near], y[near]))
-        i, j = (np.concatenate(z) for z in zip(*both, strict=True))
+            x, y = _spread(sa[i[at : at + 4096]], na[i[at : at + 4096]], sb[j[at : at + 4096]], nb[j[at : at + 4096]])
+            if within:  # each pair once
+                x, y = x[x <= y], y[x <= y]
+            d = _measured(ua, xa[x], ub, yb[y])
+            evaluated += len(x)
+            near = d - xr[x] - yr[y] <= limit + EPS
+            both.append((x[near], y[near], d[near]))
+        i, j, apart = (np.concatenate(z) for z in zip(*both, strict=True))
     for x, y in zip(i.tolist(), j.tolist(), strict=True):
         ma, mb = ta.members[x], tb.members[y]
-        own = d[np.ix_(ma, mb)]
+        own = distances(ua[ma], ub[mb])
+        evaluated += own.size
         hit = own <= limit - EPS
         for p, q in zip(*np.nonzero((own <= limit + EPS) & ~hit), strict=True):
             v, w = a[ma[p]], raw_b[mb[q]]
@@ -179,6 +220,8 @@ def dual_links(a: np.ndarray, b: np.ndarray | None, b_weights: np.ndarray, a_wei
             links_a[ma] += hit @ b_weights[mb]
             if not within:
                 links_b[mb] += a_weights[ma] @ hit
+            elif x != y:
+                links_a[mb] += a_weights[ma] @ hit
             # each point to its first link, and the points that share one another through it
             rows, cols = hit.any(axis=1), hit.any(axis=0)
             joined.append(np.stack([ma[rows], mb[hit[rows].argmax(axis=1)] + shift], axis=1))
@@ -187,7 +230,7 @@ def dual_links(a: np.ndarray, b: np.ndarray | None, b_weights: np.ndarray, a_wei
                 p, q = np.nonzero(hit)
                 joined.append(np.stack([ma[p], mb[q] + shift], axis=1))
     pairs = np.concatenate(joined) if joined else np.zeros((0, 2), dtype=np.int64)
-    return links_a, links_b, pairs
+    return links_a, links_b, pairs, evaluated
 
 
 def roots(n: int, pairs: np.ndarray) -> np.ndarray:
@@ -215,9 +258,9 @@ def _traverse(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
     if cut == 0 or (not within and cut == len(v)):
         return out
     if within:
-        links, _, pairs = dual_links(v, None, weights, weights, cosine)
+        links, _, pairs, _ = dual_links(v, None, weights, weights, cosine)
     else:
-        la, lb, pairs = dual_links(v[:cut], v[cut:], weights[cut:], weights[:cut], cosine)
+        la, lb, pairs, _ = dual_links(v[:cut], v[cut:], weights[cut:], weights[:cut], cosine)
         links = np.concatenate([la, lb])
     root = roots(len(v), pairs)
     hit = links > 0
@@ -233,10 +276,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
         rows.where("valid").groupBy("label", "dim", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
     )
     total = distinct.count()
-    # a bounded random sample of pivots: about one for each block, PIVOTS at most
+    # a random sample of pivots: about one for each block, PIVOTS at most
     every = max(block, -(-total // pivots))
     sampled = distinct.where(F.pmod(F.xxhash64("embedding", F.lit(1)), F.lit(every)) == 0).select("label", "dim", "embedding").orderBy("label", "embedding").toPandas()
-    top = {key: unit(stack(own["embedding"])) for key, own in sampled.groupby(["label", "dim"])} if len(sampled) else {}
+    top = {key: CoverTree(unit(stack(own["embedding"])), 0.0) for key, own in sampled.groupby(["label", "dim"])} if len(sampled) else {}
 
     def assign(frames):
         for frame in frames:
@@ -244,22 +287,24 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
             leaf, far = np.zeros(len(frame), dtype=np.int64), np.ones(len(frame))
             for key, own in frame.groupby(["label", "dim"]):
                 if key in top:
-                    d = distances(unit(stack(own["embedding"])), top[key])
-                    leaf[own.index], far[own.index] = d.argmin(axis=1), d.min(axis=1)
+                    leaf[own.index], far[own.index] = top[key].descend(unit(stack(own["embedding"])))
             yield frame.assign(leaf=leaf, far=far)
 
     placed = materialize(distinct.mapInPandas(assign, f"label {label}, dim int, embedding {array}, rep long, n long, leaf long, far double"))
     leaves = materialize(placed.groupBy("label", "dim", "leaf").agg(F.count("*").alias("size"), F.max("far").alias("radius")))
 
-    def centre(key, leaf):
-        return top[key][leaf] if key in top else np.zeros(key[1])  # the root of a label without pivots
+    def centres(key, leaf):
+        # the root of a label without pivots has all vectors within 1 of the origin
+        return top[key].points[top[key].levels[-1][0][leaf]] if key in top else np.zeros((len(leaf), key[1]))
 
     def near_leaves(frames):
         for frame in frames:
-            far = np.array([
-                np.linalg.norm(centre((r.label, r.dim), r.leaf) - centre((r.label, r.dim), r.leaf_b)) for r in frame.itertuples()
-            ])
-            yield frame[far - frame["radius"] - frame["radius_b"] <= limit + EPS] if len(frame) else frame
+            frame = frame.reset_index(drop=True)
+            keep = np.zeros(len(frame), dtype=bool)
+            for key, own in frame.groupby(["label", "dim"]):
+                d = np.linalg.norm(centres(key, own["leaf"].to_numpy()) - centres(key, own["leaf_b"].to_numpy()), axis=1)
+                keep[own.index] = d - own["radius"] - own["radius_b"] <= limit + EPS
+            yield frame[keep]
 
     a, b = leaves, leaves.select("label", "dim", F.col("leaf").alias("leaf_b"), F.col("size").alias("size_b"), F.col("radius").alias("radius_b"))
     # at most PIVOTS leaves meet here, so at most PIVOTS^2 / 2 pairs of leaves, whatever the input
@@ -286,8 +331,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
         for frame in frames:
             frame = frame.reset_index(drop=True)
             keep = np.ones(len(frame), dtype=bool)
-            for (label, dim, other), own in frame[frame["two"]].groupby(["label", "dim", "other"]):
-                d = np.linalg.norm(unit(stack(own["embedding"])) - centre((label, dim), other)[None, :], axis=1)
+            for key, own in frame[frame["two"]].groupby(["label", "dim"]):
+                d = np.linalg.norm(unit(stack(own["embedding"])) - centres(key, own["other"].to_numpy()), axis=1)
                 keep[own.index] = d <= own["reach"].to_numpy() + limit + EPS
             yield frame.loc[keep, ["unit", "two", "side", "rep", "n", "embedding"]]
 
