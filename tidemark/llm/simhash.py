@@ -4,13 +4,15 @@ A text's fingerprint has 64 bits over its 3-word shingles. Fingerprints that dif
 at most 2 of their 8 bytes, so they share at least 6 positional bytes: the guaranteed minimum. Lists of single
 positional bytes hold n/256 fingerprints each and their pairs grow with n squared, so the index keeps the
 intersections of six single-byte lists instead (28 of them a fingerprint). A pair meets in such a list exactly if
-its tally of shared positional bytes reaches 6, and a list can't hold more than 65,536 fingerprints, whatever the
-input. Pairs of a list are tallied, verified by Hamming distance and contracted to a spanning star, so that groups
-of copies make no more links than members. Equal fingerprints count as one node.
+its tally of shared positional bytes reaches 6, so the key stands for the count filter, and a list can't hold more than
+65,536 fingerprints, whatever the input. Pairs of a list are verified by Hamming distance (in lists of up to
+``SMALL_LIST`` all of them, in longer ones those that look-ups of a value's neighbours find) and contracted to a
+spanning star, so that groups of copies make no more links than members. Equal fingerprints count as one node.
 
 Defined results: null, empty and blank texts have fingerprint zero and link like any other; fewer than three words
 are one shingle; a group whose doc_ids are all null has a null component; rows with equal doc_id are rows of
-one document; columns other than doc_id and text are ignored; an empty table gives an empty result.
+one document; texts of any length are read whole, their shingles a chunk at a time; columns other than doc_id and text
+are ignored and kept, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import ascii_words, materialize, shuffle_partitions
+from .common import ascii_words, free_names, materialize, shuffle_partitions
 from .components import connected_components
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
@@ -139,12 +141,12 @@ def hex_digits(fingerprint):
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is its component's smallest; of rows with equal doc_id one stays. Rows without doc_id stay."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_tm_kept")).distinct()
+    kept_id, order, rank = free_names(docs.columns, "kept_id", "order", "rank")
+    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias(kept_id)).distinct()
     named = docs.where("doc_id is not null")
-    rank = F.row_number().over(Window.partitionBy("_tm_kept").orderBy("_tm_order"))
     one = (
-        named.withColumn("_tm_order", F.xxhash64("text"))
-        .join(kept, F.col("doc_id") == F.col("_tm_kept"))
-        .withColumn("_tm_rank", rank).where("_tm_rank = 1").select(*docs.columns)
+        named.withColumn(order, F.xxhash64("text"))
+        .join(kept, F.col("doc_id") == F.col(kept_id))
+        .withColumn(rank, F.row_number().over(Window.partitionBy(kept_id).orderBy(order))).where(f"{rank} = 1").select(*docs.columns)
     )
     return one.unionByName(docs.where("doc_id is null"))
