@@ -51,16 +51,26 @@ STAGES = [
     ("tokenizing", tokenize),
 ]
 
-#: The classifier, the fingerprints and the tokenizer aren't SQL; tests/llm compare the stages with brute force.
+#: The classifier, the fingerprints and the tokenizer aren't SQL; tests/llm compare run()'s rows with plain Python.
 ORACLE_SQL = None
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared checkpoint folder and read again."""
+    """All stages over ``documents``, each written to the shared checkpoint folder and read again.
+
+    A stage's folder goes when the next one is written; the last stays for the result to be read from.
+    """
     docs, to = read_table(spark, sf_dir, "documents"), f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{to}/{k}")
             docs = spark.read.parquet(f"{to}/{k}")
+            if k:
+                _delete(spark, f"{to}/{k - 1}")
     return docs
