@@ -28,9 +28,12 @@ def test_upsert_and_replace(spark, tmp_path):
     new = spark.createDataFrame([(2, "c", 9)], "k long, v string, w long")
     got = sorted((r["k"], r["v"], r["w"]) for r in catalog.upsert(old, new, ["k"]).collect())
     assert got == [(1, "a", None), (2, "c", 9)]
-    for df in (old, new):
-        catalog.replace_table(df, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+    root = str(tmp_path / "t")
+    catalog.replace_tables({"a": old, "b": old}, root)
+    first = catalog.current_generation(spark, root)
+    catalog.replace_tables({"a": new}, root)
+    assert catalog.current_table(spark, root, "a").count() == 1 and catalog.current_generation(spark, root) != first
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith(".")) == sorted(["CURRENT", catalog.current_generation(spark, root)])
 
 
 def test_text_rules(spark):

@@ -63,15 +63,15 @@ def test_in_all_counts_a_repeated_key_once(spark):
 
 def test_earlier_ranks_agree_with_pairs(spark):
     rng = random.Random(3)
-    rows = [(i, rng.choice(["a", "a", "a", "b", None]), rng.randrange(40), rng.choice([None, rng.randrange(40)]), rng.choice([None, 0, 1, 5, 7, rng.randrange(128), -1, 200])) for i in range(300)]
+    rows = [(i, rng.choice(["a", "a", "a", "b", None]), rng.randrange(40), rng.choice([None, rng.randrange(40)]), rng.choice([None, 0, 1, 5, 7, rng.randrange(128), -1, 200, 5_000_000_000])) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, k string, at long, ev long, v long")
-    got = {r["id"]: tuple(r)[1:] for r in ranks.earlier_ranks(df, "id", "k", "at", "ev", "v", 7).collect()}
-    fits = lambda v: v is not None and 0 <= v < 128
+    got = {r["id"]: tuple(r)[1:] for r in ranks.earlier_ranks(df, ["id"], "k", "at", "ev", "v").collect()}
+    fits = lambda v: v is not None
     for i, k, at, _, v in rows:
         past = [w for _, k2, _, ev, w in rows if k2 == k and ev is not None and ev < at and fits(w)]
         want = (sum(w < v for w in past), sum(w == v for w in past), len(past)) if k is not None and fits(v) else (None,) * 3
         assert got[i] == want
-    assert ranks.earlier_ranks(df.limit(0), "id", "k", "at", "ev", "v", 7).count() == 0
+    assert ranks.earlier_ranks(df.limit(0), ["id"], "k", "at", "ev", "v").count() == 0
 
 
 def test_calibration_line_finds_a_known_fit(spark):
@@ -97,7 +97,22 @@ def test_macro_f1_and_kappa_of_perfect_and_empty(spark):
 
 def test_fill_keeps_blanks_without_a_pool(spark):
     df = spark.createDataFrame([(1, "a", "x"), (2, "a", None), (3, "b", None), (4, None, None)], "id long, g string, v string")
-    assert {r["id"]: r["v"] for r in ranks.fill_from_pool(df, "id", "g", "v", "s").collect()} == {1: "x", 2: "x", 3: None, 4: None}
+    assert {r["id"]: r["v"] for r in ranks.fill_from_pool(df, "id", "g", "v", "s", least=1).collect()} == {1: "x", 2: "x", 3: "x", 4: "x"}
+    assert ranks.fill_from_pool(df.where("id > 1"), "id", "g", "v", "s").where("v is not null").count() == 0
+
+
+def test_fill_draws_every_value_of_the_right_pool(spark):
+    rows = [(i, "big", i) for i in range(25)] + [(100 + i, "small", 900 + i) for i in range(3)] + [(1000 + i, g, None) for i in range(600) for g in ["big" if i % 2 else "small"]]
+    got = ranks.fill_from_pool(spark.createDataFrame(rows, "id long, g string, v long"), "id", "g", "v", "s").where("id >= 1000").collect()
+    assert {r["v"] for r in got if r["g"] == "big"} == set(range(25)) and {r["v"] for r in got if r["g"] == "small"} == {*range(25), 900, 901, 902}
+
+
+def test_versions_sort_like_releases(spark):
+    order = ["1.0.0-alpha", "1.0.0-alpha.1", "1.0.0-beta.2", "1.0.0-beta.11", "1.0.0-rc1", "1.0.0", "1.2", "1.2.3", "1.2.3.4", "1.10"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(order)], "i int, v string")
+    assert [r["i"] for r in df.orderBy(text.version_key(F.col("v"))).collect()] == list(range(len(order)))
+    one = spark.range(1).select((text.version_key(F.lit("1.0")) == text.version_key(F.lit("1.0.0+b"))).alias("same"), text.version_key(F.lit("none")).isNull().alias("none"), text.version_in_range(F.lit("1.5.0-rc1"), ">= 1.4, < 1.5.0").alias("inside")).first()
+    assert tuple(one) == (True, True, True)
 
 
 def test_durations(spark):

@@ -28,6 +28,24 @@ def test_prior_counts_strictly_earlier_events_within_the_window(spark):
         assert got[i]["since"] == (t - max(c for c, _ in before) if before else None)
 
 
+def test_buckets_and_moments_of_leaving(spark):
+    rows, df = frame(spark, seed=4)
+    df = df.withColumn("until", F.when(F.col("id") % 3 > 0, F.col("closed") + F.col("w") * 9))
+    for bucket in (7, 50, 10_000):
+        got = {r["id"]: r for r in pit.prior(df, ["key"], "t", "closed", {"n": (F.lit(1), F.col("until")), "near": (F.col("w"), 30)}, last="since", first="age", bucket=bucket).collect()}
+        for i, key, t, _, _ in rows:
+            before = [(c, w, c + w * 9 if j % 3 else None) for j, k, _, c, w in rows if key is not None and k == key and c is not None and c < t]
+            if key is not None:
+                assert got[i]["n"] == sum(u is None or t <= u for _, _, u in before) and got[i]["near"] == sum(w for c, w, _ in before if c >= t - 30)
+                assert (got[i]["since"], got[i]["age"]) == ((t - max(c for c, *_ in before), t - min(c for c, *_ in before)) if before else (None, None))
+
+
+def test_a_hot_key_takes_time_in_proportion(spark):
+    hot = spark.range(1_000_000).select(F.lit("hot").alias("key"), (F.col("id") * 60).alias("t"), F.lit(1).alias("w"))
+    got = pit.prior(hot, ["key"], "t", "t", {"near": (F.col("w"), 30 * 86_400)}).agg(F.max("near").alias("m"), F.count("*").alias("n")).first()
+    assert (got["m"], got["n"]) == (43_200, 1_000_000)
+
+
 def test_rows_before_a_cut_do_not_change_when_the_future_goes(spark):
     _, df = frame(spark, seed=3)
     sums = {"n": (F.lit(1), None)}
@@ -38,7 +56,7 @@ def test_rows_before_a_cut_do_not_change_when_the_future_goes(spark):
 
 def test_last_k_matches_brute_force(spark):
     rows, df = frame(spark, seed=5)
-    got = {r["id"]: (r["x_sum"], r["x_n"]) for r in pit.prior_last_k(df, "key", "t", "closed", F.col("w"), 3, "id", "x").collect()}
+    got = {r["id"]: (r["x_3"], r["n_3"]) for r in pit.prior_last_k(df, ["key"], "t", "closed", {"x": F.col("w")}, [3, 5], "id").collect()}
     for i, key, t, _, _ in rows:
         before = sorted((c, j, w) for j, k, _, c, w in rows if key is not None and k == key and c is not None and c < t)[-3:]
         assert got[i] == ((None, None) if key is None else (float(sum(w for *_, w in before)), float(len(before))))

@@ -64,14 +64,38 @@ def body_features(body: Column) -> dict[str, Column]:
     }
 
 
-def version_key(version: Column) -> Column:
-    """Parts of a version in an order where numbers compare as numbers, and before text."""
+def folder_version_key(version: Column) -> Column:
+    """Parts of a folder's version in an order where numbers compare as numbers, and before text."""
     return F.transform(
         F.split(version, r"[.\-+]"),
         lambda p: F.struct((~p.rlike("^[0-9]+$")).alias("is_text"), F.coalesce(p.try_cast("long"), F.lit(0)).alias("number"), F.when(~p.rlike("^[0-9]+$"), p).otherwise("").alias("text")),
     )
 
 
+def version_key(version: Column) -> Column:
+    """A release's place: all numbers of its core without trailing zeros, then pre-releases before the release, part by
+    part, numbers before text. Build data (+...) doesn't count; a version without a number is null."""
+    whole = F.regexp_replace(version, r"\+.*$", "")
+    core, pre = F.regexp_extract(whole, "^([^-]*)", 1), F.regexp_extract(whole, "^[^-]*-(.*)$", 1)
+    numbers = F.transform(F.regexp_extract_all(core, F.lit("([0-9]+)"), F.lit(1)), lambda n: n.cast("long"))
+    last = F.coalesce(F.array_max(F.transform(numbers, lambda n, i: F.when(n > 0, i + 1))), F.lit(1))
+    parts = F.transform(
+        F.filter(F.split(pre, r"[.\-]"), lambda p: p != ""),
+        lambda p: F.struct((~p.rlike("^[0-9]+$")).alias("is_text"), F.coalesce(p.try_cast("long"), F.lit(0)).alias("number"), F.when(~p.rlike("^[0-9]+$"), p).otherwise("").alias("text")),
+    )
+    return F.when(F.size(numbers) > 0, F.struct(F.slice(numbers, F.lit(1), last).alias("core"), (pre == "").alias("is_release"), parts.alias("pre")))
+
+
+def version_in_range(version: Column, wanted: str) -> Column:
+    """Whether a version meets all comma-separated bounds (<, <=, >, >=, = and a version); null if it has no number."""
+    out, own = F.lit(True), version_key(version)
+    for bound in wanted.split(","):
+        sign, other = bound.split()
+        key = version_key(F.lit(other))
+        out = out & {"<": own < key, "<=": own <= key, ">": own > key, ">=": own >= key, "=": own == key}[sign]
+    return out
+
+
 def duration(seconds: Column) -> Column:
     """Whole seconds in their two largest units: 42s, 3m 5s, 2h 10m, 4d 7h."""
     parts = {86_400: ("d", 3600, "h"), 3600: ("h", 60, "m"), 60: ("m", 1, "s")}

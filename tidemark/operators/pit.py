@@ -1,7 +1,7 @@
 """Point-in-time aggregates: a row sees only events strictly before its own moment.
 
-Events and queries are put into one relation and a RANGE frame over integer seconds ends one second before the query,
-so ties never count and no self-join is made. Rows with a null key get null history.
+Events and queries are put into one relation and a growing RANGE frame over integer seconds ends one second before the
+query, so ties never count and no self-join is made. Rows with a null key get null history.
 """
 
 from __future__ import annotations
@@ -13,54 +13,83 @@ from pyspark.sql import functions as F
 ALWAYS = Window.unboundedPreceding
 
 
-def _frame(keys: list[str], window: int | None):
-    return Window.partitionBy(*keys).orderBy("_x").rangeBetween(ALWAYS if window is None else -window, -1)
+#: Seconds of a key's time that make a bucket: a busy key is dealt over its buckets, each of which starts from the totals of those before.
+BUCKET = 90 * 86_400
 
 
-def _timeline(rows: DataFrame, keys: list[str], at: str, event: str, values: dict[str, Column], events: DataFrame | None = None) -> DataFrame:
-    """Queries (with their row in _row) and events (with their values) of the known keys, by _x."""
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
-    source = rows if events is None else events
-    one = rows.where(known).select(*keys, F.col(at).cast("long").alias("_x"), F.struct(*rows.columns).alias("_row"), *[F.lit(None).cast("double").alias(n) for n in values])
-    two = source.where(known & F.col(event).isNotNull()).select(*keys, F.col(event).cast("long").alias("_x"), F.lit(None).alias("_row"), *[v.cast("double").alias(n) for n, v in values.items()])
-    return one.unionByName(two)
-
-
-def prior(rows: DataFrame, keys: list[str], at: str, event: str, sums: dict[str, tuple[Column, int | None]] | None = None,
-          last: str | None = None, first: str | None = None, events: DataFrame | None = None) -> DataFrame:
-    """``rows`` with, for each name of ``sums``, the sum of its column over events of the same key with event < at (and
-    at - window <= event); ``last``/``first``: seconds since the latest/earliest such event.
+def prior(rows: DataFrame, keys: list[str], at: str, event: str, sums: dict[str, tuple[Column, int | Column | None]] | None = None,
+          last: str | None = None, first: str | None = None, events: DataFrame | None = None, bucket: int = BUCKET) -> DataFrame:
+    """``rows`` with, for each name of ``sums``, the sum of its column over events of the same key with event < at; a
+    number of seconds beside the column also wants at - window <= event, a column wants at <= its moment. ``last`` and
+    ``first``: seconds since the latest and earliest such event.
 
     No earlier event: sums are 0, gaps null. Unknown key: all null. ``events`` defaults to ``rows`` themselves.
+
+    An event enters at its time and leaves, with its value taken off, when its window ends, so frames only grow and the
+    work is linear. Keys are cut into buckets of time that carry the totals of earlier buckets.
     """
-    sums = sums or {}
-    put = _timeline(rows, keys, at, event, {f"_v{i}": c for i, (c, _) in enumerate(sums.values())} | {"_e": F.lit(1)}, events)
-    made = {n: F.coalesce(F.sum(f"_v{i}").over(_frame(keys, w)), F.lit(0.0)) for i, (n, (_, w)) in enumerate(sums.items())}
-    when = F.when(F.col("_e").isNotNull(), F.col("_x"))
+    sums, source = sums or {}, rows if events is None else events
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    names = [f"_v{i}" for i in range(len(sums))]
+
+    def entry(when: Column, values: dict[str, Column], is_event: bool) -> Column:
+        put = [(values[n] if n in values else F.lit(None)).cast("double").alias(n) for n in names]
+        return F.struct(when.cast("long").alias("_x"), *put, F.lit(1 if is_event else None).cast("int").alias("_e"))
+
+    value = dict(zip(names, (v for v, _ in sums.values()), strict=True))
+    leaves: dict = {}
+    for n, (_, w) in zip(names, sums.values(), strict=True):
+        if w is not None:
+            leaves.setdefault(w if isinstance(w, int) else id(w), (w, []))[1].append(n)
+    ends = [entry((F.col(event) + w) if isinstance(w, int) else w, {n: -value[n].cast("double") for n in own}, False) for w, own in leaves.values()]
+    entered = source.where(known & F.col(event).isNotNull()).select(*keys, F.explode(F.array(entry(F.col(event), value, True), *ends)).alias("_p")).select(*keys, F.lit(None).alias("_row"), "_p.*")
+    asked = rows.where(known).select(*keys, F.struct(*rows.columns).alias("_row"), F.col(at).cast("long").alias("_x"), *[F.lit(None).cast("double").alias(n) for n in names], F.lit(None).cast("int").alias("_e"))
+    put = asked.unionByName(entered.where("_x is not null")).withColumn("_b", F.floor(F.col("_x") / bucket))
+    when = F.when(F.col("_e") == 1, F.col("_x"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(ALWAYS, -1)
+    carried = {f"_c{n}": F.sum(n).over(before) for n in names} | {"_c_last": F.max("_last").over(before), "_c_first": F.min("_first").over(before)}
+    totals = put.groupBy(*keys, "_b").agg(*[F.sum(n).alias(n) for n in names], F.max(when).alias("_last"), F.min(when).alias("_first"))
+    carry = totals.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_k_b"), *[c.alias(n) for n, c in carried.items()])
+    here = Window.partitionBy(*keys, "_b").orderBy("_x").rangeBetween(ALWAYS, -1)
+    made = {n: F.coalesce(F.col(f"_c{v}"), F.lit(0.0)) + F.coalesce(F.sum(v).over(here), F.lit(0.0)) for n, v in zip(sums, names, strict=True)}
     if last:
-        made[last] = F.col("_x") - F.max(when).over(_frame(keys, None))
+        made[last] = F.col("_x") - F.coalesce(F.max(when).over(here), "_c_last")
     if first:
-        made[first] = F.col("_x") - F.min(when).over(_frame(keys, None))
-    done = put.withColumns(made).where("_row is not null").select("_row.*", *made)
+        made[first] = F.col("_x") - F.coalesce("_c_first", F.min(when).over(here))
+    same = F.col("_b") == F.col("_k_b")
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_k_{k}"))
+    done = put.join(carry, same).withColumns(made).where("_row is not null").select("_row.*", *made)
     unknown = rows.where(" or ".join(f"{k} is null" for k in keys)).select("*", *[F.lit(None).cast(done.schema[n].dataType).alias(n) for n in made])
     return done.unionByName(unknown)
 
 
-def prior_last_k(rows: DataFrame, key: str, at: str, event: str, value: Column, k: int, tie: str, name: str) -> DataFrame:
-    """``rows`` with {name}_sum and {name}_n: the last ``k`` strictly earlier events of the key (ties by ``tie``)."""
-    order = Window.partitionBy(key).orderBy(event, tie)
-    running = rows.where(F.col(key).isNotNull() & F.col(event).isNotNull()).select(
-        F.col(key).alias("_k"), F.row_number().over(order).cast("double").alias("_i"), F.sum(value.cast("double")).over(order.rowsBetween(ALWAYS, 0)).alias("_s")
-    )
-    counted = prior(rows, [key], at, event, {"_n": (F.lit(1), None)}).withColumn("_from", F.col("_n") - k)
-    upper, lower = running.withColumnsRenamed({"_k": "_k1", "_i": "_i1", "_s": "_s1"}), running.withColumnsRenamed({"_k": "_k2", "_i": "_i2", "_s": "_s2"})
-    joined = counted.join(upper, (F.col(key) == F.col("_k1")) & (F.col("_n") == F.col("_i1")), "left").join(
-        lower, (F.col(key) == F.col("_k2")) & (F.col("_from") == F.col("_i2")), "left"
+def prior_last_k(rows: DataFrame, key: list[str], at: str, event: str, values: dict[str, Column], ks: list[int], tie: str) -> DataFrame:
+    """``rows`` with {name}_{k} for each value and n_{k}: sums over the last ``k`` strictly earlier events of the key (ties by ``tie``), and how many.
+
+    Events are numbered within their key and carry running sums; a row looks up those of its latest event and of the
+    one ``k`` before.
+    """
+    order, names = Window.partitionBy(*key).orderBy(event, tie), [f"_s{i}" for i in range(len(values))]
+    known = rows.where(" and ".join(f"{k} is not null" for k in key)).where(F.col(event).isNotNull())
+    running = known.select(
+        *key, F.row_number().over(order).cast("double").alias("_i"), *[F.sum(v.cast("double")).over(order.rowsBetween(ALWAYS, 0)).alias(n) for n, v in zip(names, values.values(), strict=True)]
     )
-    total = F.when(F.col("_n").isNotNull(), F.coalesce("_s1", F.lit(0.0)) - F.coalesce("_s2", F.lit(0.0)))
-    return joined.select(*rows.columns, total.alias(f"{name}_sum"), F.when(F.col("_n").isNotNull(), F.least("_n", F.lit(float(k)))).alias(f"{name}_n"))
+    out = prior(rows, key, at, event, {"_n": (F.lit(1), None)})
+    for step in [0, *ks]:
+        own = running.select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col("_i").alias("_k_i"), *[F.col(n).alias(f"{n}_{step}") for n in names])
+        same = F.col("_n") - step == F.col("_k_i")
+        for k in key:
+            same = same & (F.col(k) == F.col(f"_k_{k}"))
+        out = out.join(own, same, "left").drop("_k_i", *[f"_k_{k}" for k in key])
+    made = {}
+    for k in ks:
+        for n, v in zip(names, values, strict=True):
+            made[f"{v}_{k}"] = F.when(F.col("_n").isNotNull(), F.coalesce(f"{n}_0", F.lit(0.0)) - F.coalesce(f"{n}_{k}", F.lit(0.0)))
+        made[f"n_{k}"] = F.when(F.col("_n").isNotNull(), F.least("_n", F.lit(float(k))))
+    return out.select(*rows.columns, *[c.alias(n) for n, c in made.items()])
 
 
 def shrunk(count: Column, n: Column, prior_rate: Column, strength: float) -> Column:

@@ -15,11 +15,19 @@ def unpivot(df: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
 
 
 def schema_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(name, n, n_null, n_distinct, lowest, highest) of each column, values as text."""
-    return unpivot(df, [], columns).groupBy("name").agg(
-        F.count("*").alias("n"), F.count_if(F.col("value").isNull()).alias("n_null"), F.countDistinct("value").alias("n_distinct"),
-        F.min("value").alias("lowest"), F.max("value").alias("highest"),
-    )
+    """(name, type, n, null_share, n_distinct, lowest, highest, mean, median) of each column, in one pass.
+
+    Lowest and highest compare as the column's type does and are shown as text; mean and median are of numbers only.
+    """
+    kinds, made = dict(df.dtypes), []
+    for c in columns:
+        numeric = kinds[c].split("(")[0] in ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+        x = F.col(c).cast("double") if numeric else F.lit(None).cast("double")
+        made.append(F.struct(
+            F.lit(c).alias("name"), F.lit(kinds[c]).alias("type"), F.count("*").alias("n"), (F.count_if(F.col(c).isNull()) / F.nullif(F.count("*"), F.lit(0))).alias("null_share"),
+            F.countDistinct(c).alias("n_distinct"), F.min(c).cast("string").alias("lowest"), F.max(c).cast("string").alias("highest"), F.avg(x).alias("mean"), F.median(x).alias("median"),
+        ))
+    return df.agg(F.array(*made).alias("_all")).select(F.explode("_all").alias("_r")).select("_r.*")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:

@@ -11,34 +11,41 @@ from .profile import hash_share
 POISSON_1 = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.9999167588507119]
 
 
-def earlier_ranks(rows: DataFrame, row_id: str, key: str, at: str, event: str, value: str, bits: int = 31) -> DataFrame:
-    """(row_id, n_less, n_equal, n): events of the same key strictly before ``at``, and how many have a smaller or an equal value.
-
-    Values are whole numbers from 0 to 2**bits - 1; events with other values or without a time are left out, and rows
-    with a null key, or such a value, get nulls. A smaller value shares the bits above some one-bit of the row's value
-    and has zero there: each row looks up one prefix for each of its one-bits under a RANGE frame, so rows grow by bits
-    and no pairs are made.
+def earlier_ranks(rows: DataFrame, row_id: list[str], key: str, at: str, event: str, value: str, weight: Column | None = None) -> DataFrame:
+    """(row_id, n_less, n_equal, n): weight (1 by default) of the events of the same key strictly before ``at``, and of
+    those with a smaller or an equal value.
+
+    Values are any whole numbers; events without a value or a time don't count, and rows with a null key, value or time
+    get nulls. Values are ranked by key, and a smaller rank shares the bits above some one-bit of the row's rank and has
+    zero there: each row looks up one prefix for each of its one-bits under a RANGE frame, so rows grow by the bits of
+    the ranks that occur and no pairs are made.
     """
-    fit = F.col(value).isNotNull() & F.col(value).between(0, (1 << bits) - 1) & F.col(key).isNotNull()
+    good = rows.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+    places_of = good.select(F.col(key).alias("_k"), F.col(value).alias("_value")).distinct().withColumn("_v", F.dense_rank().over(Window.partitionBy("_k").orderBy("_value")).cast("long"))
+    most = places_of.agg(F.max("_v")).first()[0] or 1
+    bits = int(most).bit_length()
+    id_ = F.struct(*row_id)
+    w = (F.lit(1) if weight is None else weight).cast("double")
+    known = (
+        good.select(id_.alias("_id"), F.col(key).alias("_k2"), F.col(at).cast("long").alias("_at"), F.col(event).cast("long").alias("_ev"), F.col(value).alias("_value2"), w.alias("_w"))
+        .join(places_of, (F.col("_k2") == F.col("_k")) & (F.col("_value2") == F.col("_value")))
+    )
     v, levels = F.col("_v"), F.sequence(F.lit(0), F.lit(bits - 1))
-    base = rows.select(F.col(row_id), F.col(key).alias("_k"), F.col(at).cast("long").alias("_at"), F.col(event).cast("long").alias("_ev"), F.when(fit, F.col(value).cast("long")).alias("_v"))
 
     def places(only_bit: int, shift: int):
         wanted = F.filter(levels, lambda b: F.call_function("shiftright", v, b).bitwiseAND(F.lit(1)) == only_bit)
         tree = F.transform(wanted, lambda b: F.struct(b.cast("int").alias("b"), (F.call_function("shiftright", v, b) - shift).alias("p")))
         return F.concat(tree, F.array(F.struct(F.lit(-1).alias("b"), v.alias("p")), F.struct(F.lit(bits).alias("b"), F.lit(0).cast("long").alias("p"))))
 
-    known = base.where("_v is not null")
-    asked = known.where("_at is not null").select("_k", F.col("_at").alias("_x"), F.col(row_id).alias("_id"), F.explode(places(1, 1)).alias("_p"))
-    held = known.where("_ev is not null").select("_k", F.col("_ev").alias("_x"), F.lit(None).cast(rows.schema[row_id].dataType).alias("_id"), F.explode(places(0, 0)).alias("_p"))
-    put = asked.withColumn("_e", F.lit(0)).unionByName(held.withColumn("_e", F.lit(1)))
+    asked = known.where("_at is not null").select("_k", F.col("_at").alias("_x"), "_id", F.lit(0.0).alias("_w"), F.explode(places(1, 1)).alias("_p"))
+    held = known.where("_ev is not null").select("_k", F.col("_ev").alias("_x"), F.lit(None).cast(known.schema["_id"].dataType).alias("_id"), "_w", F.explode(places(0, 0)).alias("_p"))
     before = Window.partitionBy("_k", "_p.b", "_p.p").orderBy("_x").rangeBetween(Window.unboundedPreceding, -1)
-    counted = put.withColumn("_c", F.coalesce(F.sum("_e").over(before), F.lit(0))).where("_e = 0")
+    counted = asked.unionByName(held).withColumn("_c", F.coalesce(F.sum("_w").over(before), F.lit(0.0))).where("_id is not null")
     b = F.col("_p.b")
-    got = counted.groupBy(F.col("_id").alias(row_id)).agg(
-        F.sum(F.when(b.between(0, bits - 1), F.col("_c")).otherwise(0)).alias("n_less"), F.sum(F.when(b == -1, F.col("_c")).otherwise(0)).alias("n_equal"), F.sum(F.when(b == bits, F.col("_c")).otherwise(0)).alias("n")
-    )
-    missing = base.where("_v is null or _at is null").select(row_id, *[F.lit(None).cast("long").alias(c) for c in ("n_less", "n_equal", "n")])
+    got = counted.groupBy("_id").agg(
+        F.sum(F.when(b.between(0, bits - 1), F.col("_c")).otherwise(0.0)).alias("n_less"), F.sum(F.when(b == -1, F.col("_c")).otherwise(0.0)).alias("n_equal"), F.sum(F.when(b == bits, F.col("_c")).otherwise(0.0)).alias("n")
+    ).select("_id.*", "n_less", "n_equal", "n")
+    missing = rows.where(F.col(key).isNull() | F.col(value).isNull() | F.col(at).isNull()).select(*row_id, *[F.lit(None).cast("double").alias(c) for c in ("n_less", "n_equal", "n")])
     return got.unionByName(missing)
 
 
@@ -97,13 +104,25 @@ def binned_rates(df: DataFrame, column: str, tie: str, hit: Column, bins: int, *
     return df.where(F.col(column).isNotNull()).withColumn("bin", b).withColumn("_h", hit.cast("double")).groupBy(*group, "bin").agg(F.count("*").alias("n"), F.min(column).alias("lowest"), F.max(column).alias("highest"), F.avg("_h").alias("rate"))
 
 
-def fill_from_pool(rows: DataFrame, row_id: str, group: str, column: str, seed: str) -> DataFrame:
-    """``rows`` with blanks of ``column`` taken from the known values of the group, picked by a hash of the row's id.
+def fill_from_pool(rows: DataFrame, row_id: str, group: str, column: str, seed: str, least: int = 20) -> DataFrame:
+    """``rows`` with blanks of ``column`` taken from the known values of the group, or of all rows if the group has fewer than ``least``.
 
-    Known values are numbered within the group in the order of the id; a group without any keeps its blanks.
+    A hash of the row's id picks a place in the pool; known values are numbered in the order of the id. Without any
+    known value blanks stay.
     """
-    pool = rows.where(F.col(column).isNotNull() & F.col(group).isNotNull()).select(F.col(group).alias("_g"), F.col(column).alias("_c"), (F.row_number().over(Window.partitionBy(group).orderBy(row_id)) - 1).cast("long").alias("_i"))
-    sizes = pool.groupBy("_g").agg(F.count("*").alias("_n")).withColumnRenamed("_g", "_g2")
-    blank = rows.where(F.col(column).isNull()).join(sizes, F.col(group) == F.col("_g2"), "left").withColumn("_want", F.floor(hash_share(seed, F.col(row_id)) * (F.col("_n") - 1)).cast("long"))
-    filled = blank.join(pool, (F.col(group) == F.col("_g")) & (F.col("_want") == F.col("_i")), "left").withColumn(column, F.col("_c")).select(*rows.columns)
-    return rows.where(F.col(column).isNotNull()).unionByName(filled)
+    share = hash_share(seed, F.col(row_id))
+    values = rows.where(F.col(column).isNotNull()).select(F.col(group).alias("_g"), F.col(column).alias("_c"), F.col(row_id).alias("_id"))
+    own = values.where("_g is not null").withColumn("_i", (F.row_number().over(Window.partitionBy("_g").orderBy("_id")) - 1).cast("long"))
+    sizes = own.groupBy(F.col("_g").alias("_g2")).agg(F.count("*").alias("_n"))
+    # the pool of all rows is numbered group by group, from the groups' sizes, so no task sorts it whole
+    blocks = values.groupBy("_g").agg(F.count("*").alias("_m"))
+    offset = F.coalesce(F.sum("_m").over(Window.orderBy(F.col("_g").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a group
+    starts = blocks.select(F.col("_g").alias("_g3"), offset.alias("_from"))
+    everyone = values.withColumn("_i", (F.row_number().over(Window.partitionBy("_g").orderBy("_id")) - 1).cast("long")).join(starts, F.col("_g").eqNullSafe(F.col("_g3"))).select((F.col("_i") + F.col("_from")).alias("_i"), "_c")
+    total = F.broadcast(values.agg(F.count("*").alias("_all")))  # one row
+    asked = rows.where(F.col(column).isNull()).join(sizes, F.col(group) == F.col("_g2"), "left").crossJoin(total).withColumn("_own", F.coalesce(F.col("_n") >= least, F.lit(False)))
+    asked = asked.withColumn("_size", F.when(F.col("_own"), F.col("_n")).otherwise(F.col("_all"))).withColumn("_want", F.least(F.col("_size") - 1, F.floor(share * F.col("_size")).cast("long")))
+    columns = [F.col("_c").alias(c) if c == column else F.col(c) for c in rows.columns]
+    near = asked.where("_own").join(own.select("_g", "_i", "_c"), (F.col(group) == F.col("_g")) & (F.col("_want") == F.col("_i")), "left").select(*columns)
+    far = asked.where("not _own").join(everyone, F.col("_want") == F.col("_i"), "left").select(*columns)
+    return rows.where(F.col(column).isNotNull()).unionByName(near).unionByName(far)

@@ -57,8 +57,8 @@ select p.pr_number, cast(coalesce(sum(r.ld), 0) as bigint) as ld_last_10, cast(c
 from pr p left join r on p.pr_number = r.pr_number and r.i <= 10 group by p.pr_number""")
 def e4_prior_last_k(spark, sf_dir):
     pr = pull_requests(spark, sf_dir)
-    got = pit.prior_last_k(pr, "repo", "t_open", "t_close", F.col("ld"), 10, "pr_number", "x")
-    return got.select("pr_number", F.col("x_sum").cast("long").alias("ld_last_10"), F.col("x_n").cast("long").alias("n_last_10"))
+    got = pit.prior_last_k(pr, ["repo"], "t_open", "t_close", {"x": F.col("ld")}, [10], "pr_number")
+    return got.select("pr_number", F.col("x_10").cast("long").alias("ld_last_10"), F.col("n_10").cast("long").alias("n_last_10"))
 
 
 @query(f"""with {PR_SQL}, a as (
@@ -80,9 +80,9 @@ select p.pr_number, cast(count(*) filter (where q.t_open < p.t_open) - count(*)
 from pr p left join pr q on p.repo = q.repo and (q.t_open < p.t_open or q.t_close < p.t_open) group by p.pr_number""")
 def e8_open_now(spark, sf_dir):
     pr = pull_requests(spark, sf_dir)
-    opened = pit.prior(pr, ["repo"], "t_open", "t_open", {"opened": (F.lit(1), None)})
-    both = pit.prior(opened, ["repo"], "t_open", "t_close", {"closed": (F.lit(1), None)})
-    return both.select("pr_number", (F.col("opened") - F.col("closed")).cast("long").alias("open_now"))
+    # one timeline: a pull request enters when it opens and leaves when it closes, both strictly before
+    got = pit.prior(pr, ["repo"], "t_open", "t_open", {"open_now": (F.lit(1), F.col("t_close"))})
+    return got.select("pr_number", F.col("open_now").cast("long").alias("open_now"))
 
 
 @query(f"""with {PR_SQL}

@@ -42,20 +42,23 @@ def e14_recent_behaviour(spark, sf_dir):
     return got.select("pr_number", F.col("n").cast("long").alias("n"), F.col("n_90d").cast("long").alias("n_90d"), F.when((F.col("n") >= 10) & (sd > 0), F.round((F.col("la") - mean) / sd, 5)).alias("size_z"))
 
 
-@query(f"""with {PR_SQL}, {FILES_SQL}, f as (select pr_number * 100000 + path_id as row_id, pr_number, path_id, added, t_open from fc join pr using (pr_number)),
-s as (select a.row_id, count(b.row_id) as n, count(*) filter (where b.added < a.added) as n_less, count(*) filter (where b.added = a.added) as n_equal from f a left join f b on a.path_id = b.path_id and b.t_open < a.t_open group by 1)
-select row_id, n, case when n >= 10 then round((n_less + 0.5 * n_equal) / n, 9) end as mid_rank from s""")
+@query(f"""with {PR_SQL}, {FILES_SQL}, f as (select pr_number, path_id, added, deleted, t_open from fc join pr using (pr_number)),
+s as (select a.pr_number, a.path_id, count(b.path_id) as n, coalesce(sum(b.deleted + 1), 0) as w, coalesce(sum(b.deleted + 1) filter (where b.added < a.added), 0) as less, coalesce(sum(b.deleted + 1) filter (where b.added = a.added), 0) as same
+  from f a left join f b on a.path_id = b.path_id and b.t_open < a.t_open group by 1, 2)
+select pr_number, path_id, cast(w as bigint) as weight, case when n >= 10 then round((less + 0.5 * same) / cast(w as double), 9) end as mid_rank from s""")
 def e19_path_size_percentile(spark, sf_dir):
-    f = file_changes(spark, sf_dir).join(pull_requests(spark, sf_dir).select("pr_number", "t_open"), "pr_number").withColumn("row_id", F.col("pr_number") * 100000 + F.col("path_id"))
-    got = ranks.earlier_ranks(f, "row_id", "path_id", "t_open", "t_open", "added", 10)
-    return got.select("row_id", "n", F.when(F.col("n") >= 10, F.round((F.col("n_less") + 0.5 * F.col("n_equal")) / F.col("n"), 9)).alias("mid_rank"))
+    f = file_changes(spark, sf_dir).join(pull_requests(spark, sf_dir).select("pr_number", "t_open"), "pr_number")
+    got = ranks.earlier_ranks(f, ["pr_number", "path_id"], "path_id", "t_open", "t_open", "added", F.col("deleted") + 1)
+    counted = pit.prior(f.select("pr_number", "path_id", "t_open"), ["path_id"], "t_open", "t_open", {"seen": (F.lit(1), None)}).select("pr_number", "path_id", "seen")
+    rank = F.when(F.col("seen") >= 10, F.round((F.col("n_less") + 0.5 * F.col("n_equal")) / F.col("n"), 9))
+    return got.join(counted, ["pr_number", "path_id"]).select("pr_number", "path_id", F.col("n").cast("long").alias("weight"), rank.alias("mid_rank"))
 
 
 @query(f"""with {PR_SQL} select p.pr_number, count(q.pr_number) as n, round(count(*) filter (where q.la < p.la) / nullif(count(q.pr_number), 0)::double, 9) as rank
   from pr p left join pr q on p.repo = q.repo and q.t_open < p.t_open group by 1""")
 def e20_strict_percentile(spark, sf_dir):
-    got = ranks.earlier_ranks(pull_requests(spark, sf_dir), "pr_number", "repo", "t_open", "t_open", "la")
-    return got.select("pr_number", "n", F.round(F.col("n_less") / F.nullif("n", F.lit(0)), 9).alias("rank"))
+    got = ranks.earlier_ranks(pull_requests(spark, sf_dir), ["pr_number"], "repo", "t_open", "t_open", "la")
+    return got.select("pr_number", F.col("n").cast("long").alias("n"), F.round(F.col("n_less") / F.nullif("n", F.lit(0)), 9).alias("rank"))
 
 
 @query(f"""with {PR_SQL}, {FILES_SQL}, f as (select fc.*, t_open, y from fc join pr using (pr_number))
@@ -103,11 +106,16 @@ def f5_largest_files(spark, sf_dir):
     return churn.withColumn("r", first).where("r <= 3").drop("r")
 
 
-@query(f"""with {PR_SQL}, pool as (select repo, author_key, row_number() over (partition by repo order by pr_number) - 1 as i from pr where author_key is not null), n as (select repo, count(*) as n from pool group by 1),
-want as (select pr_number, pr.repo, cast(floor(('0x' || substr(sha256('fill:' || pr_number), 1, 8))::bigint / 4294967295.0::double * (n - 1)) as bigint) as i from pr left join n on pr.repo = n.repo where author_key is null)
-select pr_number, author_key from pr where author_key is not null union all select pr_number, author_key from want left join pool on want.repo = pool.repo and want.i = pool.i""")
+@query(f"""with {PR_SQL}, p as (select pr_number, case when ld % 3 = 0 then repo else repo || (la % 7) end as unit, author_key from pr),
+known as (select *, row_number() over (partition by unit order by pr_number) - 1 as i, row_number() over (order by unit, pr_number) - 1 as j from p where author_key is not null),
+size as (select unit, count(*) as n from known group by 1), blank as (select p.pr_number, p.unit, coalesce(n, 0) as n, (select count(*) from known) as everyone, ('0x' || substr(sha256('fill:' || p.pr_number), 1, 8))::bigint / 4294967295.0::double as share from p left join size on p.unit = size.unit where author_key is null),
+want as (select pr_number, unit, n >= 20 as own, least(case when n >= 20 then n else everyone end - 1, cast(floor(share * case when n >= 20 then n else everyone end) as bigint)) as k from blank)
+select pr_number, author_key from p where author_key is not null union all select w.pr_number, known.author_key from want w join known on w.own and known.unit = w.unit and known.i = w.k
+union all select w.pr_number, known.author_key from want w join known on not w.own and known.j = w.k""")
 def f10_fill_from_pool(spark, sf_dir):
-    return ranks.fill_from_pool(pull_requests(spark, sf_dir), "pr_number", "repo", "author_key", "fill").select("pr_number", "author_key")
+    unit = F.when(F.col("ld") % 3 == 0, F.col("repo")).otherwise(F.concat("repo", (F.col("la") % 7).cast("string")))
+    pr = pull_requests(spark, sf_dir).select("pr_number", unit.alias("unit"), "author_key")
+    return ranks.fill_from_pool(pr, "pr_number", "unit", "author_key", "fill").select("pr_number", "author_key")
 
 
 @query(f"""with {FILES_SQL}, s as (select pr_number, list(distinct path_id) as paths from fc group by 1)
@@ -129,11 +137,15 @@ def h7_h8_h14_engineered(spark, sf_dir):
     )
 
 
-@query("""with v as (select p_partkey, p_partkey % 3 as a, p_partkey % 12 as b, p_partkey % 101 as c from part) select p_partkey, a * 10000000 + b * 1000 + c >= 10009050 as at_least from v""")
+@query("""with v as (select p_partkey, p_partkey % 3 as a, p_partkey % 12 as b, p_partkey % 4 as c, p_partkey % 5 as pre from part), k as (select p_partkey, a * 10000 + b * 100 + c as core, pre from v)
+select p_partkey, core > 10903 or (core = 10903 and pre in (0, 1, 2, 4)) as at_least, core < 20000 and core > 100 or core = 100 and pre in (0, 1, 2) as is_in_range from k""")
 def h12_version_range(spark, sf_dir):
+    """Versions a.b.c, of which some are pre-releases -rc1 (3) and -rc.10 (4), or carry build data (1) and a further zero (2)."""
     k = F.col("p_partkey")
-    version = F.concat_ws(".", (k % 3).cast("string"), (k % 12).cast("string"), (k % 101).cast("string"))
-    return table(spark, sf_dir, "part").select("p_partkey", (text.version_key(version) >= text.version_key(F.lit("1.9.50"))).alias("at_least"))
+    tail = F.when(k % 5 == 1, "+b7").when(k % 5 == 2, ".0").when(k % 5 == 3, "-rc1").when(k % 5 == 4, "-rc.10").otherwise("")
+    version = F.concat(F.concat_ws(".", (k % 3).cast("string"), (k % 12).cast("string"), (k % 4).cast("string")), tail)
+    at_least = text.version_key(version) >= text.version_key(F.lit("1.9.3-rc.10"))
+    return table(spark, sf_dir, "part").select("p_partkey", at_least.alias("at_least"), text.version_in_range(version, ">= 0.1.0, < 2.0.0-alpha").alias("is_in_range"))
 
 
 @query(f"""with {PR_SQL}, d as (select pr_number, t_close - t_open as s from pr where t_close is not null) select pr_number, case when s < 60 then s || 's' when s < 3600 then (s // 60) || 'm ' || (s % 60) || 's' when s < 86400 then (s // 3600) || 'h ' || (s % 3600 // 60) || 'm' else (s // 86400) || 'd ' || (s % 86400 // 3600) || 'h' end as took from d""")

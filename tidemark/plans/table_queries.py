@@ -74,16 +74,24 @@ def b14_b16_path_rules(spark, sf_dir):
     return p.select("p_partkey", flags["is_docs"].alias("is_docs"), flags["is_auth"].alias("is_auth"), text.subsystem(F.col("path")).alias("subsystem"))
 
 
-@query(r"select doc_id, len(regexp_extract_all(lower(text), '\bthe\b')) > 0 as has_the from documents where lang = 'en'")
+@query(r"""select doc_id, coalesce(regexp_matches(lower(text), '(^|[^a-z0-9_])(the|of)([^a-z0-9_]|$)'), false) as is_english, coalesce(regexp_matches(lower(text), '(^|[^a-z0-9_])(que|de)([^a-z0-9_]|$)'), false) as is_romance from documents""")
 def b15_whole_words(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("lang = 'en'")
-    return d.select("doc_id", text.is_word_in(F.col("text"), "the").alias("has_the"))
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", text.is_word_in(F.col("text"), "the", "of").alias("is_english"), text.is_word_in(F.col("text"), "que", "de").alias("is_romance"))
 
 
-@query("""select name, count(*) as n, count(*) filter (where value is null) as n_null, count(distinct value) as n_distinct, min(value) as lowest, max(value) as highest from (
-  select 'c_name' as name, c_name as value from customer union all select 'c_mktsegment', c_mktsegment from customer union all select 'c_nationkey', cast(c_nationkey as varchar) from customer) group by name""")
+def _profile_sql(column: str, kind: str, numeric: bool) -> str:
+    x = f"cast({column} as double)" if numeric else "cast(null as double)"
+    return f"""select '{column}' as name, '{kind}' as type, count(*) as n, round(count(*) filter (where {column} is null) / cast(count(*) as double), 9) as null_share, count(distinct {column}) as n_distinct,
+  cast(min({column}) as varchar) as lowest, cast(max({column}) as varchar) as highest, round(avg({x}), 6) as mean, round(median({x}), 6) as median from c"""
+
+
+@query("with c as (select c_name, c_mktsegment, cast(c_nationkey as bigint) as c_nationkey, case when c_custkey % 7 > 0 then cast(c_custkey as bigint) - 50 end as shifted from customer) " + " union all ".join(
+    _profile_sql(*x) for x in (("c_name", "string", False), ("c_mktsegment", "string", False), ("c_nationkey", "bigint", True), ("shifted", "bigint", True))))
 def d2_schema_profile(spark, sf_dir):
-    return profile.schema_profile(table(spark, sf_dir, "customer"), ["c_name", "c_mktsegment", "c_nationkey"])
+    c = table(spark, sf_dir, "customer").select("c_name", "c_mktsegment", F.col("c_nationkey").cast("long").alias("c_nationkey"), F.when(F.col("c_custkey") % 7 > 0, F.col("c_custkey").cast("long") - 50).alias("shifted"))
+    got = profile.schema_profile(c, c.columns)
+    return got.withColumns({n: F.round(n, 9 if n == "null_share" else 6) for n in ("null_share", "mean", "median")})
 
 
 @query(f"""with {PR_SQL}, e as (select cast(min(la) as double) as lo, cast(max(la) as double) as hi from pr)
@@ -199,10 +207,10 @@ def c14_inventory_compare(spark, sf_dir):
     return sets.compare_inventories(part.where(k % 10 != 0), actual, "p_partkey", ["p_brand", "p_size"])
 
 
-@query("""with recursive e as (select distinct s_nationkey as u, s_suppkey + 1000000 as v from supplier where s_suppkey % 3 = 0), b as (select u, v from e union select v, u from e),
+@query("""with recursive e as (select distinct s_nationkey as u, s_suppkey + 1000000 as v from supplier), b as (select u, v from e union select v, u from e),
 r as (select u as node, u as other from b union select r.node, b.v from r join b on r.other = b.u) select node, min(other) as component from r group by node""")
 def c19_components(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0")
+    s = table(spark, sf_dir, "supplier")
     return min_label_components(s.select(F.col("s_nationkey").cast("long").alias("u"), (F.col("s_suppkey") + 1_000_000).cast("long").alias("v")))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.text import version_key
+from ..functions.text import folder_version_key
 
 
 def plan(keys: DataFrame, finished: DataFrame | None = None) -> DataFrame:
@@ -25,7 +25,7 @@ def plan(keys: DataFrame, finished: DataFrame | None = None) -> DataFrame:
 
 def newest_version(planned: DataFrame) -> DataFrame:
     """The version that is last when numeric parts compare as numbers."""
-    return planned.agg(F.max_by("version", version_key(F.col("version"))).alias("version"))
+    return planned.agg(F.max_by("version", folder_version_key(F.col("version"))).alias("version"))
 
 
 def read_by_name(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
@@ -50,17 +50,39 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return last_wins(both, keys, "_o").drop("_o")
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Writes beside the target and swaps by rename, so that readers see the old or the new files."""
-    spark = df.sparkSession
-    staged, old = f"{path}.staged-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    df.write.parquet(staged)
-    jvm = spark._jvm.org.apache.hadoop.fs
-    target = jvm.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.rename(target, jvm.Path(old))
-    if not fs.rename(jvm.Path(staged), target):
-        fs.rename(jvm.Path(old), target)
-        raise OSError(f"can't put {staged} in place of {path}")
-    fs.delete(jvm.Path(old), True)
+def _fs(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def replace_tables(tables: dict[str, DataFrame], root: str) -> None:
+    """All tables of ``root`` at once: every one is written to a new generation's folder first, and then one rename of a
+    pointer file makes the generation the current one, so readers see all old or all new tables, and a crash at any
+    moment leaves one of both. Tables that are not given are gone in the new generation; older ones are deleted last.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    name, old = f"generation-{uuid.uuid4().hex}", current_generation(spark, root)
+    for table, df in tables.items():
+        df.write.parquet(f"{root}/{name}/{table}")
+    fs, pointer = _fs(spark, f"{root}/CURRENT")
+    staged = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT.{name}")
+    out = fs.create(staged, True)
+    out.write(bytearray(name.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration())
+    overwrite = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = overwrite
+    context.rename(staged, pointer, options)
+    if old:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{old}"), True)
+
+
+def current_generation(spark: SparkSession, root: str) -> str | None:
+    fs, pointer = _fs(spark, f"{root}/CURRENT")
+    return spark.read.text(f"{root}/CURRENT").first()["value"] if fs.exists(pointer) else None
+
+
+def current_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table of the current generation; a missing one is an error of Spark's reader."""
+    return spark.read.parquet(f"{root}/{current_generation(spark, root)}/{table}")
