@@ -31,7 +31,7 @@ def test_prior_counts_strictly_earlier_events_within_the_window(spark):
 def test_buckets_and_moments_of_leaving(spark):
     rows, df = frame(spark, seed=4)
     df = df.withColumn("until", F.when(F.col("id") % 3 > 0, F.col("closed") + F.col("w") * 9))
-    for bucket in (7, 50, 10_000):
+    for bucket in (None, 7, 50, 10_000):
         got = {r["id"]: r for r in pit.prior(df, ["key"], "t", "closed", {"n": (F.lit(1), F.col("until")), "near": (F.col("w"), 30)}, last="since", first="age", bucket=bucket).collect()}
         for i, key, t, _, _ in rows:
             before = [(c, w, c + w * 9 if j % 3 else None) for j, k, _, c, w in rows if key is not None and k == key and c is not None and c < t]
@@ -42,7 +42,7 @@ def test_buckets_and_moments_of_leaving(spark):
 
 def test_a_hot_key_takes_time_in_proportion(spark):
     hot = spark.range(1_000_000).select(F.lit("hot").alias("key"), (F.col("id") * 60).alias("t"), F.lit(1).alias("w"))
-    got = pit.prior(hot, ["key"], "t", "t", {"near": (F.col("w"), 30 * 86_400)}).agg(F.max("near").alias("m"), F.count("*").alias("n")).first()
+    got = pit.prior(hot, ["key"], "t", "t", {"near": (F.col("w"), 30 * 86_400)}, bucket=pit.BUCKET).agg(F.max("near").alias("m"), F.count("*").alias("n")).first()
     assert (got["m"], got["n"]) == (43_200, 1_000_000)
 
 

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from .components import cut_lineage
 
 
-def last_values(rows: DataFrame, key: str, at: str, event: str, value: Column, tie: Column, k: int, name: str) -> DataFrame:
+def last_values(rows: DataFrame, key: str, at: str, event: str, value: Column, tie: Column, k: int, name: str, events: DataFrame | None = None) -> DataFrame:
     """``rows`` with an array of the last ``k`` strictly earlier values of the key, oldest first. Unknown keys get null.
 
     Each event carries its own last k (a ROWS frame of k), and the latest event before the query is looked up in the
     same window, so no list grows beyond k.
     """
     known = rows.where(F.col(key).isNotNull())
-    events = known.where(F.col(event).isNotNull()).select(F.col(key), F.col(event).alias("_x"), tie.alias("_t"), value.alias("_v"))
+    source = known if events is None else events.where(F.col(key).isNotNull())
+    events = source.where(F.col(event).isNotNull()).select(F.col(key), F.col(event).alias("_x"), tie.alias("_t"), value.alias("_v"))
     rolling = Window.partitionBy(key).orderBy("_x", "_t")
     own = events.select(key, "_x", F.collect_list("_v").over(rolling.rowsBetween(-(k - 1), 0)).alias("_l"), F.row_number().over(rolling).alias("_i"))
     last = own.groupBy(key, "_x").agg(F.max_by("_l", "_i").alias("_l"))

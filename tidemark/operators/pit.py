@@ -6,6 +6,8 @@ query, so ties never count and no self-join is made. Rows with a null key get nu
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,20 +15,22 @@ from pyspark.sql import functions as F
 ALWAYS = Window.unboundedPreceding
 
 
-#: Seconds of a key's time that make a bucket: a busy key is dealt over its buckets, each of which starts from the totals of those before.
+#: Seconds of a busy key's time that make a bucket.
 BUCKET = 90 * 86_400
 
 
 def prior(rows: DataFrame, keys: list[str], at: str, event: str, sums: dict[str, tuple[Column, int | Column | None]] | None = None,
-          last: str | None = None, first: str | None = None, events: DataFrame | None = None, bucket: int = BUCKET) -> DataFrame:
+          last: str | None = None, first: str | None = None, events: DataFrame | None = None, bucket: int | None = None) -> DataFrame:
     """``rows`` with, for each name of ``sums``, the sum of its column over events of the same key with event < at; a
     number of seconds beside the column also wants at - window <= event, a column wants at <= its moment. ``last`` and
     ``first``: seconds since the latest and earliest such event.
 
-    No earlier event: sums are 0, gaps null. Unknown key: all null. ``events`` defaults to ``rows`` themselves.
+    No earlier event: sums are 0, gaps null. Unknown key: all null. ``events`` defaults to ``rows`` themselves; name the
+    plain table in a chain of calls, so that each call reads it and not all calls before.
 
     An event enters at its time and leaves, with its value taken off, when its window ends, so frames only grow and the
-    work is linear. Keys are cut into buckets of time that carry the totals of earlier buckets.
+    work is linear. With ``bucket``, keys are cut into buckets of so many seconds, which start from the totals of those
+    before: a busy key is dealt over its buckets, for one more aggregate of the timeline.
     """
     sums, source = sums or {}, rows if events is None else events
     known = F.lit(True)
@@ -46,38 +50,41 @@ def prior(rows: DataFrame, keys: list[str], at: str, event: str, sums: dict[str,
     ends = [entry((F.col(event) + w) if isinstance(w, int) else w, {n: -value[n].cast("double") for n in own}, False) for w, own in leaves.values()]
     entered = source.where(known & F.col(event).isNotNull()).select(*keys, F.explode(F.array(entry(F.col(event), value, True), *ends)).alias("_p")).select(*keys, F.lit(None).alias("_row"), "_p.*")
     asked = rows.where(known).select(*keys, F.struct(*rows.columns).alias("_row"), F.col(at).cast("long").alias("_x"), *[F.lit(None).cast("double").alias(n) for n in names], F.lit(None).cast("int").alias("_e"))
-    put = asked.unionByName(entered.where("_x is not null")).withColumn("_b", F.floor(F.col("_x") / bucket))
-    when = F.when(F.col("_e") == 1, F.col("_x"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(ALWAYS, -1)
-    carried = {f"_c{n}": F.sum(n).over(before) for n in names} | {"_c_last": F.max("_last").over(before), "_c_first": F.min("_first").over(before)}
-    totals = put.groupBy(*keys, "_b").agg(*[F.sum(n).alias(n) for n in names], F.max(when).alias("_last"), F.min(when).alias("_first"))
-    carry = totals.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b").alias("_k_b"), *[c.alias(n) for n, c in carried.items()])
-    here = Window.partitionBy(*keys, "_b").orderBy("_x").rangeBetween(ALWAYS, -1)
+    put = asked.unionByName(entered.where("_x is not null"))
+    when, carried = F.when(F.col("_e") == 1, F.col("_x")), [*[f"_c{n}" for n in names], "_c_last", "_c_first"]
+    if bucket is None:
+        put, parts = put.withColumns({c: F.lit(None).cast("double" if c in carried[:-2] else "long") for c in carried}), keys
+    else:
+        put, parts = put.withColumn("_b", F.floor(F.col("_x") / bucket)), [*keys, "_b"]
+        before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(ALWAYS, -1)
+        totals = put.groupBy(*parts).agg(*[F.sum(n).alias(n) for n in names], F.max(when).alias("_last"), F.min(when).alias("_first"))
+        sums_before = [*[F.sum(n).over(before) for n in names], F.max("_last").over(before), F.min("_first").over(before)]
+        carry = totals.select(*[F.col(k).alias(f"_k_{k}") for k in parts], *[c.alias(n) for n, c in zip(carried, sums_before, strict=True)])
+        put = put.join(carry, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in parts]))
+    here = Window.partitionBy(*parts).orderBy("_x").rangeBetween(ALWAYS, -1)
     made = {n: F.coalesce(F.col(f"_c{v}"), F.lit(0.0)) + F.coalesce(F.sum(v).over(here), F.lit(0.0)) for n, v in zip(sums, names, strict=True)}
     if last:
         made[last] = F.col("_x") - F.coalesce(F.max(when).over(here), "_c_last")
     if first:
         made[first] = F.col("_x") - F.coalesce("_c_first", F.min(when).over(here))
-    same = F.col("_b") == F.col("_k_b")
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"_k_{k}"))
-    done = put.join(carry, same).withColumns(made).where("_row is not null").select("_row.*", *made)
+    done = put.withColumns(made).where("_row is not null").select("_row.*", *made)
     unknown = rows.where(" or ".join(f"{k} is null" for k in keys)).select("*", *[F.lit(None).cast(done.schema[n].dataType).alias(n) for n in made])
     return done.unionByName(unknown)
 
 
-def prior_last_k(rows: DataFrame, key: list[str], at: str, event: str, values: dict[str, Column], ks: list[int], tie: str) -> DataFrame:
+def prior_last_k(rows: DataFrame, key: list[str], at: str, event: str, values: dict[str, Column], ks: list[int], tie: str, events: DataFrame | None = None) -> DataFrame:
     """``rows`` with {name}_{k} for each value and n_{k}: sums over the last ``k`` strictly earlier events of the key (ties by ``tie``), and how many.
 
     Events are numbered within their key and carry running sums; a row looks up those of its latest event and of the
     one ``k`` before.
     """
     order, names = Window.partitionBy(*key).orderBy(event, tie), [f"_s{i}" for i in range(len(values))]
-    known = rows.where(" and ".join(f"{k} is not null" for k in key)).where(F.col(event).isNotNull())
+    source = rows if events is None else events
+    known = source.where(" and ".join(f"{k} is not null" for k in key)).where(F.col(event).isNotNull())
     running = known.select(
         *key, F.row_number().over(order).cast("double").alias("_i"), *[F.sum(v.cast("double")).over(order.rowsBetween(ALWAYS, 0)).alias(n) for n, v in zip(names, values.values(), strict=True)]
     )
-    out = prior(rows, key, at, event, {"_n": (F.lit(1), None)})
+    out = prior(rows, key, at, event, {"_n": (F.lit(1), None)}, events=source)
     for step in [0, *ks]:
         own = running.select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col("_i").alias("_k_i"), *[F.col(n).alias(f"{n}_{step}") for n in names])
         same = F.col("_n") - step == F.col("_k_i")
@@ -92,6 +99,20 @@ def prior_last_k(rows: DataFrame, key: list[str], at: str, event: str, values: d
     return out.select(*rows.columns, *[c.alias(n) for n, c in made.items()])
 
 
+def windowed_median(rows: DataFrame, row_id: str, keys: list[str], at: str, events: DataFrame, seen: str, until: str, value: str, name: str, count: str, bucket: int = BUCKET) -> DataFrame:
+    """(row_id, name, count): exact median of ``value`` over events of the key with seen < at <= until.
+
+    A median has no running form, so rows meet the events of their window; events are dealt over the buckets of time
+    that they are visible in, so a busy key is dealt too, and pairs are added up where they meet.
+    """
+    visible = F.explode(F.sequence(F.floor((F.col(seen) + 1) / bucket), F.floor(F.col(until) / bucket)))
+    held = events.where(F.col(value).isNotNull() & (F.col(until) > F.col(seen))).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(seen).alias("_seen"), F.col(until).alias("_until"), F.col(value).alias("_value"), visible.alias("_bucket"))
+    asked = rows.select(F.col(row_id).alias("_id"), *keys, F.col(at).alias("_at"), F.floor(F.col(at) / bucket).alias("_b"))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+    met = asked.join(held, same & (F.col("_b") == F.col("_bucket")) & (F.col("_seen") < F.col("_at")) & (F.col("_at") <= F.col("_until")))
+    return met.groupBy(F.col("_id").alias(row_id)).agg(F.median("_value").alias(name), F.count("*").alias(count))
+
+
 def shrunk(count: Column, n: Column, prior_rate: Column, strength: float) -> Column:
     return (count + strength * prior_rate) / (n + strength)
 

@@ -1,6 +1,7 @@
 """All named queries over the test tables, with the SQL that they must agree with."""
 
-from . import history_queries, pit_queries, rank_queries, review_queries, table_queries
+from . import history_queries, lifecycle_queries, outcome_queries, pit_queries, rank_queries, review_queries, table_queries
 
-QUERIES: dict = pit_queries.QUERIES | table_queries.QUERIES | history_queries.QUERIES | review_queries.QUERIES | rank_queries.QUERIES
-ORACLE_SQL: dict = pit_queries.ORACLE_SQL | table_queries.ORACLE_SQL | history_queries.ORACLE_SQL | review_queries.ORACLE_SQL | rank_queries.ORACLE_SQL
+MODULES = (pit_queries, table_queries, history_queries, review_queries, rank_queries, outcome_queries, lifecycle_queries)
+QUERIES: dict = {name: q for m in MODULES for name, q in m.QUERIES.items()}
+ORACLE_SQL: dict = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}

@@ -44,7 +44,7 @@ from pr p cross join o left join pr q on p.repo = q.repo and q.t_close < p.t_ope
 def e13_shrunk_outcome_mix(spark, sf_dir):
     pr = pull_requests(spark, sf_dir)
     overall = pr.agg(F.avg((F.col("y") == "clean").cast("double")).alias("m"))
-    got = pit.prior(pr, ["repo"], "t_open", "t_close", {"n": (F.lit(1), None), "c": ((F.col("y") == "clean").cast("int"), None)})
+    got = pit.prior(pr, ["repo"], "t_open", "t_close", {"n": (F.lit(1), None), "c": ((F.col("y") == "clean").cast("int"), None)}, bucket=pit.BUCKET)
     return got.crossJoin(F.broadcast(overall)).select("pr_number", F.round(pit.shrunk(F.col("c"), F.col("n"), F.col("m"), 20.0), 9).alias("clean_mix"))  # one row
 
 
@@ -60,13 +60,6 @@ def e21_cycle_position(spark, sf_dir):
     return got.join(usual, "pr").select("pr", "t", F.round((F.col("t") - F.col("tag")) / F.col("m"), 6).alias("position"))
 
 
-@query(f"""with {FILES_SQL}, c as (select path_id, cast(sum(added + deleted) as bigint) as churn from fc group by 1)
-select path_id, churn, cast(row_number() over (order by churn desc, path_id) as integer) as rank from c order by churn desc, path_id limit 20""")
-def e22_hotspots(spark, sf_dir):
-    top = file_changes(spark, sf_dir).groupBy("path_id").agg(F.sum(F.col("added") + F.col("deleted")).alias("churn")).orderBy(F.desc("churn"), "path_id").limit(20)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("churn"), "path_id")))  # of twenty rows
-
-
 @query(f"""with {TIMELINE_SQL}, b as (select pr, cast(t // 86400 * 86400 as bigint) as block, count(*) as n from tl group by 1, 2), s as (select pr, min(block) as a, max(block) as b from b group by 1),
 g as (select pr, unnest(generate_series(a, b, 86400)) as block from s) select g.pr, g.block, coalesce(b.n, 0) as n from g left join b on g.pr = b.pr and g.block = b.block""")
 def e37_activity_blocks(spark, sf_dir):

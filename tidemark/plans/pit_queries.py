@@ -28,7 +28,7 @@ select p.pr_number, cast(count(q.pr_number) as bigint) as n_closed_90d,
 from pr p left join pr q on p.repo = q.repo and q.t_close < p.t_open and q.t_close >= p.t_open - 90 * 86400 group by p.pr_number""")
 def e7_repo_recent_mix(spark, sf_dir):
     pr = pull_requests(spark, sf_dir)
-    got = pit.prior(pr, ["repo"], "t_open", "t_close", {"n": (F.lit(1), 90 * DAY), "clean": ((F.col("y") == "clean").cast("int"), 90 * DAY)})
+    got = pit.prior(pr, ["repo"], "t_open", "t_close", {"n": (F.lit(1), 90 * DAY), "clean": ((F.col("y") == "clean").cast("int"), 90 * DAY)}, bucket=pit.BUCKET)
     return got.select("pr_number", F.col("n").cast("long").alias("n_closed_90d"), F.when(F.col("n") >= 5, F.round(F.col("clean") / F.col("n"), 9)).alias("clean_rate_90d"))
 
 
@@ -81,7 +81,7 @@ from pr p left join pr q on p.repo = q.repo and (q.t_open < p.t_open or q.t_clos
 def e8_open_now(spark, sf_dir):
     pr = pull_requests(spark, sf_dir)
     # one timeline: a pull request enters when it opens and leaves when it closes, both strictly before
-    got = pit.prior(pr, ["repo"], "t_open", "t_open", {"open_now": (F.lit(1), F.col("t_close"))})
+    got = pit.prior(pr, ["repo"], "t_open", "t_open", {"open_now": (F.lit(1), F.col("t_close"))}, bucket=pit.BUCKET)
     return got.select("pr_number", F.col("open_now").cast("long").alias("open_now"))
 
 
@@ -90,7 +90,7 @@ select p.pr_number, round((count(q.pr_number) filter (where q.y = 'clean') + 10
 from pr p left join pr q on p.repo = q.repo and q.t_close + 30 * 86400 < p.t_open group by p.pr_number""")
 def e12_known_outcome_rate(spark, sf_dir):
     pr = pull_requests(spark, sf_dir).withColumn("known", F.col("t_close") + 30 * DAY)
-    got = pit.prior(pr, ["repo"], "t_open", "known", {"n": (F.lit(1), None), "c": ((F.col("y") == "clean").cast("int"), None)})
+    got = pit.prior(pr, ["repo"], "t_open", "known", {"n": (F.lit(1), None), "c": ((F.col("y") == "clean").cast("int"), None)}, bucket=pit.BUCKET)
     return got.select("pr_number", F.round(pit.shrunk(F.col("c"), F.col("n"), F.lit(0.5), 10.0), 9).alias("known_clean_rate"))
 
 

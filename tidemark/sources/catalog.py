@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -86,3 +87,50 @@ def current_generation(spark: SparkSession, root: str) -> str | None:
 def current_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A table of the current generation; a missing one is an error of Spark's reader."""
     return spark.read.parquet(f"{root}/{current_generation(spark, root)}/{table}")
+
+
+def is_finished(status: Column) -> Column:
+    """A run's status text says that all is done: its reason, and nothing failed or deferred. Torn or null text is not finished."""
+    s = F.from_json(status, "reason string, files_failed string, files_deferred string")
+    none = [F.coalesce(s[c].isin("0", "[]", "false", "null", ""), F.lit(True)) for c in ("files_failed", "files_deferred")]
+    return F.coalesce((s["reason"] == "batch done") & none[0] & none[1], F.lit(False))
+
+
+def catalogue(planned: DataFrame, finished: DataFrame) -> DataFrame:
+    """(version, split, n_files, n_finished) of planned files."""
+    done = finished.select(F.col("unit").alias("_u")).distinct().withColumn("_f", F.lit(1))
+    return planned.join(done, F.col("unit") == F.col("_u"), "left").groupBy("version", "split").agg(F.count("*").alias("n_files"), F.count("_f").alias("n_finished"))
+
+
+def read_lines(lines: DataFrame, column: str, schema: str) -> DataFrame:
+    """``lines`` with ``record`` (null if torn or foreign) and ``is_torn``; blank lines are neither."""
+    record = F.from_json(F.col(column), f"{schema}, _torn string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_torn"})
+    read = lines.withColumn("_read", record)
+    torn = F.col("_read._torn").isNotNull()
+    return read.withColumn("is_torn", F.coalesce(torn, F.lit(False))).withColumn("record", F.when(~F.col("is_torn"), F.col("_read"))).drop("_read")
+
+
+def read_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Parquet, or JSON lines for other names, as the contract's columns; files that can't be read are skipped, and no file gives no row."""
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").schema(schema)
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return spark.createDataFrame([], schema)
+    return reader.parquet(path) if path.endswith(".parquet") else reader.option("mode", "DROPMALFORMED").json(path)
+
+
+def siblings(spark: SparkSession, path: str) -> dict[str, str]:
+    """Paths of a dataset and of those of its sibling tables that exist."""
+    stem = path.removesuffix(".parquet")
+    named = {"dataset": path, **{n: f"{stem}_{n}.parquet" for n in ("snapshots", "commit_features")}}
+    return {n: p for n, p in named.items() if (at := _fs(spark, p))[0].exists(at[1])}
+
+
+NESTED = re.compile(r"\([^()]*[+*}][^()]*\)[+*{]")
+
+
+def search(lines: DataFrame, column: str, pattern: str, order: list[str], hits: int) -> DataFrame:
+    """The first ``hits`` lines, in order, that match; patterns with a repeated group that itself repeats are refused."""
+    if NESTED.search(pattern):
+        raise ValueError("a repeated group holds another repetition")
+    return lines.where(F.col(column).rlike(pattern)).orderBy(*order).limit(hits)
