@@ -18,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, UPPER, free_names, materialize, shuffle_partitions
+from .common import BLANKS, LOWER, UPPER, free_names, shuffle_partitions
 
-#: Ranges that the occurrences of one line are dealt over, at most 64.
+#: Ranges that the occurrences of one line are dealt over: a power of two, at most 64.
 SALTS = 64
 MIN_CODE_POINTS = 40
 MIN_DOCUMENTS = 5
@@ -46,13 +46,14 @@ def _streamed(docs: DataFrame, min_code_points: int) -> DataFrame:
     occurrences = long_.withColumn("key", line_key(F.col("line"))).select(
         F.xxhash64("key").alias("h1"),
         F.xxhash64(F.lit("line"), "key").alias("h2"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
+        F.xxhash64("doc_id").bitwiseAND(SALTS - 1).cast("int").alias("salt"),
         "doc_id", "text_hash", "n_lines", "pos",
     )
     ranges = shuffle_partitions(docs.sparkSession)
     place = F.shiftrightunsigned(F.xxhash64("h1", "salt"), 33)  # 31 bits
     ranged = occurrences.withColumn("range", F.shiftright(place * ranges, 31).cast("int")).repartitionById(ranges, "range")
-    order = ["doc_id", "text_hash", "pos"]
+    # n_lines follows from the text; named here, both uses of the stream read the same columns and share one exchange
+    order = ["doc_id", "text_hash", "pos", "n_lines"]
     stream = Window.partitionBy("range", "h1", "h2", "salt").orderBy(*order)
     again = (F.row_number().over(stream) > 1) & F.lag("doc_id").over(stream).eqNullSafe(F.col("doc_id"))
     return ranged.sortWithinPartitions("range", "h1", "h2", "salt", *order).withColumn("first", (~again).cast("int")).drop("range")
@@ -64,7 +65,7 @@ def keep_bitmaps(docs: DataFrame, min_code_points: int = MIN_CODE_POINTS, min_do
     ``runs`` is the keep bitmap as run lengths: kept, dropped, kept, ... lines in turn, starting with kept.
     ``text_hash`` (xxhash64) tells rows with the same doc_id and different texts apart.
     """
-    streamed = materialize(_streamed(docs, min_code_points))
+    streamed = _streamed(docs, min_code_points)
     salts = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: F.getbit("salts", s) == 1)
     common = (
         streamed.groupBy("h1", "h2")
