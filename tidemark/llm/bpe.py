@@ -58,13 +58,17 @@ def tokenizer(path: str):
     return t
 
 
-@cache
-def token_bytes(path: str) -> dict[int, bytes]:
-    """Bytes of each id. Byte-level vocabularies write a printable byte as itself and the others from U+0100 on."""
+def byte_letters() -> dict[str, int]:
+    """The byte of each letter: byte-level vocabularies write a printable byte as itself and the others from U+0100 on."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     others = [b for b in range(256) if b not in printable]
-    of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-    t = tokenizer(path)
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+@cache
+def token_bytes(path: str) -> dict[int, bytes]:
+    """Bytes of each id."""
+    of, t = byte_letters(), tokenizer(path)
     special = {i: a.content.encode() for i, a in t.get_added_tokens_decoder().items()}
     return {i: bytes(of[c] for c in s) for s, i in t.get_vocab(with_added_tokens=False).items() if i not in special} | special
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,3 +84,32 @@ def free_names(columns: list[str], *wanted: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+#: Bytes of text that a Python worker works on at a time; a longer text is a slice of its own.
+SLICE = 1 << 24
+
+
+def text_slices(batches, column: str = "text", most: int = SLICE):
+    """Record batches cut into slices with up to ``most`` bytes of text each, in order; none is empty."""
+    for batch in batches:
+        text = batch.column(column)
+        ends = np.frombuffer(text.buffers()[1], np.int32, len(text) + 1 + text.offset)[text.offset :].astype(np.int64) if len(text) else np.zeros(1, np.int64)
+        at = 0
+        while at < len(text):
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def text_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets from 0) of an Arrow string array without nulls."""
+    ends = np.frombuffer(text.buffers()[1], np.int32, len(text) + 1 + text.offset)[text.offset :]
+    raw = text.buffers()[2]
+    data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
+    return data[ends[0] : ends[-1]], (ends - ends[0]).astype(np.int64)
+
+
+def string_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The Arrow string array of these UTF-8 bytes, without a copy of them."""
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cover_tree, interpolation, line_dedup, mixing, multiprobe, private_data, simhash, toxicity, url_lists
+from . import bpe, cover_tree, interpolation, line_dedup, mixing, multiprobe, packing, private_data, simhash, toxicity, url_lists
 from .common import read_table
 
 
@@ -95,9 +95,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(read_table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens", "step")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_cover_tree_near_dedup, op2_source_mixing, op3_simhash_near_dedup, op4_toxicity, op5_private_data,
     op6_bpe, op7_nearest_neighbours, op8_url_filters, op9_interpolated_lm, op10_line_dedup,
+    op11_packing,
 )}
 
 ORACLE_SQL = {
