@@ -1,6 +1,8 @@
 """Packing, ranked search and spelling variants against brute force, and on nulls, empty tables, ties, repeats and clashing columns."""
 
 import random
+import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing
+from tidemark.llm import packing, variants
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -100,3 +102,84 @@ def test_ranks_encode_as_the_library_does():
     ids, ends = packing.encode_slice(pa.array(runs), path)
     assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == packing.encode_texts(runs, path)
     assert packing.ranks_with_word_ends(path) is not None
+
+
+def brute_words(rows, one_in, min_letters=5, min_count=3):
+    counts = Counter()
+    for i, text, *_ in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % one_in == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= min_letters and n >= min_count}
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def brute_variants(words):
+    out = {}
+    near = {w: [x for x in words if abs(len(w) - len(x)) < 2 and edits(w, x) == 1] for w in words}
+    form = {}
+    for w, n in words.items():
+        top = min(near[w], key=lambda x: (-words[x], x), default=None)
+        form[w] = top if top is not None and words[top] >= 2 * n else None
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (n, len(near[w]), form[w], words.get(form[w]), root)
+    return out
+
+
+def misspelt(seed, n_docs, syllables):
+    """Documents of words that are one or more edits from one another, some frequent."""
+    r = random.Random(seed)
+    stems = ["".join(r.choice(syllables) for _ in range(r.randrange(2, 6))) for _ in range(40)]
+    rows = []
+    for i in range(n_docs):
+        words = []
+        for _ in range(60):
+            w = r.choice(stems[: r.randrange(1, 41)])
+            for _ in range(r.choice([0, 0, 0, 1, 1, 2])):
+                k, c = r.randrange(len(w)), r.choice("abeé÷")
+                w = r.choice([w[:k] + w[k + 1 :], w[:k] + c + w[k + 1 :], w[:k] + c + w[k:]])
+            words.append(r.choice([w, w, w.upper(), w.title()]))
+        rows.append((i, r.choice([" ", "-", "9", "日", "Ā"]).join(words), "en", "a", 1))
+    return rows
+
+
+@pytest.mark.parametrize(("syllables", "block"), [(["ab", "ba", "aa", "bé"], 8), (["lo", "ren", "ip", "sum", "à", "st"], 4096)])
+def test_spelling_variants_match_brute_force(spark, syllables, block):
+    rows = [*misspelt(4, 40, syllables), (None, "Alphabet alphabet alphabat " * 3, None, None, None), (7, None, None, None, None)]
+    expected = brute_words(rows, 7)
+    words = variants.count_words(spark.createDataFrame(rows, DOCS), one_in=7).where("n >= 3")
+    assert {r["word"]: r["n"] for r in words.collect()} == expected and len(expected) > 60
+    got = variants.group_variants(words.persist(), block=block).collect()
+    assert {r["word"]: (r["n"], r["n_near"], r["form"], r["form_n"], r["root"]) for r in got} == brute_variants(expected)
+    assert len(got) == len(expected) and any(r["form"] for r in got)
+    if block == 8:  # the vocabulary is dense, so that groups are dealt and chains are long
+        assert any(r["root"] not in (r["word"], r["form"]) for r in got) and any(r["n_near"] > 5 for r in got)
+
+
+def test_variants_of_odd_tables(docs, empty):
+    rows = variants.spelling_variants(docs).collect()
+    assert {r["word"]: r["n"] for r in rows} == brute_words(documents(), variants.ONE_IN)
+    assert variants.spelling_variants(empty).count() == 0
+
+
+def test_forms_lead_to_roots(spark):
+    chain = [(f"w{i}", f"w{i + 1}" if i < 37 else None) for i in range(38)] + [("alone", None)]
+    got = {r["word"]: r["root"] for r in variants.with_roots(spark.createDataFrame(chain, "word string, form string")).collect()}
+    assert got == {f"w{i}": "w37" for i in range(38)} | {"alone": "alone"}
+    with pytest.raises(ValueError, match="circle"):
+        variants.with_roots(spark.createDataFrame([("a", "b"), ("b", "a")], "word string, form string"), max_rounds=5)
