@@ -1,16 +1,17 @@
 """Packing, ranked search and spelling variants against brute force, and on nulls, empty tables, ties, repeats and clashing columns."""
 
+import math
 import random
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter, OrderedDict, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, variants
+from tidemark.llm import block_max, packing, variants
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -183,3 +184,81 @@ def test_forms_lead_to_roots(spark):
     assert got == {f"w{i}": "w37" for i in range(38)} | {"alone": "alone"}
     with pytest.raises(ValueError, match="circle"):
         variants.with_roots(spark.createDataFrame([("a", "b"), ("b", "a")], "word string, form string"), max_rounds=5)
+
+
+def brute_terms(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+
+def brute_ranks(rows, items, top):
+    bags = [(i, Counter(brute_terms(text))) for i, text, *_ in rows]
+    n_docs, n_terms = sum(bool(b) for _, b in bags), sum(b.total() for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = Counter()
+    for item, text in set(items):
+        scored = []
+        for i, bag in bags:
+            m = 25 + (75 * bag.total() * n_docs) // max(1, n_terms)
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((1_000_000_000 * bag[t]) // (1000 * bag[t] + 8 * m)) for t in brute_terms(text) if bag[t])
+            scored += [(-score, i is None, i or 0)] * (score > 0)
+        out.update((item, rank, None if none else i, -less) for rank, (less, none, i) in enumerate(sorted(scored)[:top], 1))
+    return out
+
+
+@pytest.mark.parametrize("segment", [1, 3_000, 1 << 25])
+def test_ranked_search_matches_brute_force(spark, docs, segment):
+    r = random.Random(8)
+    rows = [*documents(), *[(1000 + i, " ".join(f"w{int(r.expovariate(0.02))}" for _ in range(r.randrange(1, 40))), None, None, None) for i in range(900)], *documents(9, 30)[:30]]
+    items = [(i, " ".join(r.choice([f"w{int(r.expovariate(0.02))}", "alpha", "DÉLTA", "beta", "日本"]) for _ in range(r.randrange(1, 12)))) for i in range(25)]
+    items += [(3, "alpha alpha beta"), items[5], (None, "theta gamma"), (40, None), (41, ""), (42, "nowhere"), (43, "alpha. ALPHA! alpha?")]
+    frame = spark.createDataFrame(rows, DOCS).withColumn("Segment", F.lit(0)).withColumn("term", F.lit("clash")).repartition(3)
+    asked = spark.createDataFrame(items, "item_id long, text string").withColumn("hash", F.lit("clash"))
+    n, total = block_max.corpus_size(frame)
+    assert (n, total) == (sum(bool(brute_terms(x[1])) for x in rows), sum(len(brute_terms(x[1])) for x in rows))
+    index = block_max.build_index(frame, n, total, segment_bytes=segment, block=8)
+    got = Counter(map(tuple, block_max.search(index, asked, n, item_block=7, block=8).collect()))
+    assert got == brute_ranks(rows, [x for x in items if x[1] is not None], 10)
+
+
+def test_ranked_search_of_odd_tables(spark, docs, empty):
+    items = spark.createDataFrame([(1, "alpha theta it"), (2, None)], "item_id long, text string")
+    got = Counter(map(tuple, block_max.ranked_search(docs, items).collect()))
+    assert got == brute_ranks(documents(), [(1, "alpha theta it")], 10)
+    assert block_max.ranked_search(empty, items).count() == 0 and block_max.ranked_search(docs, items.limit(0)).count() == 0
+
+
+def test_posting_blocks_round_trip():
+    r = np.random.default_rng(2)
+    for most, times in ((3, 1), (200, 300), (70_000, 2), (300, 70_000)):
+        sizes = r.integers(1, 20, 30)
+        docs = [np.cumsum(r.integers(1, most, n)) - 1 for n in sizes]
+        tfs = [r.integers(1, times + 1, n) for n in sizes]
+        gaps = np.concatenate([np.diff(d, prepend=-1) - 1 for d in docs])
+        raw, ends = block_max.compressed(gaps, np.concatenate(tfs), np.repeat(np.arange(30), sizes), sizes)
+        at = 0
+        for d, tf, end in zip(docs, tfs, ends.tolist(), strict=True):
+            got = block_max.decompressed(raw[at:end].tobytes(), len(d), -1)
+            assert got[0].tolist() == d.tolist() and got[1].tolist() == tf.tolist()
+            at = end
+
+
+def test_shallow_moves_read_few_blocks():
+    """A rare term that only the first documents hold keeps the blocks of a frequent one unread."""
+    m = np.full(20_000, 100, np.int64)
+
+    def postings(docs, tfs, kept):
+        docs, tfs = np.array(docs), np.array(tfs)
+        sizes = np.array([min(128, len(docs) - a) for a in range(0, len(docs), 128)])
+        starts = np.cumsum(sizes) - sizes
+        raw, ends = block_max.compressed(np.diff(docs, prepend=-1) - 1, tfs, np.repeat(np.arange(len(sizes)), sizes), sizes)
+        best = np.maximum.reduceat(block_max.impact(tfs, m[docs]), starts)
+        return block_max.Postings(len(docs), docs[starts + sizes - 1].astype("<i4").tobytes(), best.astype("<i4").tobytes(), ends.astype("<i4").tobytes(), raw.tobytes(), m, kept, 128)
+
+    kept = OrderedDict()
+    common = postings(range(20_000), [5 if d < 300 or d == 19_000 else 1 for d in range(20_000)], kept)
+    rare = postings(range(0, 40, 2), [1] * 20, kept)
+    got = block_max.search_segment([(common, 100), (rare, 500)])
+    scores = [(100 * int(block_max.impact(np.int64(5 if d < 300 or d == 19_000 else 1), m[0])) + 500 * int(block_max.impact(np.int64(1), m[0])) * (d < 40 and d % 2 == 0), -d) for d in range(20_000)]
+    assert got == [(s, -d) for s, d in sorted(scores, reverse=True)[:10]]
+    assert len({key for key in kept if key[0] == id(common)}) <= 4  # of 157

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cover_tree, interpolation, line_dedup, mixing, multiprobe, packing, private_data, simhash, toxicity, url_lists, variants
+from . import block_max, bpe, cover_tree, interpolation, line_dedup, mixing, multiprobe, packing, private_data, simhash, toxicity, url_lists, variants
 from .common import read_table
 
 
@@ -100,6 +100,10 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens", "step")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_max.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(read_table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
 
@@ -107,7 +111,7 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_cover_tree_near_dedup, op2_source_mixing, op3_simhash_near_dedup, op4_toxicity, op5_private_data,
     op6_bpe, op7_nearest_neighbours, op8_url_filters, op9_interpolated_lm, op10_line_dedup,
-    op11_packing, op13_spelling_variants,
+    op11_packing, op12_ranked_search, op13_spelling_variants,
 )}
 
 ORACLE_SQL = {
