@@ -10,22 +10,6 @@ from tidemark.operators import lifecycle, outcomes
 from tidemark.sources import catalog
 
 
-def test_balanced_shards_deal_counts_evenly_and_heaviest_first(spark):
-    units = spark.createDataFrame([("a", 90), ("b", 50), ("c", 40), ("d", None), ("e", 10), ("f", 0), ("g", 10)], "u string, w int")
-    got = {r["u"]: r["shard"] for r in lifecycle.balanced_shards(units, "u", "w", 3).collect()}
-    # unknown weights count as 40, the upper median of 10, 10, 40, 50, 90; shards hold 3, 2 and 2
-    assert got == {"a": 0, "b": 1, "c": 2, "d": 2, "f": 1, "e": 0, "g": 0}
-    assert lifecycle.balanced_shards(units.where("false"), "u", "w", 3).count() == 0
-
-
-def test_folds_keep_units_whole_and_sizes_near(spark):
-    units = spark.createDataFrame([(f"r{i}", n) for i, n in enumerate([70, 30, 30, 20, 10, 5])], "u string, n int")
-    got = {r["u"]: r["fold"] for r in lifecycle.greedy_folds(units, "u", "n", 2).collect()}
-    assert got == {"r0": 0, "r1": 1, "r2": 1, "r3": 1, "r4": 0, "r5": 0}  # ties go to the earlier fold
-    seeded = {r["u"]: r["fold"] for r in lifecycle.greedy_folds(units, "u", "n", 3, "s").collect()}
-    assert set(seeded) == set(got) and seeded == {r["u"]: r["fold"] for r in lifecycle.greedy_folds(units.repartition(3), "u", "n", 3, "s").collect()}
-
-
 def test_changed_moments_fold_like_a_loop(spark):
     r = random.Random(5)
     rows = [(k, t, r.choice(["view", "buy", "err"]), r.randrange(2)) for k in ("a", "b") for t in sorted(r.sample(range(0, 400_000), 60))]

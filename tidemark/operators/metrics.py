@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order_stats import equal_mass_bins
+
 
 def brier(y: Column, probabilities: list[Column]) -> Column:
     return sum((F.pow(p - (y == i).cast("double"), F.lit(2)) for i, p in enumerate(probabilities)), F.lit(0.0))
@@ -26,10 +28,10 @@ def ranked_probability_score(y: Column, probabilities: list[Column], order: list
     return total / (len(order) - 1)
 
 
-def calibration(df: DataFrame, p: str, hit: Column, order: list, group: list[str], bins: int = 15) -> DataFrame:
-    """(group, bin, n, mean_p, rate) of equal-mass bins by ``order`` within a group. A group must fit a task's sort."""
-    b = F.ntile(bins).over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn("_hit", hit.cast("double")).withColumn("bin", b).groupBy(*group, "bin").agg(F.count("*").alias("n"), F.avg(p).alias("mean_p"), F.avg("_hit").alias("rate"))
+def calibration(df: DataFrame, p: str, hit: Column, order: list[str], group: list[str], bins: int = 15) -> DataFrame:
+    """(group, bin, n, mean_p, rate) of equal-mass bins within a group, by the columns of ``order``."""
+    cells = df.select(*dict.fromkeys([*group, p, *order]), hit.cast("double").alias("_hit"))
+    return equal_mass_bins(cells, group, order, bins, "bin").groupBy(*group, "bin").agg(F.count("*").alias("n"), F.avg(p).alias("mean_p"), F.avg("_hit").alias("rate"))
 
 
 def expected_calibration_error(bins: DataFrame, *group: str) -> DataFrame:

@@ -99,18 +99,6 @@ def entropy(df: DataFrame, key: str, amount: str) -> DataFrame:
     return shares.groupBy(key).agg(F.count("*").alias("n"), e.alias("entropy"))
 
 
-def average_rank(value: str, *partition: str) -> Column:
-    w = Window.partitionBy(*partition)
-    return F.rank().over(w.orderBy(value)) + (F.count("*").over(Window.partitionBy(*partition, value)) - 1) / 2
-
-
-def rank_quantile(order: list, k: int, *partition: str) -> Column:
-    """Quantile bucket 1..k of the first-come rank, edges as of linear interpolation on ranks."""
-    w = Window.partitionBy(*partition)
-    n = F.count("*").over(w)
-    return F.greatest(F.lit(1), F.ceil((F.row_number().over(w.orderBy(*order)) - 1) * F.lit(k) / F.greatest(n - 1, F.lit(1)))).cast("int")
-
-
 def hash_share(seed: str, key: Column, digits: int = 8) -> Column:
     """A reproducible number in [0, 1] from SHA-256 of ``seed:key``."""
     return F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256), 1, digits), 16, 10).cast("double") / float(16**digits - 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order_stats import equal_mass_bins
 from .profile import hash_share
 
 #: Cumulative probabilities of a Poisson variable with mean 1 (fixed values).
@@ -100,8 +101,8 @@ def macro_f1(df: DataFrame, truth: Column, guess: Column) -> DataFrame:
 
 def binned_rates(df: DataFrame, column: str, tie: str, hit: Column, bins: int, *group: str) -> DataFrame:
     """(group, bin, n, lowest, highest, rate) of equal-mass bins of a column within a group."""
-    b = F.ntile(bins).over(Window.partitionBy(*group).orderBy(column, tie))
-    return df.where(F.col(column).isNotNull()).withColumn("bin", b).withColumn("_h", hit.cast("double")).groupBy(*group, "bin").agg(F.count("*").alias("n"), F.min(column).alias("lowest"), F.max(column).alias("highest"), F.avg("_h").alias("rate"))
+    known = df.where(F.col(column).isNotNull()).select(*group, column, tie, hit.cast("double").alias("_h"))
+    return equal_mass_bins(known, list(group), [column, tie], bins, "bin").groupBy(*group, "bin").agg(F.count("*").alias("n"), F.min(column).alias("lowest"), F.max(column).alias("highest"), F.avg("_h").alias("rate"))
 
 
 def fill_from_pool(rows: DataFrame, row_id: str, group: str, column: str, seed: str, least: int = 20) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import history, metrics, pit, profile
+from ..operators import history, metrics, order_stats, pit, profile
 from ..sources.entities import DAY, FILES_SQL, PR_SQL, PREDICTION_SQL, TIMELINE_SQL, file_changes, predictions, pull_requests, table, timeline
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -239,11 +239,7 @@ def j14_leak_probe(spark, sf_dir):
 @query(f"""with {PR_SQL}, r as (select repo, rank() over (order by la) + (count(*) over (partition by la) - 1) / 2.0 as r from pr), g as (select repo, count(*) as n, avg(r) as m from r group by 1), t as (select avg(r) as m, var_pop(r) as v, count(*) as n from r)
 select round(sum(g.n * pow(g.m - t.m, 2)) / any_value(t.n * t.v), 9) as between_share from g, t""")
 def j16_between_group_variance(spark, sf_dir):
-    # ranks of the whole table from counts by value: a window over the distinct values, not over the rows
-    pr = pull_requests(spark, sf_dir)
-    values = pr.groupBy("la").agg(F.count("*").alias("c"))
-    before = F.coalesce(F.sum("c").over(Window.orderBy("la").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    r = pr.join(values.withColumn("r", before + 1 + (F.col("c") - 1) / 2.0), "la")
+    r = order_stats.average_ranks(pull_requests(spark, sf_dir).select("repo", "la"), [], "la", "r")
     total = r.agg(F.avg("r").alias("m"), F.var_pop("r").alias("v"), F.count("*").alias("n"))
     g = r.groupBy("repo").agg(F.count("*").alias("gn"), F.avg("r").alias("gm")).crossJoin(F.broadcast(total))  # one row
     return g.agg(F.round(F.sum(F.col("gn") * F.pow(F.col("gm") - F.col("m"), F.lit(2))) / F.first(F.col("n") * F.col("v")), 9).alias("between_share"))

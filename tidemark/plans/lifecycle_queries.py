@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import lifecycle, metrics
+from ..operators import lifecycle, metrics, order_stats
 from ..sources import catalog
 from ..sources.entities import DAY, FILES_SQL, PR_SQL, PREDICTION_SQL, TIMELINE_SQL, file_changes, predictions, pull_requests, table, timeline
 
@@ -214,19 +214,37 @@ def d4_default_charts(spark, sf_dir):
     return shares.unionByName(top).unionByName(month).unionByName(label)
 
 
-@query("")
+@query(f"""with {PR_SQL}, u as (select repo, count(*) as n from pr group by 1), r as (select repo, row_number() over (order by n desc, repo) - 1 as i from u)
+select repo, cast(case when (i // 4) % 2 = 1 then 3 - i % 4 else i % 4 end as integer) as shard from r""")
 def f6_balanced_shards(spark, sf_dir):
     units = pull_requests(spark, sf_dir).groupBy("repo").agg(F.count("*").alias("n"))
-    return lifecycle.balanced_shards(units, "repo", "n", 4)
+    return order_stats.snake_shards(units, "repo", "n", 4)
 
 
-@query("")
-def f7_f13_repository_folds(spark, sf_dir):
-    """Folds of whole repositories, largest first and in a seeded order, with out-of-fold mean losses of both."""
+FOLDS_SQL = f"""{PREDICTION_SQL}, loss as (select repo, y, pow(p0 - (y = 0)::int, 2) + pow(p1 - (y = 1)::int, 2) + pow(p2 - (y = 2)::int, 2) as loss from pred), u as (select repo, count(*) as n from loss group by 1),
+o as (select repo, row_number() over (order by n desc, repo) - 1 as i, row_number() over (order by floor(log2(n + 1.0)) desc, ('0x' || substr(sha256('folds:' || repo), 1, 8))::bigint, repo) - 1 as j from u),
+f as (select repo, cast(case when (i // 5) % 2 = 1 then 4 - i % 5 else i % 5 end as integer) as fold, cast(case when (j // 5) % 2 = 1 then 4 - j % 5 else j % 5 end as integer) as seeded_fold from o)"""
+
+
+@query(f"with {FOLDS_SQL} select repo, fold, seeded_fold, n from f join u using (repo)")
+def f7_repository_folds(spark, sf_dir):
+    """Folds of whole repositories by size, and seeded ones."""
+    units = pull_requests(spark, sf_dir).groupBy("repo").agg(F.count("*").alias("n"))
+    seeded = order_stats.snake_shards(units, "repo", "n", 5, "seeded_fold", "folds")
+    return units.join(order_stats.snake_shards(units, "repo", "n", 5, "fold"), "repo").join(seeded, "repo").select("repo", "fold", "seeded_fold", "n")
+
+
+@query(f"""with {FOLDS_SQL}, c as (select seeded_fold as fold, y, count(*) as c, sum(loss) as l from loss join f using (repo) group by 1, 2), a as (select y, sum(c) as a from c group by 1),
+g as (select k.fold, a.y, coalesce(c.c, 0) as c, coalesce(c.l, 0) as l, a.a - coalesce(c.c, 0) as rest from (select distinct fold from c) k, a left join c on c.fold = k.fold and c.y = a.y),
+p as (select *, rest / cast(sum(rest) over (partition by fold) as double) as p, sum(c) over (partition by fold) as n from g), q as (select *, sum(p * p) over (partition by fold) as sq from p),
+s as (select fold, cast(any_value(n) as bigint) as n, sum(l) / any_value(n) as brier, sum(c * (sq - 2 * p + 1)) / any_value(n) as base from q group by fold)
+select fold, n, round(brier, 9) as brier, round(base, 9) as base_brier, round(1 - brier / base, 9) as skill from s""")
+def f13_seeded_fold_scores(spark, sf_dir):
+    """Out-of-fold mean loss and skill of seeded folds of whole repositories."""
     p = predictions(spark, sf_dir).withColumn("loss", metrics.brier(F.col("y"), [F.col(f"p{i}") for i in range(3)]))
-    units = p.groupBy("repo").agg(F.count("*").alias("n"), F.sum("loss").alias("loss"))
-    one, two = lifecycle.greedy_folds(units, "repo", "n", 5), lifecycle.greedy_folds(units, "repo", "n", 5, "seed").withColumnRenamed("fold", "seeded_fold")
-    return units.join(one, "repo").join(two, "repo").select("repo", "fold", "seeded_fold", "n", F.round(F.col("loss") / F.col("n"), 9).alias("brier"))
+    folds = order_stats.snake_shards(p.groupBy("repo").agg(F.count("*").alias("n")), "repo", "n", 5, "fold", "folds")
+    scores = order_stats.fold_scores(p.select("repo", "y", "loss"), folds, "repo", "loss", "y")
+    return scores.select("fold", "n", *[F.round(c, 9).alias(c) for c in ("brier", "base_brier", "skill")])
 
 
 @query(f"""with {PR_SQL}, r as (select y, pr_number, is_bot, row_number() over (partition by y, is_bot order by sha256(cast(pr_number as varchar))) as r, count(*) filter (where is_bot) over (partition by y) as bots, count(*) filter (where not is_bot) over (partition by y) as others from pr)
@@ -374,10 +392,14 @@ def m2_resume(spark, sf_dir):
     return kept.select("pr_number", F.lit(True).alias("is_kept")).unionByName(again.select("pr_number", F.lit(False).alias("is_kept")))
 
 
-@query("select 'c_extra' as \"column\", 'missing' as problem union all select 'c_name', 'type' union all select 'c_comment', 'unexpected' where exists (select 1 from information_schema.columns where table_name = 'customer' and column_name = 'c_comment')")
-def m4_contract_problems(spark, sf_dir):
-    from pyspark.sql.types import LongType, StringType, StructField, StructType
-
-    actual = table(spark, sf_dir, "customer").schema
-    contract = StructType([StructField(f.name, LongType() if f.name == "c_name" else f.dataType) for f in actual if f.name != "c_comment"] + [StructField("c_extra", StringType())])
-    return lifecycle.contract_problems(spark, actual, contract)
+@query("""select 'customer' as "table", 'c_note' as "column", 'empty' as problem where (select count(*) from customer) > 0 union all select 'customer', 'c_extra', 'missing' union all select 'customer', 'c_name', 'type'
+union all select 'customer', 'c_nationkey', 'unexpected' union all select 'customer', null, 'unlisted' union all select 'orders', null, 'rows' where (select count(*) from orders) <> (select count(distinct l_orderkey) from lineitem)""")
+def m4_publish_problems(spark, sf_dir):
+    """Tables against a contract and a manifest; the manifest's count of orders is that of the orders that have lines."""
+    customer = table(spark, sf_dir, "customer").withColumn("c_note", F.lit(None).cast("string"))
+    tables = {"customer": customer, "orders": table(spark, sf_dir, "orders"), "nation": table(spark, sf_dir, "nation")}
+    want = [(t, f.name, "bigint" if f.name == "c_name" else f.dataType.simpleString()) for t, df in tables.items() for f in df.schema if f.name != "c_nationkey"]
+    contract = spark.createDataFrame([*want, ("customer", "c_extra", "string")], "table string, column string, type string")
+    lines = table(spark, sf_dir, "lineitem").agg(F.countDistinct("l_orderkey").alias("n_rows")).select(F.lit("orders").alias("table"), "n_rows")
+    manifest = lines.unionByName(tables["nation"].agg(F.max("n_nationkey").cast("long").alias("n_rows")).select(F.lit("nation").alias("table"), (F.col("n_rows") + 1).alias("n_rows")))
+    return lifecycle.publish_problems(tables, contract, manifest)

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import decisions, history, pit, profile, ranks
+from ..operators import decisions, history, order_stats, pit, profile, ranks
 from ..sources.entities import DAY, FILES_SQL, PR_SQL, PREDICTION_SQL, TIMELINE_SQL, file_changes, predictions, pull_requests, table, timeline
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -95,8 +95,8 @@ def e31_review_state(spark, sf_dir):
 
 @query(f"""with {PREDICTION_SQL}, b as (select *, ntile(10) over (partition by repo order by p0, pr_number) as bin from pred) select repo, bin, count(*) as n, min(la) as lowest_la from b group by 1, 2""")
 def e35_equal_mass_bins(spark, sf_dir):
-    bin_ = F.ntile(10).over(Window.partitionBy("repo").orderBy("p0", "pr_number")).cast("long")
-    return predictions(spark, sf_dir).withColumn("bin", bin_).groupBy("repo", "bin").agg(F.count("*").alias("n"), F.min("la").alias("lowest_la"))
+    binned = order_stats.equal_mass_bins(predictions(spark, sf_dir).select("repo", "p0", "pr_number", "la"), ["repo"], ["p0", "pr_number"], 10, "bin")
+    return binned.withColumn("bin", F.col("bin").cast("long")).groupBy("repo", "bin").agg(F.count("*").alias("n"), F.min("la").alias("lowest_la"))
 
 
 @query(f"""with {FILES_SQL} select pr_number, path_id, added + deleted as churn from fc qualify row_number() over (partition by pr_number order by added + deleted desc, path_id) <= 3""")

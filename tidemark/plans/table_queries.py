@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import metrics, profile, sets
+from ..operators import metrics, order_stats, profile, sets
 from ..operators.components import min_label_components
 from ..sources import catalog
 from ..sources.entities import FILES_SQL, PR_SQL, PREDICTION_SQL, TIMELINE_SQL, file_changes, predictions, pull_requests, table, timeline
@@ -240,18 +240,19 @@ def f4_evenly_spread(spark, sf_dir):
 
 @query(f"""with {PR_SQL} select pr_number, cast(greatest(1, ceil((row_number() over (partition by repo order by la, pr_number) - 1) * 4 / cast(greatest(count(*) over (partition by repo) - 1, 1) as double))) as integer) as quartile from pr""")
 def e34_rank_quartile(spark, sf_dir):
-    return pull_requests(spark, sf_dir).select("pr_number", profile.rank_quantile(["la", "pr_number"], 4, "repo").alias("quartile"))
+    return order_stats.rank_quantile(pull_requests(spark, sf_dir).select("repo", "la", "pr_number"), ["repo"], ["la", "pr_number"], 4, "quartile").select("pr_number", "quartile")
 
 
 @query(f"""with {PR_SQL} select pr_number, rank() over (partition by repo order by ld) + (count(*) over (partition by repo, ld) - 1) / 2.0 as avg_rank from pr""")
 def e36_average_rank(spark, sf_dir):
-    return pull_requests(spark, sf_dir).select("pr_number", profile.average_rank("ld", "repo").alias("avg_rank"))
+    return order_stats.average_ranks(pull_requests(spark, sf_dir).select("pr_number", "repo", "ld"), ["repo"], "ld", "avg_rank").select("pr_number", "avg_rank")
 
 
 @query(f"""with {PR_SQL}, r as (select repo, rank() over (partition by repo order by ld) + (count(*) over (partition by repo, ld) - 1) / 2.0 as a, rank() over (partition by repo order by la) + (count(*) over (partition by repo, la) - 1) / 2.0 as b from pr)
 select repo, round(corr(a, b), 6) as spearman from r group by repo""")
 def h10_spearman(spark, sf_dir):
-    r = pull_requests(spark, sf_dir).select("repo", profile.average_rank("ld", "repo").alias("a"), profile.average_rank("la", "repo").alias("b"))
+    r = order_stats.average_ranks(pull_requests(spark, sf_dir).select("repo", "ld", "la"), ["repo"], "ld", "a")
+    r = order_stats.average_ranks(r, ["repo"], "la", "b")
     return r.groupBy("repo").agg(F.round(F.corr("a", "b"), 6).alias("spearman"))
 
 
