@@ -544,3 +544,63 @@ def test_digest_columns(docs):
     ids = bpe.tokenizer(bpe.default_path()).encode(text, add_special_tokens=False).ids
     assert out[0]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() and out[0]["n_tokens"] == len(ids)
     assert out[0]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_budgets_of_few_large_sizes_are_met():
+    for sizes, counts, budget in (([70_001, 70_003], [60_000, 60_000], 4_200_155_000), ([70_001, 70_003, 90_007], [60_000, 60_000, 3], 4_200_155_000), ([500, 500_000], [10**6, 100], 123_456_500)):
+        took = mixing.fit_budget(np.array(sizes), np.array(counts), budget)
+        assert (took >= 0).all() and (took <= counts).all() and int((took * np.array(sizes)).sum()) == budget
+    r = random.Random(4)
+    for _ in range(100):  # any sum of two sizes is met
+        sizes = sorted(r.sample(range(60_000, 90_000), 2))
+        counts = [r.randrange(1_000, 50_000) for _ in sizes]
+        budget = sum(s * r.randrange(0, c + 1) for s, c in zip(sizes, counts, strict=True))
+        took = mixing.fit_budget(np.array(sizes), np.array(counts), budget)
+        assert (took >= 0).all() and (took <= counts).all() and int((took * np.array(sizes)).sum()) == budget
+
+
+def test_scaled_copies_of_pivots_need_few_levels(spark):
+    r = np.random.default_rng(6)
+    base = r.normal(size=(4, 8))
+    many = np.concatenate([base * k for k in range(1, 501)])
+    tree = cover_tree.CoverTree(cover_tree.unit(many), cover_tree.EPS)
+    assert len(tree.levels) < 60
+    rows = [(i, [float(x) for x in v], 1) for i, v in enumerate(many)]
+    got = {x["vec_id"]: (x["n_links"], x["component_id"]) for x in cover_tree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), block=16).collect()}
+    unit = many / np.linalg.norm(many, axis=1)[:, None]
+    near = unit @ unit.T >= 0.93
+    assert {i: x[0] for i, x in got.items()} == {i: int(n) - 1 for i, n in enumerate(near.sum(axis=1))}
+    assert {x[1] for x in got.values()} == {min(np.flatnonzero(row)) for row in near}
+
+
+def test_column_names_in_other_cases(spark, docs):
+    """Names are compared as Spark does: the operators read TEXT as text and replace N_LINES and P_Toxic."""
+    plain = spark.createDataFrame(documents(), DOCS)
+    loud = plain.toDF("DOC_ID", "TEXT", "Lang", "SOURCE", "N_Chars").withColumns({"N_LINES": F.lit("x"), "P_Toxic": F.lit("x")})
+
+    def rows(df, *names):
+        return sorted((tuple(str(x) for x in r) for r in df.select(*names).collect()))
+
+    kept = line_dedup.apply_bitmaps(loud, line_dedup.keep_bitmaps(loud))
+    assert [c.lower() for c in kept.columns].count("n_lines") == 1 and kept.columns[1] == "TEXT"
+    assert rows(kept, "doc_id", "text", "n_dropped") == rows(line_dedup.apply_bitmaps(plain, line_dedup.keep_bitmaps(plain)), "doc_id", "text", "n_dropped")
+    assert kept.where("n_dropped > 0").count() > 5 and line_dedup.drop_common_lines(loud).columns == loud.columns
+    model = toxicity.Model({}, np.array([1.0]))
+    assert [c.lower() for c in toxicity.grade(loud, model).columns].count("p_toxic") == 1
+    assert rows(mixing.mix(loud), "doc_id", "size", "target", "copies") == rows(mixing.mix(plain), "doc_id", "size", "target", "copies")
+    assert mixing.mixed_documents(loud).columns == loud.columns and rows(mixing.mixed_documents(loud), "doc_id", "text") == rows(mixing.mixed_documents(plain), "doc_id", "text")
+    assert rows(simhash.near_duplicates(loud), "doc_id", "fingerprint", "component_id") == rows(simhash.near_duplicates(plain), "doc_id", "fingerprint", "component_id")
+    assert rows(private_data.find_private_data(loud), "doc_id", "spans") == rows(private_data.find_private_data(plain), "doc_id", "spans")
+    assert rows(bpe.encode_decode(loud), "doc_id", "decoded") == rows(bpe.encode_decode(plain), "doc_id", "decoded")
+    vectors = spark.createDataFrame([(i, [float(i % 3), 1.0], 1) for i in range(30)], "Vec_Id long, EMBEDDING array<double>, Label int")
+    assert cover_tree.near_duplicates(vectors).where("n_links >= 9").count() == 30 and multiprobe.nearest(vectors).count() == 40
+    pages = spark.createDataFrame([("http://x.org/a", 5)], "URL string, Fetched int").withColumn("BLOCKED", F.lit(1))
+    changes = spark.createDataFrame([("x.org", True, 1)], "Pattern string, Active boolean, AT int")
+    assert [tuple(r) for r in url_lists.filter_captures(pages, changes).collect()] == [("http://x.org/a", 5, True, "x.org")]
+
+
+def test_url_entries_with_longer_paths(spark):
+    changes = spark.createDataFrame([("x.org/EN/", True, 1), ("X.org./a/b", True, 1), ("y.org/a/b/c//", True, 1), ("z.org//d", True, 1)], "pattern string, active boolean, at int")
+    want = {"http://x.org/EN": "x.org/EN", "http://x.org/EN/page?q": "x.org/EN", "http://x.org/en/": None, "http://x.org/a": None, "http://x.org/a/b/c#f": "x.org/a/b", "http://x.org/a/bc": None, "http://u@y.org:80/a/b/c/d": "y.org/a/b/c", "http://z.org//d/e": "z.org//d", "http://z.org/d": None}
+    got = url_lists.filter_captures(spark.createDataFrame([(u, 5) for u in want], "url string, fetched int"), changes)
+    assert {r["url"]: r["pattern"] for r in got.collect()} == want

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from .common import LOWER, UPPER, materialize, string_array, text_bytes, text_slices
+from .common import LOWER, UPPER, kind_of, materialize, string_array, text_bytes, text_slices
 
 #: Results of an item; postings of a block; bytes of text of a segment; items searched together.
 TOP, BLOCK, SEGMENT, ITEMS = 10, 128, 1 << 25, 1024
@@ -370,4 +370,4 @@ def search(index: DataFrame, items: DataFrame, n_docs: int, kind: str = "long",
 def ranked_search(docs: DataFrame, items: DataFrame, top: int = TOP) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``top`` best of ``docs`` for each of ``items``."""
     n_docs, n_terms = corpus_size(docs)
-    return search(build_index(docs, n_docs, n_terms), items, n_docs, docs.schema["doc_id"].dataType.simpleString(), top)
+    return search(build_index(docs, n_docs, n_terms), items, n_docs, kind_of(docs, "doc_id").simpleString(), top)

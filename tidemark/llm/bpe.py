@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import kind_of
+
 #: Longest text, in code points, that is encoded in one piece.
 PIECE = 1 << 16
 #: Tokens on each side of a join in the first window.
@@ -172,7 +174,7 @@ def _groups(texts: list[str]):
 def encode_decode(docs: DataFrame, path: str | None = None, piece: int = PIECE) -> DataFrame:
     """(doc_id, ids array<int>, decoded string) for each row of ``docs``."""
     path = path or default_path()
-    kind = docs.schema["doc_id"].dataType
+    kind = kind_of(docs, "doc_id")
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def whole(frames):

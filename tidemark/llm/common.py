@@ -75,6 +75,16 @@ def stack(vectors) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 1))
 
 
+def other_columns(columns: list[str], *names: str) -> list[str]:
+    """``columns`` but for ``names``, compared without case as Spark does."""
+    return [c for c in columns if c.lower() not in {n.lower() for n in names}]
+
+
+def kind_of(df: DataFrame, column: str):
+    """The type of a column, found without case as Spark finds it."""
+    return df.select(column).schema[0].dataType
+
+
 def free_names(columns: list[str], *wanted: str) -> list[str]:
     """``wanted``, with as many underscores in front as keep each apart from ``columns`` and from one another."""
     taken, out = {c.lower() for c in columns}, []

@@ -11,7 +11,8 @@ pairs that the bounds leave, and for no others; ``dual_links`` counts them.
 A block pair returns link counts and a spanning star of its links, never the pairs. Equal vectors of a label count as
 one with a multiplicity.
 
-Defined results: vectors that are null, empty, zero or hold null or non-finite components, and those with null label
+Defined results: multiples of one vector have one direction, whose pivots share a leaf; vectors of any length are read
+whole, by the tasks that compare them; vectors that are null, empty, zero or hold null or non-finite components, and those with null label
 or null vec_id, link with nothing and stay; vectors of different length link with nothing; each row is a vector, so
 repeated rows link with one another; columns other than vec_id, embedding and label are ignored; an empty table gives
 an empty result.
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, stack, valid_vector
+from .common import kind_of, materialize, stack, valid_vector
 from .components import connected_components
 
 COSINE = 0.93
@@ -270,7 +271,7 @@ def _traverse(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, pivots: int = PIVOTS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of ``vectors``."""
     limit = math.sqrt(max(0.0, 2 - 2 * cosine))
-    label, array = (vectors.schema[c].dataType.simpleString() for c in ("label", "embedding"))
+    label, array = (kind_of(vectors, c).simpleString() for c in ("label", "embedding"))
     rows = vectors.select("vec_id", "label", F.size("embedding").alias("dim"), "embedding", (valid_vector("embedding") & F.col("label").isNotNull() & F.col("vec_id").isNotNull()).alias("valid"))
     distinct = materialize(
         rows.where("valid").groupBy("label", "dim", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
@@ -279,7 +280,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
     # a random sample of pivots: about one for each block, PIVOTS at most
     every = max(block, -(-total // pivots))
     sampled = distinct.where(F.pmod(F.xxhash64("embedding", F.lit(1)), F.lit(every)) == 0).select("label", "dim", "embedding").orderBy("label", "embedding").toPandas()
-    top = {key: CoverTree(unit(stack(own["embedding"])), 0.0) for key, own in sampled.groupby(["label", "dim"])} if len(sampled) else {}
+    top = {key: CoverTree(unit(stack(own["embedding"])), EPS) for key, own in sampled.groupby(["label", "dim"])} if len(sampled) else {}
 
     def assign(frames):
         for frame in frames:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_words, materialize, shuffle_partitions
+from .common import ascii_words, kind_of, materialize, shuffle_partitions
 
 CHUNK = 3_000_000
 #: Tokens of the input for each range of keys, at most.
@@ -298,4 +298,4 @@ def score_documents(docs: DataFrame, chunk_tokens: int = CHUNK) -> DataFrame:
                 yield _score(view, row.doc_ids, *view.answered(row), n_train, v_train, mixture)
 
     scored = chunks.mapInPandas(score, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    return scored.withColumn("doc_id", F.col("doc_id").cast(kind_of(docs, "doc_id")))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, LOWER, UPPER, free_names, shuffle_partitions
+from .common import BLANKS, LOWER, UPPER, free_names, other_columns, shuffle_partitions
 
 #: Ranges that the occurrences of one line are dealt over: a power of two, at most 64.
 SALTS = 64
@@ -115,9 +115,9 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, n_lines: str = "n_lines",
     kept = F.transform(
         F.filter(F.arrays_zip(lines.alias("l"), flags.alias("f")), lambda z: z["f"]), lambda z: z["l"]
     )
-    text = F.when(F.col(runs).isNull(), docs["text"]).otherwise(F.array_join(kept, "\n")).alias("text")
+    text = F.when(F.col(runs).isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))
     return joined.select(
-        *[text if c == "text" else docs[c] for c in docs.columns if c not in (n_lines, n_dropped)],
+        *[text.alias(c) if c.lower() == "text" else docs[c] for c in other_columns(docs.columns, n_lines, n_dropped)],
         F.size(lines).cast("long").alias(n_lines),
         F.coalesce(dropped, F.lit(0)).cast("long").alias(n_dropped),
     )

@@ -10,8 +10,12 @@ A budget that can be met is met, at every size. An even share of the documents i
 documents of the budget; the program then seeks documents to add and documents to take back. A best choice exists
 that differs from the share by at most three times the largest size in documents (otherwise, put in an order in which
 running sums stay within three largest sizes, some of the changes would cancel out), so bitsets of about twice its
-square in words show what comes nearest if the budget can't be met; far smaller ones do as soon as it is. Bitsets stop
-growing at ``ROOM_MOST`` words: a budget that they have not met by then is nearest only among those changes.
+square in words show what comes nearest if the budget can't be met; far smaller ones do as soon as it is. Where the
+first bitsets don't meet it, as with few or round sizes, each pair of the ``PAIRED`` sizes with the most documents is
+asked for the rest as a linear equation in two bounded whole numbers, for each change of the other sizes that bitsets
+show: so sources of two sizes are met exactly at any size, and those of more as soon as a pair and such a change can.
+Only then do bitsets grow, up to ``ROOM_MOST`` words for bounded memory: a budget that takes changes of more words in at
+least three sizes at once is the one that could be missed, and is nearest among all smaller changes.
 
 Defined results: a null or empty text has size 0 and takes 0 words; a null source is a source of its own, last in
 order; a source of size 0 has target 0; each row is a document, rows with equal doc_id and size are told apart at
@@ -21,17 +25,22 @@ and source are ignored and kept, whatever their names; an empty table gives an e
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import count_words, free_names, materialize
+from .common import count_words, free_names, materialize, other_columns
 
 WEIGHTS, SHARE, MOST, SEED = (5.0, 2.0, 1.0), 1.5, 2.0, 7
 #: Words that the program's bitsets cover at first, and at most (128 MB each).
 ROOM, ROOM_MOST = 1 << 16, 1 << 30
+#: Sizes of which each pair is asked to make up the rest.
+PAIRED = 8
 #: Each byte with its bits reversed.
 REVERSED = bytes(int(f"{b:08b}"[::-1], 2) for b in range(256))
 
@@ -115,6 +124,39 @@ def _places(bits: int) -> np.ndarray:
     return at[row] * 8 + bit
 
 
+def _two_sizes(sizes: np.ndarray, counts: np.ndarray, take: np.ndarray, missing: int) -> np.ndarray | None:
+    """``take`` changed by ``missing`` words: any number of two sizes, and words of the others that ``ROOM`` bits show."""
+    most = [i for i in np.argsort(-counts, kind="stable")[:PAIRED].tolist() if counts[i] and sizes[i]]
+    for i, j in combinations(most, 2):
+        a, b = int(sizes[i]), int(sizes[j])
+        others = np.arange(len(sizes))
+        others = others[(others != i) & (others != j)]
+        adds, backs = _parts(sizes[others], (counts - take)[others], ROOM), _parts(sizes[others], take[others], ROOM)
+        (plus, n_plus), (minus, n_minus) = (_reach([w for w, *_ in parts], ROOM) for parts in (adds, backs))
+        change = np.concatenate([_places(plus), -_places(minus)])
+        g = math.gcd(a, b)
+        p, q = a // g, b // g
+        change = change[(missing - change) % g == 0]
+        rest = (missing - change) // g  # = x p + y q
+        x = rest % q * pow(p, -1, q) % q if q > 1 else np.zeros_like(rest)
+        y = (rest - x * p) // q
+        # all solutions are x + t q, y - t p
+        low = np.maximum(-((x + take[i]) // q), -((counts[j] - take[j] - y) // p))
+        high = np.minimum((counts[i] - take[i] - x) // q, (y + take[j]) // p)
+        fits = np.flatnonzero(low <= high)
+        if len(fits):
+            k = fits[np.abs(change[fits]).argmin()]
+            t = min(max(round(-int(x[k]) / q), int(low[k])), int(high[k]))
+            out = take.copy()
+            out[i] += int(x[k]) + t * q
+            out[j] += int(y[k]) - t * p
+            amount, parts, sign = (int(change[k]), adds[:n_plus], 1) if change[k] > 0 else (-int(change[k]), backs[:n_minus], -1)
+            for c in _choose([w for w, *_ in parts], amount):
+                out[others[parts[c][1]]] += sign * parts[c][2]
+            return out
+    return None
+
+
 def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, room: int = ROOM) -> np.ndarray:
     """How many documents of each size to take, at most ``counts``, so that their words come nearest ``budget`` from below."""
     counts = np.where(sizes > 0, counts, 0).astype(np.int64)
@@ -130,7 +172,7 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, room: int = R
     take[order] = np.diff(np.cumsum(counts[order]).astype(object) * max(0, budget - largest) // total, prepend=0).astype(np.int64)
     had = sum(s * t for s, t in zip(sizes.tolist(), take.tolist(), strict=True))
     missing, enough = budget - had, min(max(had, total - had), 2 * largest * (largest + 1), ROOM_MOST)
-    room = max(room, missing)
+    room, first = max(room, min(missing, ROOM_MOST)), True
     while True:
         adds, backs = _parts(sizes, counts - take, room), _parts(sizes, take, room)
         (plus, n_plus), (minus, n_minus) = (_reach([w for w, *_ in parts], room) for parts in (adds, backs))
@@ -139,6 +181,10 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, room: int = R
             a = (met & -met).bit_length() - 1
             b = a - missing
             break
+        made = _two_sizes(sizes, counts, take, missing) if first else None
+        if made is not None:
+            return made
+        first = False
         if room >= enough:
             up, down = _places(plus), _places(minus)
             best = up[np.searchsorted(up, down + missing, side="right") - 1]
@@ -208,7 +254,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     )
     # a struct has no nulls of its own, so one exchange of the texts by it serves the join and the window
     named = docs.withColumn(key, F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("source")))
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "source")]
+    others = other_columns(docs.columns, "doc_id", "text", "source")
     place = F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(F.lit(0), *others)))
     return (
         named.join(taken, F.col(key) == F.col(key2))

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, stack, valid_vector
+from .common import kind_of, materialize, stack, valid_vector
 
 TOP, EVERY = 20, 20
 TABLES, WIDTH, SEED = 2, 1.2, 11
@@ -130,7 +130,7 @@ def best_of_unit(queries: pd.DataFrame, entries: pd.DataFrame, top: int) -> pd.D
 def nearest(vectors: DataFrame, every: int = EVERY, top: int = TOP, target: float = TARGET) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` best found for each row whose vec_id is divisible by ``every``."""
     spark = vectors.sparkSession
-    array = vectors.schema["embedding"].dataType.simpleString()
+    array = kind_of(vectors, "embedding").simpleString()
     valid = vectors.where(valid_vector("embedding") & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     lengths = valid.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
     schema = "query_id long, rank int, vec_id long, score double"

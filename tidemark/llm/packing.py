@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
 from .bpe import byte_letters, encode_texts, tokenizer
-from .common import text_slices
+from .common import kind_of, text_slices
 
 WINDOW, LEAST_TIER, END = 4096, 256, 2
 #: Tokens that are packed together, and windows of tokens in a step group.
@@ -253,7 +253,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, least_t
     if window & (window - 1) or least_tier & (least_tier - 1) or not 0 < least_tier <= window:
         raise ValueError("window and least_tier are powers of two, least_tier the smaller")
     path = path or default_path()
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = kind_of(docs, "doc_id").simpleString()
 
     def packed(doc_ids: list[pa.Array], ids: list[np.ndarray], part: int, n_sequences: int, n_steps: int):
         names = pa.concat_arrays(doc_ids)

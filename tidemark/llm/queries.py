@@ -61,9 +61,11 @@ FIRST_DAY = "2024-01-01"
 
 def dated_changes(pages: DataFrame) -> DataFrame:
     """A list made from the hosts that occur: digits of the pattern's MD5 give its dates. No table of lists is supplied."""
-    host, segment = url_lists.host_of(F.col("url")), url_lists.segment_of(F.col("url"))
+    host, path = url_lists.host_of(F.col("url")), F.split(url_lists.path_of(F.col("url")), "/", -1)
     domains = pages.select(F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1).alias("pattern")).where("pattern <> ''").distinct()
-    paths = pages.select(host.alias("h"), segment.alias("s")).where("h <> '' and s <> ''").select(F.concat("h", F.lit("/"), "s").alias("pattern")).distinct()
+    segments = pages.select(host.alias("h"), path.alias("p")).where("h <> '' and p[0] <> ''").select("h", F.col("p")[0].alias("s"), F.get("p", F.lit(1)).alias("s2")).distinct()
+    paths = segments.select(F.concat("h", F.lit("/"), "s").alias("pattern")).distinct()
+    deeper = segments.where("s2 <> ''").select(F.concat("h", F.lit("/"), "s", F.lit("/"), "s2", F.lit("/")).alias("pattern"))
 
     def digit(n: int):
         return F.instr(F.lit("0123456789abcdef"), F.substring("md5", n, 1)) - 1
@@ -73,7 +75,8 @@ def dated_changes(pages: DataFrame) -> DataFrame:
     off = known.select("pattern", F.lit(False).alias("active"), (F.col("a") + 20 + 5 * F.col("b")).alias("day"))
     again = known.where("b % 2 = 0").select("pattern", F.lit(True).alias("active"), (F.col("a") + 120).alias("day"))
     some = paths.withColumn("md5", F.md5("pattern")).where(digit(1) == 0).select("pattern", F.lit(True).alias("active"), (digit(2) * 16).alias("day"))
-    return first.unionAll(off).unionAll(again).unionAll(some).select("pattern", "active", F.date_add(F.to_date(F.lit(FIRST_DAY)), F.col("day").cast("int")).alias("at"))
+    deep = deeper.withColumn("md5", F.md5("pattern")).where(digit(1) < 4).select("pattern", F.lit(True).alias("active"), (digit(2) * 16).alias("day"))
+    return first.unionAll(off).unionAll(again).unionAll(some).unionAll(deep).select("pattern", "active", F.date_add(F.to_date(F.lit(FIRST_DAY)), F.col("day").cast("int")).alias("at"))
 
 
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +140,7 @@ from embeddings e left join n on e.vec_id = n.vec_id left join m on e.vec_id = m
 with p as (
   select page_id, url, cast((page_id * 7919) % 365 as integer) as day,
     lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+?)\.?(?::[0-9]*)?(?:[/?#]|$)', 1)) as host,
-    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) as segment
+    string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1), '/') as segs
   from pages
 ), d as (
   select distinct regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) as pattern from p
@@ -146,19 +149,22 @@ with p as (
     strpos('0123456789abcdef', substr(md5(pattern), 3, 1)) - 1 as b, strpos('0123456789abcdef', substr(md5(pattern), 4, 1)) - 1 as c
   from d where pattern <> ''
 ), s as (
-  select distinct host || '/' || segment as pattern from p where host <> '' and segment <> ''
+  select distinct host || '/' || segs[1] as pattern from p where host <> '' and segs[1] <> ''
+), s2 as (
+  select distinct host || '/' || segs[1] || '/' || segs[2] || '/' as pattern from p where host <> '' and segs[1] <> '' and segs[2] <> ''
 ), changes as (
   select pattern, true as active, a as since from k where c < 12
   union all select pattern, false, a + 20 + 5 * b from k where c < 12
   union all select pattern, true, a + 120 from k where c < 12 and b % 2 = 0
   union all select pattern, true, (strpos('0123456789abcdef', substr(md5(pattern), 2, 1)) - 1) * 16 from s where substr(md5(pattern), 1, 1) = '0'
-), clean as (select lower(split_part(pattern, '/', 1)) || case when contains(pattern, '/') then '/' || split_part(pattern, '/', 2) else '' end as pattern, since, bool_or(active) as active from changes group by 1, 2),
+  union all select pattern, true, (strpos('0123456789abcdef', substr(md5(pattern), 2, 1)) - 1) * 16 from s2 where substr(md5(pattern), 1, 1) in ('0', '1', '2', '3')
+), clean as (select lower(split_part(pattern, '/', 1)) || rtrim(substr(pattern, length(split_part(pattern, '/', 1)) + 1), '/') as pattern, since, bool_or(active) as active from changes group by 1, 2),
 spans as (select pattern, active, since as valid_from, lead(since) over (partition by pattern order by since) as valid_to from clean),
-labels as (select page_id, day, host, segment, string_split(host, '.') as ls from p where host <> ''),
+labels as (select page_id, day, host, segs, string_split(host, '.') as ls from p where host <> ''),
 keys as (
   select page_id, day, array_to_string(ls[i:len(ls)], '.') as pattern
   from (select page_id, day, ls, unnest(generate_series(1, greatest(1, len(ls) - 1))) as i from labels)
-  union all select page_id, day, host || '/' || segment from labels where segment <> ''
+  union all select page_id, day, host || '/' || array_to_string(segs[1:i], '/') from (select *, unnest(generate_series(1, len(segs))) as i from labels) where segs[i] <> ''
 ), hits as (
   select k.page_id, max({'n': length(k.pattern), 'p': k.pattern}) as best
   from keys k join spans s on k.pattern = s.pattern and s.active and s.valid_from <= k.day and (s.valid_to is null or k.day < s.valid_to)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, materialize
+from .common import free_names, materialize, other_columns
 
 SAMPLE = 6_000
 #: A feature is in at least so many labelled rows; fewer show nothing.
@@ -180,7 +180,7 @@ def _judged(docs: DataFrame, model: Model, name: str) -> DataFrame:
 def grade(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with expected_severity (0 to the highest grade) and p_toxic, the chance of the highest; they replace
     columns of these names."""
-    others, [judged] = [c for c in docs.columns if c not in ("expected_severity", "p_toxic")], free_names(docs.columns, "judged")
+    others, [judged] = other_columns(docs.columns, "expected_severity", "p_toxic"), free_names(docs.columns, "judged")
     return _judged(docs, model, judged).select(*others, F.col(f"{judged}.severity").alias("expected_severity"), F.col(f"{judged}.p_toxic").alias("p_toxic"))
 
 
