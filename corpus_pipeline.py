@@ -25,7 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Common lines stay only in the largest document that holds them; n_chars, where there is one, follows the text."""
     out = line_dedup.drop_common_lines(docs)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    counted = [c for c in docs.columns if c.lower() == "n_chars"]
+    return out.withColumns({c: F.length("text").cast(docs.schema[c].dataType) for c in counted})
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
