@@ -36,12 +36,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from .common import LOWER, UPPER, kind_of, materialize, string_array, text_bytes, text_slices
+from .common import LOWER, UPPER, kind_of, materialize, shuffle_partitions, string_array, text_bytes, text_slices
 
 #: Results of an item; postings of a block; bytes of text of a segment; items searched together.
 TOP, BLOCK, SEGMENT, ITEMS = 10, 128, 1 << 25, 1024
 #: Decompressed blocks that a search keeps.
 KEPT = 2048
+#: Terms of all items up to which their list is broadcast.
+BROADCAST = 200_000
 #: Past all documents of a segment.
 END = 1 << 62
 
@@ -343,7 +345,9 @@ def search(index: DataFrame, items: DataFrame, n_docs: int, kind: str = "long",
     word = F.explode(terms_of(F.col("text"))).alias("term")
     asked = texts.select(F.struct("item_id", "hash").alias("item"), word).groupBy("item", "term").agg(F.count("*").alias("times"))
     asked = materialize(asked.withColumn("item_block", F.pmod(F.xxhash64("item"), F.lit(n_blocks)).cast("int")))
-    held = materialize(index.join(asked.select("term").unionAll(spark.createDataFrame([("",)], "term string")).distinct(), "term", "left_semi"))
+    terms = materialize(asked.select("term").unionAll(spark.createDataFrame([("",)], "term string")).distinct())
+    # with few terms the index is filtered as it is made, otherwise it is dealt by term
+    held = materialize(index.join(F.broadcast(terms) if terms.count() <= BROADCAST else terms, "term", "left_semi"))
     # df fits in doubles; a term's weight is 0 at least
     weight = F.floor(1000 * F.log((2.0 * n_docs + 2.0) / (2.0 * F.col("all_df") + 1.0))).cast("long")
     weights = held.where("term <> ''").groupBy("term").agg(F.sum("df").alias("all_df")).select("term", weight.alias("weight")).where("weight > 0")
@@ -360,7 +364,9 @@ def search(index: DataFrame, items: DataFrame, n_docs: int, kind: str = "long",
         rows = _search(group, top, block)
         return pd.DataFrame({"item": [r[0] for r in rows], "doc_id": pd.Series([r[1] for r in rows], dtype=object), "score": [r[2] for r in rows]}).astype({"item": "int64", "score": "int64"})
 
-    found = put.groupBy("segment", "item_block").applyInPandas(run, "item long, doc_id string, score long").withColumn("doc_id", F.col("doc_id").cast(kind))
+    # groups are long work on few bytes, so their number of tasks doesn't follow the bytes
+    dealt = put.repartition(shuffle_partitions(spark), "segment", "item_block")
+    found = dealt.groupBy("segment", "item_block").applyInPandas(run, "item long, doc_id string, score long").withColumn("doc_id", F.col("doc_id").cast(kind))
     order = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     names = texts.select("item_id", F.xxhash64(F.struct("item_id", "hash")).alias("item"))
