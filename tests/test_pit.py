@@ -1,6 +1,7 @@
 """Point-in-time laws on small frames: strictly before, unknown keys, no leak from the future."""
 
 import random
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -112,3 +113,18 @@ def test_debounce_keeps_the_most_important_name(spark):
     df = spark.createDataFrame([("p", 0, "view"), ("p", 100, "buy"), ("p", 5000, "view")], "k string, t long, name string")
     got = {(r["t"], r["name"]) for r in events.debounce(df, "k", "t", "name", F.when(F.col("name") == "buy", 0).otherwise(1)).collect()}
     assert got == {(100, "buy"), (5000, "view")}
+
+
+@pytest.mark.parametrize("bucket", [None, 7])
+def test_odd_values_leave_with_their_window_and_null_moments_are_unknown(spark, bucket):
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", 1, 1.0), ("a", 2, nan), ("a", 4, 2.0), ("a", 9, inf), ("a", 10, -inf), ("a", 11, 4.0), ("a", 20, 8.0), ("a", None, 16.0), (None, 5, 1.0), ("b", 3, None), ("b", 4, 1.5)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    got = {(r["k"], r["t"]): (r["s"], r["n"], r["gap"]) for r in pit.prior(df, ["k"], "t", "t", {"s": (F.col("v"), 5), "n": (F.lit(1), None)}, "gap", bucket=bucket).collect()}
+    for k, t, _ in rows:
+        if k is None or t is None:
+            assert got[k, t] == (None, None, None)
+            continue
+        held = [x for j, u, x in rows if j == k and u is not None and t - 5 <= u < t and x is not None]
+        want, s = sum(held), got[k, t][0]
+        assert (s != s if want != want else abs(s - want) < 1e-9 or s == want), (k, t, s, want)

@@ -25,7 +25,8 @@ def prior(rows: DataFrame, keys: list[str], at: str, event: str, sums: dict[str,
     number of seconds beside the column also wants at - window <= event, a column wants at <= its moment. ``last`` and
     ``first``: seconds since the latest and earliest such event.
 
-    No earlier event: sums are 0, gaps null. Unknown key: all null. ``events`` defaults to ``rows`` themselves; name the
+    No earlier event: sums are 0, gaps null. Unknown key or null moment: all null. NaN and infinite values are counted
+    apart, so a sum is NaN or infinite while its window holds one and recovers after. ``events`` defaults to ``rows`` themselves; name the
     plain table in a chain of calls, so that each call reads it and not all calls before.
 
     An event enters at its time and leaves, with its value taken off, when its window ends, so frames only grow and the
@@ -36,20 +37,32 @@ def prior(rows: DataFrame, keys: list[str], at: str, event: str, sums: dict[str,
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    names = [f"_v{i}" for i in range(len(sums))]
+    asked_at = known & F.col(at).isNotNull()
+    # a sum of fractions has three counts beside it: of NaN, of infinite values above and below zero
+    fractions = {n: source.select(v).schema[0].dataType.typeName() in ("float", "double") for n, (v, _) in sums.items()}
+    parts_of, given = {}, []
+    for n, (v, w) in sums.items():
+        x = v.cast("double")
+        mine = [x]
+        if fractions[n]:
+            odd = [F.isnan(x), x == float("inf"), x == float("-inf")]
+            mine = [F.when(~(odd[0] | odd[1] | odd[2]), x), *[F.when(o, 1.0) for o in odd]]
+        parts_of[n] = [f"_v{len(given) + i}" for i in range(len(mine))]
+        given += [(c, w) for c in mine]
+    names = [f"_v{i}" for i in range(len(given))]
 
     def entry(when: Column, values: dict[str, Column], is_event: bool) -> Column:
         put = [(values[n] if n in values else F.lit(None)).cast("double").alias(n) for n in names]
         return F.struct(when.cast("long").alias("_x"), *put, F.lit(1 if is_event else None).cast("int").alias("_e"))
 
-    value = dict(zip(names, (v for v, _ in sums.values()), strict=True))
+    value = dict(zip(names, (v for v, _ in given), strict=True))
     leaves: dict = {}
-    for n, (_, w) in zip(names, sums.values(), strict=True):
+    for n, (_, w) in zip(names, given, strict=True):
         if w is not None:
             leaves.setdefault(w if isinstance(w, int) else id(w), (w, []))[1].append(n)
     ends = [entry((F.col(event) + w) if isinstance(w, int) else w, {n: -value[n].cast("double") for n in own}, False) for w, own in leaves.values()]
     entered = source.where(known & F.col(event).isNotNull()).select(*keys, F.explode(F.array(entry(F.col(event), value, True), *ends)).alias("_p")).select(*keys, F.lit(None).alias("_row"), "_p.*")
-    asked = rows.where(known).select(*keys, F.struct(*rows.columns).alias("_row"), F.col(at).cast("long").alias("_x"), *[F.lit(None).cast("double").alias(n) for n in names], F.lit(None).cast("int").alias("_e"))
+    asked = rows.where(asked_at).select(*keys, F.struct(*rows.columns).alias("_row"), F.col(at).cast("long").alias("_x"), *[F.lit(None).cast("double").alias(n) for n in names], F.lit(None).cast("int").alias("_e"))
     put = asked.unionByName(entered.where("_x is not null"))
     when, carried = F.when(F.col("_e") == 1, F.col("_x")), [*[f"_c{n}" for n in names], "_c_last", "_c_first"]
     if bucket is None:
@@ -62,13 +75,20 @@ def prior(rows: DataFrame, keys: list[str], at: str, event: str, sums: dict[str,
         carry = totals.select(*[F.col(k).alias(f"_k_{k}") for k in parts], *[c.alias(n) for n, c in zip(carried, sums_before, strict=True)])
         put = put.join(carry, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in parts]))
     here = Window.partitionBy(*parts).orderBy("_x").rangeBetween(ALWAYS, -1)
-    made = {n: F.coalesce(F.col(f"_c{v}"), F.lit(0.0)) + F.coalesce(F.sum(v).over(here), F.lit(0.0)) for n, v in zip(sums, names, strict=True)}
+    total = {v: F.coalesce(F.col(f"_c{v}"), F.lit(0.0)) + F.coalesce(F.sum(v).over(here), F.lit(0.0)) for v in names}
+    made = {n: total[own[0]] for n, own in parts_of.items() if len(own) == 1}
+    for n, own in parts_of.items():
+        if len(own) > 1:
+            finite, nans, above, below = (total[v] for v in own)
+            odd = F.when((nans > 0) | ((above > 0) & (below > 0)), float("nan")).when(above > 0, float("inf")).when(below > 0, float("-inf"))
+            made[n] = F.coalesce(odd, finite)
+    made = {n: made[n] for n in sums}
     if last:
         made[last] = F.col("_x") - F.coalesce(F.max(when).over(here), "_c_last")
     if first:
         made[first] = F.col("_x") - F.coalesce("_c_first", F.min(when).over(here))
     done = put.withColumns(made).where("_row is not null").select("_row.*", *made)
-    unknown = rows.where(" or ".join(f"{k} is null" for k in keys)).select("*", *[F.lit(None).cast(done.schema[n].dataType).alias(n) for n in made])
+    unknown = rows.where(~asked_at).select("*", *[F.lit(None).cast(done.schema[n].dataType).alias(n) for n in made])
     return done.unionByName(unknown)
 
 

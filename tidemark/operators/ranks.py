@@ -68,6 +68,37 @@ def cluster_bootstrap(rows: DataFrame, unit: str, value: Column, draws: int, see
     return units.agg(F.avg("_m").alias("mean")).crossJoin(F.broadcast(bounds))  # one row each
 
 
+def joint_bootstrap(rows: DataFrame, unit: str, model: Column, base: Column, other: Column, truth: Column, guess: Column, classes: list, draws: int, seed: str, alpha: float = 0.05) -> DataFrame:
+    """(statistic, estimate, lower, upper) of ``loss`` (mean over units of their mean loss), ``skill`` (1 less its quotient by the
+    base's), ``difference`` (to another model's loss) and ``macro_f1``, with percentile bounds over Poisson draws of whole units.
+
+    All statistics of a draw come from the same weights and from sums over units: of their mean losses, and of their
+    counts by truth and guess; a draw without units has none. Rows are first reduced to one per unit; units x draws then meet in one aggregate.
+    """
+    cells = [(t, g) for t in classes for g in classes]
+    losses = {"_m": F.avg(model), "_b": F.avg(base), "_o": F.avg(other)}
+    units = rows.groupBy(unit).agg(*[c.alias(n) for n, c in losses.items()], F.array(*[F.count_if((truth == t) & (guess == g)).cast("double") for t, g in cells]).alias("_c"))
+
+    def statistics(w: Column, grouped) -> DataFrame:
+        sums = grouped.agg(F.sum(w).alias("_w"), *[F.sum(w * F.col(n)).alias(n) for n in losses], *[F.sum(w * F.col("_c")[i]).alias(f"_c{i}") for i in range(len(cells))])
+
+        def count(keep) -> Column:
+            return sum((F.col(f"_c{i}") for i, c in enumerate(cells) if keep(*c)), F.lit(0.0))
+
+        # the F1 of a class that is in neither truth nor guesses is 0
+        f1 = [F.coalesce(2 * count(lambda t, g, c=c: t == g == c) / F.nullif(count(lambda t, g, c=c: t == c) + count(lambda t, g, c=c: g == c), F.lit(0.0)), F.lit(0.0)) for c in classes]
+        named = {
+            "loss": F.col("_m") / F.nullif("_w", F.lit(0)), "skill": 1 - F.col("_m") / F.nullif("_b", F.lit(0.0)), "difference": (F.col("_m") - F.col("_o")) / F.nullif("_w", F.lit(0)),
+            "macro_f1": F.when(F.col("_w") > 0, sum(f1[1:], f1[0]) / len(classes)),
+        }
+        return sums.select(F.explode(F.array(*[F.struct(F.lit(k).alias("statistic"), v.cast("double").alias("x")) for k, v in named.items()])).alias("s")).select("s.*")
+
+    estimate = statistics(F.lit(1), units.groupBy())
+    drawn = units.withColumn("_d", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("_weight", bootstrap_weight(seed, F.col("_d"), F.col(unit)))
+    bounds = statistics(F.col("_weight"), drawn.groupBy("_d")).groupBy("statistic").agg(F.percentile("x", F.lit(alpha / 2)).alias("lower"), F.percentile("x", F.lit(1 - alpha / 2)).alias("upper"))
+    return estimate.withColumnRenamed("x", "estimate").join(bounds, "statistic")
+
+
 def calibration_line(df: DataFrame, p: Column, hit: Column, rounds: int = 8) -> tuple[float, float]:
     """(offset, slope) of logit(hit) on logit(p) by Newton's method, each round one aggregate of five sums.
 
