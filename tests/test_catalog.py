@@ -29,11 +29,19 @@ def test_upsert_and_replace(spark, tmp_path):
     got = sorted((r["k"], r["v"], r["w"]) for r in catalog.upsert(old, new, ["k"]).collect())
     assert got == [(1, "a", None), (2, "c", 9)]
     root = str(tmp_path / "t")
+    assert catalog.current_generation(spark, root) is None
     catalog.replace_tables({"a": old, "b": old}, root)
-    first = catalog.current_generation(spark, root)
+    first, reader = catalog.current_generation(spark, root), catalog.current_table(spark, root, "b")
     catalog.replace_tables({"a": new}, root)
-    assert catalog.current_table(spark, root, "a").count() == 1 and catalog.current_generation(spark, root) != first
-    assert sorted(p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith(".")) == sorted(["CURRENT", catalog.current_generation(spark, root)])
+    second = catalog.current_generation(spark, root)
+    assert catalog.current_table(spark, root, "a").count() == 1 and second != first and reader.count() == 2  # within the lease
+    # a torn commit and a folder without one count for nothing
+    (tmp_path / "t" / "commits" / "7.json").write_text('{"generation": "gen')
+    old.write.parquet(f"{root}/generation-crashed/a")
+    assert catalog.current_generation(spark, root) == second
+    third = catalog.replace_tables({"a": old}, root, lease=0)
+    assert catalog.current_generation(spark, root) == third and (tmp_path / "t" / "commits" / "8.json").exists()
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith(".")) == sorted(["commits", third])
 
 
 def test_text_rules(spark):

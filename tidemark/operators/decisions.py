@@ -79,3 +79,40 @@ def in_all(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     for f in tagged[1:]:
         put = put.unionByName(f)
     return put.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") == len(frames)).drop("_n")
+
+
+def open_at(rows: DataFrame, moments: DataFrame, scope: str, start: str, end: str, bucket: int = 30 * 86_400) -> DataFrame:
+    """``rows`` with each ``moment`` of their scope, of (scope, moment), at which they were open: start <= moment < end; a null end never ends.
+
+    Rows and moments meet by scope and bucket of time, each row in the buckets of its life, so hot scopes are dealt.
+    """
+    last = moments.groupBy(F.col(scope).alias("_s")).agg(F.max("moment").alias("_until"))
+    lives = rows.join(last, F.col(scope) == F.col("_s")).where(F.col(start) <= F.col("_until"))
+    ends = F.greatest(F.col(start), F.least(F.coalesce(F.col(end), F.col("_until")), F.col("_until")))
+    spread = lives.withColumn("_b", F.explode(F.sequence(F.floor(F.col(start) / bucket), F.floor(ends / bucket))))
+    asked = moments.select(F.col(scope).alias("_m_s"), "moment", F.floor(F.col("moment") / bucket).alias("_m_b")).distinct()
+    met = spread.join(asked, (F.col(scope) == F.col("_m_s")) & (F.col("_b") == F.col("_m_b")) & (F.col(start) <= F.col("moment")) & (F.col(end).isNull() | (F.col("moment") < F.col(end))))
+    return met.select(*rows.columns, "moment")
+
+
+def replayed_queues(waiting: DataFrame, scope: str, key: str, scorers: dict[str, Column], bad: Column, top: int = 5, least: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(lists, exposure) of every scorer over queues (scope, moment) of at least ``least`` rows, from one ranking.
+
+    lists: (scope, moment, scorer, n_open, n_bad, hits, recall, ndcg, first_hit) of the ``top`` rows by score, ties by key;
+    exposure: (scorer, n_good, n_flagged, flagged_share, false_flag_area): good rows that were ever waiting, those that were ever among
+    the ``top``, and the mean over good rows of the share of their moments at which they were.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("scorer"), s.cast("double").alias("score")) for n, s in scorers.items()])).alias("_s")
+    long_ = waiting.withColumn("_bad", bad.cast("int")).select(scope, "moment", key, "_bad", each).select("*", "_s.*").drop("_s")
+    queue = Window.partitionBy(scope, "moment", "scorer")
+    ranked = long_.withColumns({"_n": F.count("*").over(queue), "_r": F.row_number().over(queue.orderBy(F.desc("score"), key))}).where(F.col("_n") >= least)
+    taken, gain = F.col("_r") <= top, 1 / F.log2(F.col("_r") + 1.0)
+    per = ranked.groupBy(scope, "moment", "scorer").agg(
+        F.count("*").alias("n_open"), F.sum("_bad").alias("n_bad"), F.sum(F.when(taken, F.col("_bad")).otherwise(0)).alias("hits"), F.sum(F.when(taken, F.col("_bad") * gain).otherwise(0.0)).alias("_gain"),
+        F.min(F.when(F.col("_bad") == 1, F.col("_r"))).alias("first_hit"),
+    )
+    best = F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(top), F.col("n_bad").cast("int")))), F.lit(0.0), lambda a, i: a + 1 / F.log2(i + 1.0))
+    lists = per.select(scope, "moment", "scorer", "n_open", "n_bad", "hits", F.when(F.col("n_bad") > 0, F.col("hits") / F.col("n_bad")).alias("recall"), F.when(F.col("n_bad") > 0, F.col("_gain") / best).alias("ndcg"), "first_hit")
+    rows = ranked.where("_bad = 0").groupBy("scorer", scope, key).agg(F.avg(taken.cast("double")).alias("_share"))
+    flagged = F.count_if(F.col("_share") > 0)
+    return lists, rows.groupBy("scorer").agg(F.count("*").alias("n_good"), flagged.alias("n_flagged"), (flagged / F.count("*")).alias("flagged_share"), F.avg("_share").alias("false_flag_area"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import re
+import time
 import uuid
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -51,37 +54,84 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return last_wins(both, keys, "_o").drop("_o")
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's interface."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def replace_tables(tables: dict[str, DataFrame], root: str) -> None:
-    """All tables of ``root`` at once: every one is written to a new generation's folder first, and then one rename of a
-    pointer file makes the generation the current one, so readers see all old or all new tables, and a crash at any
-    moment leaves one of both. Tables that are not given are gone in the new generation; older ones are deleted last.
+#: Seconds that a generation stays readable after another has taken its place.
+LEASE = 86_400
+
+
+def _commits(spark: SparkSession, root: str) -> list[tuple[int, dict, float]]:
+    """(number, entry, time in seconds) of whole commits, newest first; torn files don't count."""
+    fs, folder = file_system(spark, f"{root}/commits")
+    out = []
+    for status in fs.listStatus(folder) if fs.exists(folder) else []:
+        name = status.getPath().getName()
+        if re.fullmatch(r"\d+\.json", name):
+            source = fs.open(status.getPath())
+            try:
+                entry = json.loads(bytes(source.readAllBytes()).decode())
+                out.append((int(name[:-5]), {"generation": entry["generation"], "tables": entry["tables"]}, status.getModificationTime() / 1000))
+            except (ValueError, KeyError, TypeError):
+                continue
+            finally:
+                source.close()
+    return sorted(out, key=lambda c: -c[0])
+
+
+def replace_tables(tables: dict[str, DataFrame], root: str, lease: float = LEASE) -> str:
+    """All tables of ``root`` at once; the name of the new generation.
+
+    Every table is written to a new generation's folder, and then a commit is put down: a small file with the next free number,
+    made only if it is not there yet, so no rename is needed and of two writers each gets a number of its own. The
+    greatest whole commit is the current one: readers see all old or all new tables, and a crash at any moment leaves
+    one of both. Tables that are not given are gone in the new generation. Older generations stay for ``lease`` seconds
+    after another took their place, for those who still read them.
     """
     spark = next(iter(tables.values())).sparkSession
-    name, old = f"generation-{uuid.uuid4().hex}", current_generation(spark, root)
+    name = f"generation-{uuid.uuid4().hex}"
     for table, df in tables.items():
         df.write.parquet(f"{root}/{name}/{table}")
-    fs, pointer = _fs(spark, f"{root}/CURRENT")
-    staged = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT.{name}")
-    out = fs.create(staged, True)
-    out.write(bytearray(name.encode()))
-    out.close()
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration())
-    overwrite = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = overwrite
-    context.rename(staged, pointer, options)
-    if old:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{old}"), True)
+    fs, folder = file_system(spark, f"{root}/commits")
+    fs.mkdirs(folder)
+    number = max((int(s.getPath().getName()[:-5]) for s in fs.listStatus(folder) if re.fullmatch(r"\d+\.json", s.getPath().getName())), default=0)
+    while True:
+        number += 1
+        try:
+            out = fs.create(file_system(spark, f"{root}/commits/{number}.json")[1], False)
+        except Py4JJavaError as e:
+            if "AlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+            continue
+        out.write(bytearray(json.dumps({"generation": name, "tables": sorted(tables)}).encode()))
+        out.close()
+        vacuum(spark, root, lease)
+        return name
+
+
+def vacuum(spark: SparkSession, root: str, lease: float = LEASE) -> None:
+    """Deletes generations that were replaced, or written without a commit, more than ``lease`` seconds ago."""
+    commits, now = _commits(spark, root), time.time()
+    fs, folder = file_system(spark, root)
+    kept = {commits[0][1]["generation"]} if commits else set()
+    for (_, _, replaced), (number, entry, _) in zip(commits, commits[1:], strict=False):
+        if replaced > now - lease:
+            kept.add(entry["generation"])
+        else:
+            fs.delete(file_system(spark, f"{root}/commits/{number}.json")[1], False)
+    committed = {c[1]["generation"] for c in commits}
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("generation-") and name not in kept and (name in committed or status.getModificationTime() / 1000 <= now - lease):
+            fs.delete(status.getPath(), True)
 
 
 def current_generation(spark: SparkSession, root: str) -> str | None:
-    fs, pointer = _fs(spark, f"{root}/CURRENT")
-    return spark.read.text(f"{root}/CURRENT").first()["value"] if fs.exists(pointer) else None
+    commits = _commits(spark, root)
+    return commits[0][1]["generation"] if commits else None
 
 
 def current_table(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -113,7 +163,7 @@ def read_lines(lines: DataFrame, column: str, schema: str) -> DataFrame:
 def read_rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Parquet, or JSON lines for other names, as the contract's columns; files that can't be read are skipped, and no file gives no row."""
     reader = spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").schema(schema)
-    fs, target = _fs(spark, path)
+    fs, target = file_system(spark, path)
     if not fs.exists(target):
         return spark.createDataFrame([], schema)
     return reader.parquet(path) if path.endswith(".parquet") else reader.option("mode", "DROPMALFORMED").json(path)
@@ -123,7 +173,7 @@ def siblings(spark: SparkSession, path: str) -> dict[str, str]:
     """Paths of a dataset and of those of its sibling tables that exist."""
     stem = path.removesuffix(".parquet")
     named = {"dataset": path, **{n: f"{stem}_{n}.parquet" for n in ("snapshots", "commit_features")}}
-    return {n: p for n, p in named.items() if (at := _fs(spark, p))[0].exists(at[1])}
+    return {n: p for n, p in named.items() if (at := file_system(spark, p))[0].exists(at[1])}
 
 
 NESTED = re.compile(r"\([^()]*[+*}][^()]*\)[+*{]")
