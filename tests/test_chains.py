@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.operators import chains, decisions
+from tidemark.operators import chains, decisions, sets
 from tidemark.sources import audit
 
 ROW = StructType([StructField("a", LongType()), StructField("b", LongType())])
@@ -97,3 +97,32 @@ def test_open_intervals_match_pairs(spark):
         own = sorted((i for i, m in want if m == x["moment"] and rows[i][1] == x["k"]), reverse=x["scorer"] == "up")
         assert x["n_open"] == len(own) >= 2 and x["n_bad"] == sum(i % 3 == 0 for i in own) and x["hits"] == sum(i % 3 == 0 for i in own[:2])
     assert {x["scorer"]: x["n_good"] for x in exposure.collect()}.keys() == {"up", "down"}
+
+
+def test_set_joins_meet_by_time_and_rare_elements(spark):
+    r = random.Random(11)
+    items = [(i, r.choice("ab"), s := r.randrange(400), r.choice([None, s, s + r.randrange(90)])) for i in range(150)]
+    own = {i: {0, *(r.choice([1, 2, 3, *range(4, 30)]) for _ in range(r.randrange(5)))} - (set() if r.random() < 0.8 else {0}) for i, *_ in items}
+    df = spark.createDataFrame(items, "i int, k string, s long, e long")
+    elements = spark.createDataFrame([(i, x) for i, xs in own.items() for x in xs] * 2, "i int, x int")
+    got = {x["i"]: x["n"] for x in sets.overlapping(df, elements, "k", "i", "x", "s", "e", bucket=17).collect()}
+    assert got == {i: sum(j != i and q == k and a <= s and (b is None or s < b) and bool(own[i] & own[j]) for j, q, a, b in items) for i, k, s, _ in items}
+    for least in (0.1, 0.5, 0.8):
+        near = sets.jaccard_neighbours(df, elements, "k", "i", "x", "s", "e", 120, 5, least, 3, bucket=23).collect()
+        want = []
+        for i, k, s, _ in items:
+            scored = [(-len(own[i] & own[j]) / len(own[i] | own[j]), -b, j) for j, q, _, b in items if j != i and q == k and b is not None and s - 120 <= b <= s - 5 and own[i] | own[j]]
+            want += [(i, j, rank) for rank, (_, _, j) in enumerate(sorted(x for x in scored if -x[0] >= least and own[i])[:3], 1)]
+        assert sorted((x["i"], x["neighbour"], x["rank"]) for x in near) == sorted(want) and want
+
+
+def test_an_element_of_all_items_makes_pairs_of_one_time_only(spark):
+    """Items are spread over time; those that meet grow with the items, not with their square."""
+    made = []
+    for n in (400, 1600):
+        df = spark.range(n).select("id", F.lit("k").alias("k"), (F.col("id") * 100).alias("s"), (F.col("id") * 100 + 250).alias("e"))
+        elements = df.select("id", F.lit(1).alias("x"))
+        assert sets.overlapping(df, elements, "k", "id", "x", "s", "e", bucket=1000).agg(F.sum("n")).first()[0] == 2 * n - 3
+        waiting = sets.jaccard_neighbours(df, elements, "k", "id", "x", "s", "e", 1000, 10, 0.5, 100, bucket=1000)
+        made.append(waiting.count())
+    assert made[1] < 4.2 * made[0]

@@ -122,10 +122,14 @@ def max_similarity(pr: DataFrame, tokens: DataFrame, back: int = 90 * DAY) -> Da
     own = tokens.select("pr_number", "token").distinct()
     size = own.groupBy("pr_number").agg(F.count("*").alias("n"))
     e = pr.select("repo", "pr_number", "t_open", "t_close", "y").join(size, "pr_number").join(own, "pr_number")
-    o = e.select(*[F.col(c).alias(f"o_{c}") for c in e.columns])
+    until = pr.agg(F.max("t_open").alias("until"))
+    # a pull request is looked for from its opening to ``back`` after its close, in buckets of that length
+    seen = F.sequence(F.floor(F.col("t_open") / back), F.floor(F.greatest(F.col("t_open"), F.least(F.coalesce(F.col("t_close") + back, F.col("until")), F.col("until"))) / back))
+    o = e.crossJoin(F.broadcast(until)).select(*[F.col(c).alias(f"o_{c}") for c in e.columns], F.explode(seen).alias("o_at"))  # one row
+    e = e.withColumn("at", F.floor(F.col("t_open") / back))
     is_open = (F.col("o_t_open") < F.col("t_open")) & (F.col("o_t_close").isNull() | (F.col("o_t_close") > F.col("t_open")))
     is_recent = (F.col("o_y") != "nowhere") & (F.col("o_t_close") < F.col("t_open")) & (F.col("o_t_close") >= F.col("t_open") - back)
-    met = e.join(o, (F.col("repo") == F.col("o_repo")) & (F.col("token") == F.col("o_token")) & (F.col("pr_number") != F.col("o_pr_number")) & (is_open | is_recent))
+    met = e.join(o, (F.col("repo") == F.col("o_repo")) & (F.col("token") == F.col("o_token")) & (F.col("at") == F.col("o_at")) & (F.col("pr_number") != F.col("o_pr_number")) & (is_open | is_recent))
     pairs = met.groupBy("pr_number", "o_pr_number").agg(F.count("*").alias("both"), F.first("n").alias("n"), F.first("o_n").alias("m"), F.first(is_open).alias("open"), F.first(is_recent).alias("recent"))
     j = F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
     best = pairs.groupBy("pr_number").agg(F.max(F.when(F.col("open"), j)).alias("a"), F.max(F.when(F.col("recent"), j)).alias("b"))

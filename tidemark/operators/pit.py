@@ -92,19 +92,28 @@ def prior(rows: DataFrame, keys: list[str], at: str, event: str, sums: dict[str,
     return done.unionByName(unknown)
 
 
-def prior_last_k(rows: DataFrame, key: list[str], at: str, event: str, values: dict[str, Column], ks: list[int], tie: str, events: DataFrame | None = None) -> DataFrame:
+def prior_last_k(rows: DataFrame, key: list[str], at: str, event: str, values: dict[str, Column], ks: list[int], tie: str, events: DataFrame | None = None, bucket: int | None = None) -> DataFrame:
     """``rows`` with {name}_{k} for each value and n_{k}: sums over the last ``k`` strictly earlier events of the key (ties by ``tie``), and how many.
 
     Events are numbered within their key and carry running sums; a row looks up those of its latest event and of the
-    one ``k`` before.
+    one ``k`` before. With ``bucket``, numbers and sums are made by buckets of so many seconds, which go on from those before.
     """
-    order, names = Window.partitionBy(*key).orderBy(event, tie), [f"_s{i}" for i in range(len(values))]
+    names = [f"_s{i}" for i in range(len(values))]
     source = rows if events is None else events
     known = source.where(" and ".join(f"{k} is not null" for k in key)).where(F.col(event).isNotNull())
-    running = known.select(
-        *key, F.row_number().over(order).cast("double").alias("_i"), *[F.sum(v.cast("double")).over(order.rowsBetween(ALWAYS, 0)).alias(n) for n, v in zip(names, values.values(), strict=True)]
-    )
-    out = prior(rows, key, at, event, {"_n": (F.lit(1), None)}, events=source)
+    part = F.lit(0).cast("long") if bucket is None else F.floor(F.col(event) / bucket)
+    put = known.select(*key, F.col(event).alias("_at"), F.col(tie).alias("_tie"), part.alias("_b"), *[v.cast("double").alias(n) for n, v in zip(names, values.values(), strict=True)])
+    here = Window.partitionBy(*key, "_b").orderBy("_at", "_tie")
+    local = put.select(*key, "_b", F.row_number().over(here).cast("double").alias("_i"), *[F.sum(n).over(here.rowsBetween(ALWAYS, 0)).alias(n) for n in names])
+    if bucket is None:
+        running = local.drop("_b")
+    else:
+        before = Window.partitionBy(*key).orderBy("_b").rowsBetween(ALWAYS, -1)  # one row a bucket
+        totals = put.groupBy(*key, "_b").agg(F.count("*").alias("_i"), *[F.sum(n).alias(n) for n in names])
+        carry = totals.select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col("_b").alias("_k_b"), *[F.coalesce(F.sum(n).over(before), F.lit(0.0)).alias(f"_c{n}") for n in ["_i", *names]])
+        same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in key], F.col("_b") == F.col("_k_b"))
+        running = local.join(carry, same).select(*key, *[(F.col(f"_c{n}") + F.coalesce(n, F.lit(0.0))).alias(n) for n in ["_i", *names]])
+    out = prior(rows, key, at, event, {"_n": (F.lit(1), None)}, events=source, bucket=bucket)
     for step in [0, *ks]:
         own = running.select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col("_i").alias("_k_i"), *[F.col(n).alias(f"{n}_{step}") for n in names])
         same = F.col("_n") - step == F.col("_k_i")

@@ -6,34 +6,56 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def overlapping(items: DataFrame, elements: DataFrame, scope: str, key: str, element: str, start: str, end: str) -> DataFrame:
-    """(key, n): how many other items of the scope were open when this one started and share an element. Open ends never end."""
-    e = items.select(scope, key, start, end).join(elements.select(key, element).distinct(), key)
-    other = e.select(F.col(scope).alias("_s"), F.col(element).alias("_e"), F.col(key).alias("_k"), F.col(start).alias("_a"), F.col(end).alias("_b"))
-    met = e.join(other, (F.col(scope) == F.col("_s")) & (F.col(element) == F.col("_e"))).where(
-        (F.col(key) != F.col("_k")) & (F.col("_a") <= F.col(start)) & (F.col("_b").isNull() | (F.col(start) < F.col("_b")))
-    )
-    counts = met.groupBy(key).agg(F.countDistinct("_k").alias("n"))
+#: Seconds of a bucket of time in which items of a scope meet.
+BUCKET = 90 * 86_400
+
+
+def _buckets(first, last, bucket: int):
+    """The buckets of a span of time; none if it is empty."""
+    return F.when(last >= first, F.sequence(F.floor(first / bucket), F.floor(last / bucket)))
+
+
+def overlapping(items: DataFrame, elements: DataFrame, scope: str, key: str, element: str, start: str, end: str, bucket: int = BUCKET) -> DataFrame:
+    """(key, n): how many other items of the scope were open when this one started and share an element. Open ends never end.
+
+    Items meet by scope, element and bucket of time, each in the buckets that it is open in, so an element of all items
+    makes pairs of those of one time only. Rows that meet are reduced to one a pair before others are counted.
+    """
+    until = items.groupBy(F.col(scope).alias("_u")).agg(F.max(start).alias("_until"))
+    known = items.select(scope, key, start, end).join(until, F.col(scope) == F.col("_u")).join(elements.select(key, element).distinct(), key)
+    last = F.least(F.coalesce(F.col(end) - 1, F.col("_until")), F.col("_until"))
+    other = known.select(F.col(scope).alias("_s"), F.col(element).alias("_e"), F.col(key).alias("_k"), F.col(start).alias("_a"), F.col(end).alias("_b"), F.explode(_buckets(F.col(start), last, bucket)).alias("_t"))
+    e = known.select(scope, key, start, element, F.floor(F.col(start) / bucket).alias("_at"))
+    same = (F.col(scope) == F.col("_s")) & (F.col(element) == F.col("_e")) & (F.col("_at") == F.col("_t"))
+    met = e.join(other, same & (F.col(key) != F.col("_k")) & (F.col("_a") <= F.col(start)) & (F.col("_b").isNull() | (F.col(start) < F.col("_b"))))
+    counts = met.select(key, "_k").distinct().groupBy(key).agg(F.count("*").alias("n"))
     return items.select(key).join(counts, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def jaccard_neighbours(items: DataFrame, elements: DataFrame, scope: str, key: str, element: str, at: str, known: str, back: int, lag: int, least: float, k: int) -> DataFrame:
+def jaccard_neighbours(items: DataFrame, elements: DataFrame, scope: str, key: str, element: str, at: str, known: str, back: int, lag: int, least: float, k: int, bucket: int = BUCKET) -> DataFrame:
     """The ``k`` most similar items of the scope known in [at - back, at - lag]: (key, neighbour, jaccard, rank).
 
-    Pairs meet on shared elements only, so the work follows the posting lists; ties go to the later, then smaller neighbour.
+    Items meet by scope, bucket of time and one of their rarest elements: sets with a Jaccard index of ``least`` share one of
+    the first n - ceil(least n) + 1 of each, n its size, in an order by how often elements occur; sizes that are too far
+    apart don't meet. So the higher ``least``, the less an element of all items matters. Pairs are then measured whole.
+    Ties go to the later, then smaller neighbour.
     """
     own = elements.select(key, element).distinct()
-    size = own.groupBy(key).agg(F.count("*").alias("_n"))
-    e = items.select(scope, key, at, known).join(own, key).join(size, key)
-    other = e.select(F.col(scope).alias("_s"), F.col(element).alias("_e"), F.col(key).alias("neighbour"), F.col(known).alias("_known"), F.col("_n").alias("_m"))
-    shared = (
-        e.join(other, (F.col(scope) == F.col("_s")) & (F.col(element) == F.col("_e")))
-        .where((F.col(key) != F.col("neighbour")) & (F.col("_known") >= F.col(at) - back) & (F.col("_known") <= F.col(at) - lag))
-        .groupBy(key, "neighbour", "_known", "_n", "_m").agg(F.count("*").alias("_both"))
-    )
-    similar = shared.withColumn("jaccard", F.col("_both") / (F.col("_n") + F.col("_m") - F.col("_both"))).where(F.col("jaccard") >= least)
+    often = own.groupBy(F.col(element).alias("_f_e")).agg(F.count("*").alias("_f"))
+    listed = own.join(often, F.col(element) == F.col("_f_e")).groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_f", element))).alias("_all"))  # an item's own elements
+    sized = items.select(scope, key, at, known).join(listed, key).withColumns({"_set": F.transform("_all", lambda s: s[element]), "_n": F.size("_all")})
+    first = F.slice("_set", F.lit(1), (F.col("_n") - F.ceil(F.lit(least) * F.col("_n") - 1e-9) + 1).cast("int"))
+    head = sized.withColumn("_e", F.explode(first))
+    asked = head.withColumn("_t", F.explode(_buckets(F.col(at) - back, F.col(at) - lag, bucket)))
+    other = head.select(F.col(scope).alias("_s"), F.col("_e").alias("_o_e"), F.col(key).alias("neighbour"), F.col(known).alias("_known"), F.col("_n").alias("_m"), F.col("_set").alias("_o_set"), F.floor(F.col(known) / bucket).alias("_o_t"))
+    same = (F.col(scope) == F.col("_s")) & (F.col("_e") == F.col("_o_e")) & (F.col("_t") == F.col("_o_t")) & (F.col(key) != F.col("neighbour"))
+    near = (F.col("_known") >= F.col(at) - back) & (F.col("_known") <= F.col(at) - lag) & (F.least("_n", "_m") >= F.lit(least) * F.greatest("_n", "_m") - 1e-9)
+    both = F.size(F.array_intersect("_set", "_o_set"))
+    # a pair is taken at the first of the elements by which it meets
+    once = F.element_at(F.filter("_set", lambda x: F.array_contains("_o_set", x)), 1) == F.col("_e")
+    met = asked.join(other, same & near & once).select(key, "neighbour", "_known", (both / (F.col("_n") + F.col("_m") - both)).alias("jaccard")).where(F.col("jaccard") >= least)
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("jaccard"), F.desc("_known"), "neighbour"))
-    return similar.withColumn("rank", rank).where(F.col("rank") <= k).select(key, "neighbour", "jaccard", "rank")
+    return met.withColumn("rank", rank).where(F.col("rank") <= k).select(key, "neighbour", "jaccard", "rank")
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

@@ -57,7 +57,7 @@ select p.pr_number, cast(coalesce(sum(r.ld), 0) as bigint) as ld_last_10, cast(c
 from pr p left join r on p.pr_number = r.pr_number and r.i <= 10 group by p.pr_number""")
 def e4_prior_last_k(spark, sf_dir):
     pr = pull_requests(spark, sf_dir)
-    got = pit.prior_last_k(pr, ["repo"], "t_open", "t_close", {"x": F.col("ld")}, [10], "pr_number")
+    got = pit.prior_last_k(pr, ["repo"], "t_open", "t_close", {"x": F.col("ld")}, [10], "pr_number", bucket=pit.BUCKET)
     return got.select("pr_number", F.col("x_10").cast("long").alias("ld_last_10"), F.col("n_10").cast("long").alias("n_last_10"))
 
 
