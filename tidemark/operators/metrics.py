@@ -82,3 +82,40 @@ def stability_index(df: DataFrame, column: str, sample: Column, bins: int = 10)
     pa = F.greatest(F.col("a") / F.sum("a").over(total), F.lit(1e-4))
     pb = F.greatest(F.col("b") / F.sum("b").over(total), F.lit(1e-4))
     return put.withColumn("_t", (pa - pb) * F.log(pa / pb)).agg(F.sum("_t").alias("psi"))
+
+
+def weighted_auroc(df: DataFrame, score: str, hit: Column, weight: Column, *group: str) -> DataFrame:
+    """Area under the ROC curve of weighted rows by group, ties count half; null without both classes."""
+    w = Window.partitionBy(*group).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    steps = df.groupBy(*group, score).agg(F.sum(F.when(hit, weight).otherwise(0)).alias("_p"), F.sum(F.when(hit, 0).otherwise(weight)).alias("_n"))
+    below = steps.withColumn("_below", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    area = F.sum(F.col("_p") * (F.col("_below") + F.col("_n") / 2))
+    return below.groupBy(*group).agg((area / F.nullif(F.sum("_p") * F.sum("_n"), F.lit(0))).alias("auroc"))
+
+
+def weighted_scores(df: DataFrame, y: Column, probabilities: list[Column], weight: Column) -> DataFrame:
+    """(brier, base_brier, skill, log_loss, accuracy) of weighted rows; the base says the weighted class shares. One row."""
+    k = len(probabilities)
+    best = F.greatest(*probabilities)
+    first = F.lit(None).cast("int")
+    for i in range(k - 1, -1, -1):
+        first = F.when(probabilities[i] == best, i).otherwise(first)
+    rows = df.select(y.alias("_y"), weight.cast("double").alias("_w"), brier(y, probabilities).alias("_b"), log_loss(y, probabilities).alias("_l"), (first == y).cast("double").alias("_hit"))
+    w = F.sum("_w")
+    shares = [F.sum(F.when(F.col("_y") == i, F.col("_w")).otherwise(0.0)) / w for i in range(k)]
+    sums = rows.agg((F.sum(F.col("_w") * F.col("_b")) / w).alias("brier"), (F.sum(F.col("_w") * F.col("_l")) / w).alias("log_loss"), (F.sum(F.col("_w") * F.col("_hit")) / w).alias("accuracy"), (1 - sum(s * s for s in shares)).alias("base_brier"))
+    return sums.withColumn("skill", 1 - F.col("brier") / F.nullif("base_brier", F.lit(0.0)))
+
+
+def balanced_accuracy(df: DataFrame, truth: Column, guess: Column, *group: str) -> DataFrame:
+    """(group, balanced_accuracy): mean over the classes that occur in truth of the share that is guessed right."""
+    per = df.withColumns({"_t": truth, "_hit": (truth == guess).cast("double")}).where("_t is not null").groupBy(*group, "_t").agg(F.avg("_hit").alias("_recall"))
+    return per.groupBy(*group).agg(F.avg("_recall").alias("balanced_accuracy"))
+
+
+def classwise_calibration_error(df: DataFrame, y: Column, probabilities: list[str], tie: str, group: list[str], bins: int = 15) -> DataFrame:
+    """(group, ece): mean over classes of each class's calibration error in equal-mass bins; all classes are one relation."""
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("_k"), F.col(p).alias("_p")) for i, p in enumerate(probabilities)])).alias("_c")
+    long_ = df.withColumn("_y", y).select(*group, tie, "_y", each).select(*group, tie, "_y", "_c.*")
+    per = expected_calibration_error(calibration(long_, "_p", F.col("_y") == F.col("_k"), ["_p", tie], [*group, "_k"], bins), *group, "_k")
+    return per.groupBy(*group).agg(F.avg("ece").alias("ece"))

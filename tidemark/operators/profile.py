@@ -110,3 +110,49 @@ def evenly_spread(order: list, cap: int, *partition: str) -> Column:
     n, i = F.count("*").over(w), F.row_number().over(w.orderBy(*order)) - 1
     places = F.transform(F.sequence(F.lit(0), F.lit(cap - 1)), lambda j: F.bround(j * (n - 1) / (cap - 1)).cast("int"))
     return (n <= cap) | F.array_contains(places, i.cast("int"))
+
+
+def page(df: DataFrame, order: list[tuple[str, bool]], offset: int, limit: int, tie: str, most: int = 500) -> DataFrame:
+    """A page of ``df`` with ``total_rows``: by (column, descending) with nulls last both ways, then by ``tie``.
+
+    ``limit`` is 1 to ``most``. Rows up to the page's end are all that a task keeps; a page past the end is empty.
+    """
+    if not 1 <= limit <= most or offset < 0:
+        raise ValueError(f"a page has 1 to {most} rows and starts at 0 or later")
+    keys = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in order]
+    rows = df.orderBy(*keys, tie).offset(offset).limit(limit)
+    return rows.crossJoin(F.broadcast(df.agg(F.count("*").alias("total_rows"))))  # one row
+
+
+def column_profile(df: DataFrame, column: str, bins: int = 20, top: int = 15) -> DataFrame:
+    """(kind, label, n): ``month`` counts of a date or time; ``bin`` counts of equal width of a number with more than ``bins`` distinct
+    values (about) that differ; else its ``top`` values with null among them, by count and then by text."""
+    name = df.schema[column].dataType.typeName()
+    if name in ("date", "timestamp", "timestamp_ntz"):
+        month = F.date_format(column, "yyyy-MM")
+        return df.where(F.col(column).isNotNull()).groupBy(month.alias("label")).agg(F.count("*").alias("n")).select(F.lit("month").alias("kind"), "label", "n")
+    if name in ("byte", "short", "integer", "long", "float", "double", "decimal"):
+        seen = df.agg(F.approx_count_distinct(column).alias("d"), F.min(column).alias("lo"), F.max(column).alias("hi")).first()
+        if seen["d"] > bins and seen["hi"] > seen["lo"]:
+            return histogram(df, column, bins).select(F.lit("bin").alias("kind"), F.col("bin").cast("string").alias("label"), "n")
+    return top_values(df.select(F.col(column).cast("string").alias("label")), "label", top).select(F.lit("value").alias("kind"), "label", "n")
+
+
+def ownership(changes: DataFrame, path: str, author: str, at: str, weight: str, inactive: int, minor: float = 0.05) -> DataFrame:
+    """(path, n_owners, top_share, n_minor, minor_share, abandoned_share, entropy) of the weights that authors have in a path.
+
+    Minor owners have less than ``minor``; a share is abandoned if its author has changed nothing, in any path, in the ``inactive``
+    seconds before the path's last change; entropy over log2 of the owners, 0 for one. Null authors own nothing.
+    """
+    known = changes.where(F.col(author).isNotNull())
+    last_of = known.groupBy(F.col(author).alias("_a")).agg(F.max(at).alias("_active"))
+    mine = known.groupBy(path, author).agg(F.sum(weight).alias("_w"), F.max(at).alias("_own_last"))
+    whole = Window.partitionBy(path)
+    shares = mine.join(last_of, F.col(author) == F.col("_a")).withColumns({"_share": F.col("_w") / F.nullif(F.sum("_w").over(whole), F.lit(0)), "_path_last": F.max("_own_last").over(whole)})
+    s = F.col("_share")
+    gone = F.col("_active") < F.col("_path_last") - inactive
+    bits = -F.sum(F.when(s > 0, s * F.log2(s)).otherwise(0.0))
+    return shares.groupBy(path).agg(
+        F.count("*").alias("n_owners"), F.max(s).alias("top_share"), F.count_if(s < minor).alias("n_minor"), F.sum(F.when(s < minor, s).otherwise(0.0)).alias("minor_share"),
+        F.sum(F.when(gone, s).otherwise(0.0)).alias("abandoned_share"), F.when(F.count("*") > 1, bits / F.log2(F.count("*").cast("double"))).otherwise(0.0).alias("entropy"),
+    )
