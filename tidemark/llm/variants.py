@@ -23,6 +23,7 @@ from __future__ import annotations
 import itertools
 import zlib
 from collections import defaultdict
+from operator import itemgetter, ne
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from .common import materialize, shuffle_partitions, string_array, text_bytes, t
 MIN_LETTERS, MIN_COUNT, FORM_TIMES, ONE_IN = 5, 3, 2, 97
 #: Letters of a gram, words of a block, and hot groups up to which their list is broadcast.
 Q, BLOCK, HOT_BROADCAST = 3, 4096, 100_000
-#: Postings from which lists are merged by numpy.
+#: Words of an index from which lists are merged by numpy.
 LONG_MERGE = 256
 START, STOP = "\x01", "\x02"
 
@@ -105,42 +106,51 @@ def grams(word: str) -> list[str]:
 
 def one_edit(a: str, b: str) -> bool:
     """Whether the words differ by exactly one inserted, deleted or replaced letter."""
+    if len(a) == len(b):
+        return sum(map(ne, a, b)) == 1
     if len(a) > len(b):
         a, b = b, a
-    if len(b) - len(a) > 1 or a == b:
+    if len(b) - len(a) > 1:
         return False
     k = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
-    return a[k + (len(a) == len(b)) :] == b[k + 1 :]
+    return a[k:] == b[k + 1 :]
 
 
 class PositionalIndex:
-    """Postings of words by (length, place, gram), in the order of the words."""
+    """Postings of words by length and (place, gram), in the order of the words."""
 
     def __init__(self, words: list[str]):
-        self.words, lists = words, defaultdict(list)
+        self.words, self.lists, self.many = words, {}, len(words) > LONG_MERGE
         for i, w in enumerate(words):
-            for p, g in enumerate(grams(w)):
-                lists[len(w), p, g].append(i)
-        self.lists = {k: np.array(v) if len(v) > LONG_MERGE else v for k, v in lists.items()}
-        self.lengths = {len(w) for w in words}
+            lists = self.lists.setdefault(len(w), {})
+            for key in enumerate(grams(w)):
+                lists.setdefault(key, []).append(i)
+        if self.many:
+            # 16-bit numbers of words are sorted by radix
+            kind = np.int16 if len(words) < 1 << 15 else np.int64
+            self.lists = {n: {key: np.array(x, kind) for key, x in lists.items()} for n, lists in self.lists.items()}
 
     def near(self, probe: str, before: int) -> list[str]:
         """Words number 0 to ``before`` - 1, of the probe's length or one letter shorter, that are one edit away."""
-        size, own, out = len(probe), grams(probe), []
+        size, own, out = len(probe), None, []
         bound = size - 1  # size + Q - 1 grams, less Q
         for shorter in (0, 1):
-            n = size - shorter
-            if n not in self.lengths:
+            lists = self.lists.get(size - shorter)
+            if lists is None:
                 continue
-            met = [x for p, g in enumerate(own) for at in range(p - shorter, p + 1) if (x := self.lists.get((n, at, g))) is not None]
+            own = own or grams(probe)
+            get = lists.get
+            met = [x for key in enumerate(own) if (x := get(key)) is not None]
+            if shorter:
+                met += [x for key in enumerate(own, -1) if (x := get(key)) is not None]
             if len(met) < bound:
                 continue
-            if sum(map(len, met)) > LONG_MERGE:
+            if self.many:
                 merged = np.sort(np.concatenate(met), kind="stable")
                 found = np.unique(merged[bound - 1 :][merged[bound - 1 :] == merged[: len(merged) - bound + 1]]).tolist()
             else:
                 merged = sorted(itertools.chain.from_iterable(met))
-                found = dict.fromkeys(a for a, b in zip(merged, merged[bound - 1 :], strict=False) if a == b)
+                found = {a for a, b in zip(merged, itertools.islice(merged, bound - 1, None), strict=False) if a == b}
             out += [self.words[i] for i in found if i < before and one_edit(probe, self.words[i])]
         return out
 
@@ -192,7 +202,7 @@ def near_pairs(words: DataFrame, block: int = BLOCK) -> DataFrame:
         names = ("key", "i", "j", "role", "word", "n")
         every = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True))
         out = []
-        for _, group in itertools.groupby(every, key=lambda r: r[:3]):
+        for _, group in itertools.groupby(every, key=itemgetter(0, 1, 2)):
             held = list(group)
             index = [r for r in held if r[3]]
             if not index or len(held) < 2:
