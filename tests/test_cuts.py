@@ -54,6 +54,8 @@ def test_json_leaves_by_pointer(spark):
     assert sorted(map(tuple, cuts.flatten_json(bad, ["i"], "doc").collect())) == [(1, None, None), (2, None, None)]
     deep = cuts.flatten_json(spark.createDataFrame([(1, '{"a": {"b": {"c": 1}}}')], "i int, doc string"), ["i"], "doc", 2)
     assert tuple(deep.first()) == (1, "/a/b", '{"c":1}')
+    far = '{"a":' * 19 + "[7]" + "}" * 19
+    assert tuple(cuts.flatten_json(spark.createDataFrame([(1, far)], "i int, doc string"), ["i"], "doc").first()) == (1, "/a" * 19 + "/0", "7")
 
 
 def test_renames_close_over_chains_and_cycles(spark):

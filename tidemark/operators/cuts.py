@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import pit
+from . import documents, pit
 from .components import cut_lineage
 
 DAY = 86_400
@@ -30,12 +30,14 @@ def flaky_failures(failures: DataFrame, passes: DataFrame, keys: list[str], at:
     return got.withColumn("is_flaky", F.coalesce(F.col("_passes") >= least, F.lit(False))).drop("_passes")
 
 
-def flatten_json(docs: DataFrame, keys: list[str], column: str, depth: int = 6) -> DataFrame:
-    """(keys, pointer, value) of the leaves of JSON text: scalars as text, empty objects and arrays, and what lies deeper
-    than ``depth`` as JSON text; a JSON null has a null value. Text that is no JSON, or null, is a row without a pointer.
+def flatten_json(docs: DataFrame, keys: list[str], column: str, depth: int | None = None) -> DataFrame:
+    """(keys, pointer, value) of the leaves of JSON text: scalars as text, empty objects and arrays, and, with a ``depth``,
+    what lies deeper as JSON text; a JSON null has a null value. Text that is no JSON, or null, is a row without a pointer.
 
-    Each level is an outer explode, so a leaf passes through the levels below it, and the levels are one plan.
+    Without a ``depth``, levels are taken until nothing nests. With one they are one plan, of an outer explode each.
     """
+    if depth is None:
+        return documents.flatten(docs, keys, column).select(*keys, "pointer", F.parse_json("json").cast("string").alias("value"))
     spark = docs.sparkSession
     root = F.try_parse_json(column)
     at = docs.select(*keys, F.when(root.isNotNull(), F.lit("")).alias("pointer"), root.alias("_v"))

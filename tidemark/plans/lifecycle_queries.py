@@ -287,6 +287,23 @@ def h18_slim_notes(spark, sf_dir):
     return lifecycle.slim(p, "conv_id", "turn", F.col("name"), "body", F.col("name").startswith("vendor/"), 500).select("conv_id", "notes")
 
 
+@query("""with recursive p as (select conv_id, turn, role || turn as name, case when turn % 3 = 0 then 'vendored file' end as why, case when turn % 4 = 1 then '@@ ' else '+' end || replace(coalesce(text, ''), ' ', chr(10) || '-') as body from conversations),
+n as (select conv_id, string_agg('# ' || name || ': ' || why || ', +' || len(regexp_extract_all(chr(10) || body, '\\n\\+')) || ' -' || len(regexp_extract_all(chr(10) || body, '\\n-')) || ' lines (diff omitted)', chr(10) order by turn) || chr(10) || chr(10) as head from p where why is not null group by 1),
+k as (select conv_id, row_number() over (partition by conv_id order by turn) as i, name, body from p where why is null),
+r as (select c.conv_id, cast(0 as bigint) as i, cast(length(coalesce(head, '')) as bigint) as size, '' as txt, 0 as n_kept, 0 as n_dropped, '' as dropped, false as cut from (select distinct conv_id from p) c left join n on n.conv_id = c.conv_id
+  union all select conv_id, i, case when fits then size + length(body) when one then 400 else size end, txt || case when fits then body when one then substr(body, 1, greatest(0, 400 - size)) || chr(10) || '# (file truncated)' || chr(10) else '' end, n_kept + (fits or one)::int,
+    n_dropped + (not fits and not one)::int, dropped || case when fits or one then '' else case when n_dropped > 0 then ', ' else '' end || name end, cut or not fits
+  from (select r.conv_id, k.i, size, txt, n_kept, n_dropped, dropped, cut, name, body, size + length(body) <= 400 as fits, size + length(body) > 400 and n_kept = 0 and n_dropped = 0 as one from r join k on k.conv_id = r.conv_id and k.i = r.i + 1)),
+l as (select conv_id, arg_max({'t': txt, 'n': n_dropped, 'd': dropped, 'c': cut}, i) as s from r group by 1)
+select l.conv_id, coalesce(head, '') || s.t || case when s.n > 0 then chr(10) || '# ' || s.n || ' more changed file(s) not shown (size cap): ' || s.d || chr(10) else '' end as slimmed, s.c as is_cut,
+  exists (select 1 from p where p.conv_id = l.conv_id and why is null and body like '@@ %') as has_code, s.n as n_dropped from l left join n on n.conv_id = l.conv_id""")
+def h18_slimmed_diffs(spark, sf_dir):
+    """Conversations as diffs of 400 characters: every third part in one line, the rest as they fit."""
+    body = F.concat(F.when(F.col("turn") % 4 == 1, "@@ ").otherwise("+"), F.replace(F.coalesce("text", F.lit("")), F.lit(" "), F.lit("\n-")))
+    p = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat("role", "turn").alias("name"), F.when(F.col("turn") % 3 == 0, "vendored file").alias("why"), body.alias("body"))
+    return lifecycle.slim_diff(p, "conv_id", "turn", F.col("name"), "body", F.col("why"), 400)
+
+
 @query(f"""with {PREDICTION_SQL}, b as (select repo, p0, (y = 0)::int as hit, ntile(15) over (partition by repo order by p0, pr_number) as bin from pred), g as (select repo, bin, count(*) as n, avg(p0) as p, avg(hit) as r from b group by 1, 2)
 select repo, round(sqrt(greatest(sum(n * (pow(p - r, 2) - r * (1 - r) / (n - 1))) filter (where n > 1) / sum(n), 0)), 7) as debiased_ce from g group by 1""")
 def j2_debiased_calibration(spark, sf_dir):
