@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import pit
+
 
 def first_true(rules: dict[str, Column], otherwise: str | None = None) -> Column:
     """Name of the first rule that is true; a null rule does not count."""
@@ -116,3 +118,38 @@ def replayed_queues(waiting: DataFrame, scope: str, key: str, scorers: dict[str,
     rows = ranked.where("_bad = 0").groupBy("scorer", scope, key).agg(F.avg(taken.cast("double")).alias("_share"))
     flagged = F.count_if(F.col("_share") > 0)
     return lists, rows.groupBy("scorer").agg(F.count("*").alias("n_good"), flagged.alias("n_flagged"), (flagged / F.count("*")).alias("flagged_share"), F.avg("_share").alias("false_flag_area"))
+
+
+def first_agent(login: Column, branch: Column, email: Column, body: Column, rules: list[tuple[str, list[str], list[str], list[str], list[str]]]) -> Column:
+    """Name of the first of ``rules`` (name, login, email and body patterns, branch prefixes) of which any hint is there; null for none.
+
+    Patterns are searched for without case; a prefix is the branch's part before its first slash. Null texts hold nothing.
+    """
+    owner = F.lower(F.when(F.instr(branch, "/") > 1, F.substring_index(branch, "/", 1)))
+    named = {}
+    for name, logins, emails, bodies, prefixes in rules:
+        hints = [F.coalesce(text.rlike(f"(?i){p}"), F.lit(False)) for text, patterns in ((login, logins), (email, emails), (body, bodies)) for p in patterns]
+        if prefixes:
+            hints.append(F.coalesce(owner.isin([p.lower() for p in prefixes]), F.lit(False)))
+        hit = F.lit(False)
+        for h in hints:
+            hit = hit | h
+        named[name] = hit
+    return first_true(named)
+
+
+def event_roles(events: DataFrame, closes: DataFrame, maintainers: list[str]) -> DataFrame:
+    """``events`` (actor, author, t, is_commit, is_bot, association, ...) with ``role``: author for commits, then bot, author,
+    maintainer, other.
+
+    A maintainer has an association of ``maintainers``, compared without case, or had closed (closer, author, at) a request of
+    someone else strictly before the event; what it did later says nothing. Null actors are other unless they commit.
+    """
+    others = closes.where(F.col("closer") != F.col("author")).select(F.col("closer").alias("actor"), F.col("at"))
+    seen = pit.prior(events, ["actor"], "t", "at", {"_closed": (F.lit(1), None)}, events=others)
+    rules = {
+        "_commit": F.col("is_commit"), "bot": F.col("is_bot"), "author": F.col("actor") == F.col("author"),
+        "maintainer": F.coalesce(F.upper("association").isin([m.upper() for m in maintainers]), F.lit(False)) | F.coalesce(F.col("_closed") > 0, F.lit(False)),
+    }
+    role = first_true(rules, "other")
+    return seen.withColumn("role", F.when(role == "_commit", "author").otherwise(role)).drop("_closed")

@@ -119,3 +119,40 @@ def classwise_calibration_error(df: DataFrame, y: Column, probabilities: list[st
     long_ = df.withColumn("_y", y).select(*group, tie, "_y", each).select(*group, tie, "_y", "_c.*")
     per = expected_calibration_error(calibration(long_, "_p", F.col("_y") == F.col("_k"), ["_p", tie], [*group, "_k"], bins), *group, "_k")
     return per.groupBy(*group).agg(F.avg("ece").alias("ece"))
+
+
+def multiclass_scores(df: DataFrame, truth: Column, probabilities: list[Column], *group: str) -> DataFrame:
+    """(group, n, brier, log_loss, accuracy, macro_f1) of a label of several answers, over rows whose answer and probabilities are known.
+
+    Probabilities are cut to [0, 1] and made to add up to 1; the guess is the first greatest. The F1 of an answer that is in
+    neither truth nor guesses is 0. One aggregate, with the counts of truth and guess as columns.
+    """
+    k = len(probabilities)
+    cut = [F.least(F.lit(1.0), F.greatest(F.lit(0.0), p.cast("double"))) for p in probabilities]
+    total = F.greatest(sum(cut[1:], cut[0]), F.lit(1e-12))
+    known = truth.isNotNull()
+    for p in probabilities:
+        known = known & p.isNotNull() & ~F.isnan(p.cast("double"))
+    rows = df.where(known).select(*group, truth.alias("_y"), *[(c / total).alias(f"_p{i}") for i, c in enumerate(cut)])
+    q = [F.col(f"_p{i}") for i in range(k)]
+    guess = F.lit(None).cast("int")
+    for i in range(k - 1, -1, -1):
+        guess = F.when(q[i] == F.greatest(*q), i).otherwise(guess)
+    y, cells = F.col("_y"), [(t, g) for t in range(k) for g in range(k)]
+    counted = rows.withColumn("_g", guess).groupBy(*group).agg(
+        F.count("*").alias("n"), F.avg(brier(y, q)).alias("brier"), F.avg(log_loss(y, q)).alias("log_loss"), *[F.count_if((y == t) & (F.col("_g") == g)).alias(f"_c{t}{g}") for t, g in cells]
+    )
+
+    def count(keep) -> Column:
+        return sum((F.col(f"_c{t}{g}") for t, g in cells if keep(t, g)), F.lit(0))
+
+    f1 = [F.coalesce(2 * count(lambda t, g, c=c: t == g == c) / F.nullif(count(lambda t, g, c=c: t == c) + count(lambda t, g, c=c: g == c), F.lit(0)), F.lit(0.0)) for c in range(k)]
+    return counted.select(*group, "n", "brier", "log_loss", (count(lambda t, g: t == g) / F.col("n")).alias("accuracy"), (sum(f1[1:], f1[0]) / k).alias("macro_f1"))
+
+
+def consistency_gaps(df: DataFrame, pairs: dict[str, tuple[Column, Column]], most: float = 0.05) -> DataFrame:
+    """(prediction, n, average_gap, largest_gap, result) of predictions that should agree; CHECK where the average gap is over ``most``."""
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("prediction"), F.abs(a.cast("double") - b).alias("gap")) for n, (a, b) in pairs.items()])).alias("_g")
+    gaps = df.select(each).select("_g.*").where("gap is not null and not isnan(gap)")
+    out = gaps.groupBy("prediction").agg(F.count("*").alias("n"), F.avg("gap").alias("average_gap"), F.max("gap").alias("largest_gap"))
+    return out.withColumn("result", F.when(F.col("average_gap") > most, "CHECK").otherwise("OK"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import features, metrics, profile
-from ..sources.entities import DAY, FILES_SQL, PR_SQL, PREDICTION_SQL, file_changes, predictions, pull_requests, table
+from ..operators import decisions, features, metrics, profile
+from ..sources.entities import DAY, FILES_SQL, PR_SQL, PREDICTION_SQL, file_changes, predictions, pull_requests, seconds, table
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -102,3 +102,50 @@ b as (select *, ntile(15) over (partition by repo, k order by p, pr_number) as b
 select repo, round(avg(e), 9) as ece from e group by 1""")
 def j2_classwise_error(spark, sf_dir):
     return metrics.classwise_calibration_error(predictions(spark, sf_dir), F.col("y"), ["p0", "p1", "p2"], "pr_number", ["repo"]).withColumn("ece", F.round("ece", 9))
+
+
+AGENTS = [("night", ["[02]7$"], ["@build"], [], ["household"]), ("day", ["3$"], [], ["^[5-9]"], ["Machinery", "automobile"]), ("any", ["#0+[0-9]*[13579]$"], [], ["^-"], [])]
+
+
+@query("""with c as (select c_custkey, c_name as login, lower(c_mktsegment) || '/' || c_custkey as branch, c_custkey || '@' || c_mktsegment as email, cast(c_acctbal as varchar) as body from customer)
+select c_custkey, case when regexp_matches(login, '(?i)[02]7$') or regexp_matches(email, '(?i)@build') or split_part(branch, '/', 1) = 'household' then 'night'
+  when regexp_matches(login, '(?i)3$') or regexp_matches(body, '(?i)^[5-9]') or split_part(branch, '/', 1) in ('machinery', 'automobile') then 'day' when regexp_matches(login, '(?i)#0+[0-9]*[13579]$') or regexp_matches(body, '(?i)^-') then 'any' end as agent from c""")
+def b17_ordered_agents(spark, sf_dir):
+    """The first agent of whom a login, an address, a text or a branch tells."""
+    c = table(spark, sf_dir, "customer")
+    branch, email = F.concat(F.lower("c_mktsegment"), F.lit("/"), "c_custkey"), F.concat("c_custkey", F.lit("@"), "c_mktsegment")
+    return c.select("c_custkey", decisions.first_agent(F.col("c_name"), branch, email, F.col("c_acctbal").cast("string"), AGENTS).alias("agent"))
+
+
+@query("""with e as (select event_id as i, user_id as actor, cast(floor(epoch(ts)) as bigint) as t, event_type as kind, (event_id // 10) % 150 as author from events),
+f as (select actor, min(t) as first from e where kind = 'purchase' and actor <> author group by 1)
+select i, case when kind = 'view' and i % 4 = 0 then 'author' when e.actor % 17 = 0 then 'bot' when e.actor = author then 'author' when (kind = 'signup' and i % 2 = 0) or first < t then 'maintainer' else 'other' end as role from e left join f on f.actor = e.actor""")
+def k6_event_roles(spark, sf_dir):
+    """Whose role an event was, from associations and from requests of others that the actor had closed by then."""
+    i = F.col("event_id")
+    e = table(spark, sf_dir, "events").select(i.alias("i"), F.col("user_id").alias("actor"), seconds("ts").alias("t"), F.col("event_type").alias("kind"), (F.floor(i / 10) % 150).alias("author"))
+    e = e.withColumns({"is_commit": (F.col("kind") == "view") & (F.col("i") % 4 == 0), "is_bot": F.col("actor") % 17 == 0, "association": F.when((F.col("kind") == "signup") & (F.col("i") % 2 == 0), "Member")})
+    closes = e.where("kind = 'purchase'").select(F.col("actor").alias("closer"), "author", F.col("t").alias("at"))
+    return decisions.event_roles(e, closes, ["OWNER", "MEMBER", "COLLABORATOR"]).select("i", "role")
+
+
+@query(f"""with {PREDICTION_SQL}, d as (select repo, case priority when '1-URGENT' then 0 when '2-HIGH' then 1 when '3-MEDIUM' then 2 end as y, least(1, greatest(0, p0 * 1.5 - 0.1)) as a, p1 as b, p2 as c from pred join (select pr_number, priority from pr) using (pr_number)),
+q as (select repo, y, a / (a + b + c) as p0, b / (a + b + c) as p1, c / (a + b + c) as p2 from d where y is not null), g as (select *, {GUESS_SQL} as guess from q),
+m as (select repo, count(*) as n, avg(pow(p0 - (y = 0)::int, 2) + pow(p1 - (y = 1)::int, 2) + pow(p2 - (y = 2)::int, 2)) as brier, avg(-ln(greatest(case y when 0 then p0 when 1 then p1 else p2 end, 1e-15))) as log_loss, avg((y = guess)::int) as accuracy,
+  {", ".join(f"coalesce(2 * count(*) filter (where y = {c} and guess = {c}) / cast(nullif(count(*) filter (where y = {c}) + count(*) filter (where guess = {c}), 0) as double), 0) as f{c}" for c in range(3))} from g group by 1)
+select repo, n, round(brier, 9) as brier, round(log_loss, 9) as log_loss, round(accuracy, 9) as accuracy, round((f0 + f1 + f2) / 3, 9) as macro_f1 from m""")
+def j13_multiclass_label(spark, sf_dir):
+    """A further label of three answers; rows with another priority don't know it."""
+    p = predictions(spark, sf_dir).join(pull_requests(spark, sf_dir).select("pr_number", "priority"), "pr_number")
+    y = F.when(F.col("priority") == "1-URGENT", 0).when(F.col("priority") == "2-HIGH", 1).when(F.col("priority") == "3-MEDIUM", 2)
+    got = metrics.multiclass_scores(p, y, [F.col("p0") * 1.5 - 0.1, F.col("p1"), F.col("p2")], "repo")
+    return got.select("repo", "n", *[F.round(c, 9).alias(c) for c in ("brier", "log_loss", "accuracy", "macro_f1")])
+
+
+@query(f"""with {PREDICTION_SQL}, g as (select 'merged' as prediction, abs(p0 + p1 * 0.98 - (p0 + p1)) as gap from pred union all select 'nowhere', abs(p2 * 0.7 - p2) from pred union all select 'some', abs(case when ld % 3 = 0 then p1 end - p1) from pred)
+select prediction, count(gap) as n, round(avg(gap), 9) as average_gap, round(max(gap), 9) as largest_gap, case when avg(gap) > 0.05 then 'CHECK' else 'OK' end as result from g where gap is not null group by 1""")
+def j13_consistency_gaps(spark, sf_dir):
+    """Predictions that should agree with sums of others."""
+    p0, p1, p2 = (F.col(f"p{i}") for i in range(3))
+    pairs = {"merged": (p0 + p1 * 0.98, p0 + p1), "nowhere": (p2 * 0.7, p2), "some": (F.when(F.col("ld") % 3 == 0, p1), p1)}
+    return metrics.consistency_gaps(predictions(spark, sf_dir), pairs).withColumns({c: F.round(c, 9) for c in ("average_gap", "largest_gap")})
