@@ -48,7 +48,7 @@ def _climb(rows: DataFrame, j: Jumps, at: str, goes: Column, walked: str) -> Dat
     for k in range(len(j.levels) - 1, -1, -1):
         met = _step(rows, j.levels[k], at).withColumn("_go", F.coalesce(goes, F.lit(False)))
         rows = met.withColumns({at: F.when(F.col("_go"), F.col("_up")).otherwise(F.col(at)), walked: F.col(walked) + F.when(F.col("_go"), F.col("_m")).otherwise(0)}).drop("_up", "_m", "_least", "_go")
-        if k % 4 == 0:
+        if k % 8 == 0:
             rows = cut_lineage(rows)
     return rows
 
@@ -82,7 +82,7 @@ def fork_of(rows: DataFrame, j: Jumps, one: str, two: str, name: str) -> DataFra
         met = _step(_step(own, j.levels[k], "_a").withColumnRenamed("_up", "_ua").drop("_m", "_least"), j.levels[k], "_b")
         go = F.coalesce((F.col("_a") != F.col("_b")) & (F.col("_ua") != F.col("_up")), F.lit(False))
         own = met.withColumn("_go", go).withColumns({"_a": F.when(F.col("_go"), F.col("_ua")).otherwise(F.col("_a")), "_b": F.when(F.col("_go"), F.col("_up")).otherwise(F.col("_b"))}).drop("_ua", "_up", "_m", "_least", "_go")
-        if k % 4 == 0:
+        if k % 8 == 0:
             own = cut_lineage(own)
     last = _step(_step(own, j.levels[0], "_a").withColumnRenamed("_up", "_ua").drop("_m", "_least"), j.levels[0], "_b")
     both = F.col("_d1").isNotNull() & F.col("_d2").isNotNull()

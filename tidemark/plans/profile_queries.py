@@ -45,11 +45,11 @@ k as (select l.col, sum(pow(v - mean, 2)) as m2, sum(pow(v - mean, 3)) as m3 fro
 b as (select col, count(*) as n_distinct, max(c) as top, sum(case when v = 0 then c else 0 end) as zeros, bool_and(v = floor(v)) as whole from c group by 1)
 select m.col as "column", n / cast(total as double) as filled, case when n = 0 then 'empty' when n_distinct = 1 then 'constant' when n_distinct = 2 then 'binary' when whole then 'whole' else 'real' end as kind, coalesce(n_distinct, 0) as n_distinct,
   round(top / cast(n as double), 9) as top_share, round(zeros / cast(n as double), 9) as zero_share, round(median, 4) as median, round(p99, 4) as p99,
-  case when n > 2 and m2 > 0 then round(sqrt(n * (n - 1.0)) / (n - 2) * (m3 / n) / pow(m2 / n, 1.5), 4) end as skew from m join k using (col) left join b using (col), t""")
+  case when n > 2 and m2 > 0 then round(sqrt(n * (n - 1.0)) / (n - 2) * (m3 / n) / pow(m2 / n, 1.5), 4) + 0.0 end as skew from m join k using (col) left join b using (col), t""")
 def d15_feature_profiles(spark, sf_dir):
     x = pull_requests(spark, sf_dir).select(*[F.expr(f"cast({sql} as double)").alias(f"f_{name}") for name, sql in FEATURES.items()])
     got = features.feature_profile(x.withColumnsRenamed({f"f_{c}": c for c in FEATURES}), list(FEATURES))
-    return got.select("column", "filled", "kind", "n_distinct", *[F.round(c, 9).alias(c) for c in ("top_share", "zero_share")], *[F.round(c, 4).alias(c) for c in ("median", "p99", "skew")])
+    return got.select("column", "filled", "kind", "n_distinct", *[F.round(c, 9).alias(c) for c in ("top_share", "zero_share")], *[(F.round(c, 4) + 0.0).alias(c) for c in ("median", "p99", "skew")])  # no negative zero
 
 
 CHANGES_SQL = f"{PR_SQL}, {FILES_SQL}, ch as (select fc.pr_number, path_id, author_key, t_open, added + deleted as churn, case when label_bad is not null then label_bad end as failed from fc join pr using (pr_number))"
@@ -61,11 +61,11 @@ def _changes(spark, sf_dir):
 
 
 @query(f"""with {CHANGES_SQL} select a.pr_number, a.path_id, cast(count(b.pr_number) as double) as n_before, cast(coalesce(sum(b.churn) filter (where b.t_open >= a.t_open - 7 * 86400), 0) as double) as churn_7d, cast(coalesce(sum(b.churn) filter (where b.t_open >= a.t_open - 90 * 86400), 0) as double) as churn_90d,
-  round(count(*) filter (where b.failed) / cast(nullif(count(b.failed), 0) as double), 9) as fail_rate, round((any_value(a.t_open) - max(b.t_open)) / 86400.0::double, 6) as age_days from ch a left join ch b on a.path_id = b.path_id and b.t_open < a.t_open group by 1, 2""")
+  round(count(*) filter (where b.failed) / cast(nullif(count(b.failed), 0) as double), 9) as fail_rate, round((any_value(a.t_open) - max(b.t_open)) / 86400.0::double, 9) as age_days from ch a left join ch b on a.path_id = b.path_id and b.t_open < a.t_open group by 1, 2""")
 def e25_file_columns(spark, sf_dir):
     """What a changed file's own past says: changes, churn of a week and a quarter, failures, age."""
     got = features.file_history(_changes(spark, sf_dir), "path_id", "t_open", F.col("churn"), F.col("failed"))
-    return got.select("pr_number", "path_id", "n_before", "churn_7d", "churn_90d", F.round("fail_rate", 9).alias("fail_rate"), F.round("age_days", 6).alias("age_days"))
+    return got.select("pr_number", "path_id", "n_before", "churn_7d", "churn_90d", F.round("fail_rate", 9).alias("fail_rate"), F.round("age_days", 9).alias("age_days"))
 
 
 @query(f"""with {CHANGES_SQL}, k as (select * from ch where author_key is not null), la as (select author_key, max(t_open) as active from k group by 1), m as (select path_id, author_key, sum(churn) as w, max(t_open) as own from k group by 1, 2),
