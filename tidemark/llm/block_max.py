@@ -69,6 +69,29 @@ def term_lists(text: pa.Array) -> pa.Array:
     return pc.ascii_split_whitespace(string_array(TERM_BYTES[data], offsets))
 
 
+def counted_pairs(text: pa.Array, number: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(terms, terms of each document, pairs, frequencies): a pair is the place of a term times the documents plus the
+    document's ``number``; pairs are in order. What is needed on the way is freed on return."""
+    lists = term_lists(text)
+    doc = np.repeat(number, np.diff(lists.offsets.to_numpy()))
+    coded = lists.flatten().dictionary_encode()
+    del lists
+    pairs = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    terms = coded.dictionary
+    del coded
+    empty = terms.index("").as_py() if len(terms) else -1
+    if empty >= 0:
+        full = pairs != empty
+        pairs, doc = pairs[full], doc[full]
+    n_of = np.bincount(doc, minlength=len(number))
+    pairs *= len(number)
+    pairs += doc
+    del doc
+    pairs.sort()
+    first = np.flatnonzero(np.concatenate([pairs[:1] == pairs[:1], pairs[1:] != pairs[:-1]]))
+    return terms, n_of, pairs[first], np.diff(np.append(first, len(pairs)))
+
+
 def terms_of(text: Column) -> Column:
     """The terms of a text, with repeats, as DataFrame functions."""
     parts = F.split(F.translate(text, UPPER, LOWER), "[\\x00-/:-@\\[-`{-\\x7f]+")
@@ -155,19 +178,12 @@ def build_index(docs: DataFrame, n_docs: int, n_terms: int, segment_bytes: int =
     def index(batches):
         made, part = 0, TaskContext.get().partitionId()
         for batch in text_slices(batches, most=segment_bytes):
-            lists = term_lists(batch.column("text"))
-            coded = lists.flatten().dictionary_encode()
-            code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
             ids = batch.column("doc_id")
             order = pc.sort_indices(ids, null_placement="at_end")
             number = np.empty(len(ids), np.int64)
             number[order.to_numpy()] = np.arange(len(ids))
-            doc = np.repeat(number, np.diff(lists.offsets.to_numpy()))
-            empty = coded.dictionary.index("").as_py() if len(coded.dictionary) else -1
-            if empty >= 0:
-                code, doc = code[code != empty], doc[code != empty]
-            m = length_part(np.bincount(doc, minlength=len(ids)), n_docs, n_terms)
-            pairs, tf = np.unique(code * len(ids) + doc, return_counts=True)
+            terms, n_of, pairs, tf = counted_pairs(batch.column("text"), number)
+            m = length_part(n_of, n_docs, n_terms)
             code, doc = np.divmod(pairs, max(1, len(ids)))
             heads = np.flatnonzero(np.diff(code, prepend=-1))
             df = np.diff(np.append(heads, len(code)))
@@ -186,7 +202,7 @@ def build_index(docs: DataFrame, n_docs: int, n_terms: int, segment_bytes: int =
             segment, made = (part << 32) + made, made + 1
             n = len(heads)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, segment)), coded.dictionary.take(pa.array(code[heads])).cast(pa.string()), pa.array(df), _binary(doc[starts + sizes - 1].astype("<i4"), block_ends),
+                [pa.array(np.full(n, segment)), terms.take(pa.array(code[heads])).cast(pa.string()), pa.array(df), _binary(doc[starts + sizes - 1].astype("<i4"), block_ends),
                  _binary(maxima.astype("<i4"), block_ends), _binary(own_ends.astype("<i4"), block_ends), _binary(raw, term_bytes), pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.string()))],
                 names=[*[c.split()[0] for c in POSTINGS.split(", ")], "ids"],
             )
