@@ -56,7 +56,7 @@ def e21_cycle_position(spark, sf_dir):
     tl = timeline(spark, sf_dir)
     tags = tl.where("kind = 'signup'").withColumn("gap", F.col("t") - F.lag("t").over(Window.partitionBy("pr").orderBy("t")))
     usual = tags.groupBy("pr").agg(F.median("gap").alias("m"), F.count("*").alias("n")).where("n >= 3")
-    got = pit.as_of(tl.where("kind = 'error'").select("pr", "t"), tags.withColumn("at", F.col("t")), ["pr"], "t", "at", "t", "tag")
+    got = pit.as_of(tl.where("kind = 'error'").select("pr", "t").distinct(), tags.withColumn("at", F.col("t")), ["pr"], "t", "at", "t", "tag")
     return got.join(usual, "pr").select("pr", "t", F.round((F.col("t") - F.col("tag")) / F.col("m"), 6).alias("position"))
 
 
