@@ -381,8 +381,10 @@ def k2_event_triggers(spark, sf_dir):
     """First approval, first two change requests, and a day after a view without another view or a reply."""
     tl = timeline(spark, sf_dir)
     nth = tl.withColumn("i", F.row_number().over(Window.partitionBy("pr", "kind").orderBy("t"))).where("(kind = 'purchase' and i = 1) or (kind = 'error' and i <= 2)").select("pr", F.concat_ws("_", "kind", "i").alias("trigger"), "t")
-    w = Window.partitionBy("pr").orderBy("t").rowsBetween(1, Window.unboundedFollowing)
-    after = {"view": F.min(F.when(F.col("kind") == "view", F.col("t"))).over(w), "click": F.min(F.when(F.col("kind") == "click", F.col("t"))).over(w)}
+    # latest first, so frames grow; another view of the same second is the next one, a click of it is no reply
+    w = Window.partitionBy("pr").orderBy(F.desc("t"))
+    frames = {"view": w.rowsBetween(Window.unboundedPreceding, -1), "click": w.rangeBetween(Window.unboundedPreceding, -1)}
+    after = {k: F.min(F.when(F.col("kind") == k, F.col("t"))).over(f) for k, f in frames.items()}
     a = tl.withColumns({f"next_{k}": c for k, c in after.items()}).where("kind = 'view'")
     quiet = a.where("(next_view is null or t + 86400 < next_view) and (next_click is null or next_click > t + 86400)")
     return nth.unionByName(quiet.select("pr", F.lit("no_reply").alias("trigger"), (F.col("t") + DAY).alias("t")))
