@@ -36,8 +36,9 @@ def keep_most_important(events: DataFrame, key: str, t: str, priority: Column, c
     return events.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cap).drop("_r")
 
 
-def deltas(events: DataFrame, key: str, t: str, columns: list[str]) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(t)
+def deltas(events: DataFrame, key: str, t: str, columns: list[str], *tie: str) -> DataFrame:
+    """``events`` with d_{column}: the change from the key's event before; those of one moment are in the order of ``tie``."""
+    w = Window.partitionBy(key).orderBy(t, *tie)
     return events.withColumns({f"d_{c}": F.col(c) - F.lag(c).over(w) for c in columns})
 
 
