@@ -120,6 +120,28 @@ def test_line_owners_match_a_file_in_memory(spark):
     assert {x["change"]: (x["delay"], x["fix"]) for x in lineage.earliest_fix(owners, fixes, landed, 9).collect()} == expect and expect
 
 
+def test_line_owners_go_over_batches_and_blocks(spark):
+    """Ranges that a plan of lines would make a hundred times as many rows; one path is longer than a batch."""
+    r = random.Random(4)
+    changes = [("p", c, c // 3, a, a + r.randrange(300)) for c in range(400) for a in (r.randrange(-300, 900),)] + [(None, 1, 1, 5, 6), (None, 2, 2, 6, 7)]
+    owner, want = {}, {}
+    for p, c, _, a, b in changes:
+        for line in range(a, b + 1):
+            if (p, line) in owner:
+                want[c, owner[p, line]] = want.get((c, owner[p, line]), 0) + 1
+            owner[p, line] = c
+    df = spark.createDataFrame(changes, "path string, change int, t int, a int, b int")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+        owners = lineage.line_owners(df, "path", "change", "t", "a", "b")
+        assert {(x["change"], x["owner"]): x["n_lines"] for x in owners.collect()} == want
+        plan = owners._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Aggregate [_path" not in plan  # lines are no rows of the plan
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
 def test_one_unit_has_no_spread(spark):
     df = spark.createDataFrame([("u", 0.2, 0.5, 0.3, 1, 1), ("u", 0.4, 0.5, 0.1, 0, 1)], "u string, m double, b double, o double, y int, g int")
     got = {r["statistic"]: (r["estimate"], r["lower"], r["upper"]) for r in ranks.joint_bootstrap(df, "u", F.col("m"), F.col("b"), F.col("o"), F.col("y"), F.col("g"), [0, 1], 30, "s").collect()}
