@@ -99,8 +99,8 @@ def c17_line_lineage(spark, sf_dir):
 select change, count(*) as n_replaced, min(age) as least_age, median(age) as median_age, count(distinct owner) as n_owners from x group by 1""")
 def d31_replaced_lines(spark, sf_dir):
     """Of the lines that a change replaced: how many, their least and median age, and how many changes had written them."""
-    pr, owners = _owners(spark, sf_dir)
-    aged = owners.join(pr.select(F.col("pr_number").alias("change"), "t_open"), "change").withColumn("age", F.col("t_open") - F.col("owner_t"))
+    _, owners = _owners(spark, sf_dir)
+    aged = owners.withColumn("age", F.col("t") - F.col("owner_t"))
     return aged.groupBy("change").agg(F.sum("n_lines").alias("n_replaced"), F.min("age").alias("least_age"), F.percentile("age", F.lit(0.5), F.col("n_lines")).alias("median_age"), F.countDistinct("owner").alias("n_owners"))
 
 
