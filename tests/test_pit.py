@@ -1,6 +1,8 @@
 """Point-in-time laws on small frames: strictly before, unknown keys, no leak from the future."""
 
 import random
+import statistics
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -128,3 +130,21 @@ def test_odd_values_leave_with_their_window_and_null_moments_are_unknown(spark,
         held = [x for j, u, x in rows if j == k and u is not None and t - 5 <= u < t and x is not None]
         want, s = sum(held), got[k, t][0]
         assert (s != s if want != want else abs(s - want) < 1e-9 or s == want), (k, t, s, want)
+
+
+def test_windowed_median_is_exact_without_pairs(spark):
+    """Rows and events meet on a timeline, digit by digit, not in pairs of a window."""
+    r = random.Random(6)
+    events = [(r.choice("ab"), t, t + r.randrange(-2, 60), r.choice([None, r.randrange(40) / 2, r.randrange(-900, 900) / 1])) for t in (r.randrange(200) for _ in range(300))]
+    asked = [(i, r.choice(["a", "b", "c", None]), r.randrange(250)) for i in range(200)]
+    e, q = spark.createDataFrame(events, "k string, seen long, until long, v double"), spark.createDataFrame(asked, "i int, k string, t long")
+    for radix in (2, 8):
+        out = pit.windowed_median(q, "i", ["k"], "t", e, "seen", "until", "v", "m", "n", bucket=37, radix=radix)
+        assert "_bucket" not in out._jdf.queryExecution().optimizedPlan().toString()
+        got = {x["i"]: (x["m"], x["n"]) for x in out.collect()}
+        want = {}
+        for i, k, t in asked:
+            inside = [v for p, seen, until, v in events if p == k and seen < t <= until and v is not None]
+            if inside:
+                want[i] = (statistics.median(inside), len(inside))
+        assert got == want and len(want) > 50

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .components import cut_lineage
+
 #: Frames reach this many seconds back if they have no window of their own.
 ALWAYS = Window.unboundedPreceding
 
@@ -128,18 +130,44 @@ def prior_last_k(rows: DataFrame, key: list[str], at: str, event: str, values: d
     return out.select(*rows.columns, *[c.alias(n) for n, c in made.items()])
 
 
-def windowed_median(rows: DataFrame, row_id: str, keys: list[str], at: str, events: DataFrame, seen: str, until: str, value: str, name: str, count: str, bucket: int = BUCKET) -> DataFrame:
+def windowed_median(rows: DataFrame, row_id: str, keys: list[str], at: str, events: DataFrame, seen: str, until: str, value: str, name: str, count: str, bucket: int = BUCKET, radix: int = 8) -> DataFrame:
     """(row_id, name, count): exact median of ``value`` over events of the key with seen < at <= until.
 
-    A median has no running form, so rows meet the events of their window; events are dealt over the buckets of time
-    that they are visible in, so a busy key is dealt too, and pairs are added up where they meet.
+    Values are ranked by key and the middle ranks are found digit by digit: each round counts the events of the window
+    by their next digit, as sums of a timeline, for the prefix that a row has come to. So rows are those of rows and events
+    times the digits of the ranks, whatever the windows hold; one row may ask for two ranks.
     """
-    visible = F.explode(F.sequence(F.floor((F.col(seen) + 1) / bucket), F.floor(F.col(until) / bucket)))
-    held = events.where(F.col(value).isNotNull() & (F.col(until) > F.col(seen))).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(seen).alias("_seen"), F.col(until).alias("_until"), F.col(value).alias("_value"), visible.alias("_bucket"))
-    asked = rows.select(F.col(row_id).alias("_id"), *keys, F.col(at).alias("_at"), F.floor(F.col(at) / bucket).alias("_b"))
+    held = events.where(F.col(value).isNotNull() & (F.col(until) > F.col(seen))).select(*keys, F.col(seen).alias("_seen"), F.col(until).alias("_until"), F.col(value).alias("_value"))
+    order = Window.partitionBy(*[f"_k_{k}" for k in keys]).orderBy("_value2")
+    ranks = cut_lineage(held.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_value").alias("_value2")).distinct().withColumn("_rank", F.dense_rank().over(order) - 1))
     same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys])
-    met = asked.join(held, same & (F.col("_b") == F.col("_bucket")) & (F.col("_seen") < F.col("_at")) & (F.col("_at") <= F.col("_until")))
-    return met.groupBy(F.col("_id").alias(row_id)).agg(F.median("_value").alias(name), F.count("*").alias(count))
+    held = cut_lineage(held.join(ranks, same & (F.col("_value") == F.col("_value2"))).select(*keys, "_seen", "_until", "_rank"))
+    digits, most = 1, ranks.agg(F.max("_rank")).first()[0] or 0  # one number
+    while radix**digits <= most:
+        digits += 1
+    asked = rows.select(F.col(row_id).alias("_id"), *keys, F.col(at).alias("_at"), F.lit(0).cast("long").alias("_prefix"))
+    ends = F.col("_until")
+    for i in range(digits - 1, -1, -1):
+        digit = F.floor(F.col("_rank") / radix**i) % radix
+        source = held.select("*", F.floor(F.col("_rank") / radix ** (i + 1)).cast("long").alias("_prefix"), digit.alias("_digit"))
+        sums = {f"_d{d}": (F.when(F.col("_digit") == d, 1), ends) for d in range(radix)}
+        got = prior(asked, [*keys, "_prefix"], "_at", "_seen", sums, events=source, bucket=bucket)
+        counts = [F.coalesce(f"_d{d}", F.lit(0.0)) for d in range(radix)]
+        if i == digits - 1:
+            n = sum(counts[1:], counts[0]).cast("long")
+            got = got.withColumn("_n", n).where("_n > 0").withColumn("_place", F.explode(F.array_distinct(F.array(F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)))))
+        # the first digit with more events up to it than the place, which then counts from those before
+        next_, passed, before = F.lit(None), F.lit(None), F.lit(0.0)
+        steps = []
+        for d in range(radix):
+            steps.append((d, before, before + counts[d]))
+            before = before + counts[d]
+        for d, low, high in reversed(steps):
+            next_, passed = F.when(F.col("_place") < high, d).otherwise(next_), F.when(F.col("_place") < high, low).otherwise(passed)
+        got = got.select("_id", *keys, "_at", "_n", (F.col("_prefix") * radix + next_).cast("long").alias("_prefix"), (F.col("_place") - passed).cast("long").alias("_place"))
+        asked = cut_lineage(got) if i else got
+    found = asked.join(ranks, same & (F.col("_prefix") == F.col("_rank")))
+    return found.groupBy(F.col("_id").alias(row_id)).agg(F.avg("_value2").alias(name), F.first("_n").alias(count))
 
 
 def shrunk(count: Column, n: Column, prior_rate: Column, strength: float) -> Column:
