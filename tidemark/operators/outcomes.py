@@ -153,7 +153,7 @@ def max_similarity(pr: DataFrame, tokens: DataFrame, back: int = 90 * DAY, most:
     steps = lambda c: F.when(c < F.col("n") - 1, F.sequence(c + 1, F.col("n") - 1))
 
     # one or two tokens: whether any of a size was there
-    held = small.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn("j", F.explode(F.concat(F.array(F.lit(-1)), F.coalesce(steps(i), F.array())))).select("repo", at(i).alias("a"), F.when(j >= 0, at(j)).alias("b"), "pr_number", "t_open", "t_close", "y", "n").repartition("repo", "a", "b")  # before rows are made threefold
+    held = small.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn("j", F.explode(F.concat(F.array(F.lit(-1)), F.coalesce(steps(i), F.array())))).select("repo", at(i).alias("a"), F.when(j >= 0, at(j)).alias("b"), "pr_number", "t_open", "t_close", "y", "n")
     never = F.coalesce("t_close", F.lit(2**62))
     kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("t_open").alias("x"), never.alias("last")), F.struct(F.lit(1).alias("kind"), F.when(F.col("y") != "nowhere", F.col("t_close")).alias("x"), F.col("t_close").alias("last")), F.struct(F.lit(2).alias("kind"), F.col("t_open").alias("x"), F.lit(None).cast("long").alias("last")))
     line = held.select("repo", "a", "b", "n", "pr_number", F.explode(kinds).alias("p")).select("repo", "a", "b", "n", "p.*", F.when(F.col("p.kind") == 2, F.col("pr_number")).alias("pr_number")).where("x is not null")
