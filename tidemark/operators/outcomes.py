@@ -6,6 +6,8 @@ happened before. Frames come from ``pit.prior``; pairs only where two pull reque
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,32 +27,40 @@ def _total(prefix: str) -> Column:
     return F.col(f"{prefix}_clean") + F.col(f"{prefix}_rework") + F.col(f"{prefix}_nowhere")
 
 
-def with_repository_prior(pr: DataFrame) -> DataFrame:
-    """``pr`` with prior_{class}: the repository's outcome shares of the last 365 days, one of each class added."""
-    got = pit.prior(pr, ["repo"], "t_open", "t_close", {f"r365_{c}": (v, 365 * DAY) for c, v in _hits().items()})
+def _year_of_repository() -> dict:
+    return {f"r365_{c}": (v, 365 * DAY) for c, v in _hits().items()}
+
+
+def _with_prior(got: DataFrame) -> DataFrame:
+    """``got`` with prior_{class} made from the sums of the last 365 days."""
     return got.withColumns({f"prior_{c}": (F.col(f"r365_{c}") + 1) / (_total("r365") + 3) for c in CLASSES}).drop(*[f"r365_{c}" for c in CLASSES])
 
 
+def with_repository_prior(pr: DataFrame, more: dict | None = None) -> DataFrame:
+    """``pr`` with prior_{class}: the repository's outcome shares of the last 365 days, one of each class added; ``more`` sums go on the same timeline."""
+    return _with_prior(pit.prior(pr, ["repo"], "t_open", "t_close", _year_of_repository() | (more or {}), bucket=pit.BUCKET))
+
+
 def author_history(pr: DataFrame, events: DataFrame, strength: float = 3.0) -> DataFrame:
-    """``pr`` with the ten ah_ columns: the author's earlier outcomes in the repository, rates shrunk to its prior.
+    """``pr`` with the ten ah_ columns, and a_opened: the author's earlier outcomes in the repository, rates shrunk to its prior.
 
     Needs prior_{class}; all null if the author is unknown. ``events`` are the plain pull requests.
     """
-    key = ["repo", "author_key"]
-    got = pit.prior(pr, key, "t_open", "t_close", {f"a_{c}": (v, None) for c, v in _hits().items()}, events=events)
-    got = pit.prior(got, key, "t_open", "t_open", {"a_opened": (F.lit(1), None), "ah_open_now": (F.lit(1), F.col("t_close"))}, last="a_last", first="a_first", events=events)
+    closed = pit.Stream("t_close", {f"a_{c}": (v, None) for c, v in _hits().items()})
+    opened = pit.Stream("t_open", {"a_opened": (F.lit(1), None), "ah_open_now": (F.lit(1), F.col("t_close"))}, last="a_last", first="a_first")
+    got = pit.priors(pr, ["repo", "author_key"], "t_open", [closed, opened], events.select("repo", "author_key", "t_open", "t_close", "y"))
     n = _total("a")
     rates = {f"ah_{c}_rate": pit.shrunk(F.col(f"a_{c}"), n, F.col(f"prior_{c}"), strength) for c in CLASSES}
     made = {"ah_n": n, "ah_merged": F.col("a_clean") + F.col("a_rework"), "ah_nowhere": F.col("a_nowhere"), **rates,
             "ah_first_pr": ((n == 0) & (F.col("a_opened") == 0)).cast("double"), "ah_days_since_prev_pr": F.col("a_last") / DAY, "ah_tenure_days": F.col("a_first") / DAY}
-    return got.withColumns(made).drop("a_opened", "a_last", "a_first", *[f"a_{c}" for c in CLASSES])
+    return got.withColumns(made).drop("a_last", "a_first", *[f"a_{c}" for c in CLASSES])
 
 
-def repository_history(pr: DataFrame, events: DataFrame) -> DataFrame:
-    """``pr`` with the thirteen rh columns. Needs author_history's columns and is_outside.
+def repository_history(pr: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """``pr`` with the thirteen rh columns, all from one timeline. Needs ah_n of author_history and is_outside.
 
     Rates of 90 days need five closed pull requests; without them the 180-day rates of outsiders and of their first pull
-    requests fall back to the prior of 365 days.
+    requests fall back to prior_{class}, which is made here if ``pr`` lacks it. ``events`` are the same pull requests, plain.
     """
     outside = F.col("is_outside")
     masks = {"ft": outside & (F.coalesce("ah_n", F.lit(0.0)) == 0), "out": outside}
@@ -58,8 +68,11 @@ def repository_history(pr: DataFrame, events: DataFrame) -> DataFrame:
     sums = {f"r90_{c}": (v, 90 * DAY) for c, v in _hits().items()} | {"hours": (hours, 90 * DAY)}
     for name, mask in masks.items():
         sums |= {f"{name}_{c}": (v, 180 * DAY) for c, v in _hits(mask).items()}
-    got = pit.prior(pr, ["repo"], "t_open", "t_close", sums)
-    got = pit.prior(got, ["repo"], "t_open", "t_open", {"rh30_opened": (F.lit(1), 30 * DAY), "rh_open_now": (F.lit(1), F.col("t_close"))}, events=events)
+    lacks = "prior_clean" not in pr.columns
+    closed = pit.Stream("t_close", sums | (_year_of_repository() if lacks else {}))
+    opened = pit.Stream("t_open", {"rh30_opened": (F.lit(1), 30 * DAY), "rh_open_now": (F.lit(1), F.col("t_close"))})
+    got = pit.priors(pr, ["repo"], "t_open", [closed, opened], bucket=pit.BUCKET)
+    got = _with_prior(got) if lacks else got
     n = _total("r90")
     made = {"rh90_n": n, **{f"rh90_{c}_rate": F.when(n >= 5, F.col(f"r90_{c}") / n) for c in CLASSES}, "rh90_mean_log_hours_to_close": F.when(n >= 5, F.col("hours") / n)}
     for name in masks:
@@ -71,29 +84,57 @@ def repository_history(pr: DataFrame, events: DataFrame) -> DataFrame:
     return got.withColumns(made).drop("hours", *[f"{p}_{c}" for p in ("r90", *masks) for c in CLASSES])
 
 
-def rolling_rates(pr: DataFrame, events: DataFrame, key: list[str], ks: list[int], smooth: float, prior: dict[str, Column] | None = None) -> DataFrame:
-    """``pr`` with {class}_rate_{k} and n_{k} of the last ``k`` closed pull requests of the key; ``prior`` is a third of each class by default."""
-    got = pit.prior_last_k(pr, key, "t_open", "t_close", _hits(), ks, "pr_number", events)
+def last_k_sums(ks: list[int]) -> dict:
+    """Sums {class}_{k} and n_{k} over the last k events, for events of ``pit.leaving``."""
+    ends = {k: F.col(f"_end{k}") for k in ks}
+    return {f"{c}_{k}": (v, end) for k, end in ends.items() for c, v in _hits().items()} | {f"n_{k}": (F.lit(1), end) for k, end in ends.items()}
+
+
+def last_k_rates(got: DataFrame, ks: list[int], smooth: float, prior: dict[str, Column] | None = None) -> DataFrame:
+    """``got`` with {class}_rate_{k} made from the sums of ``last_k_sums``; ``prior`` is a third of each class by default."""
     prior = prior or {c: F.lit(1 / 3) for c in CLASSES}
     made = {f"{c}_rate_{k}": pit.shrunk(F.col(f"{c}_{k}"), F.col(f"n_{k}"), prior[c], smooth) for k in ks for c in CLASSES}
     return got.withColumns(made).drop(*[f"{c}_{k}" for k in ks for c in CLASSES])
 
 
-def decayed_rate(pr: DataFrame, events: DataFrame, key: list[str], hit: Column, half_life_days: float, smooth: float, name: str) -> DataFrame:
-    """``pr`` with the share of ``hit`` among earlier closed ones of the key, each halved every ``half_life_days``, shrunk to a third.
+def rolling_rates(pr: DataFrame, events: DataFrame, key: list[str], ks: list[int], smooth: float, prior: dict[str, Column] | None = None) -> DataFrame:
+    """``pr`` with {class}_rate_{k} and n_{k} of the last ``k`` closed pull requests of the key; ``prior`` is a third of each class by default."""
+    own = pit.leaving(events.select(*key, "t_close", "pr_number", "y"), key, "t_close", "pr_number", ks)
+    return last_k_rates(pit.prior(pr, key, "t_open", "t_close", last_k_sums(ks), events=own), ks, smooth, prior)
+
+
+@dataclass(frozen=True)
+class Decay:
+    """Closed events halved every ``half_life_days``: ``sums`` for a timeline and the rate made from them.
 
     e^((close - t) / tau) is e^(close / tau) over e^(t / tau), both from the table's last close, so running sums serve all rows.
     """
-    tau = half_life_days * DAY / 0.6931471805599453
-    latest = events.agg(F.max("t_close")).first()[0] or 0  # one number
 
-    def weight(t: Column, sign: int) -> Column:
-        return F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), sign * (t - latest) / tau)))
+    latest: int
+    half_life_days: float
+
+    @classmethod
+    def of(cls, events: DataFrame, half_life_days: float) -> Decay:
+        return cls(events.agg(F.max("t_close")).first()[0] or 0, half_life_days)  # one number
 
-    w = weight(F.col("t_close"), 1)
-    got = pit.prior(pr, key, "t_open", "t_close", {"_w": (w, None), "_h": (w * hit.cast("int"), None)}, events=events)
-    scale = weight(F.col("t_open"), -1)
-    return got.withColumn(name, (F.col("_h") * scale + smooth / 3) / (F.col("_w") * scale + smooth)).drop("_w", "_h")
+    def weight(self, t: Column, sign: int) -> Column:
+        tau = self.half_life_days * DAY / 0.6931471805599453
+        return F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), sign * (t - self.latest) / tau)))
+
+    def sums(self, hit: Column) -> dict:
+        w = self.weight(F.col("t_close"), 1)
+        return {"_w": (w, None), "_h": (w * hit.cast("int"), None)}
+
+    def rate(self, smooth: float) -> Column:
+        scale = self.weight(F.col("t_open"), -1)
+        return (F.col("_h") * scale + smooth / 3) / (F.col("_w") * scale + smooth)
+
+
+def decayed_rate(pr: DataFrame, events: DataFrame, key: list[str], hit: Column, half_life_days: float, smooth: float, name: str) -> DataFrame:
+    """``pr`` with the share of ``hit`` among earlier closed ones of the key, each halved every ``half_life_days``, shrunk to a third."""
+    decay = Decay.of(events, half_life_days)
+    got = pit.prior(pr, key, "t_open", "t_close", decay.sums(hit), events=events)
+    return got.withColumn(name, decay.rate(smooth)).drop("_w", "_h")
 
 
 def shared_file_pairs(pr: DataFrame, files: DataFrame, back: int, lag: int, bucket: int = 90 * DAY) -> DataFrame:

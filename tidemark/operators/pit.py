@@ -6,6 +6,7 @@ query, so ties never count and no self-join is made. Rows with a null key get nu
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,16 @@ ALWAYS = Window.unboundedPreceding
 BUCKET = 90 * 86_400
 
 
+@dataclass(frozen=True)
+class Stream:
+    """Events at one of their times, and what is asked of them: ``sums``, ``last`` and ``first`` as in ``prior``."""
+
+    event: str
+    sums: dict[str, tuple[Column, int | Column | None]]
+    last: str | None = None
+    first: str | None = None
+
+
 def prior(rows: DataFrame, keys: list[str], at: str, event: str, sums: dict[str, tuple[Column, int | Column | None]] | None = None,
           last: str | None = None, first: str | None = None, events: DataFrame | None = None, bucket: int | None = None) -> DataFrame:
     """``rows`` with, for each name of ``sums``, the sum of its column over events of the same key with event < at; a
@@ -33,65 +44,82 @@ def prior(rows: DataFrame, keys: list[str], at: str, event: str, sums: dict[str,
 
     An event enters at its time and leaves, with its value taken off, when its window ends, so frames only grow and the
     work is linear. With ``bucket``, keys are cut into buckets of so many seconds, which start from the totals of those
-    before: a busy key is dealt over its buckets, for one more aggregate of the timeline.
+    before: a busy key is dealt over its buckets, for one more aggregate of the events.
     """
-    sums, source = sums or {}, rows if events is None else events
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
+    return priors(rows, keys, at, [Stream(event, sums or {}, last, first)], events, bucket)
+
+
+def priors(rows: DataFrame, keys: list[str], at: str, streams: list[Stream], events: DataFrame | None = None, bucket: int | None = None) -> DataFrame:
+    """``prior`` for several times of the same events, on one timeline and so in one exchange.
+
+    Rows are read once and events once, or twice with ``bucket``: totals of buckets come in as entries of the second before each
+    bucket, up to the one after the last event, where later rows go. Rows that ask nothing are dealt by a hash and pass through.
+    """
+    source = rows if events is None else events
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
     asked_at = known & F.col(at).isNotNull()
-    # a sum of fractions has three counts beside it: of NaN, of infinite values above and below zero
-    fractions = {n: source.select(v).schema[0].dataType.typeName() in ("float", "double") for n, (v, _) in sums.items()}
-    parts_of, given = {}, []
-    for n, (v, w) in sums.items():
-        x = v.cast("double")
-        mine = [x]
-        if fractions[n]:
-            odd = [F.isnan(x), x == float("inf"), x == float("-inf")]
-            mine = [F.when(~(odd[0] | odd[1] | odd[2]), x), *[F.when(o, 1.0) for o in odd]]
-        parts_of[n] = [f"_v{len(given) + i}" for i in range(len(mine))]
-        given += [(c, w) for c in mine]
-    names = [f"_v{i}" for i in range(len(given))]
-
-    def entry(when: Column, values: dict[str, Column], is_event: bool) -> Column:
-        put = [(values[n] if n in values else F.lit(None)).cast("double").alias(n) for n in names]
-        return F.struct(when.cast("long").alias("_x"), *put, F.lit(1 if is_event else None).cast("int").alias("_e"))
-
-    value = dict(zip(names, (v for v, _ in given), strict=True))
-    leaves: dict = {}
-    for n, (_, w) in zip(names, given, strict=True):
-        if w is not None:
-            leaves.setdefault(w if isinstance(w, int) else id(w), (w, []))[1].append(n)
-    ends = [entry((F.col(event) + w) if isinstance(w, int) else w, {n: -value[n].cast("double") for n in own}, False) for w, own in leaves.values()]
-    entered = source.where(known & F.col(event).isNotNull()).select(*keys, F.explode(F.array(entry(F.col(event), value, True), *ends)).alias("_p")).select(*keys, F.lit(None).alias("_row"), "_p.*")
-    asked = rows.where(asked_at).select(*keys, F.struct(*rows.columns).alias("_row"), F.col(at).cast("long").alias("_x"), *[F.lit(None).cast("double").alias(n) for n in names], F.lit(None).cast("int").alias("_e"))
-    put = asked.unionByName(entered.where("_x is not null"))
-    when, carried = F.when(F.col("_e") == 1, F.col("_x")), [*[f"_c{n}" for n in names], "_c_last", "_c_first"]
-    if bucket is None:
-        put, parts = put.withColumns({c: F.lit(None).cast("double" if c in carried[:-2] else "long") for c in carried}), keys
+    parts_of, names, values, gaps, moments = {}, [], [], [], []
+    number = F.col("_p._i")
+    for i, stream in enumerate(streams):
+        when, entry, leaves = F.col(stream.event), len(moments), {}
+        moments.append(when)
+        for n, (v, w) in stream.sums.items():
+            x = v.cast("double")
+            mine = [x]
+            if source.select(v).schema[0].dataType.typeName() in ("float", "double"):
+                # a sum of fractions has three counts beside it: of NaN, of infinite values above and below zero
+                odd = [F.isnan(x), x == float("inf"), x == float("-inf")]
+                mine = [F.when(~(odd[0] | odd[1] | odd[2]), x), *[F.when(o, 1.0) for o in odd]]
+            parts_of[n] = [f"_v{len(names) + j}" for j in range(len(mine))]
+            names += parts_of[n]
+            mark = w if isinstance(w, int) else id(w)
+            if w is not None and mark not in leaves:
+                leaves[mark] = len(moments)
+                moments.append(F.when(when.isNotNull(), when + w if isinstance(w, int) else w))  # an event without a time has no entry
+            values += [F.when(number == entry, m) if w is None else F.when(number == entry, m).when(number == leaves[mark], -m) for m in mine]
+        gaps += [(f"{c}{i}", n, entry) for c, n in (("_l", stream.last), ("_f", stream.first)) if n]
+    # entries are numbered and get their values after that, which keeps the code of a row short
+    numbered = F.explode(F.array(*[F.struct(m.cast("long").alias("_x"), F.lit(i).alias("_i")) for i, m in enumerate(moments)]))
+    entered = source.where(known).withColumn("_p", numbered).where("_p._x is not null").select(
+        *keys, F.col("_p._x").alias("_x"), *[v.cast("double").alias(n) for n, v in zip(names, values, strict=True)], *[F.when(number == e, F.col("_p._x")).alias(c) for c, _, e in gaps])
+    gaps = [(c, n) for c, n, _ in gaps]
+    hashed = [c for c, t in rows.dtypes if "map<" not in t and "variant" not in t]
+    asked = rows.select(*[F.when(asked_at, F.col(k)).alias(k) for k in keys], F.when(asked_at, F.col(at)).cast("long").alias("_x"), F.struct(*rows.columns).alias("_row"), F.when(~asked_at, -1 - F.pmod(F.xxhash64(*hashed), F.lit(10_000))).alias("_spare"))
+    b = F.lit(0).cast("long")
+    if bucket is not None:
+        b = F.floor(F.col("_x") / bucket)
+        firsts, lasts = [F.min(c).alias(c) for c, _ in gaps if c[1] == "f"], [F.max(c).alias(c) for c, _ in gaps if c[1] == "l"]
+        # one row a key and bucket
+        totals = cut_lineage(entered.groupBy(*keys, b.alias("_b")).agg(*[F.sum(n).alias(n) for n in names], *firsts, *lasts))
+        end = (totals.agg(F.max("_b")).first()[0] or 0) + 1  # one number
+        line = Window.partitionBy(*keys).orderBy("_b")
+        so_far = line.rowsBetween(ALWAYS, 0)
+        sums_so_far = {n: F.sum(n).over(so_far) for n in names} | {c: (F.min(c) if c[1] == "f" else F.max(c)).over(so_far) for c, _ in gaps}
+        run = totals.withColumns(sums_so_far | {"_next": F.coalesce(F.lead("_b").over(line), F.lit(end))})
+        run = run.withColumn("_b", F.explode(F.sequence(F.col("_b") + 1, F.col("_next")))).drop("_next")
+        entered = entered.withColumn("_b", b).unionByName(run.withColumn("_x", F.col("_b") * bucket - 1))
+        b = F.least(b, F.lit(end))
     else:
-        put, parts = put.withColumn("_b", F.floor(F.col("_x") / bucket)), [*keys, "_b"]
-        before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(ALWAYS, -1)
-        totals = put.groupBy(*parts).agg(*[F.sum(n).alias(n) for n in names], F.max(when).alias("_last"), F.min(when).alias("_first"))
-        sums_before = [*[F.sum(n).over(before) for n in names], F.max("_last").over(before), F.min("_first").over(before)]
-        carry = totals.select(*[F.col(k).alias(f"_k_{k}") for k in parts], *[c.alias(n) for n, c in zip(carried, sums_before, strict=True)])
-        put = put.join(carry, reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in parts]))
-    here = Window.partitionBy(*parts).orderBy("_x").rangeBetween(ALWAYS, -1)
-    total = {v: F.coalesce(F.col(f"_c{v}"), F.lit(0.0)) + F.coalesce(F.sum(v).over(here), F.lit(0.0)) for v in names}
-    made = {n: total[own[0]] for n, own in parts_of.items() if len(own) == 1}
+        entered = entered.withColumn("_b", b)
+    put = asked.withColumn("_b", F.coalesce("_spare", b)).drop("_spare").unionByName(entered, allowMissingColumns=True)
+    here = Window.partitionBy(*keys, "_b").orderBy("_x").rangeBetween(ALWAYS, -1)
+    total = {v: F.coalesce(F.sum(v).over(here), F.lit(0.0)) for v in names}
+    made = {n: total[own[0]] for n, own in parts_of.items()}
     for n, own in parts_of.items():
         if len(own) > 1:
             finite, nans, above, below = (total[v] for v in own)
             odd = F.when((nans > 0) | ((above > 0) & (below > 0)), float("nan")).when(above > 0, float("inf")).when(below > 0, float("-inf"))
             made[n] = F.coalesce(odd, finite)
-    made = {n: made[n] for n in sums}
-    if last:
-        made[last] = F.col("_x") - F.coalesce(F.max(when).over(here), "_c_last")
-    if first:
-        made[first] = F.col("_x") - F.coalesce("_c_first", F.min(when).over(here))
-    done = put.withColumns(made).where("_row is not null").select("_row.*", *made)
-    unknown = rows.where(~asked_at).select("*", *[F.lit(None).cast(done.schema[n].dataType).alias(n) for n in made])
-    return done.unionByName(unknown)
+    made |= {n: F.col("_x") - (F.min(c) if c[1] == "f" else F.max(c)).over(here) for c, n in gaps}
+    return put.withColumns({n: F.when(F.col("_x").isNotNull(), c) for n, c in made.items()}).where("_row is not null").select("_row.*", *made)
+
+
+def leaving(events: DataFrame, keys: list[str], event: str, tie: str, ks: list[int], prefix: str = "_end") -> DataFrame:
+    """``events`` of a known key with, for each k, the time of the event k places later (ties by ``tie``), null for the
+    last k: until then an event is one of the last k, so sums over those are windows of ``priors``."""
+    order = Window.partitionBy(*keys, F.col(event).isNull()).orderBy(event, tie)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return events.where(known).withColumns({f"{prefix}{k}": F.lead(event, k).over(order) for k in ks})
 
 
 def prior_last_k(rows: DataFrame, key: list[str], at: str, event: str, values: dict[str, Column], ks: list[int], tie: str, events: DataFrame | None = None, bucket: int | None = None) -> DataFrame:

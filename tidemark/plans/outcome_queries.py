@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import history, outcomes, pit
+from ..operators.components import cut_lineage
 from ..sources.entities import DAY, FILES_SQL, PR_SQL, file_changes, pull_requests, table
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -58,8 +59,9 @@ b as (select r.*, {", ".join(f"case when rn >= 5 then r_{c} / rn::double else pr
 select pr_number, rn::double as rh90_n, {", ".join(f"case when rn >= 5 then round(r_{c} / rn::double, 8) end as rh90_{c}_rate" for c in CLASSES)}, open_now::double as rh_open_now, opened::double as rh30_opened, case when rn >= 5 then round(hours / rn, 8) end as rh90_mean_log_hours_to_close,
   {", ".join(f"{n}_n::double as rh180_{n}_n, " + ", ".join(f"round(({n}_{c} + 5 * base_{c}) / ({n}_n + 5), 8) as rh180_{n}_{c}_rate" for c in ("clean", "nowhere")) for n in ("ft", "out"))} from b join o using (pr_number)""")
 def e7_repository_history(spark, sf_dir):
-    plain = pull_requests(spark, sf_dir)
-    got = outcomes.repository_history(outcomes.author_history(_base(spark, sf_dir), plain).withColumn("is_outside", ~F.col("is_bot")), plain)
+    pr = pull_requests(spark, sf_dir).select("repo", "author_key", "pr_number", "t_open", "t_close", "y", (~F.col("is_bot")).alias("is_outside"))
+    known = pit.prior(pr, ["repo", "author_key"], "t_open", "t_close", {"ah_n": (F.lit(1), None)}, events=pr)
+    got = outcomes.repository_history(cut_lineage(known.drop("author_key")))  # read three times
     return _rounded(got.select("pr_number", *[c for c in got.columns if c.startswith("rh")]))
 
 
