@@ -11,24 +11,26 @@ from .components import cut_lineage
 def last_values(rows: DataFrame, key: str, at: str, event: str, value: Column, tie: Column, k: int, name: str, events: DataFrame | None = None) -> DataFrame:
     """``rows`` with an array of the last ``k`` strictly earlier values of the key, oldest first. Unknown keys get null.
 
-    Each event carries its own last k (a ROWS frame of k), and the latest event before the query is looked up in the
-    same window, so no list grows beyond k.
+    Events are numbered in the order of their key, and a row has the number of events before it; a frame over numbers then
+    holds the last k, so lists are made beside their rows and never shuffled. A key is one task.
     """
-    known = rows.where(F.col(key).isNotNull())
-    source = known if events is None else events.where(F.col(key).isNotNull())
-    events = source.where(F.col(event).isNotNull()).select(F.col(key), F.col(event).alias("_x"), tie.alias("_t"), value.alias("_v"))
-    rolling = Window.partitionBy(key).orderBy("_x", "_t")
-    own = events.select(key, "_x", F.collect_list("_v").over(rolling.rowsBetween(-(k - 1), 0)).alias("_l"), F.row_number().over(rolling).alias("_i"))
-    last = own.groupBy(key, "_x").agg(F.max_by("_l", "_i").alias("_l"))
-    put = last.withColumn("_row", F.lit(None)).unionByName(known.select(key, F.col(at).alias("_x"), F.lit(None).cast(last.schema["_l"].dataType).alias("_l"), F.struct(*rows.columns).alias("_row")))
-    before = Window.partitionBy(key).orderBy("_x").rangeBetween(Window.unboundedPreceding, -1)
-    got = put.withColumn(name, F.coalesce(F.last("_l", ignorenulls=True).over(before), F.array().cast(last.schema["_l"].dataType))).where("_row is not null").select("_row.*", name)
-    return got.unionByName(rows.where(F.col(key).isNull()).withColumn(name, F.lit(None).cast(last.schema["_l"].dataType)))
+    source = rows if events is None else events
+    own = source.where(F.col(key).isNotNull() & F.col(event).isNotNull()).select(F.col(key).alias("_key"), F.lit(0).cast("long").alias("_s"), F.col(event).cast("long").alias("_x"), F.lit(1).alias("_e"), tie.alias("_t"), value.alias("_v"))
+    # rows that ask nothing are dealt by their tie or time
+    known = F.col(key).isNotNull() & F.col(at).isNotNull()
+    hashed = [c for c, t in rows.dtypes if "map<" not in t and "variant" not in t]
+    spare = F.when(known, F.lit(0).cast("long")).otherwise(1 + F.pmod(F.xxhash64(*hashed), F.lit(10_000)))
+    put = own.unionByName(rows.select(F.col(key).alias("_key"), spare.alias("_s"), F.col(at).cast("long").alias("_x"), F.lit(0).alias("_e"), F.struct(*rows.columns).alias("_row")), allowMissingColumns=True)
+    line = Window.partitionBy("_key", "_s")
+    # at one second rows come before events, so none of these is seen
+    numbered = put.withColumn("_i", F.sum("_e").over(line.orderBy("_x", "_e", "_t").rowsBetween(Window.unboundedPreceding, 0)))
+    last = F.collect_list("_v").over(line.orderBy("_i").rangeBetween(-(k - 1), 0))
+    return numbered.withColumn(name, F.when(F.col("_key").isNotNull(), last)).where("_row is not null").select("_row.*", name)
 
 
 def middle(values: Column) -> Column:
     """Median of an array; null if it is empty."""
-    s, n = F.array_sort(values), F.size(values)
+    s, n = F.sort_array(values), F.size(values)
     return F.when(n > 0, (F.get(s, ((n - 1) / 2).cast("int")) + F.get(s, (n / 2).cast("int"))) / 2.0)
 
 

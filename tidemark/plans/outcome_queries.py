@@ -76,16 +76,17 @@ select pr_number, round(ln(1 + n::double), 8) as closed_before, {", ".join(f"rou
   round((nowhere10 + 5 / 3.0::double) / (n10 + 5) - (nowhere200 + 5 / 3.0::double) / (n200 + 5), 8) as nowhere_trend, case when days is not null then round(ln(1 + greatest(days, 0)), 8) end as days_to_close, round(ln(1 + open_now::double), 8) as open_now, round(ln(1 + opened::double), 8) as opened_30d
   from k join w using (pr_number) join o using (pr_number) left join m using (pr_number)""")
 def e9_repository_rolling(spark, sf_dir):
-    pr = pull_requests(spark, sf_dir)
-    got = outcomes.rolling_rates(pr, pr, ["repo"], [10, 50, 200], 5.0)
-    got = outcomes.decayed_rate(got, pr, ["repo"], F.col("y") == "nowhere", 60.0, 5.0, "nowhere_recent")
-    got = pit.prior(got, ["repo"], "t_open", "t_close", {"closed": (F.lit(1), None)}, events=pr)
-    got = pit.prior(got, ["repo"], "t_open", "t_open", {"now": (F.lit(1), F.col("t_close")), "opened": (F.lit(1), 30 * DAY)}, events=pr)
-    got = history.last_values(got, "repo", "t_open", "t_close", (F.col("t_close") - F.col("t_open")).cast("double"), F.col("pr_number"), 50, "d", pr)
-    made = {"closed_before": F.log1p("closed"), "nowhere_trend": F.col("nowhere_rate_10") - F.col("nowhere_rate_200"), "days_to_close": F.log1p(history.middle(F.col("d")) / DAY), "open_now": F.log1p("now"), "opened_30d": F.log1p("opened")}
-    names = ["closed_before", *[f"{c}_rate_{k}" for k in (10, 50, 200) for c in CLASSES], "nowhere_trend", "days_to_close", "open_now", "opened_30d"]
-    got = got.withColumns(made)
-    return _rounded(got.select("pr_number", *names, F.round("nowhere_recent", 6).alias("nowhere_recent")))
+    pr = pull_requests(spark, sf_dir).select("repo", "pr_number", "t_open", "t_close", "y")
+    ks, decay = [10, 50, 200], outcomes.Decay.of(pr, 60.0)
+    got = history.last_values(pr, "repo", "t_open", "t_close", (F.col("t_close") - F.col("t_open")).cast("double"), F.col("pr_number"), 50, "d")
+    got = got.select("repo", "pr_number", "t_open", F.log1p(history.middle(F.col("d")) / DAY).alias("days_to_close"))
+    closed = pit.Stream("t_close", outcomes.last_k_sums(ks) | decay.sums(F.col("y") == "nowhere") | {"closed": (F.lit(1), None)})
+    opened = pit.Stream("t_open", {"now": (F.lit(1), F.col("t_close")), "opened": (F.lit(1), 30 * DAY)})
+    got = pit.priors(got, ["repo"], "t_open", [closed, opened], pit.leaving(pr, ["repo"], "t_close", "pr_number", ks), pit.BUCKET)
+    got = outcomes.last_k_rates(got, ks, 5.0)
+    made = {"closed_before": F.log1p("closed"), "nowhere_trend": F.col("nowhere_rate_10") - F.col("nowhere_rate_200"), "open_now": F.log1p("now"), "opened_30d": F.log1p("opened"), "nowhere_recent": F.round(decay.rate(5.0), 6)}
+    names = ["closed_before", *[f"{c}_rate_{k}" for k in ks for c in CLASSES], "nowhere_trend", "days_to_close", "open_now", "opened_30d", "nowhere_recent"]
+    return _rounded(got.withColumns(made).select("pr_number", *names))
 
 
 @query(f"""with {AUTHOR_SQL} select pr_number, case when author_key is not null then round(ln(1 + opened::double), 8) end as prev_prs, case when author_key is not null then (clean + rework)::double end as prev_merged, case when author_key is not null then nowhere::double end as prev_nowhere,
