@@ -93,9 +93,9 @@ def e9_repository_rolling(spark, sf_dir):
   case when author_key is not null then round((nowhere + 5 / 3.0::double) / (n + 5), 8) end as nowhere_rate, round(ln(1 + (t_open - last) / 86400.0::double), 8) as days_since_prev, case when author_key is not null then open_now::double end as open_now
   from pr join ac using (pr_number) join ao using (pr_number)""")
 def e10_author_rolling(spark, sf_dir):
-    got = outcomes.author_history(_base(spark, sf_dir), pull_requests(spark, sf_dir))
-    got = pit.prior(got, ["repo", "author_key"], "t_open", "t_open", {"before": (F.lit(1), None)}, events=pull_requests(spark, sf_dir))
-    return _rounded(got.select("pr_number", F.log1p("before").alias("prev_prs"), F.col("ah_merged").alias("prev_merged"), F.col("ah_nowhere").alias("prev_nowhere"), pit.shrunk(F.col("ah_nowhere"), F.col("ah_n"), F.lit(1 / 3), 5.0).alias("nowhere_rate"), F.log1p("ah_days_since_prev_pr").alias("days_since_prev"), F.col("ah_open_now").alias("open_now")))
+    plain = pull_requests(spark, sf_dir).select("repo", "author_key", "pr_number", "t_open", "t_close", "y")
+    got = outcomes.author_history(outcomes.with_repository_prior(plain), plain)
+    return _rounded(got.select("pr_number", F.log1p("a_opened").alias("prev_prs"), F.col("ah_merged").alias("prev_merged"), F.col("ah_nowhere").alias("prev_nowhere"), pit.shrunk(F.col("ah_nowhere"), F.col("ah_n"), F.lit(1 / 3), 5.0).alias("nowhere_rate"), F.log1p("ah_days_since_prev_pr").alias("days_since_prev"), F.col("ah_open_now").alias("open_now")))
 
 
 @query(f"""with {PR_SQL}, e as (select *, case when y <> 'nowhere' then null when ld % 11 = 0 then 'duplicate' when ld % 7 = 0 then 'unwanted' when la % 5 = 0 then 'ci' when ld % 2 = 0 then 'abandoned' else 'other' end as reason from pr)
