@@ -119,18 +119,18 @@ select pr_number, case when author_key is not null then last_outcome end as last
   case when s.n >= 10 then round((ln(1 + la + ld) - m) / sqrt(greatest(m2 - m * m, 1e-6)), 5) end as size_z, case when author_key is not null then (x.n - x.here)::double end as n_other_repos, case when author_key is not null then round((x.merged + 3 * (prior_clean + prior_rework)) / (x.n + 3), 8) end as cross_merged_rate
   from pr join prior using (pr_number) join a using (pr_number) join s using (pr_number) join x using (pr_number)""")
 def e14_recent_author(spark, sf_dir):
-    pr, key = _base(spark, sf_dir).withColumn("person", F.col("author_key") % 97), ["repo", "author_key"]
-    plain = pull_requests(spark, sf_dir).withColumn("person", F.col("author_key") % 97).withColumn("mine", F.when(F.col("author_key").isNotNull(), F.struct("repo", "author_key")))
-    got = outcomes.rolling_rates(pr, plain, key, [3, 5], 2.0, {c: F.col(f"prior_{c}") for c in CLASSES})
-    got = history.last_values(got.withColumn("mine", F.when(F.col("author_key").isNotNull(), F.struct("repo", "author_key"))), "mine", "t_open", "t_close", F.col("y"), F.col("pr_number"), 1, "ys", plain)
-    got = pit.prior(got, key, "t_open", "t_close", {f"{c}_{d}": ((F.col("y") == c).cast("int"), d * DAY) for d in (90, 365) for c in CLASSES} | {"here": (F.lit(1), None)}, events=plain)
+    plain, key = pull_requests(spark, sf_dir).select("repo", "author_key", "pr_number", "t_open", "t_close", "y", "la", "ld", (F.col("author_key") % 97).alias("person")), ["repo", "author_key"]
     size, merged = F.log1p(F.col("la") + F.col("ld")), (F.col("y") != "nowhere").cast("int")
-    got = pit.prior(got, ["repo"], "t_open", "t_close", {"s0": (merged, 90 * DAY), "s1": (merged * size, 90 * DAY), "s2": (merged * size * size, 90 * DAY)}, events=plain)
-    got = pit.prior(got, ["person"], "t_open", "t_close", {"x": (F.lit(1), None), "x_merged": (merged, None)}, events=plain)
-    made = {"last_outcome": F.get("ys", F.lit(0))} | {f"last{k}_{c}_rate": F.col(f"{c}_rate_{k}") for k in (3, 5) for c in ("clean", "nowhere")}
+    got = outcomes.with_repository_prior(plain, {"s0": (merged, 90 * DAY), "s1": (merged * size, 90 * DAY), "s2": (merged * size * size, 90 * DAY)}).drop("t_close", "y")
+    recent = {f"{c}_{d}d": ((F.col("y") == c).cast("int"), d * DAY) for d in (90, 365) for c in CLASSES}
+    own = pit.leaving(plain.select(*key, "pr_number", "t_close", "y"), key, "t_close", "pr_number", [1, 3, 5])
+    got = pit.prior(got, key, "t_open", "t_close", outcomes.last_k_sums([1, 3, 5]) | recent | {"here": (F.lit(1), None)}, events=own)
+    got = outcomes.last_k_rates(got.withColumn("last_outcome", F.coalesce(*[F.when(F.col(f"{c}_1") > 0, c) for c in CLASSES])), [3, 5], 2.0, {c: F.col(f"prior_{c}") for c in CLASSES})
+    got = pit.prior(got, ["person"], "t_open", "t_close", {"x": (F.lit(1), None), "x_merged": (merged, None)}, events=plain, bucket=pit.BUCKET)
+    made = {"last_outcome": F.col("last_outcome")} | {f"last{k}_{c}_rate": F.col(f"{c}_rate_{k}") for k in (3, 5) for c in ("clean", "nowhere")}
     for d in (90, 365):
-        n = F.col(f"clean_{d}") + F.col(f"rework_{d}") + F.col(f"nowhere_{d}")
-        made |= {f"n_{d}d": n} | {f"{c}_rate_{d}d": pit.shrunk(F.col(f"{c}_{d}"), n, F.col(f"prior_{c}"), 3.0) for c in ("clean", "nowhere")}
+        n = F.col(f"clean_{d}d") + F.col(f"rework_{d}d") + F.col(f"nowhere_{d}d")
+        made |= {f"n_{d}d": n} | {f"{c}_rate_{d}d": pit.shrunk(F.col(f"{c}_{d}d"), n, F.col(f"prior_{c}"), 3.0) for c in ("clean", "nowhere")}
     mean = F.col("s1") / F.nullif("s0", F.lit(0.0))
     made["size_z"] = F.when(F.col("s0") >= 10, F.round((size - mean) / F.sqrt(F.greatest(F.col("s2") / F.nullif("s0", F.lit(0.0)) - mean * mean, F.lit(1e-6))), 5))
     made["n_other_repos"] = F.col("x") - F.col("here")
