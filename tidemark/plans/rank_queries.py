@@ -36,7 +36,8 @@ select pr_number, n, n_90d, case when n >= 10 and sd > 0 then round((la - m) / s
 def e14_recent_behaviour(spark, sf_dir):
     merged, la = (F.col("y") == "clean").cast("double"), F.col("la").cast("double")
     sums = {"n": (merged, None), "s1": (merged * la, None), "s2": (merged * la * la, None), "n_90d": (merged, 90 * DAY)}
-    got = pit.prior(pull_requests(spark, sf_dir), ["repo"], "t_open", "t_close", sums)
+    pr = pull_requests(spark, sf_dir).select("repo", "pr_number", "t_open", "t_close", "y", "la")
+    got = pit.prior(pr, ["repo"], "t_open", "t_close", sums, bucket=pit.BUCKET)
     mean = F.col("s1") / F.nullif("n", F.lit(0.0))
     sd = F.sqrt(F.greatest(F.col("s2") / F.nullif("n", F.lit(0.0)) - mean * mean, F.lit(0.0)))
     return got.select("pr_number", F.col("n").cast("long").alias("n"), F.col("n_90d").cast("long").alias("n_90d"), F.when((F.col("n") >= 10) & (sd > 0), F.round((F.col("la") - mean) / sd, 5)).alias("size_z"))
