@@ -25,8 +25,11 @@ def query(sql: str):
 select pr.pr_number, round((count(*) filter (where r.y = 'clean') + 2 / 3.0::double) / (count(r.i) + 2), 9) as clean, round((count(*) filter (where r.y = 'rework') + 2 / 3.0::double) / (count(r.i) + 2), 9) as rework
   from pr left join r on pr.pr_number = r.pr_number and i <= 50 group by 1""")
 def e11_recent_reason_shares(spark, sf_dir):
-    got = history.last_values(pull_requests(spark, sf_dir), "repo", "t_open", "t_close", F.col("y"), F.col("pr_number"), 50, "ys")
-    share = {c: pit.shrunk(F.size(F.filter("ys", lambda v: v.eqNullSafe(c))), F.size("ys"), F.lit(1 / 3), 2.0) for c in ("clean", "rework")}
+    pr = pull_requests(spark, sf_dir).select("repo", "pr_number", "t_open", "t_close", "y")
+    end = F.col("_end50")
+    sums = {"n": (F.lit(1), end)} | {c: ((F.col("y") == c).cast("int"), end) for c in ("clean", "rework")}
+    got = pit.prior(pr.select("repo", "pr_number", "t_open"), ["repo"], "t_open", "t_close", sums, events=pit.leaving(pr, ["repo"], "t_close", "pr_number", [50]), bucket=pit.BUCKET)
+    share = {c: pit.shrunk(F.col(c), F.col("n"), F.lit(1 / 3), 2.0) for c in ("clean", "rework")}
     return got.select("pr_number", *[F.round(s, 9).alias(c) for c, s in share.items()])
 
 
