@@ -26,7 +26,7 @@ def labels_at(events: DataFrame, key: str, label: str, t: str, state: str, on: s
 
 def flaky_failures(failures: DataFrame, passes: DataFrame, keys: list[str], at: str, passed_at: str, least: int = 3, days: int = 90) -> DataFrame:
     """``failures`` with ``is_flaky``: its check passed on a rerun ``least`` times in the ``days`` before, the moment itself left out."""
-    got = pit.prior(failures, keys, at, passed_at, {"_passes": (F.lit(1), days * DAY)}, events=passes)
+    got = pit.prior(failures, keys, at, passed_at, {"_passes": (F.lit(1), days * DAY)}, events=passes, bucket=pit.BUCKET)
     return got.withColumn("is_flaky", F.coalesce(F.col("_passes") >= least, F.lit(False))).drop("_passes")
 
 
