@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tidemark.operators import outcomes
+from tidemark.operators import outcomes, sets
 
 
 @pytest.mark.parametrize("most", [2, 4, 8])
@@ -28,3 +28,8 @@ def test_max_similarity_matches_a_loop(spark, most):
     out = outcomes.max_similarity(pr, tokens, 40, most)
     got = {x[0]: (round(x[1], 9), None if x[2] is None else round(x[2], 9)) for x in out.collect()}
     assert got == want
+
+
+def test_strong_pairs_are_counted_once_and_go_both_ways(spark):
+    df = spark.createDataFrame([(1, 5), (1, 7), (1, 7), (2, 7), (2, 5), (2, 9), (3, 9)], "k long, e long")
+    assert sorted(tuple(r) for r in sets.strong_pairs(df, "k", "e", 2).collect()) == [(5, 7), (7, 5)]

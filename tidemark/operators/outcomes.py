@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import pit
+from . import pit, sets
 from .components import cut_lineage
 
 DAY = 86_400
@@ -237,7 +237,7 @@ def co_change(elements: DataFrame, key: str, element: str, least: int) -> DataFr
     with it), and of partners that the key lacks."""
     e = elements.select(key, element).distinct()
     o = e.select(F.col(key).alias("_k"), F.col(element).alias("_o"))
-    strong = e.join(o, F.col(key) == F.col("_k")).where(F.col(element) != F.col("_o")).groupBy(element, "_o").agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
+    strong = sets.strong_pairs(elements, key, element, least)
     degree = strong.groupBy(F.col(element).alias("_e")).agg(F.count("*").alias("_d"))
     there = e.join(strong, element).join(o, (F.col(key) == F.col("_k")) & (strong["_o"] == o["_o"])).groupBy(key, element).agg(F.count("*").alias("_in"))
     got = e.join(degree, F.col(element) == F.col("_e"), "left").join(there, [key, element], "left")

@@ -75,12 +75,18 @@ def stale_keys(copy: DataFrame, origin: DataFrame, keys: list[str], columns: lis
     return copy.join(origin, keys, "left_anti").select(*keys).unionByName(changed).distinct()
 
 
-def co_changes(elements: DataFrame, key: str, element: str, least: int) -> DataFrame:
-    """(element, partners): how many elements share at least ``least`` keys with it."""
+def strong_pairs(elements: DataFrame, key: str, element: str, least: int) -> DataFrame:
+    """(element, _o): elements that share at least ``least`` keys, both ways; a pair is counted once, by the smaller of the two."""
     e = elements.select(key, element).distinct()
     o = e.select(F.col(key).alias("_k"), F.col(element).alias("_o"))
-    pairs = e.join(o, F.col(key) == F.col("_k")).where(F.col(element) != F.col("_o")).groupBy(element, "_o").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    return pairs.groupBy(element).agg(F.count("*").alias("partners"))
+    met = e.join(o, (F.col(key) == F.col("_k")) & (F.col(element) < F.col("_o"))).groupBy(element, "_o").agg(F.count("*").alias("_n")).where(F.col("_n") >= least)
+    ways = F.array(F.struct(F.col(element).alias("a"), F.col("_o").alias("b")), F.struct(F.col("_o").alias("a"), F.col(element).alias("b")))
+    return met.select(F.explode(ways).alias("_p")).select(F.col("_p.a").alias(element), F.col("_p.b").alias("_o"))
+
+
+def co_changes(elements: DataFrame, key: str, element: str, least: int) -> DataFrame:
+    """(element, partners): how many elements share at least ``least`` keys with it."""
+    return strong_pairs(elements, key, element, least).groupBy(element).agg(F.count("*").alias("partners"))
 
 
 def compare_inventories(expected: DataFrame, actual: DataFrame, key: str, columns: list[str]) -> DataFrame:
