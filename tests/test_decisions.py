@@ -3,6 +3,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
@@ -74,6 +75,21 @@ def test_earlier_ranks_agree_with_pairs(spark):
     assert ranks.earlier_ranks(df.limit(0), ["id"], "k", "at", "ev", "v").count() == 0
 
 
+@pytest.mark.parametrize("bucket", [None, 8])
+@pytest.mark.parametrize("event", ["at", "ev"])
+def test_earlier_ranks_by_digits_make_no_rows_a_bit(spark, bucket, event):
+    rng = random.Random(5)
+    rows = [(i, rng.choice("ab"), rng.choice([None, rng.randrange(-20, 40)]), rng.choice([None, rng.randrange(-20, 40)]), rng.choice([None, rng.randrange(300)]), rng.randrange(1, 5)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, k string, at long, ev long, v long, w long")
+    ranked = ranks.earlier_ranks(df, ["id"], "k", "at", event, "v", F.col("w"), seen="seen", bucket=bucket)
+    assert "Generate" not in ranked._jdf.queryExecution().executedPlan().toString() or bucket
+    got = {r["id"]: tuple(r)[1:] for r in ranked.collect()}
+    for i, k, at, _, v, _ in rows:
+        past = [(u, w) for _, k2, a, e, u, w in rows if k2 == k and u is not None and at is not None and v is not None and (a if event == "at" else e) is not None and (a if event == "at" else e) < at]
+        want = (sum(w for u, w in past if u < v), sum(w for u, w in past if u == v), sum(w for _, w in past), len(past)) if at is not None and v is not None else (None,) * 4
+        assert got[i] == want
+
+
 def test_calibration_line_finds_a_known_fit(spark):
     df = spark.range(4000).select((F.when(F.col("id") % 2 == 0, 0.2).otherwise(0.8)).alias("p"), (F.col("id") % 20).alias("j"))
     # rates of 0.4 and 0.6 at probabilities of 0.2 and 0.8

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .components import cut_lineage
 from .order_stats import equal_mass_bins
 from .profile import hash_share
 
@@ -12,42 +13,66 @@ from .profile import hash_share
 POISSON_1 = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.9999167588507119]
 
 
-def earlier_ranks(rows: DataFrame, row_id: list[str], key: str, at: str, event: str, value: str, weight: Column | None = None) -> DataFrame:
+def earlier_ranks(rows: DataFrame, row_id: list[str], key: str, at: str, event: str, value: str, weight: Column | None = None, seen: str | None = None, bucket: int | None = None) -> DataFrame:
     """(row_id, n_less, n_equal, n): weight (1 by default) of the events of the same key strictly before ``at``, and of
-    those with a smaller or an equal value.
+    those with a smaller or an equal value; with a name in ``seen`` also how many events those are.
 
     Values are any whole numbers; events without a value or a time don't count, and rows with a null key, value or time
-    get nulls. Values are ranked by key, and a smaller rank shares the bits above some one-bit of the row's rank and has
-    zero there: each row looks up one prefix for each of its one-bits under a RANGE frame, so rows grow by the bits of
-    the ranks that occur and no pairs are made.
+    get nulls. Values are ranked by key and ranks are taken digit by digit: a RANGE frame sums the weights of each digit of
+    those that share the digits above, and a row takes the smaller ones. Rows are read once and all digits share one exchange by key; no pairs
+    are made. With ``bucket``, a busy key is dealt over buckets of so many seconds, which start from one entry a rank of those before.
     """
     good = rows.where(F.col(key).isNotNull() & F.col(value).isNotNull())
-    places_of = good.select(F.col(key).alias("_k"), F.col(value).alias("_value")).distinct().withColumn("_v", F.dense_rank().over(Window.partitionBy("_k").orderBy("_value")).cast("long"))
-    most = places_of.agg(F.max("_v")).first()[0] or 1
-    bits = int(most).bit_length()
-    id_ = F.struct(*row_id)
-    w = (F.lit(1) if weight is None else weight).cast("double")
-    known = (
-        good.select(id_.alias("_id"), F.col(key).alias("_k2"), F.col(at).cast("long").alias("_at"), F.col(event).cast("long").alias("_ev"), F.col(value).alias("_value2"), w.alias("_w"))
-        .join(places_of, (F.col("_k2") == F.col("_k")) & (F.col("_value2") == F.col("_value")))
-    )
-    v, levels = F.col("_v"), F.sequence(F.lit(0), F.lit(bits - 1))
-
-    def places(only_bit: int, shift: int):
-        wanted = F.filter(levels, lambda b: F.call_function("shiftright", v, b).bitwiseAND(F.lit(1)) == only_bit)
-        tree = F.transform(wanted, lambda b: F.struct(b.cast("int").alias("b"), (F.call_function("shiftright", v, b) - shift).alias("p")))
-        return F.concat(tree, F.array(F.struct(F.lit(-1).alias("b"), v.alias("p")), F.struct(F.lit(bits).alias("b"), F.lit(0).cast("long").alias("p"))))
-
-    asked = known.where("_at is not null").select("_k", F.col("_at").alias("_x"), "_id", F.lit(0.0).alias("_w"), F.explode(places(1, 1)).alias("_p"))
-    held = known.where("_ev is not null").select("_k", F.col("_ev").alias("_x"), F.lit(None).cast(known.schema["_id"].dataType).alias("_id"), "_w", F.explode(places(0, 0)).alias("_p"))
-    before = Window.partitionBy("_k", "_p.b", "_p.p").orderBy("_x").rangeBetween(Window.unboundedPreceding, -1)
-    counted = asked.unionByName(held).withColumn("_c", F.coalesce(F.sum("_w").over(before), F.lit(0.0))).where("_id is not null")
-    b = F.col("_p.b")
-    got = counted.groupBy("_id").agg(
-        F.sum(F.when(b.between(0, bits - 1), F.col("_c")).otherwise(0.0)).alias("n_less"), F.sum(F.when(b == -1, F.col("_c")).otherwise(0.0)).alias("n_equal"), F.sum(F.when(b == bits, F.col("_c")).otherwise(0.0)).alias("n")
-    ).select("_id.*", "n_less", "n_equal", "n")
-    missing = rows.where(F.col(key).isNull() | F.col(value).isNull() | F.col(at).isNull()).select(*row_id, *[F.lit(None).cast("double").alias(c) for c in ("n_less", "n_equal", "n")])
-    return got.unionByName(missing)
+    own = [F.col(key).alias("_k"), F.col(value).alias("_value")]
+    id_ = F.struct(*row_id).alias("_id")
+    held = [(F.lit(1) if weight is None else weight).cast("double").alias("_w"), F.lit(1.0).alias("_one")]
+    if at == event:
+        put = good.select(*own, F.col(at).cast("long").alias("_x"), id_, *held)
+    else:
+        put = good.select(*own, F.col(at).cast("long").alias("_x"), id_).unionByName(good.select(*own, F.col(event).cast("long").alias("_x"), *held), allowMissingColumns=True)
+    put = put.where("_x is not null")
+    place = (F.dense_rank().over(Window.partitionBy("_k").orderBy("_value")) - 1).cast("long").alias("_v")
+    if bucket is None:
+        put = put.select("*", place)
+    else:
+        put = cut_lineage(put)
+        places = put.select("_k", "_value").distinct().select(F.col("_k").alias("_k2"), F.col("_value").alias("_value2"), place)
+        put = put.join(places, (F.col("_k") == F.col("_k2")) & (F.col("_value") == F.col("_value2"))).drop("_k2", "_value2")
+    known = cut_lineage(put.drop("_value"))
+    bits = max(1, int(known.agg(F.max("_v")).first()[0] or 0).bit_length())
+    levels = -(-bits // 4)
+    step = -(-bits // levels)
+    parts = ["_k"]
+    if bucket is not None:
+        parts = ["_k", "_b"]
+        known = known.withColumn("_b", F.floor(F.col("_x") / bucket))
+        line = Window.partitionBy("_k", "_v").orderBy("_b")
+        last = known.agg(F.max("_b")).first()[0] or 0  # one number
+        totals = known.where("_one is not null").groupBy("_k", "_v", "_b").agg(F.sum("_w").alias("_w"), F.sum("_one").alias("_one"))
+        so_far = totals.withColumns({c: F.sum(c).over(line.rowsBetween(Window.unboundedPreceding, 0)) for c in ("_w", "_one")} | {"_next": F.coalesce(F.lead("_b").over(line), F.lit(last))})
+        carried = so_far.where("_next > _b").withColumn("_b", F.explode(F.sequence(F.col("_b") + 1, F.col("_next")))).drop("_next")
+        known = known.unionByName(carried.withColumn("_x", F.col("_b") * bucket - 1), allowMissingColumns=True)
+    got = known.withColumns({"n_less": F.lit(0.0), "n": F.lit(0.0)})
+    for level in range(levels - 1, -1, -1):
+        digit = F.call_function("shiftright", F.col("_v"), F.lit(step * level)).bitwiseAND(F.lit(2**step - 1))
+        above = [] if level == levels - 1 else [F.call_function("shiftright", F.col("_v"), F.lit(step * (level + 1)))]
+        before = Window.partitionBy(*parts, *above).orderBy("_x").rangeBetween(Window.unboundedPreceding, -1)
+        sums = {f"_d{d}": F.sum(F.when(digit == d, F.col("_w"))).over(before) for d in range(2**step)}
+        if seen and not above:
+            sums["_seen"] = F.sum("_one").over(before)
+        got = got.withColumns(sums)
+        each = [F.coalesce(f"_d{d}", F.lit(0.0)) for d in range(2**step)]
+        less = sum((F.when(digit > d, c).otherwise(0.0) for d, c in enumerate(each[:-1])), F.col("n_less"))
+        made = {"n_less": less}
+        if not above:
+            made["n"] = sum(each[1:], each[0])
+        if level == 0:
+            made["n_equal"] = sum((F.when(digit == d, c).otherwise(0.0) for d, c in enumerate(each[1:], 1)), F.when(digit == 0, each[0]).otherwise(0.0))
+        got = got.withColumns(made).drop(*[f"_d{d}" for d in range(2**step)])
+    names = ["n_less", "n_equal", "n"] + ([seen] if seen else [])
+    found = got.where("_id is not null").withColumn(seen or "_seen", F.coalesce("_seen", F.lit(0.0)) if seen else F.lit(None)).select("_id.*", *names)
+    missing = rows.where(F.col(key).isNull() | F.col(value).isNull() | F.col(at).isNull()).select(*row_id, *[F.lit(None).cast("double").alias(c) for c in names])
+    return found.unionByName(missing)
 
 
 def bootstrap_weight(seed: str, draw: Column, unit: Column) -> Column:

@@ -52,16 +52,15 @@ s as (select a.pr_number, a.path_id, count(b.path_id) as n, coalesce(sum(b.delet
 select pr_number, path_id, cast(w as bigint) as weight, case when n >= 10 then round((less + 0.5 * same) / cast(w as double), 9) end as mid_rank from s""")
 def e19_path_size_percentile(spark, sf_dir):
     f = file_changes(spark, sf_dir).join(pull_requests(spark, sf_dir).select("pr_number", "t_open"), "pr_number")
-    got = ranks.earlier_ranks(f, ["pr_number", "path_id"], "path_id", "t_open", "t_open", "added", F.col("deleted") + 1)
-    counted = pit.prior(f.select("pr_number", "path_id", "t_open"), ["path_id"], "t_open", "t_open", {"seen": (F.lit(1), None)}).select("pr_number", "path_id", "seen")
+    got = ranks.earlier_ranks(f, ["pr_number", "path_id"], "path_id", "t_open", "t_open", "added", F.col("deleted") + 1, seen="seen")
     rank = F.when(F.col("seen") >= 10, F.round((F.col("n_less") + 0.5 * F.col("n_equal")) / F.col("n"), 9))
-    return got.join(counted, ["pr_number", "path_id"]).select("pr_number", "path_id", F.col("n").cast("long").alias("weight"), rank.alias("mid_rank"))
+    return got.select("pr_number", "path_id", F.col("n").cast("long").alias("weight"), rank.alias("mid_rank"))
 
 
 @query(f"""with {PR_SQL} select p.pr_number, count(q.pr_number) as n, round(count(*) filter (where q.la < p.la) / nullif(count(q.pr_number), 0)::double, 9) as rank
   from pr p left join pr q on p.repo = q.repo and q.t_open < p.t_open group by 1""")
 def e20_strict_percentile(spark, sf_dir):
-    got = ranks.earlier_ranks(pull_requests(spark, sf_dir), ["pr_number"], "repo", "t_open", "t_open", "la")
+    got = ranks.earlier_ranks(pull_requests(spark, sf_dir), ["pr_number"], "repo", "t_open", "t_open", "la", bucket=pit.BUCKET)
     return got.select("pr_number", F.col("n").cast("long").alias("n"), F.round(F.col("n_less") / F.nullif("n", F.lit(0)), 9).alias("rank"))
 
 
