@@ -64,6 +64,19 @@ def test_heads_match_walks(spark):
         chains.jumps(spark.createDataFrame([(1, 2, 0), (2, 1, 0)], "node long, parent long, t long"), 4)
 
 
+def test_heads_take_three_joins_a_level(spark, monkeypatch):
+    n = 200
+    j = chains.jumps(spark.createDataFrame([(i, i - 1 if i else None, i) for i in range(n)], "node long, parent long, t long"))
+    taken, step = [], chains._step
+    monkeypatch.setattr(chains, "_step", lambda *a: taken.append(1) or step(*a))
+    rows = [(1, 150, 100, 120, True), (2, 90, 190, 70, True), (3, 90, 190, 120, False), (4, 500, 190, 120, True), (5, 90, None, 120, True), (5, 80, None, 120, True)]
+    requests = spark.createDataFrame(rows, "id long, final long, base_tip long, opened long, is_known boolean")
+    got = chains.heads_at_open(requests, requests.select("id", F.col("opened").alias("t"), F.col("final").alias("before")).limit(0), j, 0)
+    want = [(1, 120, "exact", 0), (2, 70, "exact", 0), (3, 90, "approx", 30), (4, None, None, None), (5, 80, "exact", None), (5, 90, "exact", None)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert len(taken) <= 3 * len(j.levels) + 2
+
+
 def test_audited_files(spark, tmp_path):
     lines = tmp_path / "lines"
     lines.mkdir()
