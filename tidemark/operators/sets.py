@@ -15,6 +15,15 @@ def _buckets(first, last, bucket: int):
     return F.when(last >= first, F.sequence(F.floor(first / bucket), F.floor(last / bucket)))
 
 
+#: Items of an element that at most so many have meet without buckets of time, in one bucket of this number.
+LIGHT, ONE = 64, -(2**62)
+
+
+def dealt(light, buckets):
+    """The buckets in which an item meets by an element: one if the element is light."""
+    return F.when(light, F.array(F.lit(ONE))).otherwise(buckets)
+
+
 def overlapping(items: DataFrame, elements: DataFrame, scope: str, key: str, element: str, start: str, end: str, bucket: int = BUCKET) -> DataFrame:
     """(key, n): how many other items of the scope were open when this one started and share an element. Open ends never end.
 
@@ -37,17 +46,19 @@ def jaccard_neighbours(items: DataFrame, elements: DataFrame, scope: str, key: s
 
     Items meet by scope, bucket of time and one of their rarest elements: sets with a Jaccard index of ``least`` share one of
     the first n - ceil(least n) + 1 of each, n its size, in an order by how often elements occur; sizes that are too far
-    apart don't meet. So the higher ``least``, the less an element of all items matters. Pairs are then measured whole.
+    apart don't meet. So the higher ``least``, the less an element of all items matters. Only elements of more than ``LIGHT``
+    items are dealt over buckets. Pairs are then measured whole.
     Ties go to the later, then smaller neighbour.
     """
     own = elements.select(key, element).distinct()
     often = own.groupBy(F.col(element).alias("_f_e")).agg(F.count("*").alias("_f"))
     listed = own.join(often, F.col(element) == F.col("_f_e")).groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_f", element))).alias("_all"))  # an item's own elements
     sized = items.select(scope, key, at, known).join(listed, key).withColumns({"_set": F.transform("_all", lambda s: s[element]), "_n": F.size("_all")})
-    first = F.slice("_set", F.lit(1), (F.col("_n") - F.ceil(F.lit(least) * F.col("_n") - 1e-9) + 1).cast("int"))
-    head = sized.withColumn("_e", F.explode(first))
-    asked = head.withColumn("_t", F.explode(_buckets(F.col(at) - back, F.col(at) - lag, bucket)))
-    other = head.select(F.col(scope).alias("_s"), F.col("_e").alias("_o_e"), F.col(key).alias("neighbour"), F.col(known).alias("_known"), F.col("_n").alias("_m"), F.col("_set").alias("_o_set"), F.floor(F.col(known) / bucket).alias("_o_t"))
+    first = F.slice("_all", F.lit(1), (F.col("_n") - F.ceil(F.lit(least) * F.col("_n") - 1e-9) + 1).cast("int"))
+    head = sized.withColumn("_first", F.explode(first)).withColumns({"_e": F.col(f"_first.{element}"), "_light": F.col("_first._f") <= LIGHT})
+    asked = head.withColumn("_t", F.explode(dealt(F.col("_light"), _buckets(F.col(at) - back, F.col(at) - lag, bucket)))).drop("_all", "_first", "_light")
+    met_at = F.when(F.col("_light"), F.lit(ONE)).otherwise(F.floor(F.col(known) / bucket))
+    other = head.where(F.col(known).isNotNull()).select(F.col(scope).alias("_s"), F.col("_e").alias("_o_e"), F.col(key).alias("neighbour"), F.col(known).alias("_known"), F.col("_n").alias("_m"), F.col("_set").alias("_o_set"), met_at.alias("_o_t"))
     same = (F.col(scope) == F.col("_s")) & (F.col("_e") == F.col("_o_e")) & (F.col("_t") == F.col("_o_t")) & (F.col(key) != F.col("neighbour"))
     near = (F.col("_known") >= F.col(at) - back) & (F.col("_known") <= F.col(at) - lag) & (F.least("_n", "_m") >= F.lit(least) * F.greatest("_n", "_m") - 1e-9)
     both = F.size(F.array_intersect("_set", "_o_set"))
