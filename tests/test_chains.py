@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.operators import chains, decisions, sets
+from tidemark.operators import chains, decisions, outcomes, sets
 from tidemark.sources import audit
 
 ROW = StructType([StructField("a", LongType()), StructField("b", LongType())])
@@ -139,3 +139,26 @@ def test_an_element_of_all_items_makes_pairs_of_one_time_only(spark):
         waiting = sets.jaccard_neighbours(df, elements, "k", "id", "x", "s", "e", 1000, 10, 0.5, 100, bucket=1000)
         made.append(waiting.count())
     assert made[1] < 4.2 * made[0]
+
+
+def test_pairs_of_light_elements_are_met_once(spark, monkeypatch):
+    """Items of a rare element meet in one bucket, those of a busy one by time, and both find the same pairs."""
+    r = random.Random(13)
+    prs = [(i, r.choice("ab"), s := r.randrange(400) * outcomes.DAY, r.choice([None, s + r.randrange(90) * outcomes.DAY]), r.choice(["clean", "rework", "nowhere"])) for i in range(150)]
+    pr = spark.createDataFrame(prs, "pr_number int, repo string, t_open long, t_close long, y string")
+    files = spark.createDataFrame([(i, x) for i in range(150) for x in {0, r.randrange(1, 40), r.randrange(1, 40)}], "pr_number int, path_id int")
+    own = {}
+    for x in files.collect():
+        own.setdefault(x["pr_number"], set()).add(x["path_id"])
+    back, lag = 200 * outcomes.DAY, 30 * outcomes.DAY
+    want = sorted((p, q) for p, k, t, _, _ in prs for q, l, _, c, y in prs if k == l and p != q and y != "nowhere" and c is not None and t - back <= c <= t - lag for _ in own[p] & own[q])
+    near = set()
+    for light in (0, 64, 1000):
+        monkeypatch.setattr(sets, "LIGHT", light)
+        got = outcomes.shared_file_pairs(pr, files, back, lag, 20 * outcomes.DAY)
+        assert sorted((x["pr_number"], x["q_pr_number"]) for x in got.collect()) == want
+        near.add(str(sorted(map(tuple, sets.jaccard_neighbours(pr, files, "repo", "pr_number", "path_id", "t_open", "t_close", back, lag, 0.3, 4).collect()))))
+    assert len(near) == 1
+    rare = spark.range(300).select(F.col("id").alias("pr_number"), F.lit("a").alias("repo"), (F.col("id") * outcomes.DAY).alias("t_open"), (F.col("id") * outcomes.DAY).alias("t_close"), F.lit("clean").alias("y"))
+    dealt = rare.select("t_open", F.explode(sets.dealt(F.lit(True), F.sequence(F.lit(0), F.lit(9)))).alias("b"))
+    assert dealt.count() == 300

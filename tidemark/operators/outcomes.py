@@ -141,15 +141,19 @@ def shared_file_pairs(pr: DataFrame, files: DataFrame, back: int, lag: int, buck
     """(pr_number, t_open, other and the columns of ``pr`` as q_*): merged pull requests of the repository that share a
     file and closed in [t - back, t - lag].
 
-    Pairs meet by file and by bucket of time, so a busy file's past is cut at the window and dealt over its buckets.
+    Pairs meet by file and by bucket of time, so a busy file's past is cut at the window and dealt over its buckets; files of
+    at most ``LIGHT`` pull requests need no buckets.
     """
     own = files.select(F.col("pr_number").alias("f_pr"), "path_id").distinct()
+    busy = own.groupBy(F.col("path_id").alias("f_busy")).agg(F.count("*").alias("f_n")).where(F.col("f_n") > sets.LIGHT).drop("f_n")
+    own = own.join(busy, F.col("path_id") == F.col("f_busy"), "left")
+    light = F.col("f_busy").isNull()
     q = pr.where("y <> 'nowhere' and t_close is not null")
-    past = q.select(*[F.col(c).alias(f"q_{c}") for c in q.columns]).join(own.select(F.col("f_pr").alias("q_f"), F.col("path_id").alias("q_path")), F.col("q_pr_number") == F.col("q_f")).withColumn("q_b", F.floor(F.col("q_t_close") / bucket))
-    asked = pr.select("repo", "pr_number", "t_open").join(own, F.col("pr_number") == F.col("f_pr")).withColumn("b", F.explode(F.sequence(F.floor((F.col("t_open") - back) / bucket), F.floor((F.col("t_open") - lag) / bucket))))
+    past = q.select(*[F.col(c).alias(f"q_{c}") for c in q.columns]).join(own.select(F.col("f_pr").alias("q_f"), F.col("path_id").alias("q_path"), light.alias("q_light")), F.col("q_pr_number") == F.col("q_f")).withColumn("q_b", F.when(F.col("q_light"), F.lit(sets.ONE)).otherwise(F.floor(F.col("q_t_close") / bucket)))
+    asked = pr.select("repo", "pr_number", "t_open").join(own, F.col("pr_number") == F.col("f_pr")).withColumn("b", F.explode(sets.dealt(light, F.sequence(F.floor((F.col("t_open") - back) / bucket), F.floor((F.col("t_open") - lag) / bucket)))))
     near = (F.col("path_id") == F.col("q_path")) & (F.col("b") == F.col("q_b")) & (F.col("repo") == F.col("q_repo"))
     inside = F.col("q_t_close").between(F.col("t_open") - back, F.col("t_open") - lag) & (F.col("q_pr_number") != F.col("pr_number"))
-    return asked.join(past, near).where(inside).drop("f_pr", "q_f", "b", "q_b")
+    return asked.join(past, near).where(inside).drop("f_pr", "q_f", "b", "q_b", "f_busy", "q_light")
 
 
 def outcome_at(modes: dict[str, tuple[Column, Column]], closed: Column, t: Column) -> Column:
