@@ -1,5 +1,6 @@
 """Shards, folds, kept moments, slimmed diffs, resumed runs, guarded unions, and laws of history: the future changes nothing."""
 
+import hashlib
 import random
 
 import pytest
@@ -111,3 +112,17 @@ def test_history_before_a_cut_ignores_what_comes_after(spark):
 
     a, b = features(whole), features(after)
     assert a == b and len(a) > 100
+
+
+def test_quota_sample_exchanges_no_whole_stratum(spark):
+    rows = [(i, None if i % 7 == 0 else "ab"[i % 3 == 0], i % 11 == 0 if i % 3 else i % 2 == 0) for i in range(3000)] + [(9000, "c", True), (9001, "c", False)]
+    df = spark.createDataFrame(rows, "k long, s string, p boolean").repartition(3)
+    got = lifecycle.quota_sample(df, "s", F.col("p"), F.col("k"), 20, 0.3)
+    # each task keeps its first rows before the exchange
+    assert got._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 2
+    want = []
+    for s in {s for _, s, _ in rows}:
+        yes, no = (sorted((k for k, s2, p in rows if s2 == s and p == side), key=lambda k: hashlib.sha256(str(k).encode()).hexdigest()) for side in (True, False))
+        others = min(20 - min(6, len(yes)), len(no))
+        want += yes[: 20 - others] + no[:others]
+    assert sorted(r["k"] for r in got.collect()) == sorted(want) and got.columns == df.columns
