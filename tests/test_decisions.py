@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import decisions, ranks
+from tidemark.operators import components, decisions, ranks
 
 
 def test_first_true_takes_the_first_and_skips_null(spark):
@@ -134,3 +134,43 @@ def test_versions_sort_like_releases(spark):
 def test_durations(spark):
     df = spark.createDataFrame([(0,), (59,), (60,), (3725,), (90_000,), (None,)], "s long")
     assert [r[0] for r in df.select(text.duration(F.col("s"))).collect()] == ["0s", "59s", "1m 0s", "1h 2m", "1d 1h", None]
+
+
+def test_queues_are_dealt_by_their_rows_and_ranked_by_all_scorers(spark, monkeypatch):
+    monkeypatch.setattr(components, "ROWS", 50)
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(12), i % 60, i % 60 % 4 == 0 if i % 60 % 7 else None, rng.choice([None, math.nan, -0.0, 0.0, 1.0, rng.random()])) for i in range(400)]
+    rows = list({x[:3]: x for x in rows}.values())
+    df = spark.createDataFrame(rows, "q string, moment long, i long, bad boolean, s double")
+    scorers = {"s": F.col("s"), "old": -F.col("i")}
+    lists, exposure = decisions.replayed_queues(df, "q", "i", scorers, F.col("bad"), 3, 4)
+    # a queue's rows are exchanged once for all scorers, to as many tasks as they need
+    plan = exposure._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 and f", {-(-len(rows) // 50)}), REPARTITION_BY_NUM" in plan
+    best_first = {"s": lambda x: (x[4] is None, x[4] == x[4], -x[4] if x[4] and x[4] == x[4] else 0, x[2]), "old": lambda x: x[2]}
+    want, shares = {}, {}
+    for q, m in {x[:2] for x in rows}:
+        own = [x for x in rows if x[:2] == (q, m)]
+        for name, by in best_first.items():
+            ranked = sorted(own, key=by)
+            if len(own) < 4:
+                continue
+            bad = sum(bool(x[3]) for x in own)
+            gain = sum(1 / math.log2(r + 2) for r, x in enumerate(ranked[:3]) if x[3])
+            ideal = sum(1 / math.log2(r + 2) for r in range(min(3, bad)))
+            hits = sum(bool(x[3]) for x in ranked[:3])
+            # without a known outcome there is no number of bad ones
+            n_bad = bad if any(x[3] is not None for x in own) else None
+            want[q, m, name] = (len(own), n_bad, hits, hits / bad if bad else None, gain / ideal if bad else None, next((r + 1 for r, x in enumerate(ranked) if x[3]), None))
+            for r, x in enumerate(ranked):
+                if x[3] is False:
+                    shares.setdefault(name, {}).setdefault((q, x[2]), []).append(r < 3)
+    got = {tuple(x)[:3]: tuple(x)[3:] for x in lists.collect()}
+    assert got.keys() == want.keys() and len(want) > 40
+    for k, v in want.items():
+        assert got[k][:2] == v[:2]
+        assert all(a == b or (a is not None and b is not None and abs(a - b) < 1e-9) for a, b in zip(got[k][3:], v[3:]))
+    for x in exposure.collect():
+        own = [sum(t) / len(t) for t in shares[x["scorer"]].values()]
+        assert (x["n_good"], x["n_flagged"]) == (len(own), sum(v > 0 for v in own)) and abs(x["false_flag_area"] - sum(own) / len(own)) < 1e-9
+    assert decisions.replayed_queues(df.limit(0), "q", "i", scorers, F.col("bad"))[1].count() == 0

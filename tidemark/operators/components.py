@@ -1,4 +1,4 @@
-"""Graph components by min-label propagation over joins, for graphs of units and their heads."""
+"""Graph components by min-label propagation over joins, for graphs of units and their heads; checkpoints, dealing rows by their number."""
 
 from __future__ import annotations
 
@@ -7,6 +7,17 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of one partition where a step deals them by their number.
+ROWS = 250_000
+
+
+def dealt(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """``df`` by its keys over as many partitions as ``n`` rows need, so that a task holds no more of a large input than of a small one.
+
+    Partitions by number are not merged; merged ones are up to 64 MB as compressed, of which narrow rows take many times that as they are sorted.
+    """
+    return df.repartition(max(1, -(-n // ROWS)), *keys)
+
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, set for the session; a local run without one gets a temporary folder."""

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import pit
+from .components import cut_lineage, dealt
+
+#: Moments that are broadcast, if they are counted to be no more.
+FEW = 100_000
 
 
 def first_true(rules: dict[str, Column], otherwise: str | None = None) -> Column:
@@ -86,14 +90,16 @@ def in_all(frames: list[DataFrame], keys: list[str]) -> DataFrame:
 def open_at(rows: DataFrame, moments: DataFrame, scope: str, start: str, end: str, bucket: int = 30 * 86_400) -> DataFrame:
     """``rows`` with each ``moment`` of their scope, of (scope, moment), at which they were open: start <= moment < end; a null end never ends.
 
-    Rows and moments meet by scope and bucket of time, each row in the buckets of its life, so hot scopes are dealt.
+    Rows and moments meet by scope and bucket of time, each row in the buckets of its life, so hot scopes are dealt. Moments are
+    counted first: a few go to the rows, which then stay where they are.
     """
-    last = moments.groupBy(F.col(scope).alias("_s")).agg(F.max("moment").alias("_until"))
-    lives = rows.join(last, F.col(scope) == F.col("_s")).where(F.col(start) <= F.col("_until"))
+    asked = cut_lineage(moments.select(F.col(scope).alias("_m_s"), "moment", F.floor(F.col("moment") / bucket).alias("_m_b")).distinct())
+    few = asked.limit(FEW + 1).count() <= FEW
+    last = asked.groupBy(F.col("_m_s").alias("_s")).agg(F.max("moment").alias("_until"))
+    lives = rows.join(F.broadcast(last) if few else last, F.col(scope) == F.col("_s")).where(F.col(start) <= F.col("_until"))
     ends = F.greatest(F.col(start), F.least(F.coalesce(F.col(end), F.col("_until")), F.col("_until")))
     spread = lives.withColumn("_b", F.explode(F.sequence(F.floor(F.col(start) / bucket), F.floor(ends / bucket))))
-    asked = moments.select(F.col(scope).alias("_m_s"), "moment", F.floor(F.col("moment") / bucket).alias("_m_b")).distinct()
-    met = spread.join(asked, (F.col(scope) == F.col("_m_s")) & (F.col("_b") == F.col("_m_b")) & (F.col(start) <= F.col("moment")) & (F.col(end).isNull() | (F.col("moment") < F.col(end))))
+    met = spread.join(F.broadcast(asked) if few else asked, (F.col(scope) == F.col("_m_s")) & (F.col("_b") == F.col("_m_b")) & (F.col(start) <= F.col("moment")) & (F.col(end).isNull() | (F.col("moment") < F.col(end))))
     return met.select(*rows.columns, "moment")
 
 
@@ -103,21 +109,33 @@ def replayed_queues(waiting: DataFrame, scope: str, key: str, scorers: dict[str,
     lists: (scope, moment, scorer, n_open, n_bad, hits, recall, ndcg, first_hit) of the ``top`` rows by score, ties by key;
     exposure: (scorer, n_good, n_flagged, flagged_share, false_flag_area): good rows that were ever waiting, those that were ever among
     the ``top``, and the mean over good rows of the share of their moments at which they were.
+
+    Rows are counted and dealt by queue once, scorers are columns of a row; a queue is ranked in one task.
     """
-    each = F.explode(F.array(*[F.struct(F.lit(n).alias("scorer"), s.cast("double").alias("score")) for n, s in scorers.items()])).alias("_s")
-    long_ = waiting.withColumn("_bad", bad.cast("int")).select(scope, "moment", key, "_bad", each).select("*", "_s.*").drop("_s")
-    queue = Window.partitionBy(scope, "moment", "scorer")
-    ranked = long_.withColumns({"_n": F.count("*").over(queue), "_r": F.row_number().over(queue.orderBy(F.desc("score"), key))}).where(F.col("_n") >= least)
-    taken, gain = F.col("_r") <= top, 1 / F.log2(F.col("_r") + 1.0)
-    per = ranked.groupBy(scope, "moment", "scorer").agg(
-        F.count("*").alias("n_open"), F.sum("_bad").alias("n_bad"), F.sum(F.when(taken, F.col("_bad")).otherwise(0)).alias("hits"), F.sum(F.when(taken, F.col("_bad") * gain).otherwise(0.0)).alias("_gain"),
-        F.min(F.when(F.col("_bad") == 1, F.col("_r"))).alias("first_hit"),
-    )
+    rows = waiting.select(scope, "moment", key, bad.cast("int").alias("_bad"), *[s.cast("double").alias(f"_s{i}") for i, s in enumerate(scorers.values())])
+    queue = Window.partitionBy(scope, "moment")
+    places = {f"_r{i}": F.row_number().over(queue.orderBy(F.desc(f"_s{i}"), key)) for i in range(len(scorers))}
+    ranked = dealt(rows, rows.count(), scope, "moment").withColumns({"_n": F.count("*").over(queue)} | places).where(F.col("_n") >= least)
+
+    def each(**columns) -> Column:
+        """A row for each scorer, of columns made from its place's name."""
+        return F.explode(F.array(*[F.struct(F.lit(n).alias("scorer"), *[c(i).alias(k) for k, c in columns.items()]) for i, n in enumerate(scorers)])).alias("_e")
+
+    sums = []
+    for i in range(len(scorers)):
+        r = F.col(f"_r{i}")
+        taken = r <= top
+        sums += [F.sum(F.when(taken, F.col("_bad")).otherwise(0)).alias(f"_h{i}"), F.sum(F.when(taken, F.col("_bad") / F.log2(r + 1.0)).otherwise(0.0)).alias(f"_g{i}"), F.min(F.when(F.col("_bad") == 1, r)).alias(f"_f{i}")]
+    queues = ranked.groupBy(scope, "moment").agg(F.count("*").alias("n_open"), F.sum("_bad").alias("n_bad"), *sums)
+    per = queues.select(scope, "moment", "n_open", "n_bad", each(hits=lambda i: F.col(f"_h{i}"), gain=lambda i: F.col(f"_g{i}"), first_hit=lambda i: F.col(f"_f{i}"))).select("*", "_e.*")
     best = F.aggregate(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.lit(top), F.col("n_bad").cast("int")))), F.lit(0.0), lambda a, i: a + 1 / F.log2(i + 1.0))
-    lists = per.select(scope, "moment", "scorer", "n_open", "n_bad", "hits", F.when(F.col("n_bad") > 0, F.col("hits") / F.col("n_bad")).alias("recall"), F.when(F.col("n_bad") > 0, F.col("_gain") / best).alias("ndcg"), "first_hit")
-    rows = ranked.where("_bad = 0").groupBy("scorer", scope, key).agg(F.avg(taken.cast("double")).alias("_share"))
-    flagged = F.count_if(F.col("_share") > 0)
-    return lists, rows.groupBy("scorer").agg(F.count("*").alias("n_good"), flagged.alias("n_flagged"), (flagged / F.count("*")).alias("flagged_share"), F.avg("_share").alias("false_flag_area"))
+    lists = per.select(scope, "moment", "scorer", "n_open", "n_bad", "hits", F.when(F.col("n_bad") > 0, F.col("hits") / F.col("n_bad")).alias("recall"), F.when(F.col("n_bad") > 0, F.col("gain") / best).alias("ndcg"), "first_hit")
+
+    good = ranked.where("_bad = 0").groupBy(scope, key).agg(F.count("*").alias("_k"), *[F.count_if(F.col(f"_r{i}") <= top).alias(f"_t{i}") for i in range(len(scorers))])
+    whole = [x for i in range(len(scorers)) for x in (F.count_if(F.col(f"_t{i}") > 0).alias(f"_f{i}"), F.avg(F.col(f"_t{i}") / F.col("_k")).alias(f"_a{i}"))]
+    found = good.agg(F.count("*").alias("n_good"), *whole).where("n_good > 0")
+    rates = found.select("n_good", each(n_flagged=lambda i: F.col(f"_f{i}"), area=lambda i: F.col(f"_a{i}")))
+    return lists, rates.select("_e.scorer", "n_good", "_e.n_flagged", (F.col("_e.n_flagged") / F.col("n_good")).alias("flagged_share"), F.col("_e.area").alias("false_flag_area"))
 
 
 def first_agent(login: Column, branch: Column, email: Column, body: Column, rules: list[tuple[str, list[str], list[str], list[str], list[str]]]) -> Column:

@@ -106,8 +106,7 @@ r as (select *, count(*) over (partition by repo, moment, scorer) as n, row_numb
 def _replay(spark, sf_dir):
     pr = pull_requests(spark, sf_dir)
     moments = pr.select("repo", (F.floor(F.col("t_open") / (30 * DAY)) * 30 * DAY).alias("moment")).distinct()
-    rows = predictions(spark, sf_dir).join(pr.select("pr_number", "t_open", "t_close"), "pr_number")
-    waiting = decisions.open_at(rows, moments, "repo", "t_open", "t_close")
+    waiting = decisions.open_at(predictions(spark, sf_dir, "t_open", "t_close"), moments, "repo", "t_open", "t_close")
     scorers = {"model": F.col("p2"), "oldest_first": F.col("moment") - F.col("t_open"), "largest_first": F.col("la")}
     return decisions.replayed_queues(waiting, "repo", "pr_number", scorers, F.col("y") == 2, 5, 3)
 

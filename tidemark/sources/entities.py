@@ -80,13 +80,13 @@ def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 TIMELINE_SQL = "tl as (select user_id as pr, event_type as kind, cast(floor(epoch(ts)) as bigint) as t, value as amount from events)"
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three-class probabilities made by arithmetic on the key; true class as 0 clean, 1 rework, 2 nowhere."""
+def predictions(spark: SparkSession, sf_dir: str, *also: str) -> DataFrame:
+    """Three-class probabilities made by arithmetic on the key; true class as 0 clean, 1 rework, 2 nowhere; ``also`` further columns of the pull requests."""
     k = F.col("pr_number")
     w = [(1 + (k * 7919 + (i + 1) * 104729) % 1000).cast("double") for i in range(3)]
     total = w[0] + w[1] + w[2]
     y = F.when(F.col("y") == "clean", 0).when(F.col("y") == "rework", 1).otherwise(2)
-    return pull_requests(spark, sf_dir).select("repo", "pr_number", "la", "ld", y.alias("y"), *[(w[i] / total).alias(f"p{i}") for i in range(3)])
+    return pull_requests(spark, sf_dir).select("repo", "pr_number", "la", "ld", y.alias("y"), *[(w[i] / total).alias(f"p{i}") for i in range(3)], *also)
 
 
 PREDICTION_SQL = f"""{PR_SQL}, w as (
