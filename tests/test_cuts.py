@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import cuts
+from tidemark.operators import components, cuts
 
 
 def test_title_before_between_and_after_renames(spark):
@@ -65,6 +65,29 @@ def test_renames_close_over_chains_and_cycles(spark):
     assert got == [("a", "a"), ("a", "b"), ("a", "c"), ("d", "d"), ("d", "e"), ("z", "z")]
 
 
+def test_nodes_reached_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(components, "ROWS", 10)
+    r = random.Random(4)
+    edges = {u: r.randrange(12) for u in range(0, 30, 2)}
+    renames = spark.createDataFrame([*edges.items(), *edges.items()], "u int, v int")
+    reached = cuts.rename_closure(renames, spark.range(30).select(F.col("id").cast("int").alias("root")))
+    want = {}
+    for root in range(30):
+        nodes, at = {root}, root
+        while at in edges and edges[at] not in nodes:
+            nodes.add(at := edges[at])
+        want[root] = nodes
+    assert sorted(map(tuple, reached.collect())) == sorted((k, v) for k, nodes in want.items() for v in nodes)
+    assert reached.rdd.getNumPartitions() >= 3
+    rows = [(r.choice([None, *range(9)]), r.choice([None, 99, *range(30)])) for _ in range(200)]
+    got = cuts.distinct_reached(spark.createDataFrame(rows + rows[:9], "k int, root int"), "k", "root", reached)
+    by = {k: set().union(*(want.get(root, set()) for k2, root in rows if k2 == k)) for k, _ in rows}
+    assert {x["k"]: x["n"] for x in got.collect()} == {k: len(v) for k, v in by.items() if v}
+    # lines meet roots, and pairs their keys, in more partitions than the session's 4
+    numbers = [int(x.split(")")[0].split(", ")[-1]) for x in got._jdf.queryExecution().executedPlan().toString().split("hashpartitioning(")[1:]]
+    assert min(numbers) >= 21
+
+
 def test_temperature_cools_what_is_too_sure(spark):
     rows = [(g, 0.95, 0.05, int(i % 10 >= 7)) for g in "ab" for i in range(10)]  # right 7 times of 10
     df = spark.createDataFrame(rows, "g string, p0 double, p1 double, y int")

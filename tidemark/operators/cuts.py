@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import documents, pit
-from .components import cut_lineage
+from .components import cut_lineage, dealt
 
 DAY = 86_400
 
@@ -68,13 +68,30 @@ def best_temperature(df: DataFrame, p: list[str], y: str, group: str, grid: list
 
 
 def rename_closure(renames: DataFrame, starts: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """(root, node): the roots themselves and all that (u, v) renames make of them; only new pairs go on, so cycles end."""
-    e = renames.select("u", "v").where("u is not null and v is not null").distinct()
+    """(root, node): the roots themselves and all that (u, v) renames make of them; only new pairs go on, so cycles end.
+
+    Pairs are dealt by their number, counted as they are checkpointed.
+    """
+    e = cut_lineage(renames.select("u", "v").where("u is not null and v is not null").distinct())
     seen = cut_lineage(starts.select(F.col("root"), F.col("root").alias("node")).where("root is not null").distinct())
-    front = seen
+    front, n = seen, seen.count()
     for _ in range(max_rounds):
-        front = cut_lineage(front.join(e, F.col("node") == F.col("u")).select("root", F.col("v").alias("node")).distinct().join(seen, ["root", "node"], "left_anti"))
-        if front.isEmpty():
+        made = front.join(e, F.col("node") == F.col("u")).select("root", F.col("v").alias("node"))
+        both = made.withColumn("_new", F.lit(True)).unionAll(seen.withColumn("_new", F.lit(False)))
+        front = cut_lineage(dealt(both, n, "root", "node").groupBy("root", "node").agg(F.bool_and("_new").alias("_new")).where("_new").drop("_new"))
+        new = front.count()
+        if not new:
             return seen
-        seen = cut_lineage(seen.unionAll(front))
+        seen, n = cut_lineage(seen.unionAll(front)), n + new
     raise RuntimeError(f"chains still grew after {max_rounds} rounds")
+
+
+def distinct_reached(rows: DataFrame, key: str, root: str, reached: DataFrame) -> DataFrame:
+    """(key, n): how many nodes of ``reached`` (root, node) a key's ``rows`` reach in all, each once; keys that reach none are absent.
+
+    Rows are dealt by root and then by key, by the number of rows and of nodes a root on average, so neither exchange grows a task.
+    """
+    n, pairs = rows.count(), reached.agg(F.count("*"), F.countDistinct("root")).first()
+    wide = n * -(-pairs[0] // max(1, pairs[1]))
+    met = dealt(rows.select(key, root), n, root).join(dealt(reached.select(F.col("root").alias("_root"), "node"), n, "_root"), F.col(root) == F.col("_root"))
+    return dealt(met.select(key, "node"), wide, key).groupBy(key).agg(F.countDistinct("node").alias("n"))

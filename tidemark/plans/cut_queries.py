@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import cuts
-from ..sources.entities import DAY, FILES_SQL, PR_SQL, PREDICTION_SQL, TIMELINE_SQL, file_changes, predictions, pull_requests, table, timeline
+from ..sources.entities import DAY, FILES_SQL, PR_SQL, PREDICTION_SQL, TIMELINE_SQL, predictions, pull_requests, table, timeline
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -78,4 +78,6 @@ def c18_rename_closure(spark, sf_dir):
     part = table(spark, sf_dir, "part").select(k.alias("root"))
     renames = table(spark, sf_dir, "part").where(k % 3 == 0).select(k.alias("u"), ((k * 7 + 4) % 1000 + 1).alias("v"))
     reached = cuts.rename_closure(renames, part)
-    return file_changes(spark, sf_dir).select("pr_number", F.col("path_id").alias("root")).join(reached, "root").groupBy("pr_number").agg(F.countDistinct("node").alias("n_paths"))
+    # a path that a pull request names twice reaches the same nodes, so lines need not be added up first
+    files = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pr_number"), F.col("l_partkey").alias("path"))
+    return cuts.distinct_reached(files, "pr_number", "path", reached).withColumnRenamed("n", "n_paths")
