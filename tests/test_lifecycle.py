@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.operators import lifecycle, outcomes
+from tidemark.operators import components, lifecycle, outcomes
+from tidemark.plans import catalog_of_queries as core
 from tidemark.sources import catalog
 
 
@@ -126,3 +127,31 @@ def test_quota_sample_exchanges_no_whole_stratum(spark):
         others = min(20 - min(6, len(yes)), len(no))
         want += yes[: 20 - others] + no[:others]
     assert sorted(r["k"] for r in got.collect()) == sorted(want) and got.columns == df.columns
+
+
+def test_resumed_rows_and_keys_meet_in_one_exchange(spark, monkeypatch):
+    monkeypatch.setattr(components, "ROWS", 40)
+    r = random.Random(9)
+    rows = [(r.choice([None, *range(40)]), r.choice("xy"), None if i % 9 == 0 else float("nan") if i % 50 == 1 else i * 1.0, r.choice(["a", "b", None]), {"i": i}) for i in range(300)]
+    asked = [(r.choice([None, *range(50)]), r.choice("xy")) for _ in range(90)]
+    checkpoint = spark.createDataFrame(rows, "k int, p string, seq double, stamp string, m map<string,int>").repartition(3)
+    wanted = spark.createDataFrame(asked, "k long, p string")
+    by = lambda x: (x[2] is not None, x[2] != x[2], x[2] or 0)
+    last = {}
+    for x in rows:
+        if None not in x[:2] and (x[:2] not in last or by(x) > by(last[x[:2]])):
+            last[x[:2]] = x
+    only = {x[:2] for x in rows if sum(y[:2] == x[:2] and (y[2] is None or y[2] != y[2]) for y in rows) > 1}  # ties among the last could go either way
+    want = {q: last[q] for q in asked if q in last and last[q][3] in (None, "a")}
+    kept, again = lifecycle.resumed(checkpoint, wanted, ["k", "p"], "seq", "stamp", "a")
+    got = {tuple(x)[:2]: tuple(x) for x in kept.collect()}
+    redo = [tuple(x) for x in again.collect()]
+    sure = lambda q: q not in only or (q in last and by(last[q])[:2] == (True, False))
+    assert kept.schema == checkpoint.schema and again.dtypes == wanted.dtypes
+    assert {q for q in got if sure(q)} == {q for q in want if sure(q)} and len(want) > 10 and len(redo) == len(set(redo)) == len(set(asked)) - len(got)
+    assert set(redo) | set(got) == set(asked)
+    assert all(got[q][4] == want[q][4] for q in want if sure(q))
+    marks = lifecycle.resume_marks(checkpoint, wanted, ["k", "p"], "seq", "stamp", "a")
+    assert marks._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(k") == 1
+    plan = core.QUERIES["m2_resume"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= sum(1 for line in plan.splitlines() if "Relation" in line and "o_orderkey" in line) <= 3

@@ -407,8 +407,8 @@ def m2_resume(spark, sf_dir):
     pr = pull_requests(spark, sf_dir)
     old = pr.select("pr_number", (F.col("ld") - 1000).alias("seq"), F.lit("z").alias("stamp"))
     now = pr.select("pr_number", F.col("ld").alias("seq"), F.when(F.col("ld") % 3 == 0, "a").when(F.col("ld") % 3 == 1, "b").alias("stamp"))
-    kept, again = lifecycle.resumed(old.unionByName(now), pr.where("la % 2 = 0").select("pr_number"), ["pr_number"], "seq", "stamp", "a")
-    return kept.select("pr_number", F.lit(True).alias("is_kept")).unionByName(again.select("pr_number", F.lit(False).alias("is_kept")))
+    marks = lifecycle.resume_marks(old.unionByName(now), pr.where("la % 2 = 0").select("pr_number"), ["pr_number"], "seq", "stamp", "a")
+    return marks.select("pr_number", "is_kept")
 
 
 @query("""select 'customer' as "table", 'c_note' as "column", 'empty' as problem where (select count(*) from customer) > 0 union all select 'customer', 'c_extra', 'missing' union all select 'customer', 'c_name', 'type'
