@@ -11,11 +11,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import pit, sets
+from . import likeness, pit, sets
 from .components import cut_lineage
 
 DAY = 86_400
 CLASSES = ("clean", "rework", "nowhere")
+#: Tokens, or tokens of large sets, that are broadcast once counted; and tokens of a pull request in a task of their subsets.
+COUNTED, DEALT = 100_000, 50_000
 
 
 def _hits(mask: Column | None = None) -> dict[str, Column]:
@@ -162,8 +164,8 @@ def outcome_at(modes: dict[str, tuple[Column, Column]], closed: Column, t: Colum
     return F.array_min(F.filter(F.array(*seen), lambda x: x.isNotNull()))
 
 
-def _meeting(e: DataFrame, o: DataFrame, shared: list[str], until: DataFrame, back: int) -> DataFrame:
-    """Pairs of ``e`` and earlier ones of ``o`` that share ``shared`` elements, open or recent when e opened: (pr_number, o_pr_number, both, n, m, open, recent); both counts shared elements."""
+def _meeting(e: DataFrame, o: DataFrame, until: DataFrame, back: int, few_e=lambda x: x, few_o=lambda x: x) -> DataFrame:
+    """Pairs of ``e`` and earlier ones of ``o`` that share tokens, open or recent when e opened: (pr_number, o_pr_number, both, n, m, open, recent); both counts shared tokens."""
     # a pull request is looked for from its opening to ``back`` after its close, in buckets of that length
     first, last = F.least("t_open", F.coalesce("t_close", "t_open")), F.least(F.coalesce(F.col("t_close") + back, F.col("until")), F.col("until"))
     seen = F.sequence(F.floor(first / back), F.floor(F.greatest(first, last) / back))
@@ -171,55 +173,55 @@ def _meeting(e: DataFrame, o: DataFrame, shared: list[str], until: DataFrame, ba
     e = e.withColumn("at", F.floor(F.col("t_open") / back))
     is_open = (F.col("o_t_open") < F.col("t_open")) & (F.col("o_t_close").isNull() | (F.col("o_t_close") > F.col("t_open")))
     is_recent = F.coalesce((F.col("o_y") != "nowhere") & (F.col("o_t_close") < F.col("t_open")) & (F.col("o_t_close") >= F.col("t_open") - back), F.lit(False))
-    same = [F.col(c) == F.col(f"o_{c}") for c in ["repo", *shared]]
-    met = e.join(o, [*same, F.col("at") == F.col("o_at"), F.col("pr_number") != F.col("o_pr_number"), is_open | is_recent])
+    same = [F.col(c) == F.col(f"o_{c}") for c in ("repo", "token")]
+    met = few_e(e).join(few_o(o), [*same, F.col("at") == F.col("o_at"), F.col("pr_number") != F.col("o_pr_number"), is_open | is_recent])
     return met.groupBy("pr_number", "o_pr_number").agg(F.count("*").alias("both"), F.first("n").alias("n"), F.first("o_n").alias("m"), F.first(is_open).alias("open"), F.first(is_recent).alias("recent"))
 
 
-def max_similarity(pr: DataFrame, tokens: DataFrame, back: int = 90 * DAY, most: int = 8) -> DataFrame:
+def max_similarity(pr: DataFrame, tokens: DataFrame, back: int = 90 * DAY, most: int = 16) -> DataFrame:
     """(pr_number, max_sim_open, max_sim_recent): largest token Jaccard to pull requests open at the opening (0 if none),
     and to those merged in the ``back`` seconds before (null if there were none at all).
 
-    One that shares one or two tokens is not looked for itself, only whether there is any of its size that holds them: the
-    latest close of those that opened before says if one is open, the latest close before if one is recent. Its Jaccard index is
-    at least what those tokens give, and the largest over all is exact. Pairs are made only of those that share three
-    tokens, by three tokens, repository and bucket of time. Sets of more than ``most`` tokens have too many of these and
-    meet all others by single tokens; so do rows that closed before they opened.
+    Rows are dealt once for each of their tokens, with the tokens that occur more often beside it, so a token of all pull
+    requests comes with few others; a task then holds one repository's rows of a token. Of those that share up to three
+    tokens only whether there is any of a size is looked up, in one pass over time; pairs are made of those that share four,
+    as many as there are. Sets of more than ``most`` tokens have too many subsets and meet all others by single tokens; so
+    do rows that closed before they opened.
     """
-    own = tokens.select("pr_number", "token").distinct()
-    sets = own.groupBy("pr_number").agg(F.sort_array(F.collect_list("token")).alias("set"))  # a pull request's own tokens
+    often = cut_lineage(tokens.where("token is not null").groupBy("token").agg(F.count("*").alias("k")).orderBy("k", "token").withColumn("id", F.monotonically_increasing_id()))
+    n_tokens, n_rows, top = often.agg(F.count("*"), F.coalesce(F.sum("k"), F.lit(0)), F.coalesce(F.max("id"), F.lit(0))).first()
+    numbers = often.select("token", F.col("id").cast("int" if top < 2**31 else "long").alias("id"))
+    numbers = F.broadcast(numbers) if n_tokens <= COUNTED else numbers
+    own = tokens.select("pr_number", "token").join(numbers, "token").select("pr_number", "id").repartition("pr_number")
+    sets = own.groupBy("pr_number").agg(F.sort_array(F.collect_set("id")).alias("set"))  # a pull request's own tokens, the rarest first
     # read by several joins
-    whole = cut_lineage(pr.select("repo", "pr_number", "t_open", "t_close", "y").join(sets, "pr_number").withColumn("n", F.size("set")))
-    until = pr.agg(F.max("t_open").alias("until"))
-    simple = (F.col("n") <= most) & F.coalesce(F.col("t_close") >= F.col("t_open"), F.lit(True))
-    small, large = whole.where(simple), whole.where(~simple)
-    i, j, k = (F.col(c) for c in ("i", "j", "k"))
-    at = lambda c: F.get("set", c)
-    steps = lambda c: F.when(c < F.col("n") - 1, F.sequence(c + 1, F.col("n") - 1))
-
-    # one or two tokens: whether any of a size was there
-    held = small.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn("j", F.explode(F.concat(F.array(F.lit(-1)), F.coalesce(steps(i), F.array())))).select("repo", at(i).alias("a"), F.when(j >= 0, at(j)).alias("b"), "pr_number", "t_open", "t_close", "y", "n")
-    never = F.coalesce("t_close", F.lit(2**62))
-    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("t_open").alias("x"), never.alias("last")), F.struct(F.lit(1).alias("kind"), F.when(F.col("y") != "nowhere", F.col("t_close")).alias("x"), F.col("t_close").alias("last")), F.struct(F.lit(2).alias("kind"), F.col("t_open").alias("x"), F.lit(None).cast("long").alias("last")))
-    line = held.select("repo", "a", "b", "n", "pr_number", F.explode(kinds).alias("p")).select("repo", "a", "b", "n", "p.*", F.when(F.col("p.kind") == 2, F.col("pr_number")).alias("pr_number")).where("x is not null")
-    before = Window.partitionBy("repo", "a", "b").orderBy("x").rangeBetween(Window.unboundedPreceding, -1)
-    latest = {f"{name}{m}": F.max(F.when((F.col("kind") == kind) & (F.col("n") == m), F.col("last"))).over(before) for kind, name in ((0, "o"), (1, "r")) for m in range(1, most + 1)}
-    shared = F.when(F.col("b").isNull(), 1).otherwise(2)
-    index = {m: F.when(F.lit(m) >= shared, shared / (F.col("n") + m - shared)) for m in range(1, most + 1)}
-    there = line.withColumns(latest).where("kind = 2").select(
-        "pr_number", F.greatest(*[F.when(F.col(f"o{m}") > F.col("x"), v) for m, v in index.items()]).alias("a"), F.greatest(*[F.when(F.col(f"r{m}") >= F.col("x") - back, v) for m, v in index.items()]).alias("b"))
-
-    three = small.where("n >= 3").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 3))).withColumn("j", F.explode(F.sequence(i + 1, F.col("n") - 2))).withColumn("k", F.explode(steps(j)))
-    three = three.select("repo", "pr_number", "t_open", "t_close", "y", "n", at(i).alias("a"), at(j).alias("b"), at(k).alias("c"))
-    # k tokens have k (k - 1) (k - 2) / 6 threes
-    by_three = _meeting(three, three, ["a", "b", "c"], until, back).withColumn("both", (F.round(F.cbrt(6.0 * F.col("both"))) + 1).cast("long"))
-    single = [x.select("repo", "pr_number", "t_open", "t_close", "y", "n", F.explode("set").alias("token")) for x in (small, large, whole)]
-    pairs = by_three.unionByName(_meeting(single[0], single[1], ["token"], until, back)).unionByName(_meeting(single[1], single[2], ["token"], until, back))
-    jaccard = F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
-    met = pairs.select("pr_number", F.when(F.col("open"), jaccard).alias("a"), F.when(F.col("recent"), jaccard).alias("b"))
-    best = there.unionByName(met).groupBy("pr_number").agg(F.max("a").alias("a"), F.max("b").alias("b"))
-    merged = pit.prior(pr, ["repo"], "t_open", "t_close", {"_m": ((F.col("y") != "nowhere").cast("int"), back)}, bucket=pit.BUCKET)
-    return merged.join(best, "pr_number", "left").select("pr_number", F.coalesce("a", F.lit(0.0)).alias("max_sim_open"), F.when(F.col("_m") > 0, F.coalesce("b", F.lit(0.0))).alias("max_sim_recent"))
+    whole = cut_lineage(pr.select("repo", "pr_number", "t_open", "t_close", "y").join(sets, "pr_number", "left").withColumn("n", F.when(F.col("set").isNull(), 0).otherwise(F.size("set"))))
+    simple = F.coalesce((F.col("n") <= most) & (F.coalesce("t_close", "t_open") >= F.col("t_open")) & F.col("repo").isNotNull(), F.lit(False))
+    small, large = whole.where(simple & (F.col("n") > 0)), whole.where(~simple & (F.col("n") > 0))
+    by_token = small.select("repo", "pr_number", "t_open", "t_close", F.coalesce(F.col("y") != "nowhere", F.lit(False)).alias("merged"), "n", "set", F.posexplode("set").alias("i", "token"))
+    by_token = by_token.withColumn("rest", F.slice("set", F.col("i") + 2, F.col("n"))).drop("set", "i").repartition(max(1, -(-n_rows // DEALT)), "repo", "token")
+    kind = dict(pr.dtypes)["pr_number"]
+    best = by_token.mapInArrow(likeness.best_of(back, "pr_number"), f"pr_number {kind}, a double, b double")
+
+    n_large = large.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if n_large:
+        until = whole.agg(F.max("t_open").alias("until"))
+        single = [x.select("repo", "pr_number", "t_open", "t_close", "y", "n", F.explode("set").alias("token")) for x in (small, large, whole)]
+        few = F.broadcast if n_large <= COUNTED else lambda x: x
+        pairs = _meeting(single[0], single[1], until, back, few_o=few).unionByName(_meeting(single[1], single[2], until, back, few_e=few))
+        jaccard = F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
+        best = best.unionByName(pairs.select("pr_number", F.when(F.col("open"), jaccard).alias("a"), F.when(F.col("recent"), jaccard).alias("b")))
+    best = best.groupBy("pr_number").agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    # of a window as long as a bucket, the last close of the bucket before and the first of its own bucket say if it holds any
+    begin = lambda c: F.col(c) - F.pmod(F.col(c), F.lit(back))
+    closes = whole.where("y <> 'nowhere' and t_close is not null").groupBy("repo", begin("t_close").alias("at")).agg(F.min("t_close").alias("first"), F.max("t_close").alias("last"))
+    none = F.lit(None).cast("long")
+    sides = closes.select("repo", "at", "first", none.alias("last")).unionByName(closes.select("repo", (F.col("at") + back).alias("at"), none.alias("first"), "last"))
+    sides = cut_lineage(sides.groupBy("repo", "at").agg(F.max("first").alias("first"), F.max("last").alias("last")))
+    known = whole.select("repo", "pr_number", "t_open", begin("t_open").alias("at")).join(F.broadcast(sides) if sides.count() <= COUNTED else sides, ["repo", "at"], "left")
+    there = F.coalesce(F.col("first") < F.col("t_open"), F.lit(False)) | F.coalesce(F.col("last") >= F.col("t_open") - back, F.lit(False))
+    asked = known.select("pr_number", there.alias("there"))
+    return asked.join(best, "pr_number", "left").select("pr_number", F.coalesce("a", F.lit(0.0)).alias("max_sim_open"), F.when(F.col("there"), F.coalesce("b", F.lit(0.0))).alias("max_sim_recent"))
 
 
 def experience(pr: DataFrame, areas: DataFrame) -> DataFrame:

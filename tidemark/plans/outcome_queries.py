@@ -180,7 +180,7 @@ best as (select pr_number, max(k / (n + m - k)::double) filter (where is_open) a
 seen as (select p.pr_number, count(q.pr_number) as k from pr p left join pr q on p.repo = q.repo and q.y <> 'nowhere' and q.t_close < p.t_open and q.t_close >= p.t_open - 90 * 86400 group by 1)
 select pr_number, round(coalesce(a, 0), 4) as max_sim_open, case when k > 0 then round(coalesce(b, 0), 4) end as max_sim_recent from seen left join best using (pr_number)""")
 def c10_max_similarity(spark, sf_dir):
-    tokens = file_changes(spark, sf_dir).select("pr_number", F.concat(F.lit("t"), F.col("path_id") % 300).alias("token"))
+    tokens = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pr_number"), F.concat(F.lit("t"), F.col("l_partkey") % 300).alias("token"))
     return _rounded(outcomes.max_similarity(pull_requests(spark, sf_dir), tokens), 4)
 
 
