@@ -65,3 +65,10 @@ def test_similarity_is_the_same_group_by_group_and_with_renumbered_subsets(monke
     monkeypatch.setattr(likeness, "PAIRS", 1)
     monkeypatch.setattr(likeness, "LARGEST", 2**20)
     assert want == found() and len(want) > 200
+
+
+def test_rows_of_no_repository_are_like_none(spark):
+    """A missing repository equals no other, as in SQL; such rows found one another."""
+    pr = spark.createDataFrame([(r, i, 10 * i, 10 * i + 15, "clean") for i, r in enumerate([None, None, "a", "a"])], "repo string, pr_number int, t_open long, t_close long, y string")
+    tokens = spark.createDataFrame([(i, "x") for i in range(4)], "pr_number int, token string")
+    assert sorted(tuple(r) for r in outcomes.max_similarity(pr, tokens, 40).collect()) == [(0, 0.0, None), (1, 0.0, None), (2, 0.0, None), (3, 1.0, None)]
